@@ -40,15 +40,24 @@ def csv_stats(parsed: DataFrame, keys: str | list[str] = "file", has_header: boo
     return out
 
 
-def csv_preview(parsed: DataFrame, keys: str | list[str] = "file", has_header: bool = False,
-                n: int = PREVIEW_ROWS) -> DataFrame:
-    """The first ``n`` non-blank *data* records of each file by line
-    number (the header is skipped, so both sides show ``n`` data rows).
-    ``row_number() <= k`` runs as a partial top-k before the shuffle."""
+def csv_preview(parsed: DataFrame, keys: str | list[str] | None = "file", has_header: bool = False,
+                n: int = PREVIEW_ROWS, order: str = "line_no") -> DataFrame:
+    """The first ``n`` non-blank *data* records by ``order`` (the
+    header is skipped, so both sides show ``n`` data rows).
+
+    With keys: per key, ``row_number() <= k`` (a partial top-k per task before
+    the shuffle). Without keys: one global ``orderBy().limit()``
+    (TakeOrderedAndProject: each task keeps its own top ``n``)."""
+    nonblank = parsed.filter(~is_blank_record("fields"))
+    if not keys:
+        if has_header:
+            nonblank = nonblank.filter(F.col("line_no") > 1)
+        top = nonblank.orderBy(order).limit(n)
+        return top.select(F.row_number().over(Window.orderBy(order)).alias("row"), "line_no", "fields")
     k = _keys(keys)
     skip = 1 if has_header else 0
-    w = Window.partitionBy(*k).orderBy("line_no")
-    ranked = parsed.filter(~is_blank_record("fields")).withColumn("_rn", F.row_number().over(w))
+    w = Window.partitionBy(*k).orderBy(order)
+    ranked = nonblank.withColumn("_rn", F.row_number().over(w))
     return ranked.filter((F.col("_rn") > skip) & (F.col("_rn") <= n + skip)).select(
         *k, (F.col("_rn") - F.lit(skip)).alias("row"), "line_no", "fields"
     )
@@ -89,13 +98,17 @@ def dataset_stats(df: DataFrame, keys: str | list[str], data_columns: list[str])
 def parquet_preview(df: DataFrame, data_columns: list[str], keys: list[str] | None = None,
                     n: int = PREVIEW_ROWS) -> DataFrame:
     """C6 on the Parquet side: first ``n`` rows in file order (part file name,
-    then row index inside the file), as ``ARRAY<STRING>`` rows."""
+    then row index inside the file), as ``ARRAY<STRING>`` rows. Part files
+    are numbered by write task, and tasks follow the source scan order."""
     k = keys or []
     ordered = df.select(
         *k, F.col("_metadata.file_name").alias("_fn"), F.col("_metadata.row_index").alias("_ri"),
         as_string_fields(df, data_columns).alias("fields"),
     )
-    w = Window.partitionBy(*k).orderBy("_fn", "_ri") if k else Window.orderBy("_fn", "_ri")
+    if not k:
+        top = ordered.orderBy("_fn", "_ri").limit(n)
+        return top.select(F.row_number().over(Window.orderBy("_fn", "_ri")).alias("row"), "fields")
+    w = Window.partitionBy(*k).orderBy("_fn", "_ri")
     return ordered.withColumn("row", F.row_number().over(w)).filter(F.col("row") <= n).select(*k, "row", "fields")
 
 

@@ -81,6 +81,24 @@ def publish(spark: SparkSession, staged: str, target: str, feeds: list[str], mod
     return feeds
 
 
+def swap_in(spark: SparkSession, staged_dir: str, target_dir: str) -> None:
+    """move a checked, staged partition folder into place (the old one is
+    removed only now, after the new data was written and checked). A rename is
+    a metadata operation on HDFS-like stores; nothing is read or rewritten."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src = jvm.org.apache.hadoop.fs.Path(staged_dir)
+    dst = jvm.org.apache.hadoop.fs.Path(target_dir)
+    fs = dst.getFileSystem(conf)
+    if not fs.exists(src):
+        raise FileNotFoundError(f"staged output not found: {staged_dir}")
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise RuntimeError(f"could not move {staged_dir} to {target_dir}")
+
+
 def write_canonical_csv(parsed: DataFrame, path: str, delim: str) -> None:
     """the normalised CSV (canonical quoting, LF line ends) as text files."""
     parsed.select(encode_csv("fields", delim).alias("value")).write.mode("overwrite").text(path)

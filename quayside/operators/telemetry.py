@@ -30,33 +30,50 @@ def retain_last(logs: DataFrame, keys: list[str], n: int = LOG_KEEP_LAST, ts: st
     return logs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def expire_keys(logs: DataFrame, keys: list[str], asof, ttl_seconds: int = LOG_TTL_SECONDS, ts: str = "ts") -> DataFrame:
+def _with_asof(df: DataFrame, asof, ts: str) -> DataFrame:
+    """Attach ``_asof``: a given instant, or the newest ``ts`` of ``df`` itself
+    (a one-row aggregate joined by broadcast: its size is one row)."""
+    if asof is None:
+        return df.crossJoin(F.broadcast(df.agg(F.max(ts).alias("_asof"))))
+    return df.withColumn("_asof", asof if isinstance(asof, F.Column) else F.lit(asof))
+
+
+def expire_keys(logs: DataFrame, keys: list[str], asof=None, ttl_seconds: int = LOG_TTL_SECONDS, ts: str = "ts") -> DataFrame:
     """A key's whole log is gone ``ttl`` seconds after its *last* write.
-    Keeps the entries of keys whose newest ``ts`` is within ``ttl`` of ``asof``."""
-    asof_col = asof if isinstance(asof, F.Column) else F.lit(asof)
-    alive = (
-        logs.groupBy(*keys).agg(F.max(ts).alias("_last"))
-        .filter(F.col("_last") >= asof_col - F.make_dt_interval(secs=F.lit(ttl_seconds)))
-        .select(*keys)
-    )
+    Keeps the entries of keys whose newest ``ts`` is within ``ttl`` of ``asof``
+    (default: the newest entry of the whole log)."""
+    last = logs.groupBy(*keys).agg(F.max(ts).alias("_last"))
+    if asof is None:
+        last = last.crossJoin(F.broadcast(logs.agg(F.max(ts).alias("_asof"))))
+    else:
+        last = last.withColumn("_asof", asof if isinstance(asof, F.Column) else F.lit(asof))
+    alive = last.filter(F.col("_last") >= F.col("_asof") - F.make_dt_interval(secs=F.lit(ttl_seconds))).select(*keys)
     return logs.join(alive, keys, "left_semi")
 
 
-def liveness(heartbeats: DataFrame, asof, ttl_seconds: int = DEVICE_TTL_SECONDS) -> DataFrame:
+def latest_heartbeat(heartbeats: DataFrame) -> DataFrame:
+    """Newest heartbeat per device (partial aggregate: a chatty device still
+    ships one row per task)."""
+    latest = heartbeats.groupBy("device_id").agg(F.max(F.struct("last_seen", "status", "current_job")).alias("s"))
+    return latest.select("device_id", "s.last_seen", "s.status", "s.current_job")
+
+
+def apply_device_ttl(latest: DataFrame, asof=None, ttl_seconds: int = DEVICE_TTL_SECONDS) -> DataFrame:
+    """J3 read side: OFFLINE with no current job ``ttl`` after ``last_seen``
+    (``asof`` defaults to the newest heartbeat seen)."""
+    j = _with_asof(latest, asof, "last_seen")
+    online = F.col("last_seen") >= F.col("_asof") - F.make_dt_interval(secs=F.lit(ttl_seconds))
+    return j.select(
+        "device_id", "last_seen", online.alias("online"),
+        F.when(online, F.col("status")).otherwise(F.lit("OFFLINE")).alias("status"),
+        F.when(online, F.col("current_job")).alias("current_job"),
+    )
+
+
+def liveness(heartbeats: DataFrame, asof=None, ttl_seconds: int = DEVICE_TTL_SECONDS) -> DataFrame:
     """Latest state per device; ``ttl`` after ``last_seen`` it reads
     OFFLINE with no current job."""
-    asof_col = asof if isinstance(asof, F.Column) else F.lit(asof)
-    latest = heartbeats.groupBy("device_id").agg(
-        F.max_by(F.struct("status", "current_job", "last_seen"), "last_seen").alias("s")
-    )
-    online = F.col("s.last_seen") >= asof_col - F.make_dt_interval(secs=F.lit(ttl_seconds))
-    return latest.select(
-        "device_id",
-        F.col("s.last_seen").alias("last_seen"),
-        online.alias("online"),
-        F.when(online, F.col("s.status")).otherwise(F.lit("OFFLINE")).alias("status"),
-        F.when(online, F.col("s.current_job")).alias("current_job"),
-    )
+    return apply_device_ttl(latest_heartbeat(heartbeats), asof, ttl_seconds)
 
 
 def fold_file_state(events: DataFrame) -> DataFrame:

@@ -5,12 +5,12 @@ A conversion reads the source text three times, each a parallel scan:
 1. one aggregate per (file, split): line count, first id, first line, blank
    records, widest record and bytes - this gives line numbers, the field count
    or header of line 1 (H2/A6) and the CSV statistics (D1) in one pass;
-2. the first 20 data records per file (C6), a partial top-k per task;
+2. the first 20 data records in scan order (C6), a partial top-k per task;
 3. parse + strict shape check + write (F1/F2), rows counted by ``observe``
    (D3) while writing.
 
-Output is staged in the shared folder and swapped into place only after the
-integrity check (E1) passes (F4); the staged copy is then removed.
+Output is staged in the shared folder and moved into place (a rename of the
+feed partition folder) only after the integrity check (E1) passes (F4).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from quayside.functions.scalars import compression_ratio, size_label
 from quayside.operators import audit as A
 from quayside.operators import tables as TB
 from quayside.operators.selection import candidates, latest_by_stamp, require_latest
-from quayside.operators.sinks import write_feed
+from quayside.operators.sinks import swap_in, write_feed
 from quayside.session import scratch_path
 from quayside.sources.catalog import catalog
 from quayside.sources.feeds import FEED_BY_KEY, FEEDS, Feed, resolve_feed_name
@@ -35,7 +35,7 @@ from quayside.sources.lines import BLOCK_BROADCAST_MAX_ROWS, read_lines
 
 @dataclass
 class Profiled:
-    lines: DataFrame        # file, file_size, mtime, line_no, value, fields
+    lines: DataFrame        # file, file_size, mtime, line_no, scan_pos, value, fields
     per_file: DataFrame     # file, first (fields of line 1), rows_nonblank, columns, size
 
 
@@ -65,7 +65,7 @@ def profile_source(spark: SparkSession, paths: list[str], feed: Feed) -> Profile
     lines = raw.join(offsets, ["_fkey", "block"]).select(
         "file", "file_size", "mtime",
         (F.col("_rid") - F.col("_rid0") + F.col("_before") + F.lit(1)).alias("line_no"),
-        "value", "fields",
+        F.col("_rid").alias("scan_pos"), "value", "fields",
     )
     per_file = blocks.groupBy("file").agg(
         F.min_by("_first", "block").alias("first"),
@@ -134,12 +134,12 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
     if strict and (check["rows"] != check["p_rows"] or check["columns"] != check["p_columns"]):
         raise RuntimeError(f"integrity check failed for {feed.key}: csv {check['rows']}x{check['columns']}, "
                            f"parquet {check['p_rows']}x{check['p_columns']}")
-    write_feed(spark.read.parquet(staged), out, row_group_bytes=feed.row_group_bytes)  # swap after E1
+    swap_in(spark, f"{staged}/feed={feed.key}", f"{out}/feed={feed.key}")  # swap after E1
 
-    parsed_for_preview = prof.lines.select("file", "line_no", "fields")
-    csv_prev = A.preview_array(A.csv_preview(parsed_for_preview, "file", feed.has_header).drop("file").withColumn("file", F.lit(1)), "file")
+    parsed_for_preview = prof.lines.select("line_no", "scan_pos", "fields")
+    csv_prev = A.preview_array(A.csv_preview(parsed_for_preview, None, feed.has_header, order="scan_pos").withColumn("k", F.lit(1)), "k")
     written = spark.read.parquet(f"{out}/feed={feed.key}")
-    pq_prev = A.preview_array(A.parquet_preview(written, data_cols).withColumn("file", F.lit(1)), "file")
+    pq_prev = A.preview_array(A.parquet_preview(written, data_cols).withColumn("k", F.lit(1)), "k")
     schema = [(f.name, f.dataType.simpleString()) for f in written.schema.fields]
     elapsed = round(time.perf_counter() - started, 2)
     out_stats = A.parquet_stats(spark, f"{out}/feed={feed.key}").agg(
@@ -224,7 +224,7 @@ def check(spark: SparkSession, csv_paths: str | list[str], parquet_path: str, fe
     pq = A.parquet_stats(spark, parquet_path).agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"),
                                                   F.sum("size").alias("size")).withColumn("k", F.lit(1))
     integ = A.integrity(csv, pq, "k")
-    c_prev = A.csv_preview(prof.lines.select("file", "line_no", "fields"), "file", feed.has_header).drop("file")
+    c_prev = A.csv_preview(prof.lines.select("line_no", "scan_pos", "fields"), None, feed.has_header, order="scan_pos")
     p_prev = A.parquet_preview(pdf, data_cols)
     diff = A.preview_diff(c_prev.withColumn("k", F.lit(1)), p_prev.withColumn("k", F.lit(1)), ["k"])
     ratio = csv.select(F.col("size").alias("c_size"), "k").join(pq.select(F.col("size").alias("p_size"), "k"), "k")

@@ -413,3 +413,579 @@ SELECT strftime(e.day, '%Y-%m-%d') AS day, e.feed FROM exp e
 WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.day = e.day AND h.feed = e.feed)""")
 def q_missing_feeds(spark, sf):
     return S.missing_feeds(spark, manifest(spark, sf), _days(spark, sf)).select(ts_text("day", "yyyy-MM-dd").alias("day"), "feed")
+
+
+# ----------------------------------------------------- A6, C6, C8, C9, H1 ---
+
+_BUSINESS_HEADER_LINE = " DATE,Store_ID,product_id,CATEGORY ,qty_sold,revenue,discount,currency"
+
+
+def _land_customer(spark, sf) -> str:
+    c = t(spark, sf, "customer").withColumn("bucket", (F.col("c_custkey") / 500).cast("bigint"))
+    fields = F.array(F.concat(F.lit("2024-01-"), F.lpad(s(F.col("c_nationkey") + 1), 2, "0")), s("c_nationkey"),
+                     s("c_custkey"), F.col("c_mktsegment"), s(F.col("c_custkey") % 100), money("c_acctbal"),
+                     F.lit("0"), F.lit("VND"))
+    return land_buckets(spark, c.withColumn("value", encode_csv(fields, ",")), "value", "bucket", ["c_custkey"],
+                        "customer-business", header=_BUSINESS_HEADER_LINE)
+
+
+def _customer_table(spark, sf) -> DataFrame:
+    lines = read_numbered_lines(spark, _land_customer(spark, sf), recursive=True)
+    return TB.to_table_positional(TB.parse(lines, ","), 8, keep=["file", "line_no"])
+
+
+_BUSINESS_SQL = """
+SELECT '2024-01-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS date, CAST(c_nationkey AS VARCHAR) AS store_id,
+       CAST(c_custkey AS VARCHAR) AS product_id, c_mktsegment AS category, CAST(c_custkey % 100 AS VARCHAR) AS qty_sold,
+       printf('%.2f', c_acctbal) AS revenue, '0' AS discount, 'VND' AS currency
+FROM customer"""
+
+
+@query("header_promotion", _BUSINESS_SQL)
+def q_header_promotion(spark, sf):
+    return TB.promote_header(_customer_table(spark, sf)).drop("file", "line_no")
+
+
+@query("preview20", """
+SELECT c_custkey // 500 AS bucket, CAST(row_number() OVER (PARTITION BY c_custkey // 500 ORDER BY c_custkey) AS INTEGER) AS row,
+       CAST(c_custkey AS VARCHAR) AS product_id, printf('%.2f', c_acctbal) AS revenue
+FROM customer QUALIFY row <= 20""")
+def q_preview20(spark, sf):
+    lines = read_numbered_lines(spark, _land_customer(spark, sf), recursive=True)
+    prev = A.csv_preview(TB.parse(lines, ","), "file", has_header=True)
+    return prev.select(F.regexp_extract("file", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket"),
+                       "row", F.col("fields")[2].alias("product_id"), F.col("fields")[5].alias("revenue"))
+
+
+def _land_part_with_header(spark, sf) -> str:
+    p = t(spark, sf, "part").withColumn("bucket", (F.col("p_partkey") / 500).cast("bigint"))
+    fields = F.array(s("p_partkey"), F.col("p_name"), s("p_size"), F.col("p_brand"), F.col("p_type"))
+    return land_buckets(spark, p.withColumn("value", encode_csv(fields, ",")), "value", "bucket", ["p_partkey"],
+                        "part-header", header="P_PARTKEY,p_name,P_PARTKEY,,p type")
+
+
+def _header_table(spark, sf) -> DataFrame:
+    lines = read_numbered_lines(spark, _land_part_with_header(spark, sf), recursive=True)
+    parsed = TB.parse(lines, ",", repair=FEED_BY_KEY["SCCT"].repair_dangling_quote)
+    shapes = TB.group_shapes(parsed, has_header=True)
+    if len(shapes) != 1:
+        raise ValueError("landed files disagree on their header")
+    return TB.to_table_header(parsed, shapes[0].header)
+
+
+@query("header_table", """
+SELECT CAST(p_partkey AS VARCHAR) AS "P_PARTKEY", p_name, CAST(p_size AS VARCHAR) AS "P_PARTKEY_1",
+       p_brand AS column3, p_type AS "p type"
+FROM part""")
+def q_header_table(spark, sf):
+    return _header_table(spark, sf)
+
+
+@query("header_schema", """
+SELECT * FROM (VALUES (1, 'P_PARTKEY', 'string'), (2, 'p_name', 'string'), (3, 'P_PARTKEY_1', 'string'),
+                      (4, 'column3', 'string'), (5, 'p type', 'string')) v(position, name, type)""")
+def q_header_schema(spark, sf):
+    return TB.describe(spark, _header_table(spark, sf))
+
+
+@query("positional_schema", """
+SELECT * FROM (VALUES (1, 'column1', 'string'), (2, 'column2', 'string'), (3, 'column3', 'string'),
+                      (4, 'column4', 'string'), (5, 'column5', 'string')) v(position, name, type)""")
+def q_positional_schema(spark, sf):
+    c = t(spark, sf, "customer")
+    fields = F.array(s("c_custkey"), F.col("c_name"), s("c_nationkey"), money("c_acctbal"), F.col("c_mktsegment"))
+    root = land_ranges(spark, c.withColumn("value", encode_csv(fields, ";")), "value", ["c_custkey"], "customer-positional")
+    parsed = TB.parse(read_numbered_lines(spark, root), ";")
+    shapes = TB.group_shapes(parsed)
+    return TB.describe(spark, TB.to_table_positional(parsed, shapes[0].expected))
+
+
+@query("describe", """
+SELECT * FROM (VALUES (1, 'l_orderkey', 'bigint'), (2, 'l_partkey', 'bigint'), (3, 'l_suppkey', 'bigint'),
+  (4, 'l_linenumber', 'int'), (5, 'l_quantity', 'double'), (6, 'l_extendedprice', 'double'), (7, 'l_discount', 'double'),
+  (8, 'l_tax', 'double'), (9, 'l_returnflag', 'string'), (10, 'l_linestatus', 'string'), (11, 'l_shipdate', 'timestamp_ntz'))
+  v(position, name, type)""")
+def q_describe(spark, sf):
+    return TB.describe(spark, t(spark, sf, "lineitem"))
+
+
+# ------------------------------------------------------------------ A7 ---
+
+def _events_typed(spark, sf) -> DataFrame:
+    e = t(spark, sf, "events")
+    fields = F.array(s("event_id"), ts_text("ts"), s("user_id"), F.col("event_type"), money("value"),
+                     F.lpad(s("user_id"), 5, "0"), ts_text("ts", "yyyy-MM-dd"),
+                     F.when(F.col("value") > 10, F.lit("true")).otherwise(F.lit("FALSE")),
+                     ts_text("ts", "HH:mm:ss"), ts_text("ts", "yyyyMMdd"))
+    root = land_ranges(spark, e.withColumn("value", encode_csv(fields, ",")), "value", ["event_id"], "events-text")
+    parsed = TB.parse(read_numbered_lines(spark, root), ",")
+    shapes = TB.group_shapes(parsed)
+    table = TB.to_table_positional(parsed, shapes[0].expected, base=0, pad=True)
+    return TB.cast_table(table, TB.infer_types(table))
+
+
+@query("infer_types", """
+SELECT * FROM (VALUES (1, 'column0', 'bigint'), (2, 'column1', 'timestamp_ntz'), (3, 'column2', 'bigint'),
+  (4, 'column3', 'string'), (5, 'column4', 'double'), (6, 'column5', 'string'), (7, 'column6', 'date'),
+  (8, 'column7', 'boolean'), (9, 'column8', 'string'), (10, 'column9', 'bigint')) v(position, name, type)""")
+def q_infer_types(spark, sf):
+    return TB.describe(spark, _events_typed(spark, sf))
+
+
+@query("typed_table", """
+SELECT event_id AS column0, strftime(ts, '%Y-%m-%d %H:%M:%S') AS column1, user_id AS column2, event_type AS column3,
+       value AS column4, lpad(CAST(user_id AS VARCHAR), 5, '0') AS column5, strftime(ts, '%Y-%m-%d') AS column6,
+       value > 10 AS column7, strftime(ts, '%H:%M:%S') AS column8, CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS column9
+FROM events""")
+def q_typed_table(spark, sf):
+    tb = _events_typed(spark, sf)
+    return tb.withColumn("column1", ts_text("column1")).withColumn("column6", ts_text("column6", "yyyy-MM-dd"))
+
+
+# ------------------------------------------------------------- D1, D2 ---
+
+def _size_label_sql(expr: str) -> str:
+    b = f"CAST({expr} AS DOUBLE)"
+    units = ["B", "KB", "MB", "GB", "TB"]
+    parts = [f"WHEN {b} / {float(1024 ** i)} < 1024 THEN printf('%.1f {u}', {b} / {float(1024 ** i)})" for i, u in enumerate(units)]
+    return "CASE " + " ".join(parts) + f" ELSE printf('%.1f PB', {b} / {float(1024 ** 5)}) END"
+
+
+@query("csv_stats", f"""
+WITH l AS (SELECT doc_id, text, unnest(string_split_regex(replace(text, '"', ''), '\\r\\n|\\r|\\n')) AS line FROM documents)
+SELECT doc_id AS file, CAST(count(*) FILTER (WHERE line <> '') AS BIGINT) AS rows,
+       CAST(coalesce(max(len(string_split(line, ','))) FILTER (WHERE line <> ''), 0) AS BIGINT) AS columns,
+       CAST(max(strlen(text)) AS BIGINT) AS size, {_size_label_sql("max(strlen(text))")} AS size_label
+FROM l GROUP BY doc_id""")
+def q_csv_stats(spark, sf):
+    d = t(spark, sf, "documents")
+    lines = d.select(F.col("doc_id").alias("file"), F.octet_length("text").cast("bigint").alias("file_size"),
+                     F.posexplode(F.split(F.replace("text", F.lit('"'), F.lit("")), "\r\n|\r|\n")).alias("pos", "value"))
+    parsed = TB.parse(lines.withColumn("line_no", F.col("pos") + 1), ",")
+    st = A.csv_stats(parsed, "file", has_header=False, size_col="file_size")
+    return st.select("file", "rows", F.col("columns").cast("bigint").alias("columns"), "size", "size_label")
+
+
+@query("parquet_stats", """
+SELECT 'lineitem.parquet' AS name, count(*) AS rows, CAST(11 AS BIGINT) AS columns FROM lineitem""")
+def q_parquet_stats(spark, sf):
+    st = A.parquet_stats(spark, f"{sf}/lineitem.parquet")
+    return st.select(F.regexp_extract("file", "[^/]*$", 0).alias("name"), "rows", F.col("columns").cast("bigint").alias("columns"))
+
+
+# ---------------------------------------------------------- B7, B8, B9 ---
+
+@query("size_label", f"""
+SELECT doc_id, n_chars * pow(1024, doc_id % 6) AS bytes, {_size_label_sql("n_chars * pow(1024, doc_id % 6)")} AS label,
+       printf('%.1f MB', n_chars / 1048576.0) AS mb_label
+FROM documents""")
+def q_size_label(spark, sf):
+    from quayside.functions.scalars import size_mb_label
+
+    d = t(spark, sf, "documents")
+    b = F.col("n_chars").cast("double") * F.pow(F.lit(1024.0), (F.col("doc_id") % 6).cast("double"))
+    return d.select("doc_id", b.alias("bytes"), size_label(b).alias("label"), size_mb_label("n_chars").alias("mb_label"))
+
+
+@query("compression_ratio", """
+WITH x AS (SELECT l_orderkey, l_linenumber, CAST(floor(l_extendedprice) AS BIGINT) AS p,
+                  CASE WHEN l_linenumber = 7 THEN 0 ELSE CAST(floor(l_extendedprice * (1 + l_tax)) + CAST(l_quantity AS BIGINT) * 3 AS BIGINT) END AS c
+           FROM lineitem)
+SELECT l_orderkey, l_linenumber, p, c,
+       CASE WHEN c > 0 THEN round_even((1 - CAST(p AS DOUBLE) / c) * 100, 1) ELSE 0.0 END AS ratio
+FROM x""")
+def q_compression_ratio(spark, sf):
+    li = t(spark, sf, "lineitem")
+    p = F.floor("l_extendedprice").cast("bigint")
+    c = F.when(F.col("l_linenumber") == 7, F.lit(0)).otherwise(
+        F.floor(F.col("l_extendedprice") * (F.lit(1) + F.col("l_tax"))) + F.col("l_quantity").cast("bigint") * 3).cast("bigint")
+    x = li.select("l_orderkey", "l_linenumber", p.alias("p"), c.alias("c"))
+    return x.withColumn("ratio", compression_ratio("p", "c"))
+
+
+# ------------------------------------------------ I1, E1 (flagship), F5 ---
+
+def _orders_fields():
+    # The feeds repair dangling quotes, so a quote right before a delimiter is
+    # read as quote-and-close; the injected text keeps quotes off that spot.
+    status = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.concat("o_orderstatus", F.lit('"x;')))
+    return F.array(s("o_orderkey"), s("o_custkey"), status, money("o_totalprice"),
+                   ts_text("o_orderdate", "yyyy-MM-dd"), F.col("o_orderpriority"))
+
+
+@query("integrity", """
+SELECT '30D_SALES' AS feed, count(*) AS csv_rows, CAST(6 AS INTEGER) AS csv_columns, count(*) AS parquet_rows,
+       CAST(6 AS INTEGER) AS parquet_columns, true AS rows_match, true AS columns_match,
+       CAST(20 AS INTEGER) AS csv_preview_rows, CAST(20 AS INTEGER) AS parquet_preview_rows, CAST(0 AS BIGINT) AS preview_differ
+FROM orders""")
+def q_integrity(spark, sf):
+    from quayside.plans.convert import convert
+
+    o = t(spark, sf, "orders")
+    root = land_ranges(spark, o.withColumn("value", encode_csv(_orders_fields(), ";")), "value", ["o_orderkey"], "orders-landing")
+    out = scratch_path(spark, "published")
+    audit = convert(spark, root, out, "30D_SALES")
+    rows = A._row_differs
+    differ = F.size(F.filter(F.zip_with("csv.preview", "parquet.preview", lambda a, b: rows(a, b)), lambda d: d))
+    return audit.select(
+        "feed", F.col("csv.rows").alias("csv_rows"), F.col("csv.columns").alias("csv_columns"),
+        F.col("parquet.rows").alias("parquet_rows"), F.col("parquet.columns").alias("parquet_columns"),
+        (F.col("csv.rows") == F.col("parquet.rows")).alias("rows_match"),
+        (F.col("csv.columns") == F.col("parquet.columns")).alias("columns_match"),
+        F.size("csv.preview").alias("csv_preview_rows"), F.size("parquet.preview").alias("parquet_preview_rows"),
+        differ.cast("bigint").alias("preview_differ"))
+
+
+@query("converted_table", """
+SELECT CAST(o_orderkey AS VARCHAR) AS column1, CAST(o_custkey AS VARCHAR) AS column2,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus || '"x;' END AS column3,
+       printf('%.2f', o_totalprice) AS column4, strftime(o_orderdate, '%Y-%m-%d') AS column5, o_orderpriority AS column6,
+       '30D_SALES' AS feed
+FROM orders""")
+def q_converted_table(spark, sf):
+    from quayside.plans.convert import convert
+
+    o = t(spark, sf, "orders")
+    root = land_ranges(spark, o.withColumn("value", encode_csv(_orders_fields(), ";")), "value", ["o_orderkey"], "orders-landing")
+    out = scratch_path(spark, "published")
+    convert(spark, root, out, "30D_SALES").collect()
+    return spark.read.parquet(out)
+
+
+@query("canonical_csv", """
+SELECT CAST(l_orderkey AS VARCHAR) || ';' || CAST(l_linenumber AS VARCHAR) || ';' || chr(34) || l_returnflag || repeat(chr(34), 3) ||
+       ';' || l_linestatus || ';' AS value
+FROM lineitem""")
+def q_canonical_csv(spark, sf):
+    from quayside.operators.sinks import write_canonical_csv
+
+    li = t(spark, sf, "lineitem")
+    fields = F.array(s("l_orderkey"), s("l_linenumber"), F.concat("l_returnflag", F.lit('"')), F.col("l_linestatus"), F.lit(""))
+    parsed = TB.parse(li.select(quote_all(fields, ";").alias("value")), ";", repair=False)
+    path = scratch_path(spark, "canonical")
+    write_canonical_csv(parsed, path, ";")
+    return spark.read.text(path)
+
+
+# ---------------------------------------------------------------- E2, E3 ---
+
+def _orders_left(spark, sf) -> DataFrame:
+    o = t(spark, sf, "orders")
+    return o.select("o_orderkey", F.col("o_orderstatus").alias("status"), money("o_totalprice").alias("price"),
+                    F.col("o_orderpriority").alias("priority"))
+
+
+def _orders_right(spark, sf) -> DataFrame:
+    o = t(spark, sf, "orders").filter(F.col("o_orderkey") % 50 != 17)
+    k = F.col("o_orderkey")
+    return o.select(
+        "o_orderkey",
+        F.when(k % 7 == 0, F.lower("o_orderstatus")).otherwise(F.col("o_orderstatus")).alias("status"),
+        F.when(k % 3 == 0, F.format_string("%.3f", F.col("o_totalprice"))).otherwise(money("o_totalprice")).alias("price"),
+        F.when(k % 11 == 0, F.concat(F.lit(" "), F.col("o_orderpriority"))).otherwise(F.col("o_orderpriority")).alias("priority"))
+
+
+_CMP = "CASE WHEN {x} IS NULL THEN '' WHEN regexp_full_match(trim({x}), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN 'n:' || CAST(CAST(trim({x}) AS DOUBLE) AS VARCHAR) ELSE trim({x}) END"
+
+
+def _cmp(x: str) -> str:
+    return _CMP.format(x=x)
+
+
+_DIFF_SIDES = """
+l AS (SELECT o_orderkey, o_orderstatus AS c1, printf('%.2f', o_totalprice) AS c2, o_orderpriority AS c3 FROM orders),
+r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN lower(o_orderstatus) ELSE o_orderstatus END AS c1,
+             CASE WHEN o_orderkey % 3 = 0 THEN printf('%.3f', o_totalprice) ELSE printf('%.2f', o_totalprice) END AS c2,
+             CASE WHEN o_orderkey % 11 = 0 THEN ' ' || o_orderpriority ELSE o_orderpriority END AS c3
+      FROM orders WHERE o_orderkey % 50 <> 17)"""
+
+
+@query("preview_diff", f"""
+WITH {_DIFF_SIDES},
+lp AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS row, CAST(o_orderkey AS VARCHAR) AS k, c1, c2, c3 FROM l QUALIFY row <= 20),
+rp AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS row, CAST(o_orderkey AS VARCHAR) AS k, c1, c2, c3 FROM r QUALIFY row <= 20)
+SELECT count(*) AS rows_compared,
+       count(*) FILTER (WHERE lp.row IS NULL OR rp.row IS NULL
+                        OR {_cmp("lp.k")} <> {_cmp("rp.k")} OR {_cmp("lp.c1")} <> {_cmp("rp.c1")}
+                        OR {_cmp("lp.c2")} <> {_cmp("rp.c2")} OR {_cmp("lp.c3")} <> {_cmp("rp.c3")}) AS rows_differ
+FROM lp FULL OUTER JOIN rp USING (row)""")
+def q_preview_diff(spark, sf):
+    def prev(df):
+        top = df.orderBy("o_orderkey").limit(A.PREVIEW_ROWS)
+        from pyspark.sql import Window
+        return top.select(F.row_number().over(Window.orderBy("o_orderkey")).alias("row"),
+                          F.array(s("o_orderkey"), "status", "price", "priority").alias("fields"))
+    return A.preview_diff(prev(_orders_left(spark, sf)), prev(_orders_right(spark, sf)))
+
+
+@query("table_diff", f"""
+WITH {_DIFF_SIDES},
+j AS (SELECT l.o_orderkey IS NOT NULL AS hl, r.o_orderkey IS NOT NULL AS hr, l.c1 AS l1, l.c2 AS l2, l.c3 AS l3,
+             r.c1 AS r1, r.c2 AS r2, r.c3 AS r3 FROM l FULL OUTER JOIN r USING (o_orderkey)),
+tot AS (SELECT count(*) FILTER (WHERE NOT hl) AS missing_left, count(*) FILTER (WHERE NOT hr) AS missing_right,
+  count(*) FILTER (WHERE NOT hl OR NOT hr OR {_cmp("l1")} <> {_cmp("r1")} OR {_cmp("l2")} <> {_cmp("r2")} OR {_cmp("l3")} <> {_cmp("r3")}) AS rows_differ,
+  count(*) FILTER (WHERE hl AND hr AND l1 <> r1) AS x1, count(*) FILTER (WHERE hl AND hr AND {_cmp("l1")} <> {_cmp("r1")}) AS v1,
+  count(*) FILTER (WHERE hl AND hr AND l2 <> r2) AS x2, count(*) FILTER (WHERE hl AND hr AND {_cmp("l2")} <> {_cmp("r2")}) AS v2,
+  count(*) FILTER (WHERE hl AND hr AND l3 <> r3) AS x3, count(*) FILTER (WHERE hl AND hr AND {_cmp("l3")} <> {_cmp("r3")}) AS v3
+  FROM j)
+SELECT missing_left, missing_right, rows_differ, 'status' AS column, x1 AS lexical_diff, v1 AS value_diff FROM tot
+UNION ALL SELECT missing_left, missing_right, rows_differ, 'price', x2, v2 FROM tot
+UNION ALL SELECT missing_left, missing_right, rows_differ, 'priority', x3, v3 FROM tot""")
+def q_table_diff(spark, sf):
+    return A.table_diff(_orders_left(spark, sf), _orders_right(spark, sf), ["o_orderkey"], ["status", "price", "priority"])
+
+
+# ---------------------------------------------------------------- F2, F3 ---
+
+def _orders_by_status(spark, sf, status: str) -> DataFrame:
+    return t(spark, sf, "orders").filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_orderstatus")
+
+
+@query("replace_feed", """
+SELECT 'CLOSING_STOCK' AS feed, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'SCCT', o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'""")
+def q_replace_feed(spark, sf):
+    target = scratch_path(spark, "serving")
+    write_feed(_orders_by_status(spark, sf, "F"), target, feed="CLOSING_STOCK")
+    write_feed(_orders_by_status(spark, sf, "O"), target, feed="SCCT")
+    write_feed(_orders_by_status(spark, sf, "P"), target, feed="CLOSING_STOCK")  # replaces F rows only
+    return spark.read.parquet(target)
+
+
+@query("publish", """
+SELECT 'CLOSING_STOCK' AS feed, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 'SCCT', o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 'STOCK_INTRANSIT', o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'""")
+def q_publish(spark, sf):
+    target = scratch_path(spark, "serving")
+    staged = scratch_path(spark, "staged")
+    write_feed(_orders_by_status(spark, sf, "F"), target, feed="CLOSING_STOCK")
+    write_feed(_orders_by_status(spark, sf, "O"), target, feed="SCCT")
+    write_feed(_orders_by_status(spark, sf, "P"), target, feed="STOCK_INTRANSIT")
+    write_feed(_orders_by_status(spark, sf, "O"), staged, feed="CLOSING_STOCK")
+    write_feed(_orders_by_status(spark, sf, "F"), staged, feed="STOCK_INTRANSIT")
+    publish(spark, staged, target, ["CLOSING_STOCK", "STOCK_INTRANSIT"], mode="all_or_nothing")
+    return spark.read.parquet(target)
+
+
+# ------------------------------------------------------ B11, B12, J1-J6 ---
+
+def _messages(spark, sf) -> DataFrame:
+    e = t(spark, sf, "events")
+    et = F.col("event_type")
+    msg = (F.when(et == "error", F.concat(F.lit("Lỗi tại dòng "), s("event_id")))
+           .when(et == "purchase", F.concat(F.lit("Hoàn tất order of user "), s("user_id")))
+           .when(et == "signup", F.concat(F.lit("WARNING: new user "), F.col("props")))
+           .when(et == "click", F.concat(F.lit("Convert "), s("event_id"), F.lit(" Complete")))
+           .otherwise(F.concat(F.lit("view "), F.col("props"))))
+    ev = e.select(F.concat(F.lit("e"), s("event_id")).alias("id"), msg.alias("message"))
+    cv = t(spark, sf, "conversations").select(F.concat(F.lit("c"), s("conv_id"), F.lit("."), s("turn")).alias("id"),
+                                              F.col("text").alias("message"))
+    return ev.unionByName(cv)
+
+
+_MESSAGES_SQL = """
+msgs AS (
+  SELECT 'e' || CAST(event_id AS VARCHAR) AS id,
+         CASE event_type WHEN 'error' THEN 'Lỗi tại dòng ' || CAST(event_id AS VARCHAR)
+              WHEN 'purchase' THEN 'Hoàn tất order of user ' || CAST(user_id AS VARCHAR)
+              WHEN 'signup' THEN 'WARNING: new user ' || props
+              WHEN 'click' THEN 'Convert ' || CAST(event_id AS VARCHAR) || ' Complete'
+              ELSE 'view ' || props END AS message
+  FROM events
+  UNION ALL SELECT 'c' || CAST(conv_id AS VARCHAR) || '.' || CAST(turn AS VARCHAR), text FROM conversations)"""
+
+_SEVERITY_SQL = """CASE WHEN contains(lower(message), 'error') OR contains(lower(message), 'lỗi') OR contains(lower(message), 'failed') THEN 'error'
+     WHEN contains(lower(message), 'hoàn tất') OR contains(lower(message), 'complete') OR contains(lower(message), 'success') THEN 'success'
+     WHEN contains(lower(message), 'warning') OR contains(lower(message), 'dừng') THEN 'warning' ELSE 'info' END"""
+
+
+@query("log_severity", f"""
+WITH {_MESSAGES_SQL}
+SELECT id, {_SEVERITY_SQL} AS severity FROM msgs""")
+def q_log_severity(spark, sf):
+    return _messages(spark, sf).select("id", severity("message").alias("severity"))
+
+
+@query("log_filter", f"""
+WITH {_MESSAGES_SQL}
+SELECT id, message, {_SEVERITY_SQL} AS severity FROM msgs WHERE contains(lower(message), 'lỗi')""")
+def q_log_filter(spark, sf):
+    return TL.log_view(_messages(spark, sf), keyword="  LỖI ").select("id", "message", "severity")
+
+
+@query("log_retention", """
+SELECT event_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 1000""")
+def q_log_retention(spark, sf):
+    e = t(spark, sf, "events")
+    return TL.retain_last(e, ["event_type"], ts="ts", tiebreak="event_id").select("event_id", "event_type")
+
+
+@query("log_expiry", """
+WITH last AS (SELECT user_id, max(ts) AS l FROM events GROUP BY user_id), a AS (SELECT max(ts) AS m FROM events)
+SELECT e.event_id, e.user_id FROM events e JOIN last USING (user_id), a WHERE last.l >= a.m - INTERVAL 86400 SECOND""")
+def q_log_expiry(spark, sf):
+    e = t(spark, sf, "events")
+    return TL.expire_keys(e, ["user_id"]).select("event_id", "user_id")
+
+
+def _heartbeats(spark, sf) -> DataFrame:
+    e = t(spark, sf, "events")
+    return e.select(F.concat(F.lit("dev"), s("user_id")).alias("device_id"), F.upper("event_type").alias("status"),
+                    F.col("props").alias("current_job"), F.col("ts").cast("timestamp").alias("last_seen"))
+
+
+_LIVENESS_SQL = """
+WITH hb AS (SELECT 'dev' || CAST(user_id AS VARCHAR) AS device_id, upper(event_type) AS status, props AS current_job, ts AS last_seen FROM events),
+latest AS (SELECT * FROM hb QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY last_seen DESC, status DESC, current_job DESC NULLS LAST) = 1),
+a AS (SELECT max(last_seen) AS m FROM hb)
+SELECT device_id, strftime(last_seen, '%Y-%m-%d %H:%M:%S.%f') AS last_seen, last_seen >= a.m - INTERVAL 120 SECOND AS online,
+       CASE WHEN last_seen >= a.m - INTERVAL 120 SECOND THEN status ELSE 'OFFLINE' END AS status,
+       CASE WHEN last_seen >= a.m - INTERVAL 120 SECOND THEN current_job END AS current_job
+FROM latest, a"""
+
+
+@query("liveness", _LIVENESS_SQL)
+def q_liveness(spark, sf):
+    lv = TL.liveness(_heartbeats(spark, sf))
+    return lv.withColumn("last_seen", ts_text("last_seen", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def _file_events(spark, sf) -> DataFrame:
+    e = t(spark, sf, "events")
+    et = F.col("event_type")
+    status = (F.when(et == "view", "pending").when(et == "click", "converting").when(et == "purchase", "completed")
+              .when(et == "error", "error").otherwise("stopped"))
+    return e.select(
+        F.concat(F.lit("job"), s(F.col("user_id") % 7)).alias("job"),
+        F.concat(F.lit("file"), s(F.col("user_id") % 30)).alias("file"),
+        status.alias("status"), F.floor("value").cast("int").alias("progress"),
+        F.when(status == "completed", F.concat(F.lit("/out/file"), s(F.col("user_id") % 30), F.lit(".parquet"))).alias("output"),
+        F.col("ts").cast("timestamp").alias("ts"), "event_id")
+
+
+_FILE_STATE_SQL = """
+fe AS (SELECT 'job' || CAST(user_id % 7 AS VARCHAR) AS job, 'file' || CAST(user_id % 30 AS VARCHAR) AS file,
+              CASE event_type WHEN 'view' THEN 'pending' WHEN 'click' THEN 'converting' WHEN 'purchase' THEN 'completed'
+                              WHEN 'error' THEN 'error' ELSE 'stopped' END AS status,
+              CAST(floor(value) AS INTEGER) AS progress, ts, event_id,
+              CASE WHEN event_type = 'purchase' THEN '/out/file' || CAST(user_id % 30 AS VARCHAR) || '.parquet' END AS output
+       FROM events),
+latest AS (SELECT * FROM fe QUALIFY row_number() OVER (PARTITION BY job, file ORDER BY ts DESC, status DESC, progress DESC, output DESC NULLS LAST) = 1),
+failed AS (SELECT job, bool_or(status = 'error') AS jf FROM latest GROUP BY job),
+state AS (SELECT l.job, l.file, CASE WHEN f.jf AND l.status = 'converting' THEN 'error' ELSE l.status END AS status,
+                 l.progress, l.output, l.ts FROM latest l JOIN failed f USING (job))"""
+
+
+@query("file_state", f"""
+WITH {_FILE_STATE_SQL}
+SELECT job, file, status, progress, output, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM state""")
+def q_file_state(spark, sf):
+    st = TL.fold_file_state(_file_events(spark, sf))
+    return st.withColumn("ts", ts_text("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@query("job_rollup", f"""
+WITH {_FILE_STATE_SQL}
+SELECT job, bool_or(status = 'converting') AS running, NOT bool_or(status = 'error') AS success,
+       arg_min(file, ts) FILTER (WHERE status = 'error') AS first_error_file, count(*) AS files,
+       count(*) FILTER (WHERE status = 'pending') AS n_pending, count(*) FILTER (WHERE status = 'converting') AS n_converting,
+       count(*) FILTER (WHERE status = 'completed') AS n_completed, count(*) FILTER (WHERE status = 'error') AS n_error,
+       count(*) FILTER (WHERE status = 'stopped') AS n_stopped, count(*) FILTER (WHERE status = 'missing') AS n_missing,
+       count(*) FILTER (WHERE progress < 25) AS n_selected
+FROM state GROUP BY job""")
+def q_job_rollup(spark, sf):
+    st = TL.fold_file_state(_file_events(spark, sf)).withColumn("selected", F.col("progress") < 25)
+    return TL.job_rollup(st, "selected")
+
+
+@query("runnable", f"""
+WITH {_FILE_STATE_SQL}
+SELECT job, file, status FROM state WHERE progress < 25 AND status IN ('pending', 'stopped', 'error')""")
+def q_runnable(spark, sf):
+    st = TL.fold_file_state(_file_events(spark, sf)).withColumn("selected", F.col("progress") < 25)
+    return TL.runnable(st).select("job", "file", "status")
+
+
+@query("since_last_run", """
+WITH logs AS (SELECT event_id, 'job' || CAST(user_id % 7 AS VARCHAR) AS job, ts FROM events),
+runs AS (SELECT 'job' || CAST(user_id % 7 AS VARCHAR) AS job, max(ts) AS started FROM events WHERE event_type = 'signup' GROUP BY 1)
+SELECT l.event_id, l.job FROM logs l LEFT JOIN runs r USING (job) WHERE r.started IS NULL OR l.ts >= r.started""")
+def q_since_last_run(spark, sf):
+    e = t(spark, sf, "events")
+    job = F.concat(F.lit("job"), s(F.col("user_id") % 7)).alias("job")
+    logs = e.select("event_id", job, "ts")
+    commands = e.select(F.when(F.col("event_type") == "signup", F.lit("RUN")).otherwise(F.lit("LOG")).alias("command"),
+                        job, F.col("ts").alias("created_at"))
+    return TL.since_last_run(logs, commands).select("event_id", "job")
+
+
+# ------------------------------------------------------------- G1, K1, K2 ---
+
+def _lineitem_ragged(spark, sf) -> DataFrame:
+    li = t(spark, sf, "lineitem")
+    bad = (F.col("l_linenumber") > 1) & (((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 53) == 0)
+    base = [s("l_orderkey"), s("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus"), ts_text("l_shipdate", "yyyy-MM-dd")]
+    fields = (F.when(bad & (F.col("l_orderkey") % 2 == 0), F.array(*base, F.lit("X")))
+              .when(bad, F.array(*base[:4])).otherwise(F.array(*base)))
+    return li.withColumn("value", encode_csv(fields, ";"))
+
+
+_RAGGED_SQL = """(l_linenumber > 1 AND (l_orderkey * 7 + l_linenumber) % 53 = 0)"""
+
+
+@query("arity_quarantine", f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS orderkey, CAST(l_linenumber AS VARCHAR) AS linenumber, 5 AS expected,
+       CASE WHEN l_orderkey % 2 = 0 THEN 6 ELSE 4 END AS found
+FROM lineitem WHERE {_RAGGED_SQL}""")
+def q_arity_quarantine(spark, sf):
+    from quayside.plans.convert import profile_source
+
+    root = land_ranges(spark, _lineitem_ragged(spark, sf), "value", ["l_orderkey", "l_linenumber"], "lineitem-ragged")
+    feed = FEED_BY_KEY["STOCK_INTRANSIT"]
+    prof = profile_source(spark, [root], feed)
+    expected = prof.per_file.select("file", F.size("first").alias("expected"))
+    _, bad = TB.split_by_arity(prof.lines, expected)
+    return bad.select(F.split("value", ";")[0].alias("orderkey"), F.split("value", ";")[1].alias("linenumber"),
+                      "expected", "found")
+
+
+def _run_stream_ingest(spark, sf) -> tuple[str, str]:
+    from quayside.streaming.ingest import start_ingest
+
+    landing = land_ranges(spark, _lineitem_ragged(spark, sf), "value", ["l_orderkey", "l_linenumber"], "lineitem-landing")
+    out, quarantine, ckpt = scratch_path(spark, "ingested"), scratch_path(spark, "quarantine"), scratch_path(spark, "ckpt")
+    q = start_ingest(spark, landing, FEED_BY_KEY["STOCK_INTRANSIT"], out, quarantine, ckpt, max_files_per_trigger=2)
+    q.awaitTermination()
+    return out, quarantine
+
+
+@query("stream_ingest", f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS column1, CAST(l_linenumber AS VARCHAR) AS column2, l_returnflag AS column3,
+       l_linestatus AS column4, strftime(l_shipdate, '%Y-%m-%d') AS column5
+FROM lineitem WHERE NOT {_RAGGED_SQL}""")
+def q_stream_ingest(spark, sf):
+    out, _ = _run_stream_ingest(spark, sf)
+    return spark.read.parquet(f"{out}/n=5").select("column1", "column2", "column3", "column4", "column5")
+
+
+@query("stream_quarantine", f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS orderkey, 5 AS expected, CASE WHEN l_orderkey % 2 = 0 THEN 6 ELSE 4 END AS found
+FROM lineitem WHERE {_RAGGED_SQL}""")
+def q_stream_quarantine(spark, sf):
+    _, quarantine = _run_stream_ingest(spark, sf)
+    return spark.read.parquet(quarantine).select(F.split("value", ";")[0].alias("orderkey"), "expected", "found")
+
+
+@query("stream_liveness", _LIVENESS_SQL)
+def q_stream_liveness(spark, sf):
+    from quayside.streaming.liveness import read_liveness, start_liveness
+
+    landing = scratch_path(spark, "heartbeats")
+    hb = _heartbeats(spark, sf).withColumn("day", F.to_date("last_seen"))
+    hb.write.partitionBy("day").parquet(landing)
+    table, ckpt = scratch_path(spark, "device-state"), scratch_path(spark, "ckpt")
+    q = start_liveness(spark, landing, table, ckpt)
+    q.awaitTermination()
+    return read_liveness(spark, table).withColumn("last_seen", ts_text("last_seen", "yyyy-MM-dd HH:mm:ss.SSSSSS"))

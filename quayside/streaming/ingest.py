@@ -13,12 +13,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.operators import tables as TB
 from quayside.plans.convert import profile_source
 from quayside.sources.feeds import Feed
 
 
+BINARY_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType(), False),
+    T.StructField("modificationTime", T.TimestampType(), False),
+    T.StructField("length", T.LongType(), False),
+    T.StructField("content", T.BinaryType(), True),
+])
+
+
 def ingest_batch(spark: SparkSession, files: list[str], feed: Feed, out: str, quarantine: str, batch_id: int) -> None:
     """One micro-batch: the new files of ``feed``, grouped by first-line shape."""
     if not files:
@@ -48,7 +57,7 @@ def ingest_batch(spark: SparkSession, files: list[str], feed: Feed, out: str, qu
 def start_ingest(spark: SparkSession, landing: str, feed: Feed, out: str, quarantine: str, checkpoint: str,
                  available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start K1 over ``landing``; returns the StreamingQuery."""
-    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     new_files = reader.load(landing).select("path", "length")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.operators.telemetry import DEVICE_TTL_SECONDS
+from quayside.operators.telemetry import DEVICE_TTL_SECONDS, apply_device_ttl, latest_heartbeat
 
 HEARTBEAT_SCHEMA = T.StructType([
     T.StructField("device_id", T.StringType()),
@@ -27,9 +27,7 @@ HEARTBEAT_SCHEMA = T.StructType([
 def start_liveness(spark: SparkSession, landing: str, table: str, checkpoint: str, available_now: bool = True,
                    schema: T.StructType = HEARTBEAT_SCHEMA):
     beats = spark.readStream.schema(schema).parquet(landing)
-    latest = beats.groupBy("device_id").agg(
-        F.max_by(F.struct("status", "current_job", "last_seen"), "last_seen").alias("s")
-    ).select("device_id", "s.status", "s.current_job", "s.last_seen")
+    latest = latest_heartbeat(beats)
 
     def _batch(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(table)
@@ -39,12 +37,6 @@ def start_liveness(spark: SparkSession, landing: str, table: str, checkpoint: st
     return writer.start()
 
 
-def read_liveness(spark: SparkSession, table: str, asof, ttl_seconds: int = DEVICE_TTL_SECONDS) -> DataFrame:
-    asof_col = asof if isinstance(asof, F.Column) else F.lit(asof)
-    st = spark.read.parquet(table)
-    online = F.col("last_seen") >= asof_col - F.make_dt_interval(secs=F.lit(ttl_seconds))
-    return st.select(
-        "device_id", "last_seen", online.alias("online"),
-        F.when(online, F.col("status")).otherwise(F.lit("OFFLINE")).alias("status"),
-        F.when(online, F.col("current_job")).alias("current_job"),
-    )
+def read_liveness(spark: SparkSession, table: str, asof=None, ttl_seconds: int = DEVICE_TTL_SECONDS) -> DataFrame:
+    """Device states at ``asof`` (default: the newest heartbeat in the table)."""
+    return apply_device_ttl(spark.read.parquet(table), asof, ttl_seconds)
