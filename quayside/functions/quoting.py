@@ -43,14 +43,28 @@ def split_pattern(delim: str, repair: bool) -> str:
     return f'{d}(?:"({body}){close}|([^{d}]*))'
 
 
-def split_quoted(line: Column | str, delim: str, repair: bool = False) -> Column:
-    """B1/B2: split one raw line into ``ARRAY<STRING>`` (never NULL elements)."""
+def quote_parts(line: Column | str, delim: str, repair: bool = False) -> tuple[Column, Column, Column]:
+    """The three per-field group arrays of one line: quoted body, closing
+    token, unquoted text. They have the same length, the field count."""
     col = F.col(line) if isinstance(line, str) else line
     prefixed = F.concat(F.lit(delim), col)
     pattern = F.lit(split_pattern(delim, repair))
-    body = F.regexp_extract_all(prefixed, pattern, 1)
-    close = F.regexp_extract_all(prefixed, pattern, 2)
-    plain = F.regexp_extract_all(prefixed, pattern, 3)
+    return tuple(F.regexp_extract_all(prefixed, pattern, g) for g in (1, 2, 3))
+
+
+def field_from_parts(body: Column, close: Column, plain: Column, i) -> Column:
+    """Field ``i`` (0-based) from the group arrays by plain element access:
+    no lambda, so it stays inside whole-stage codegen. NULL when out of range."""
+    return F.concat(
+        F.replace(F.get(body, i), F.lit('""'), F.lit('"')),
+        F.when(F.get(close, i) == F.lit('""'), F.lit('"')).otherwise(F.lit("")),
+        F.get(plain, i),
+    )
+
+
+def fields_from_parts(body: Column, close: Column, plain: Column) -> Column:
+    """The whole ``ARRAY<STRING>`` (a higher-order function: use it on small
+    row sets such as first lines and previews, not on whole tables)."""
     return F.transform(
         body,
         lambda b, i: F.concat(
@@ -61,25 +75,50 @@ def split_quoted(line: Column | str, delim: str, repair: bool = False) -> Column
     )
 
 
+def split_quoted(line: Column | str, delim: str, repair: bool = False) -> Column:
+    """B1/B2: split one raw line into ``ARRAY<STRING>`` (never NULL elements)."""
+    return fields_from_parts(*quote_parts(line, delim, repair))
+
+
+def split_fields(line: Column | str, delim: str, repair: bool, n: int) -> tuple[list[Column], Column]:
+    """B1/B2 when the field count ``n`` is known: ``([field_0..field_n-1], count)``
+    as codegen-friendly columns (the groups are shared by common-subexpression
+    elimination)."""
+    b, c, p = quote_parts(line, delim, repair)
+    return [field_from_parts(b, c, p, i) for i in range(n)], F.size(p)
+
+
+def _needs_quote(f: Column, delim: str) -> Column:
+    return (F.contains(f, F.lit(delim)) | F.contains(f, F.lit('"')) | F.contains(f, F.lit("\n"))
+            | F.contains(f, F.lit("\r")))
+
+
+def _encode_one(f: Column, delim: str) -> Column:
+    v = F.coalesce(f, F.lit(""))
+    return F.when(_needs_quote(v, delim), F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(v)
+
+
 def encode_csv(fields: Column | str, delim: str) -> Column:
     """Minimal quoting with ``""`` escape, as a CSV writer with LF endings.
 
     A field is quoted when it holds the delimiter, a quote, CR or LF; a record
     made of one empty field is written ``""`` so that it is not a blank line.
+    (Array input uses a lambda; prefer ``encode_columns`` for known columns.)
     """
     arr = F.col(fields) if isinstance(fields, str) else fields
-    needs_quote = f'[{_regex_char(delim)}"\\r\\n]'
-    encoded = F.transform(
-        arr,
-        lambda f: F.when(
-            F.coalesce(f, F.lit("")).rlike(needs_quote),
-            F.concat(F.lit('"'), F.replace(f, F.lit('"'), F.lit('""')), F.lit('"')),
-        ).otherwise(F.coalesce(f, F.lit(""))),
-    )
-    single_empty = (F.size(arr) == 1) & (F.coalesce(arr[0], F.lit("")) == F.lit(""))
+    encoded = F.transform(arr, lambda f: _encode_one(f, delim))
+    single_empty = (F.size(arr) == 1) & (F.coalesce(F.get(arr, 0), F.lit("")) == F.lit(""))
     return F.when(single_empty, F.lit('""')).otherwise(F.array_join(encoded, delim))
 
 
+def encode_columns(cols: list[Column], delim: str) -> Column:
+    """B3 over a known list of string columns: plain expressions, no lambda."""
+    body = F.concat_ws(delim, *[_encode_one(c, delim) for c in cols])
+    if len(cols) == 1:
+        return F.when(F.coalesce(cols[0], F.lit("")) == F.lit(""), F.lit('""')).otherwise(body)
+    return body
+
+
 def quote_all(fields: Column | str, delim: str) -> Column:
     """Every field quoted, quotes doubled (the shape of fully quoted exports)."""
     arr = F.col(fields) if isinstance(fields, str) else fields
@@ -92,4 +131,27 @@ def quote_all(fields: Column | str, delim: str) -> Column:
 def is_blank_record(fields: Column | str) -> Column:
     """A record that is one empty field (a blank line, or a lone ``""``)."""
     arr = F.col(fields) if isinstance(fields, str) else fields
-    return (F.size(arr) == 1) & (arr[0] == F.lit(""))
+    return (F.size(arr) == 1) & (F.get(arr, 0) == F.lit(""))
+
+
+# Column names under which ``parse`` keeps the group arrays of a line.
+PART_COLUMNS = ("_qb", "_qc", "_qp")
+
+
+def parts_cols() -> tuple[Column, Column, Column]:
+    return tuple(F.col(c) for c in PART_COLUMNS)
+
+
+def n_fields() -> Column:
+    """Field count of a parsed line (from its group arrays)."""
+    return F.size(F.col(PART_COLUMNS[2]))
+
+
+def field(i: int) -> Column:
+    """Field ``i`` of a parsed line (from its group arrays)."""
+    return field_from_parts(*parts_cols(), i)
+
+
+def is_blank_parsed() -> Column:
+    """C7 on a parsed line: one field, and it is empty."""
+    return (n_fields() == 1) & (field(0) == F.lit(""))

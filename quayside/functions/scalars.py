@@ -22,7 +22,8 @@ DISPLAY_MTIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # ---------------------------------------------------------------------------
 
 # JavaScript's String.prototype.trim() white space and line terminators.
-_JS_SPACE = "[\\t\\n\\u000B\\f\\r \\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]"
+_JS_SPACE_CHARS = ("\t\n\u000b\f\r \u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+                   + "\u2028\u2029\u202f\u205f\u3000\ufeff")
 _DECIMAL_SHAPE = "^[+-]?(?:[0-9]+\\.?[0-9]*|\\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
@@ -70,17 +71,24 @@ def compression_ratio(parquet_bytes: Column | str, csv_bytes: Column | str) -> C
 
 
 def js_trim(text: Column | str) -> Column:
-    return F.regexp_replace(_c(text), f"^{_JS_SPACE}+|{_JS_SPACE}+$", "")
+    """Trim JavaScript white space from both ends (a character-set trim, no regex)."""
+    return F.trim(_c(text), F.lit(_JS_SPACE_CHARS))
 
 
 def comparable_number(value: Column | str) -> Column:
     """The finite number a trimmed text stands for (JavaScript ``Number`` rules:
     decimal literals, exponents, 0x/0o/0b integers), else NULL."""
     t = js_trim(_c(value).cast("string"))
-    dec =F.when(t.rlike(_DECIMAL_SHAPE), t.try_cast("double"))
-    hexa = F.when(t.rlike("^0[xX][0-9a-fA-F]{1,15}$"), F.conv(F.substring(t, 3, 64), 16, 10).try_cast("double"))
-    octa = F.when(t.rlike("^0[oO][0-7]{1,20}$"), F.conv(F.substring(t, 3, 64), 8, 10).try_cast("double"))
-    bina = F.when(t.rlike("^0[bB][01]{1,62}$"), F.conv(F.substring(t, 3, 64), 2, 10).try_cast("double"))
+    # cheap guards first: the regexes only run on text that can be a number
+    may_be_number = F.substring(t, 1, 1).isin(*list("+-.0123456789"))
+    radix = F.lower(F.substring(t, 1, 2))
+    dec = F.when(may_be_number & t.rlike(_DECIMAL_SHAPE), t.try_cast("double"))
+    hexa = F.when((radix == "0x") & t.rlike("^0[xX][0-9a-fA-F]{1,15}$"),
+                  F.conv(F.substring(t, 3, 64), 16, 10).try_cast("double"))
+    octa = F.when((radix == "0o") & t.rlike("^0[oO][0-7]{1,20}$"),
+                  F.conv(F.substring(t, 3, 64), 8, 10).try_cast("double"))
+    bina = F.when((radix == "0b") & t.rlike("^0[bB][01]{1,62}$"),
+                  F.conv(F.substring(t, 3, 64), 2, 10).try_cast("double"))
     num = F.coalesce(dec, hexa, octa, bina)
     finite = num.isNotNull() & (F.abs(num) < F.lit(float("inf")))
     return F.when(finite, num + F.lit(0.0))  # + 0.0 folds -0.0 into 0.0

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.functions.quoting import is_blank_record
+from quayside.functions.quoting import is_blank_parsed, n_fields
 from quayside.functions.scalars import comparable, comparable_number, size_label
 
 PREVIEW_ROWS = 20
@@ -25,10 +25,10 @@ def csv_stats(parsed: DataFrame, keys: str | list[str] = "file", has_header: boo
               size_col: str | None = "file_size") -> DataFrame:
     """Per file, non-blank records (less the header), widest record, bytes."""
     k = _keys(keys)
-    nonblank = ~is_blank_record("fields")
+    nonblank = ~is_blank_parsed()
     aggs = [
         F.count_if(nonblank).alias("_rows"),
-        F.coalesce(F.max(F.when(nonblank, F.size("fields"))), F.lit(0)).alias("columns"),
+        F.coalesce(F.max(F.when(nonblank, n_fields())), F.lit(0)).alias("columns"),
     ]
     if size_col:
         aggs.append(F.max(size_col).alias("size"))
@@ -48,21 +48,62 @@ def csv_preview(parsed: DataFrame, keys: str | list[str] | None = "file", has_he
     With keys: per key, ``row_number() <= k`` (a partial top-k per task before
     the shuffle). Without keys: one global ``orderBy().limit()``
     (TakeOrderedAndProject: each task keeps its own top ``n``)."""
-    nonblank = parsed.filter(~is_blank_record("fields"))
+    nonblank = parsed.filter(~is_blank_parsed())
     if not keys:
         if has_header:
             nonblank = nonblank.filter(F.col("line_no") > 1)
-        top = nonblank.orderBy(order).limit(n)
+        top = nonblank.select(order, "line_no", "fields").orderBy(order).limit(n)
         return top.select(F.row_number().over(Window.orderBy(order)).alias("row"), "line_no", "fields")
     k = _keys(keys)
     skip = 1 if has_header else 0
     w = Window.partitionBy(*k).orderBy(order)
-    ranked = nonblank.withColumn("_rn", F.row_number().over(w))
+    ranked = nonblank.select(*k, order, "line_no", "fields").withColumn("_rn", F.row_number().over(w))
     return ranked.filter((F.col("_rn") > skip) & (F.col("_rn") <= n + skip)).select(
         *k, (F.col("_rn") - F.lit(skip)).alias("row"), "line_no", "fields"
     )
 
 
+def first_data_rows(parsed: DataFrame, has_header: bool = False, n: int = PREVIEW_ROWS) -> list[list[str]]:
+    """C6/C7/C8 for one conversion: the first ``n`` non-blank data records in
+    scan order, as lists (bounded: ``n`` rows reach the driver).
+
+    Scan order is partition order, so an incremental ``limit`` (Spark's
+    ``executeTake``) reads the start of the first split and stops; no sort
+    and no full pass over the source."""
+    rows = parsed.filter(~is_blank_parsed())
+    if has_header:
+        rows = rows.filter(F.col("line_no") > 1)
+    taken = rows.select("scan_pos", "fields").limit(n).collect()
+    return [list(r["fields"]) for r in sorted(taken, key=lambda r: r["scan_pos"])]
+
+
+def first_output_rows(spark: SparkSession, path: str, data_columns: list[str], n: int = PREVIEW_ROWS) -> list[list[str]]:
+    """C6 on the Parquet side: the first ``n`` rows of the part files in name
+    order (part files are numbered by write task, tasks follow the scan
+    order). Reads files one at a time until ``n`` rows are found."""
+    from quayside.sources.catalog import catalog
+
+    files = [r["path"] for r in catalog(spark, path).filter(F.col("name").endswith(".parquet"))
+             .select("path", "name").orderBy("name").collect()]  # one row per output file
+    out: list[list[str]] = []
+    for f in files:
+        if len(out) >= n:
+            break
+        df = spark.read.parquet(f)
+        got = df.select(F.col("_metadata.row_index").alias("_ri"), as_string_fields(df, data_columns).alias("fields")) \
+            .limit(n - len(out)).collect()
+        out.extend(list(r["fields"]) for r in sorted(got, key=lambda r: r["_ri"]))
+    return out
+
+
+def preview_literal(rows: list[list[str]]) -> Column:
+    """A bounded preview as an ``ARRAY<ARRAY<STRING>>`` literal."""
+    if not rows:
+        return F.array().cast("array<array<string>>")
+    return F.array(*[F.array(*[F.lit(v).cast("string") for v in r]).cast("array<string>") if r
+                     else F.array().cast("array<string>") for r in rows])
+
+
 def preview_array(rows: DataFrame, keys: str | list[str] = "file") -> DataFrame:
     """The preview as ``ARRAY<ARRAY<STRING>>`` per key (bounded: n rows)."""
     k = _keys(keys)

@@ -24,7 +24,9 @@ def stamp_files(catalog: DataFrame, profiles: list[Feed] | None = None) -> DataF
     feed = None
     stamp = None
     for f in table:
-        st = file_stamp("name", f.prefix, f.stamp_digits, f.stamp_format)
+        # a plain prefix test gates the regex and the date parse
+        hit = F.upper(F.substring(F.col("name"), 1, len(f.prefix))) == F.lit(f.prefix.upper())
+        st = F.when(hit, file_stamp("name", f.prefix, f.stamp_digits, f.stamp_format))
         feed = F.when(st.isNotNull(), F.lit(f.key)) if feed is None else feed.when(st.isNotNull(), F.lit(f.key))
         stamp = st if stamp is None else F.coalesce(stamp, st)
     return catalog.withColumn("feed", feed).withColumn("stamp", stamp)
@@ -93,9 +95,10 @@ def day_scan(spark: SparkSession, catalog: DataFrame, days: DataFrame, day_col:
     feed_col = None
     day_text = None
     for f in table:
-        m = F.col("name").rlike(f"^\\Q{f.prefix}\\E[0-9]{{8}}.*\\.csv$")
+        starts = F.col("name").startswith(f.prefix)
+        m = starts & F.col("name").rlike(f"^\\Q{f.prefix}\\E[0-9]{{8}}.*\\.csv$")
         if f.stamp_digits == 8:
-            m = F.col("name").rlike(f"^\\Q{f.prefix}\\E[0-9]{{8}}\\.csv$")
+            m = starts & F.col("name").rlike(f"^\\Q{f.prefix}\\E[0-9]{{8}}\\.csv$")
         d = F.substring(F.col("name"), len(f.prefix) + 1, 8)
         feed_col = F.when(m, F.lit(f.key)) if feed_col is None else feed_col.when(m, F.lit(f.key))
         day_text = F.when(m, d) if day_text is None else day_text.when(m, d)

@@ -99,6 +99,14 @@ def swap_in(spark: SparkSession, staged_dir: str, target_dir: str) -> None:
         raise RuntimeError(f"could not move {staged_dir} to {target_dir}")
 
 
-def write_canonical_csv(parsed: DataFrame, path: str, delim: str) -> None:
-    """the normalised CSV (canonical quoting, LF line ends) as text files."""
-    parsed.select(encode_csv("fields", delim).alias("value")).write.mode("overwrite").text(path)
+def write_canonical_csv(parsed: DataFrame, path: str, delim: str, n: int | None = None) -> None:
+    """the normalised CSV (canonical quoting, LF line ends) as text files.
+    With the field count ``n`` known (a strict table), each line is encoded
+    from its cells without building the fields array."""
+    if n is not None:
+        from quayside.functions.quoting import encode_columns, field
+
+        line = encode_columns([field(i) for i in range(n)], delim)
+    else:
+        line = encode_csv("fields", delim)
+    parsed.select(line.alias("value")).write.mode("overwrite").text(path)

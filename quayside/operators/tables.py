@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.quoting import split_quoted
+from quayside.functions.quoting import (
+    PART_COLUMNS, field, fields_from_parts, n_fields, parts_cols, quote_parts,
+)
 
 FILE_BROADCAST_MAX_ROWS = 1_000_000
 
@@ -21,8 +23,13 @@ FILE_BROADCAST_MAX_ROWS = 1_000_000
 # ---------------------------------------------------------------- parsing ---
 
 def parse(lines: DataFrame, delim: str, repair: bool = True, value_col: str = "value") -> DataFrame:
-    """B1/B2 over a line table: adds ``fields ARRAY<STRING>``."""
-    return lines.withColumn("fields", split_quoted(F.col(value_col), delim, repair))
+    """B1/B2 over a line table: adds the group arrays of each line (the hot
+    path reads field counts and cells from them) and ``fields ARRAY<STRING>``
+    (computed only where a plan actually uses it; column pruning drops it
+    elsewhere)."""
+    b, c, p = quote_parts(F.col(value_col), delim, repair)
+    out = lines.withColumn(PART_COLUMNS[0], b).withColumn(PART_COLUMNS[1], c).withColumn(PART_COLUMNS[2], p)
+    return out.withColumn("fields", fields_from_parts(*parts_cols()))
 
 
 # ------------------------------------------------------------ names (H3) ---
@@ -54,13 +61,16 @@ def fix_header_names(raw: list[str]) -> list[str]:
 # ------------------------------------------------------- shape (G1, G2) ---
 
 def first_records(parsed: DataFrame) -> DataFrame:
-    """H2: ``DF[file, fields]`` of line 1 of every file (partial aggregate)."""
-    return parsed.groupBy("file").agg(F.min_by("fields", "line_no").alias("fields"))
+    """H2: ``DF[file, fields]`` of line 1 of every file (partial aggregate;
+    the fields array is built for one line per file only)."""
+    firsts = parsed.groupBy("file").agg(F.min_by(F.struct(*parts_cols()), "line_no").alias("_p"))
+    return firsts.select("file", fields_from_parts(*[F.col(f"_p.{c}") for c in PART_COLUMNS]).alias("fields"))
 
 
 def file_arity(parsed: DataFrame) -> DataFrame:
     """H2: ``DF[file, expected]`` = field count of line 1 of each file."""
-    return first_records(parsed).select("file", F.size("fields").alias("expected"))
+    firsts = parsed.groupBy("file").agg(F.min_by(n_fields(), "line_no").alias("expected"))
+    return firsts
 
 
 def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
@@ -103,13 +113,13 @@ def arity_error(expected: Column | int) -> Column:
     exp = F.lit(expected) if isinstance(expected, int) else expected
     return F.raise_error(F.concat(
         F.lit("wrong field count in "), F.col("file"), F.lit(" at line "), F.col("line_no").cast("string"),
-        F.lit(": expected "), exp.cast("string"), F.lit(", found "), F.size("fields").cast("string"),
+        F.lit(": expected "), exp.cast("string"), F.lit(", found "), n_fields().cast("string"),
     ))
 
 
-def checked_fields(expected: int) -> Column:
-    """G1 (fail): the fields, or a task failure naming file and line."""
-    return F.when(F.size("fields") == F.lit(expected), F.col("fields")).otherwise(arity_error(expected))
+def shape_ok(expected: int) -> Column:
+    """G1 (fail): true, or a task failure naming file and line."""
+    return F.when(n_fields() == F.lit(expected), F.lit(True)).otherwise(arity_error(expected))
 
 
 def split_by_arity(parsed: DataFrame, expected: int | DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -121,29 +131,34 @@ def split_by_arity(parsed: DataFrame, expected: int | DataFrame) -> tuple[DataFr
         tagged = parsed.withColumn("expected", F.lit(expected))
     else:
         tagged = parsed.join(_maybe_broadcast(expected, expected.count()), "file")
-    ok = F.size("fields") == F.col("expected")
+    ok = n_fields() == F.col("expected")
     good = tagged.filter(ok).drop("expected")
     bad = tagged.filter(~ok).select(
         "file", "line_no", F.col("expected").cast("int").alias("expected"),
-        F.size("fields").alias("found"), F.col("value"),
+        n_fields().alias("found"), F.col("value"),
     )
     return good, bad
 
 
 # ---------------------------------------------------------- tables (A5-A7) ---
 
-def _cells(n: int, fields: Column) -> list[Column]:
-    return [F.nullif(fields[i], F.lit("")) for i in range(n)]  # B4: empty -> NULL
+def _cells(n: int, strict: bool) -> list[Column]:
+    """Field ``i`` with empty -> NULL; strict: guarded by the shape check
+    (shared by all cells through common-subexpression elimination)."""
+    cells = [F.nullif(field(i), F.lit("")) for i in range(n)]
+    if strict:
+        ok = shape_ok(n)
+        cells = [F.when(ok, c) for c in cells]
+    return cells
 
 
 def to_table_positional(parsed: DataFrame, expected: int, base: int = 1, pad: bool = False,
                         strict: bool = True, keep: list[str] | None = None) -> DataFrame:
     """A5: all-string table ``column1..columnN``; strict: any other field count
     fails the job with the file and line in the message (G1)."""
-    fields = checked_fields(expected) if strict else F.col("fields")
     names = positional_names(expected, base=base, pad=pad)
-    cols = [c.alias(nm) for c, nm in zip(_cells(expected, F.col("_f")), names)]
-    return parsed.select(*(keep or []), fields.alias("_f")).select(*(keep or []), *cols)
+    cols = [c.alias(nm) for c, nm in zip(_cells(expected, strict), names)]
+    return parsed.select(*(keep or []), *cols)
 
 
 def to_table_header(parsed: DataFrame, header: list[str], strict: bool = True,
@@ -151,9 +166,8 @@ def to_table_header(parsed: DataFrame, header: list[str], strict: bool = True,
     """Names from line 1 (fixed up), line 1 dropped, all strings."""
     names = fix_header_names(header)
     body = parsed.filter(F.col("line_no") > 1)
-    fields = checked_fields(len(names)) if strict else F.col("fields")
-    cols = [c.alias(nm) for c, nm in zip(_cells(len(names), F.col("_f")), names)]
-    return body.select(*(keep or []), fields.alias("_f")).select(*(keep or []), *cols)
+    cols = [c.alias(nm) for c, nm in zip(_cells(len(names), strict), names)]
+    return body.select(*(keep or []), *cols)
 
 
 # Type ladder for A7, most specific first. TIME is detected but kept as text.

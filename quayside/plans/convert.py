@@ -5,7 +5,8 @@ A conversion reads the source text three times, each a parallel scan:
 1. one aggregate per (file, split): line count, first id, first line, blank
    records, widest record and bytes - this gives line numbers, the field count
    or header of line 1 (H2/A6) and the CSV statistics (D1) in one pass;
-2. the first 20 data records in scan order (C6), a partial top-k per task;
+2. the first 20 data records in scan order (C6): an incremental limit that
+   reads the start of the first split only;
 3. parse + strict shape check + write (F1/F2), rows counted by ``observe``
    (D3) while writing.
 
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.functions.quoting import is_blank_record, split_quoted
+from quayside.functions.quoting import PART_COLUMNS, fields_from_parts, is_blank_parsed, n_fields, parts_cols
 from quayside.functions.scalars import compression_ratio, size_label
 from quayside.operators import audit as A
 from quayside.operators import tables as TB
@@ -41,19 +42,19 @@ class Profiled:
 
 def profile_source(spark: SparkSession, paths: list[str], feed: Feed) -> Profiled:
     """Pass 1 (see module doc): numbered, parsed lines plus per-file facts."""
-    raw = (
+    raw = TB.parse(
         read_lines(spark, paths)
         .withColumn("_rid", F.monotonically_increasing_id())
-        .withColumn("_fkey", F.xxhash64("file"))
-        .withColumn("fields", split_quoted(F.col("value"), feed.delimiter, feed.repair_dangling_quote))
+        .withColumn("_fkey", F.xxhash64("file")),
+        feed.delimiter, feed.repair_dangling_quote,
     )
-    nonblank = ~is_blank_record("fields")
+    nonblank = ~is_blank_parsed()
     blocks = raw.groupBy("_fkey", "file", "block").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_rid").alias("_rid0"),
-        F.min_by("fields", "_rid").alias("_first"),
+        F.min_by(F.struct(*parts_cols()), "_rid").alias("_first"),
         F.count_if(nonblank).alias("_nonblank"),
-        F.max(F.when(nonblank, F.size("fields"))).alias("_widest"),
+        F.max(F.when(nonblank, n_fields())).alias("_widest"),
         F.max("file_size").alias("_size"),
     )
     earlier = Window.partitionBy("_fkey").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,14 +66,15 @@ def profile_source(spark: SparkSession, paths: list[str], feed: Feed) -> Profile
     lines = raw.join(offsets, ["_fkey", "block"]).select(
         "file", "file_size", "mtime",
         (F.col("_rid") - F.col("_rid0") + F.col("_before") + F.lit(1)).alias("line_no"),
-        F.col("_rid").alias("scan_pos"), "value", "fields",
+        F.col("_rid").alias("scan_pos"), "value", *PART_COLUMNS, "fields",
     )
     per_file = blocks.groupBy("file").agg(
-        F.min_by("_first", "block").alias("first"),
+        F.min_by("_first", "block").alias("_p"),
         F.sum("_nonblank").alias("rows_nonblank"),
         F.coalesce(F.max("_widest"), F.lit(0)).alias("columns"),
         F.max("_size").alias("size"),
-    )
+    ).select("file", fields_from_parts(*[F.col(f"_p.{c}") for c in PART_COLUMNS]).alias("first"),
+             "rows_nonblank", "columns", "size")
     return Profiled(lines, per_file)
 
 
@@ -136,10 +138,9 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
                            f"parquet {check['p_rows']}x{check['p_columns']}")
     swap_in(spark, f"{staged}/feed={feed.key}", f"{out}/feed={feed.key}")  # swap after E1
 
-    parsed_for_preview = prof.lines.select("line_no", "scan_pos", "fields")
-    csv_prev = A.preview_array(A.csv_preview(parsed_for_preview, None, feed.has_header, order="scan_pos").withColumn("k", F.lit(1)), "k")
+    csv_prev = A.first_data_rows(prof.lines, feed.has_header)
     written = spark.read.parquet(f"{out}/feed={feed.key}")
-    pq_prev = A.preview_array(A.parquet_preview(written, data_cols).withColumn("k", F.lit(1)), "k")
+    pq_prev = A.first_output_rows(spark, f"{out}/feed={feed.key}", data_cols)
     schema = [(f.name, f.dataType.simpleString()) for f in written.schema.fields]
     elapsed = round(time.perf_counter() - started, 2)
     out_stats = A.parquet_stats(spark, f"{out}/feed={feed.key}").agg(
@@ -147,8 +148,8 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
     schema_col = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in schema])
     return (
         csv_total.crossJoin(out_stats.toDF("p_rows", "p_columns", "p_size"))
-        .crossJoin(csv_prev.select(F.col("preview").alias("c_prev")))
-        .crossJoin(pq_prev.select(F.col("preview").alias("p_prev")))
+        .withColumn("c_prev", A.preview_literal(csv_prev))
+        .withColumn("p_prev", A.preview_literal(pq_prev))
         .select(
             F.lit(feed.key).alias("feed"),
             F.lit(",".join(files)).alias("input"),
@@ -224,8 +225,11 @@ def check(spark: SparkSession, csv_paths: str | list[str], parquet_path: str, fe
     pq = A.parquet_stats(spark, parquet_path).agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"),
                                                   F.sum("size").alias("size")).withColumn("k", F.lit(1))
     integ = A.integrity(csv, pq, "k")
-    c_prev = A.csv_preview(prof.lines.select("line_no", "scan_pos", "fields"), None, feed.has_header, order="scan_pos")
-    p_prev = A.parquet_preview(pdf, data_cols)
+    schema = "row int, fields array<string>"
+    c_rows = A.first_data_rows(prof.lines, feed.has_header)
+    p_rows = A.first_output_rows(spark, parquet_path, data_cols)
+    c_prev = spark.createDataFrame([(i + 1, r) for i, r in enumerate(c_rows)], schema)  # <= 20 rows
+    p_prev = spark.createDataFrame([(i + 1, r) for i, r in enumerate(p_rows)], schema)
     diff = A.preview_diff(c_prev.withColumn("k", F.lit(1)), p_prev.withColumn("k", F.lit(1)), ["k"])
     ratio = csv.select(F.col("size").alias("c_size"), "k").join(pq.select(F.col("size").alias("p_size"), "k"), "k")
     return (

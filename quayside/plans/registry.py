@@ -238,10 +238,26 @@ manifest AS (
   FROM m)"""
 
 
+_MANIFESTS: dict[tuple[int, str], str] = {}
+
+
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     """A landing-zone listing (path, name, size, mtime) derived from orders:
     feed by key, stamp from the order date, and broken names (month 13,
-    day 31, a digit short, lower-case prefix, ``_bak``, upper-case ``.CSV``)."""
+    day 31, a digit short, lower-case prefix, ``_bak``, upper-case ``.CSV``).
+
+    Written once per session to the shared scratch folder and read back, as a
+    real catalogue listing is a table: the derived names are then plain
+    columns for the operators instead of an expression inlined everywhere."""
+    key = (id(spark), sf)
+    if key not in _MANIFESTS:
+        path = scratch_path(spark, "manifest")
+        _manifest_rows(spark, sf).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        _MANIFESTS[key] = path
+    return spark.read.parquet(_MANIFESTS[key])
+
+
+def _manifest_rows(spark: SparkSession, sf: str) -> DataFrame:
     o = t(spark, sf, "orders")
     ts = F.col("o_orderdate") + F.make_dt_interval(secs=((F.col("o_custkey") * 37) % 86400).cast("bigint"))
     prefixes = [f.prefix for f in FEEDS]
@@ -663,7 +679,7 @@ def q_canonical_csv(spark, sf):
     fields = F.array(s("l_orderkey"), s("l_linenumber"), F.concat("l_returnflag", F.lit('"')), F.col("l_linestatus"), F.lit(""))
     parsed = TB.parse(li.select(quote_all(fields, ";").alias("value")), ";", repair=False)
     path = scratch_path(spark, "canonical")
-    write_canonical_csv(parsed, path, ";")
+    write_canonical_csv(parsed, path, ";", n=5)
     return spark.read.text(path)
 
 
