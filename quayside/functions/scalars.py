@@ -109,6 +109,16 @@ def comparable(value: Column | str) -> Column:
     )
 
 
+def comparable_equal(a: Column | str, b: Column | str) -> Column:
+    """B10 as a predicate: ``comparable(a) == comparable(b)`` without turning
+    numbers back into text (numbers compare as doubles, other values as
+    trimmed text, NULL as '')."""
+    va, vb = _c(a).cast("string"), _c(b).cast("string")
+    na, nb = comparable_number(va), comparable_number(vb)
+    ta, tb = js_trim(F.coalesce(va, F.lit(""))), js_trim(F.coalesce(vb, F.lit("")))
+    return F.when(na.isNotNull() | nb.isNotNull(), na.eqNullSafe(nb)).otherwise(ta == tb)
+
+
 def severity(message: Column | str) -> Column:
     """Error > success > warning > info by case-insensitive substring."""
     low = F.lower(_c(message))

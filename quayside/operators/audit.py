@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.quoting import is_blank_parsed, n_fields
-from quayside.functions.scalars import comparable, comparable_number, size_label
+from quayside.functions.scalars import comparable_equal, comparable_number, size_label
 
 PREVIEW_ROWS = 20
 
@@ -171,7 +171,7 @@ def _row_differs(a: Column, b: Column) -> Column:
     """E2 rule: lengths differ, or any position has unequal comparable values."""
     a0 = F.coalesce(a, F.array().cast("array<string>"))
     b0 = F.coalesce(b, F.array().cast("array<string>"))
-    pair = F.zip_with(a0, b0, lambda x, y: comparable(x) != comparable(y))
+    pair = F.zip_with(a0, b0, lambda x, y: ~comparable_equal(x, y))
     return (F.size(a0) != F.size(b0)) | F.exists(pair, lambda d: d)
 
 
@@ -207,7 +207,7 @@ def table_diff(left: DataFrame, right: DataFrame, keys: list[str], columns: list
     for i in range(len(cols)):
         l, r = F.col(f"l_{i}"), F.col(f"r_{i}")
         lex = both & ~F.coalesce(l, F.lit("")).eqNullSafe(F.coalesce(r, F.lit("")))
-        val = both & (comparable(l) != comparable(r))
+        val = both & ~comparable_equal(l, r)
         aggs.append(F.count_if(lex).alias(f"lex_{i}"))
         aggs.append(F.count_if(val).alias(f"val_{i}"))
         row_diff = row_diff | val

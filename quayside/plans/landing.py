@@ -36,3 +36,27 @@ def land_ranges(spark: SparkSession, df: DataFrame, value: str, order: list[str]
     (df.repartitionByRange(files, F.col(order[0])).sortWithinPartitions(*order)
      .select(F.col(value).alias("value")).write.mode("overwrite").text(path))
     return path
+
+
+def land_named_files(spark: SparkSession, df: DataFrame, value: str, bucket: str, order: list[str], name: str,
+                     file_name, header: str | None = None) -> str:
+    """Like ``land_buckets``, then each bucket's file is renamed to
+    ``file_name(bucket_value)`` directly under the returned root (a landing
+    zone of feed files). Renames are metadata operations, one per bucket."""
+    staged = land_buckets(spark, df, value, bucket, order, name, header)
+    root = scratch_path(spark, f"{name}-zone")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_root = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = src_root.getFileSystem(conf)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(root))
+    for status in fs.listStatus(src_root):
+        folder = status.getPath()
+        if not status.isDirectory() or "=" not in folder.getName():
+            continue
+        key = folder.getName().split("=", 1)[1]
+        parts = [p.getPath() for p in fs.listStatus(folder) if p.getPath().getName().startswith("part-")]
+        for i, part in enumerate(sorted(parts, key=lambda p: p.getName())):
+            target = file_name(key) if i == 0 else file_name(key).replace(".csv", f"_{i}.csv")
+            fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{root}/{target}"))
+    return root

@@ -632,7 +632,8 @@ def _orders_fields():
 @query("integrity", """
 SELECT '30D_SALES' AS feed, count(*) AS csv_rows, CAST(6 AS INTEGER) AS csv_columns, count(*) AS parquet_rows,
        CAST(6 AS INTEGER) AS parquet_columns, true AS rows_match, true AS columns_match,
-       CAST(20 AS INTEGER) AS csv_preview_rows, CAST(20 AS INTEGER) AS parquet_preview_rows, CAST(0 AS BIGINT) AS preview_differ
+       CAST(20 AS INTEGER) AS csv_preview_rows, CAST(20 AS INTEGER) AS parquet_preview_rows, CAST(0 AS BIGINT) AS preview_differ,
+       count(*) AS rows_written
 FROM orders""")
 def q_integrity(spark, sf):
     from quayside.plans.convert import convert
@@ -649,7 +650,49 @@ def q_integrity(spark, sf):
         (F.col("csv.rows") == F.col("parquet.rows")).alias("rows_match"),
         (F.col("csv.columns") == F.col("parquet.columns")).alias("columns_match"),
         F.size("csv.preview").alias("csv_preview_rows"), F.size("parquet.preview").alias("parquet_preview_rows"),
-        differ.cast("bigint").alias("preview_differ"))
+        differ.cast("bigint").alias("preview_differ"), "rows_written")
+
+
+@query("check", """
+SELECT count(*) AS csv_rows, count(*) AS parquet_rows, CAST(6 AS BIGINT) AS csv_columns, CAST(6 AS BIGINT) AS parquet_columns,
+       true AS rows_match, true AS columns_match, CAST(20 AS BIGINT) AS rows_compared, CAST(0 AS BIGINT) AS rows_differ
+FROM orders""")
+def q_check(spark, sf):
+    from quayside.plans.convert import check, convert
+
+    o = t(spark, sf, "orders")
+    root = land_ranges(spark, o.withColumn("value", encode_csv(_orders_fields(), ";")), "value", ["o_orderkey"], "orders-landing")
+    out = scratch_path(spark, "published")
+    convert(spark, root, out, "30D_SALES").collect()
+    res = check(spark, root, f"{out}/feed=30D_SALES", "30D_SALES")
+    return res.drop("compression_ratio")
+
+
+_RUN_BUCKET_ROWS = 4000
+
+
+@query("run_feed", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS column1, CAST(o_custkey AS VARCHAR) AS column2,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus || '"x;' END AS column3,
+       printf('%.2f', o_totalprice) AS column4, strftime(o_orderdate, '%Y-%m-%d') AS column5, o_orderpriority AS column6
+FROM orders WHERE o_orderkey // {_RUN_BUCKET_ROWS} = (SELECT max(o_orderkey // {_RUN_BUCKET_ROWS}) FROM orders)""")
+def q_run_feed(spark, sf):
+    """I2 on a landing zone of real feed files: orders cut into one file per
+    key bucket, stamped by bucket; the newest stamp is picked and converted."""
+    from quayside.plans.convert import run_feed
+    from quayside.plans.landing import land_named_files
+
+    o = t(spark, sf, "orders").withColumn("bucket", (F.col("o_orderkey") / _RUN_BUCKET_ROWS).cast("bigint"))
+    o = o.withColumn("value", encode_csv(_orders_fields(), ";"))
+
+    def name(k: str) -> str:
+        minutes = int(k)
+        return f"30D_SALES_202401{1 + minutes // 1440:02d}{(minutes // 60) % 24:02d}{minutes % 60:02d}00.csv"
+
+    root = land_named_files(spark, o, "value", "bucket", ["o_orderkey"], "orders-feed", name)
+    out = scratch_path(spark, "published")
+    run_feed(spark, root, out, "30D_SALES").collect()
+    return spark.read.parquet(f"{out}/feed=30D_SALES")
 
 
 @query("converted_table", """
