@@ -26,23 +26,40 @@ def _writer(df: DataFrame, row_group_bytes: int | None):
     return w
 
 
+def write_staged(df: DataFrame, folder: str, row_group_bytes: int | None = None) -> None:
+    """F1 into one folder (no partition columns, so no per-task sort): Snappy
+    Parquet with the feed's row-group size. Used for staged outputs."""
+    _writer(df, row_group_bytes).mode("overwrite").parquet(folder)
+
+
 def write_feed(df: DataFrame, path: str, feed: str | None = None, stamp=None,
                partition_by: list[str] | None = None, row_group_bytes: int | None = None) -> None:
     """write ``df`` as Snappy Parquet under ``path``, partitioned by
     feed (and more keys if asked), replacing only the partitions written.
 
-    ``feed``/``stamp`` add constant columns when the frame does not carry them.
+    One feed given as ``feed``: the data is written to a staged folder under
+    the shared scratch root and moved into ``path/feed=<feed>`` afterwards
+    (the same stage-then-rename a dynamic overwrite does at commit, without
+    sorting every task's rows by a constant partition value). A frame that
+    carries a ``feed`` column (several feeds) uses dynamic partition overwrite.
     The published table is partitioned by ``feed`` alone, so an older stamp of
     the same feed is replaced too; an archive can use ``["feed", "stamp"]``.
     """
     out = df
-    if feed is not None and "feed" not in df.columns:
-        out = out.withColumn("feed", F.lit(feed))
     if stamp is not None and "stamp" not in df.columns:
         out = out.withColumn("stamp", F.lit(stamp))
     parts = partition_by or ["feed"]
     if row_group_bytes is None and feed is not None and feed in FEED_BY_KEY:
         row_group_bytes = FEED_BY_KEY[feed].row_group_bytes
+    if feed is not None and "feed" not in df.columns and parts == ["feed"]:
+        from quayside.session import scratch_path
+
+        staged = scratch_path(out.sparkSession, f"stage-{feed}")
+        write_staged(out, staged, row_group_bytes)
+        swap_in(out.sparkSession, staged, f"{path.rstrip('/')}/feed={feed}")
+        return
+    if feed is not None and "feed" not in df.columns:
+        out = out.withColumn("feed", F.lit(feed))
     (
         _writer(out, row_group_bytes)
         .mode("overwrite")

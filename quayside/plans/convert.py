@@ -27,7 +27,7 @@ from quayside.functions.scalars import compression_ratio, size_label
 from quayside.operators import audit as A
 from quayside.operators import tables as TB
 from quayside.operators.selection import candidates, latest_by_stamp, require_latest
-from quayside.operators.sinks import swap_in, write_feed
+from quayside.operators.sinks import swap_in, write_staged
 from quayside.session import scratch_path
 from quayside.sources.catalog import catalog
 from quayside.sources.feeds import FEED_BY_KEY, FEEDS, Feed, resolve_feed_name
@@ -123,8 +123,8 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
     table, data_cols, rejected = build_table(spark, prof, feed, strict)
     staged = stage or scratch_path(spark, f"stage-{feed.key}")
     obs = Observation(f"rows_{feed.key}")
-    write_feed(table.observe(obs, F.count(F.lit(1)).alias("rows")), staged, feed=feed.key,
-               row_group_bytes=feed.row_group_bytes)
+    write_staged(table.observe(obs, F.count(F.lit(1)).alias("rows")), f"{staged}/feed={feed.key}",
+                 row_group_bytes=feed.row_group_bytes)
     if rejected is not None and quarantine:
         rejected.withColumn("feed", F.lit(feed.key)).write.mode("overwrite").partitionBy("feed").parquet(quarantine)
 

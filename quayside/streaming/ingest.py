@@ -5,8 +5,8 @@ content column pruned: only paths, sizes and times are read), so each landed
 file is processed exactly once across restarts (the checkpoint records the
 consumed files). Every micro-batch then runs the batch operators over its new
 files: numbered lines, quote repair, strict shape with quarantine, and an
-idempotent write (dynamic overwrite of the ``feed``/``ingest_batch``
-partition, so a replayed batch replaces its own output).
+idempotent write (each micro-batch writes its own ``feed=/ingest_batch=``
+folder in overwrite mode, so a replayed batch replaces its own output).
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators import tables as TB
+from quayside.operators.sinks import write_staged
 from quayside.plans.convert import profile_source
 from quayside.sources.feeds import Feed
 
@@ -38,20 +39,17 @@ def ingest_batch(spark: SparkSession, files: list[str], feed: Feed, out: str, qu
     for r in firsts:
         key = (len(r["first"]), tuple(r["first"]) if feed.has_header else None)
         groups.setdefault(key, []).append(r["file"])
+    single = len(groups) == 1
     for (n, header), group_files in groups.items():
-        parsed = prof.lines.filter(F.col("file").isin(*group_files))
-        exp = prof.per_file.filter(F.col("file").isin(*group_files)).select("file", F.size("first").alias("expected"))
-        good, bad = TB.split_by_arity(parsed, exp)
+        parsed = prof.lines if single else prof.lines.filter(F.col("file").isin(*group_files))
+        good, bad = TB.split_by_arity(parsed, n)  # every file of the group has n fields on line 1
         if feed.has_header:
             table = TB.to_table_header(good, list(header), strict=False, keep=["file", "line_no"])
         else:
             table = TB.to_table_positional(good, n, base=1, strict=False, keep=["file", "line_no"])
-        (table.withColumn("feed", F.lit(feed.key)).withColumn("ingest_batch", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("compression", "snappy").partitionBy("feed", "ingest_batch").parquet(f"{out}/n={n}"))
-        (bad.withColumn("feed", F.lit(feed.key)).withColumn("ingest_batch", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("feed", "ingest_batch").parquet(quarantine))
+        # one folder per (group, feed, batch): a replayed batch overwrites its own folder only
+        write_staged(table, f"{out}/n={n}/feed={feed.key}/ingest_batch={batch_id}", feed.row_group_bytes)
+        write_staged(bad, f"{quarantine}/feed={feed.key}/ingest_batch={batch_id}/n={n}")
 
 
 def start_ingest(spark: SparkSession, landing: str, feed: Feed, out: str, quarantine: str, checkpoint: str,
