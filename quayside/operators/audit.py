@@ -83,16 +83,21 @@ def first_output_rows(spark: SparkSession, path: str, data_columns: list[str], n
     order). Reads files one at a time until ``n`` rows are found."""
     from quayside.sources.catalog import catalog
 
-    files = [r["path"] for r in catalog(spark, path).filter(F.col("name").endswith(".parquet"))
-             .select("path", "name").orderBy("name").collect()]  # one row per output file
+    listing = catalog(spark, path).filter(F.col("name").endswith(".parquet")).select("path", "name").orderBy("name")
     out: list[list[str]] = []
-    for f in files:
-        if len(out) >= n:
+    page, offset = 16, 0
+    while len(out) < n:
+        files = [r["path"] for r in listing.offset(offset).limit(page).collect()]  # a page of file names
+        if not files:
             break
-        df = spark.read.parquet(f)
-        got = df.select(F.col("_metadata.row_index").alias("_ri"), as_string_fields(df, data_columns).alias("fields")) \
-            .limit(n - len(out)).collect()
-        out.extend(list(r["fields"]) for r in sorted(got, key=lambda r: r["_ri"]))
+        offset += page
+        for f in files:
+            if len(out) >= n:
+                break
+            df = spark.read.parquet(f)
+            got = df.select(F.col("_metadata.row_index").alias("_ri"), as_string_fields(df, data_columns).alias("fields")) \
+                .limit(n - len(out)).collect()
+            out.extend(list(r["fields"]) for r in sorted(got, key=lambda r: r["_ri"]))
     return out
 
 

@@ -196,30 +196,43 @@ def _fits(v: Column, t: str) -> Column:
     raise ValueError(t)
 
 
+_CODE = {t: 1 << i for i, t in enumerate(TYPE_LADDER)}
+_STRING_BIT = 1 << len(TYPE_LADDER)
+
+
+def value_type_bit(v: Column) -> Column:
+    """The narrowest ladder type one value fits, as a bit (a short-circuit
+    CASE: most values are settled by their first check); NULL stays NULL."""
+    expr = None
+    for t in TYPE_LADDER:
+        expr = F.when(_fits(v, t), F.lit(_CODE[t])) if expr is None else expr.when(_fits(v, t), F.lit(_CODE[t]))
+    return F.when(v.isNotNull(), expr.otherwise(F.lit(_STRING_BIT)))
+
+
+def type_from_bits(mask: int | None) -> str:
+    """Column type from the OR of its value bits: the narrowest ladder type
+    every value fits (integers widen to double), else string."""
+    if not mask:
+        return "string"
+    for t, allowed in [("boolean", {"boolean"}), ("bigint", {"bigint"}), ("double", {"bigint", "double"}),
+                       ("time", {"time"}), ("date", {"date"}), ("timestamp_ntz", {"timestamp_ntz"})]:
+        bits = sum(_CODE[a] for a in allowed)
+        if mask & ~bits == 0:
+            return "string" if t == "time" else t
+    return "string"
+
+
 def infer_types(table: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
-    """One aggregate over the whole table (partial per task, one row out).
+    """One aggregate over the whole table (partial per task, one row out):
+    per column, the bitwise OR of the value type bits (a hash aggregate).
 
-    A column gets the first ladder type every non-NULL value fits; no value or
-    no fit -> string (a late ``abc`` widens to string instead of failing, G4).
-    ``007`` is string (leading zeros kept); TIME is kept as string."""
+    A column gets the narrowest ladder type all non-NULL values fit; no value
+    or no common type -> string (a late ``abc`` widens to string instead of
+    failing, G4). ``007`` is string (leading zeros kept); TIME stays string."""
     cols = columns or table.columns
-    aggs = []
-    for i, c in enumerate(cols):
-        v = F.col(c)
-        aggs.append(F.count(v).alias(f"n{i}"))
-        for j, t in enumerate(TYPE_LADDER):
-            aggs.append(F.bool_and(v.isNull() | _fits(v, t)).alias(f"t{i}_{j}"))
+    aggs = [F.bit_or(value_type_bit(F.col(c))).alias(f"m{i}") for i, c in enumerate(cols)]
     row = table.agg(*aggs).collect()[0]
-    out = {}
-    for i, c in enumerate(cols):
-        chosen = "string"
-        if row[f"n{i}"]:
-            for j, t in enumerate(TYPE_LADDER):
-                if row[f"t{i}_{j}"]:
-                    chosen = "string" if t == "time" else t
-                    break
-        out[c] = chosen
-    return out
+    return {c: type_from_bits(row[f"m{i}"]) for i, c in enumerate(cols)}
 
 
 def cast_column(v: Column, t: str) -> Column:

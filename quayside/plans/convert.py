@@ -38,6 +38,7 @@ from quayside.sources.lines import BLOCK_BROADCAST_MAX_ROWS, read_lines
 class Profiled:
     lines: DataFrame        # file, file_size, mtime, line_no, scan_pos, value, fields
     per_file: DataFrame     # file, first (fields of line 1), rows_nonblank, columns, size
+    unnumbered: DataFrame   # the parsed lines without line numbers (no join): for whole-table aggregates
 
 
 def profile_source(spark: SparkSession, paths: list[str], feed: Feed) -> Profiled:
@@ -75,7 +76,7 @@ def profile_source(spark: SparkSession, paths: list[str], feed: Feed) -> Profile
         F.max("_size").alias("size"),
     ).select("file", fields_from_parts(*[F.col(f"_p.{c}") for c in PART_COLUMNS]).alias("first"),
              "rows_nonblank", "columns", "size")
-    return Profiled(lines, per_file)
+    return Profiled(lines, per_file, raw)
 
 
 def _csv_side(prof: Profiled, feed: Feed) -> DataFrame:
@@ -88,10 +89,12 @@ def _csv_side(prof: Profiled, feed: Feed) -> DataFrame:
 
 def build_table(spark: SparkSession, prof: Profiled, feed: Feed, strict: bool = True) -> tuple[DataFrame, list[str], DataFrame | None]:
     """A5/A6/A7 + G1 for one feed: returns (table, data columns, rejected)."""
-    firsts = prof.per_file.select("file", "first").collect()  # one row per file
+    # distinct first-line shapes only (not one row per file) reach the driver
+    shape_cols = [F.size("first").alias("n")] + ([F.col("first").alias("h")] if feed.has_header else [])
+    firsts = prof.per_file.select(*shape_cols).distinct().limit(16).collect()
     if not firsts:
         raise ValueError("no data")
-    shapes = {(len(r["first"]), tuple(r["first"]) if feed.has_header else None) for r in firsts}
+    shapes = {(r["n"], tuple(r["h"]) if feed.has_header else None) for r in firsts}
     if len(shapes) > 1:
         raise ValueError(f"files of {feed.key} disagree on their first line: convert them as separate groups")
     n, header = shapes.pop()
@@ -105,7 +108,8 @@ def build_table(spark: SparkSession, prof: Profiled, feed: Feed, strict: bool =
         table = TB.to_table_positional(parsed, n, base=1, strict=strict)
     else:
         table = TB.to_table_positional(parsed, n, base=0, pad=True, strict=strict)
-        types = TB.infer_types(table)
+        # inference needs no line numbers: aggregate over the unnumbered scan
+        types = TB.infer_types(TB.to_table_positional(prof.unnumbered, n, base=0, pad=True, strict=False))
         table = TB.cast_table(table, types)
     return table, table.columns, rejected
 

@@ -34,7 +34,7 @@ def ingest_batch(spark: SparkSession, files: list[str], feed: Feed, out: str, qu
     if not files:
         return
     prof = profile_source(spark, files, feed)
-    firsts = prof.per_file.select("file", "first").collect()  # one row per new file
+    firsts = prof.per_file.select("file", "first").collect()  # one row per new file (<= maxFilesPerTrigger)
     groups: dict[tuple, list[str]] = {}
     for r in firsts:
         key = (len(r["first"]), tuple(r["first"]) if feed.has_header else None)
@@ -53,8 +53,10 @@ def ingest_batch(spark: SparkSession, files: list[str], feed: Feed, out: str, qu
 
 
 def start_ingest(spark: SparkSession, landing: str, feed: Feed, out: str, quarantine: str, checkpoint: str,
-                 available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start K1 over ``landing``; returns the StreamingQuery."""
+                 available_now: bool = True, max_files_per_trigger: int | None = 1000):
+    """Start K1 over ``landing``; returns the StreamingQuery. Each micro-batch
+    takes at most ``max_files_per_trigger`` new files (bounds the per-batch
+    file list and the number of first lines the driver sees)."""
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
