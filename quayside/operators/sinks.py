@@ -75,26 +75,43 @@ def replace_feed(spark: SparkSession, df: DataFrame, path: str, feed: str, **kw)
 
 
 def publish(spark: SparkSession, staged: str, target: str, feeds: list[str], mode: str = "per_feed") -> list[str]:
-    """copy the staged feeds to the serving table, replacing the same feeds.
-
-    ``per_feed``: one job per feed, in order; a failure leaves earlier feeds
-    published. ``all_or_nothing``: every staged feed must exist first (G3),
-    then all of them are written in one job, so they are swapped together at
-    the job commit. A missing staged feed or target root is an error.
+    """copy the converted feeds to the serving location, replacing the
+    same feeds only. Each feed folder is its own dataset (feeds have different
+    schemas), read and written on its own.
+
+    ``per_feed``: copy and swap feed by feed; a failure leaves earlier feeds
+    published. ``all_or_nothing``: every staged feed must exist (G3), all are
+    copied into staged folders first, and only then swapped in, so a failed
+    copy publishes nothing. Each run appends a row per feed to
+    ``target/_publish`` (ignored by readers of the feed folders).
     """
+    import datetime as _dt
+
     if not path_exists(spark, staged):
         raise FileNotFoundError(f"staged output not found: {staged}")
+    if not path_exists(spark, target):
+        raise FileNotFoundError(f"publish target not reachable: {target}")
     missing = [f for f in feeds if not path_exists(spark, f"{staged}/feed={f}")]
     if missing:
         raise FileNotFoundError(f"staged output missing for: {', '.join(missing)}")
-    data = spark.read.parquet(staged)
-    if mode == "all_or_nothing":
-        write_feed(data.filter(F.col("feed").isin(*feeds)), target)
-    elif mode == "per_feed":
+    if mode not in ("per_feed", "all_or_nothing"):
+        raise ValueError(f"unknown publish mode: {mode}")
+    from quayside.session import scratch_path
+
+    rg = {f: FEED_BY_KEY[f].row_group_bytes if f in FEED_BY_KEY else None for f in feeds}
+    if mode == "per_feed":
         for f in feeds:
-            write_feed(data.filter(F.col("feed") == F.lit(f)), target, row_group_bytes=FEED_BY_KEY.get(f) and FEED_BY_KEY[f].row_group_bytes)
+            write_feed(spark.read.parquet(f"{staged}/feed={f}"), target, feed=f, row_group_bytes=rg[f])
     else:
-        raise ValueError(f"unknown publish mode: {mode}")
+        copies = {}
+        for f in feeds:
+            copies[f] = scratch_path(spark, f"publish-{f}")
+            write_staged(spark.read.parquet(f"{staged}/feed={f}"), copies[f], rg[f])
+        for f in feeds:
+            swap_in(spark, copies[f], f"{target.rstrip('/')}/feed={f}")
+    stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    record = spark.createDataFrame([(f, mode, stamp) for f in feeds], "feed string, mode string, published_at timestamp_ntz")
+    record.write.mode("append").parquet(f"{target.rstrip('/')}/_publish")
     return feeds
 
 

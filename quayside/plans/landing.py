@@ -39,12 +39,12 @@ def land_ranges(spark: SparkSession, df: DataFrame, value: str, order: list[str]
 
 
 def land_named_files(spark: SparkSession, df: DataFrame, value: str, bucket: str, order: list[str], name: str,
-                     file_name, header: str | None = None) -> str:
+                     file_name, header: str | None = None, root: str | None = None) -> str:
     """Like ``land_buckets``, then each bucket's file is renamed to
     ``file_name(bucket_value)`` directly under the returned root (a landing
     zone of feed files). Renames are metadata operations, one per bucket."""
     staged = land_buckets(spark, df, value, bucket, order, name, header)
-    root = scratch_path(spark, f"{name}-zone")
+    root = root or scratch_path(spark, f"{name}-zone")
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     src_root = jvm.org.apache.hadoop.fs.Path(staged)

@@ -695,6 +695,65 @@ def q_run_feed(spark, sf):
     return spark.read.parquet(f"{out}/feed=30D_SALES")
 
 
+def _stamp14(k: str) -> str:
+    m = int(k)
+    return f"202401{1 + m // 1440:02d}{(m // 60) % 24:02d}{m % 60:02d}00"
+
+
+@query("run_all", """
+SELECT '30D_SALES' AS feed, count(*) AS csv_rows, count(*) AS parquet_rows, CAST(6 AS INTEGER) AS columns, count(*) AS published_rows
+FROM orders WHERE o_orderkey // 4000 = (SELECT max(o_orderkey // 4000) FROM orders)
+UNION ALL SELECT 'CLOSING_STOCK', count(*), count(*), CAST(7 AS INTEGER), count(*)
+FROM events WHERE event_id // 3000 = (SELECT max(event_id // 3000) FROM events)
+UNION ALL SELECT 'STOCK_INTRANSIT', count(*), count(*), CAST(5 AS INTEGER), count(*)
+FROM lineitem WHERE l_orderkey // 4000 = (SELECT max(l_orderkey // 4000) FROM lineitem)
+UNION ALL SELECT 'SCCT', count(*), count(*), CAST(5 AS INTEGER), count(*)
+FROM part WHERE p_partkey // 500 = (SELECT max(p_partkey // 500) FROM part)""")
+def q_run_all(spark, sf):
+    """I3 on a landing zone holding all four feeds, each cut into stamped
+    files by key bucket: one catalogue listing, one latest-per-feed aggregate,
+    four conversions (positional, inferred, positional, header), then one
+    all-or-nothing publish."""
+    import datetime as dt
+
+    from quayside.functions.quoting import encode_columns
+    from quayside.plans.convert import run_all
+    from quayside.plans.landing import land_named_files
+
+    root = scratch_path(spark, "zone")
+    bucket = lambda c, n: (F.col(c) / n).cast("bigint")
+    o = t(spark, sf, "orders").withColumn("bucket", bucket("o_orderkey", 4000))
+    land_named_files(spark, o.withColumn("value", encode_csv(_orders_fields(), ";")), "value", "bucket", ["o_orderkey"],
+                     "z-orders", lambda k: f"30D_SALES_{_stamp14(k)}.csv", root=root)
+    e = t(spark, sf, "events").withColumn("bucket", bucket("event_id", 3000))
+    ev = encode_columns([s("event_id"), ts_text("ts"), s("user_id"), F.col("event_type"), money("value"),
+                         F.lpad(s("user_id"), 5, "0"), ts_text("ts", "yyyy-MM-dd")], ",")
+    land_named_files(spark, e.withColumn("value", ev), "value", "bucket", ["event_id"],
+                     "z-events", lambda k: f"CLOSING_STOCK_{_stamp14(k)}.csv", root=root)
+    li = t(spark, sf, "lineitem").withColumn("bucket", bucket("l_orderkey", 4000))
+    lv = encode_columns([s("l_orderkey"), s("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus"),
+                         ts_text("l_shipdate", "yyyy-MM-dd")], ";")
+    land_named_files(spark, li.withColumn("value", lv), "value", "bucket", ["l_orderkey", "l_linenumber"],
+                     "z-lineitem", lambda k: f"STOCK_INTRANSIT_{_stamp14(k)}.csv", root=root)
+    p = t(spark, sf, "part").withColumn("bucket", bucket("p_partkey", 500))
+    pv = encode_columns([s("p_partkey"), F.col("p_name"), s("p_size"), F.col("p_brand"), F.col("p_type")], ",")
+    day = lambda k: (dt.date(2024, 1, 1) + dt.timedelta(days=int(k))).strftime("%Y%m%d")
+    land_named_files(spark, p.withColumn("value", pv), "value", "bucket", ["p_partkey"],
+                     "z-part", lambda k: f"SCCT_RAWDATA_LD_WMP_{day(k)}.csv", header="key,name,size,brand,type", root=root)
+    from quayside.sources.catalog import ensure_dir
+
+    out, target = scratch_path(spark, "published"), ensure_dir(spark, scratch_path(spark, "serving"))
+    audits = run_all(spark, root, out, target).select(
+        "feed", F.col("csv.rows").alias("csv_rows"), F.col("parquet.rows").alias("parquet_rows"),
+        F.col("parquet.columns").alias("columns"))
+    counts = None
+    for f in FEEDS:  # feed folders have different schemas: each is read as its own dataset
+        c = spark.read.parquet(f"{target}/feed={f.key}").agg(F.count(F.lit(1)).alias("published_rows")) \
+            .withColumn("feed", F.lit(f.key))
+        counts = c if counts is None else counts.unionByName(c)
+    return audits.join(counts, "feed", "left_outer")
+
+
 @query("converted_table", """
 SELECT CAST(o_orderkey AS VARCHAR) AS column1, CAST(o_custkey AS VARCHAR) AS column2,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus || '"x;' END AS column3,

@@ -25,6 +25,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def ensure_dir(spark: SparkSession, path: str) -> str:
+    """Create a folder (and parents) if it does not exist; returns the path."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+    return path
+
+
 def catalog(spark: SparkSession, root: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
     """A1: ``DF[path, name, size, mtime]`` of every file under ``root``.
 
