@@ -43,49 +43,53 @@ def split_pattern(delim: str, repair: bool) -> str:
     return f'{d}(?:"({body}){close}|([^{d}]*))'
 
 
-def quote_parts(line: Column | str, delim: str, repair: bool = False) -> tuple[Column, Column, Column]:
-    """The three per-field group arrays of one line: quoted body, closing
-    token, unquoted text. They have the same length, the field count."""
+def field_tokens(line: Column | str, delim: str, repair: bool = False) -> Column:
+    """One regex pass: every field as its raw token (delimiter + field text as
+    written). The array length is the field count."""
     col = F.col(line) if isinstance(line, str) else line
     prefixed = F.concat(F.lit(delim), col)
-    pattern = F.lit(split_pattern(delim, repair))
-    return tuple(F.regexp_extract_all(prefixed, pattern, g) for g in (1, 2, 3))
+    return F.regexp_extract_all(prefixed, F.lit(split_pattern(delim, repair)), 0)
 
 
-def field_from_parts(body: Column, close: Column, plain: Column, i) -> Column:
-    """Field ``i`` (0-based) from the group arrays by plain element access:
-    no lambda, so it stays inside whole-stage codegen. NULL when out of range."""
-    return F.concat(
-        F.replace(F.get(body, i), F.lit('""'), F.lit('"')),
-        F.when(F.get(close, i) == F.lit('""'), F.lit('"')).otherwise(F.lit("")),
-        F.get(plain, i),
-    )
+def decode_token(token: Column) -> Column:
+    """The value of one field token, with plain string functions (no regex).
+
+    A quoted body never ends in a lone quote (a lone quote must be followed by
+    a non-quote character), so the trailing run of ``k`` quotes after the
+    opening quote is body pairs plus the closing token: odd ``k`` ends with a
+    closing quote (dropped); even ``k`` is either unclosed (base) or pairs and
+    a ``""`` close (repair), and both read as the run unescaped. Decoding is
+    therefore the same in both dialects; only the token boundaries differ."""
+    inner = F.substring(token, 3, 1 << 30)  # after the delimiter and the opening quote
+    n = F.length(inner)
+    k = n - F.length(F.rtrim(inner, F.lit('"')))
+    unescape = lambda c: F.replace(c, F.lit('""'), F.lit('"'))
+    quoted = F.when(k % 2 == 1, unescape(F.left(inner, n - 1))).otherwise(unescape(inner))
+    return F.when(F.substring(token, 2, 1) == F.lit('"'), quoted).otherwise(F.substring(token, 2, 1 << 30))
+
 
+def field_from_tokens(tokens: Column, i: int) -> Column:
+    """Field ``i`` (0-based) by element access: no lambda, stays in codegen;
+    NULL when out of range."""
+    return decode_token(F.get(tokens, i))
 
-def fields_from_parts(body: Column, close: Column, plain: Column) -> Column:
+
+def fields_from_tokens(tokens: Column) -> Column:
     """The whole ``ARRAY<STRING>`` (a higher-order function: use it on small
     row sets such as first lines and previews, not on whole tables)."""
-    return F.transform(
-        body,
-        lambda b, i: F.concat(
-            F.replace(b, F.lit('""'), F.lit('"')),
-            F.when(close[i] == F.lit('""'), F.lit('"')).otherwise(F.lit("")),
-            plain[i],
-        ),
-    )
+    return F.transform(tokens, decode_token)
 
 
 def split_quoted(line: Column | str, delim: str, repair: bool = False) -> Column:
     """B1/B2: split one raw line into ``ARRAY<STRING>`` (never NULL elements)."""
-    return fields_from_parts(*quote_parts(line, delim, repair))
+    return fields_from_tokens(field_tokens(line, delim, repair))
 
 
 def split_fields(line: Column | str, delim: str, repair: bool, n: int) -> tuple[list[Column], Column]:
     """B1/B2 when the field count ``n`` is known: ``([field_0..field_n-1], count)``
-    as codegen-friendly columns (the groups are shared by common-subexpression
-    elimination)."""
-    b, c, p = quote_parts(line, delim, repair)
-    return [field_from_parts(b, c, p, i) for i in range(n)], F.size(p)
+    as codegen-friendly columns over one shared regex pass."""
+    tokens = field_tokens(line, delim, repair)
+    return [field_from_tokens(tokens, i) for i in range(n)], F.size(tokens)
 
 
 def _needs_quote(f: Column, delim: str) -> Column:
@@ -134,24 +138,27 @@ def is_blank_record(fields: Column | str) -> Column:
     return (F.size(arr) == 1) & (F.get(arr, 0) == F.lit(""))
 
 
-# Column names under which ``parse`` keeps the group arrays of a line.
-PART_COLUMNS = ("_qb", "_qc", "_qp")
-
-
-def parts_cols() -> tuple[Column, Column, Column]:
-    return tuple(F.col(c) for c in PART_COLUMNS)
+# Column name under which ``parse`` keeps the field tokens of a line.
+TOKENS = "_qt"
 
 
 def n_fields() -> Column:
-    """Field count of a parsed line (from its group arrays)."""
-    return F.size(F.col(PART_COLUMNS[2]))
+    """Field count of a parsed line (from its tokens)."""
+    return F.size(F.col(TOKENS))
 
 
 def field(i: int) -> Column:
-    """Field ``i`` of a parsed line (from its group arrays)."""
-    return field_from_parts(*parts_cols(), i)
+    """Field ``i`` of a parsed line (from its tokens)."""
+    return field_from_tokens(F.col(TOKENS), i)
+
+
+def fields_of_parsed() -> Column:
+    """The fields array of a parsed line (a lambda: small row sets only)."""
+    return fields_from_tokens(F.col(TOKENS))
 
 
 def is_blank_parsed() -> Column:
-    """C7 on a parsed line: one field, and it is empty."""
-    return (n_fields() == 1) & (field(0) == F.lit(""))
+    """C7 on a parsed line: one field and it is empty - a blank line, a lone
+    ``""`` or a lone ``"`` (the token is the delimiter plus '', '"' or '""')."""
+    first = F.get(F.col(TOKENS), 0)
+    return (n_fields() == 1) & F.substring(first, 2, 1 << 30).isin("", '"', '""')

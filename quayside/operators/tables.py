@@ -13,9 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.quoting import (
-    PART_COLUMNS, field, fields_from_parts, n_fields, parts_cols, quote_parts,
-)
+from quayside.functions.quoting import TOKENS, field, field_tokens, fields_from_tokens, fields_of_parsed, n_fields
 
 FILE_BROADCAST_MAX_ROWS = 1_000_000
 
@@ -23,13 +21,12 @@ FILE_BROADCAST_MAX_ROWS = 1_000_000
 # ---------------------------------------------------------------- parsing ---
 
 def parse(lines: DataFrame, delim: str, repair: bool = True, value_col: str = "value") -> DataFrame:
-    """B1/B2 over a line table: adds the group arrays of each line (the hot
-    path reads field counts and cells from them) and ``fields ARRAY<STRING>``
-    (computed only where a plan actually uses it; column pruning drops it
-    elsewhere)."""
-    b, c, p = quote_parts(F.col(value_col), delim, repair)
-    out = lines.withColumn(PART_COLUMNS[0], b).withColumn(PART_COLUMNS[1], c).withColumn(PART_COLUMNS[2], p)
-    return out.withColumn("fields", fields_from_parts(*parts_cols()))
+    """B1/B2 over a line table: adds the field tokens of each line (one regex
+    pass; the hot path reads field counts and cells from them) and ``fields
+    ARRAY<STRING>`` (computed only where a plan actually uses it; column
+    pruning drops it elsewhere)."""
+    out = lines.withColumn(TOKENS, field_tokens(F.col(value_col), delim, repair))
+    return out.withColumn("fields", fields_of_parsed())
 
 
 # ------------------------------------------------------------ names (H3) ---
@@ -63,8 +60,8 @@ def fix_header_names(raw: list[str]) -> list[str]:
 def first_records(parsed: DataFrame) -> DataFrame:
     """H2: ``DF[file, fields]`` of line 1 of every file (partial aggregate;
     the fields array is built for one line per file only)."""
-    firsts = parsed.groupBy("file").agg(F.min_by(F.struct(*parts_cols()), "line_no").alias("_p"))
-    return firsts.select("file", fields_from_parts(*[F.col(f"_p.{c}") for c in PART_COLUMNS]).alias("fields"))
+    firsts = parsed.groupBy("file").agg(F.min_by(F.col(TOKENS), "line_no").alias("_t"))
+    return firsts.select("file", fields_from_tokens(F.col("_t")).alias("fields"))
 
 
 def file_arity(parsed: DataFrame) -> DataFrame:
@@ -142,14 +139,15 @@ def split_by_arity(parsed: DataFrame, expected: int | DataFrame) -> tuple[DataFr
 
 # ---------------------------------------------------------- tables (A5-A7) ---
 
-def _cells(n: int, strict: bool) -> list[Column]:
-    """Field ``i`` with empty -> NULL; strict: guarded by the shape check
-    (shared by all cells through common-subexpression elimination)."""
-    cells = [F.nullif(field(i), F.lit("")) for i in range(n)]
-    if strict:
-        ok = shape_ok(n)
-        cells = [F.when(ok, c) for c in cells]
-    return cells
+def _cells(n: int) -> list[Column]:
+    """Field ``i`` with empty -> NULL."""
+    return [F.nullif(field(i), F.lit("")) for i in range(n)]
+
+
+def _checked(parsed: DataFrame, n: int, strict: bool) -> DataFrame:
+    """G1 (fail): one row predicate that is true or raises, naming file and
+    line. Kept apart from the cells so they stay plain expressions."""
+    return parsed.filter(shape_ok(n)) if strict else parsed
 
 
 def to_table_positional(parsed: DataFrame, expected: int, base: int = 1, pad: bool = False,
@@ -157,16 +155,16 @@ def to_table_positional(parsed: DataFrame, expected: int, base: int = 1, pad: bo
     """A5: all-string table ``column1..columnN``; strict: any other field count
     fails the job with the file and line in the message (G1)."""
     names = positional_names(expected, base=base, pad=pad)
-    cols = [c.alias(nm) for c, nm in zip(_cells(expected, strict), names)]
-    return parsed.select(*(keep or []), *cols)
+    cols = [c.alias(nm) for c, nm in zip(_cells(expected), names)]
+    return _checked(parsed, expected, strict).select(*(keep or []), *cols)
 
 
 def to_table_header(parsed: DataFrame, header: list[str], strict: bool = True,
                     keep: list[str] | None = None) -> DataFrame:
     """Names from line 1 (fixed up), line 1 dropped, all strings."""
     names = fix_header_names(header)
-    body = parsed.filter(F.col("line_no") > 1)
-    cols = [c.alias(nm) for c, nm in zip(_cells(len(names), strict), names)]
+    body = _checked(parsed.filter(F.col("line_no") > 1), len(names), strict)
+    cols = [c.alias(nm) for c, nm in zip(_cells(len(names)), names)]
     return body.select(*(keep or []), *cols)
 
 

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.functions.quoting import PART_COLUMNS, fields_from_parts, is_blank_parsed, n_fields, parts_cols
+from quayside.functions.quoting import TOKENS, fields_from_tokens, is_blank_parsed, n_fields
 from quayside.functions.scalars import compression_ratio, size_label
 from quayside.operators import audit as A
 from quayside.operators import tables as TB
@@ -53,7 +53,7 @@ def profile_source(spark: SparkSession, paths: list[str], feed: Feed) -> Profile
     blocks = raw.groupBy("_fkey", "file", "block").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_rid").alias("_rid0"),
-        F.min_by(F.struct(*parts_cols()), "_rid").alias("_first"),
+        F.min_by(F.col(TOKENS), "_rid").alias("_first"),
         F.count_if(nonblank).alias("_nonblank"),
         F.max(F.when(nonblank, n_fields())).alias("_widest"),
         F.max("file_size").alias("_size"),
@@ -67,14 +67,14 @@ def profile_source(spark: SparkSession, paths: list[str], feed: Feed) -> Profile
     lines = raw.join(offsets, ["_fkey", "block"]).select(
         "file", "file_size", "mtime",
         (F.col("_rid") - F.col("_rid0") + F.col("_before") + F.lit(1)).alias("line_no"),
-        F.col("_rid").alias("scan_pos"), "value", *PART_COLUMNS, "fields",
+        F.col("_rid").alias("scan_pos"), "value", TOKENS, "fields",
     )
     per_file = blocks.groupBy("file").agg(
         F.min_by("_first", "block").alias("_p"),
         F.sum("_nonblank").alias("rows_nonblank"),
         F.coalesce(F.max("_widest"), F.lit(0)).alias("columns"),
         F.max("_size").alias("size"),
-    ).select("file", fields_from_parts(*[F.col(f"_p.{c}") for c in PART_COLUMNS]).alias("first"),
+    ).select("file", fields_from_tokens(F.col("_p")).alias("first"),
              "rows_nonblank", "columns", "size")
     return Profiled(lines, per_file, raw)
 
