@@ -3,6 +3,8 @@ log severity and display dates. All built-in Spark functions, no UDF."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,10 +42,47 @@ def stamp_pattern(prefix: str, digits: int) -> str:
 
 
 def file_stamp(name: Column | str, prefix: str, digits: int, fmt: str) -> Column:
-    """The stamp in a landed file name, or NULL if the name does not match
-    or the stamp is not a real date/time (month 13, 31 Feb, hour 24 ...)."""
+    """The stamp in a landed file name as a zone-less TIMESTAMP_NTZ, or
+    NULL if the name does not match or the stamp is not a real date/time
+    (month 13, 31 Feb, hour 24 ...). The stamp names a wall-clock time, so it
+    is never moved by the session time zone (a 02:30 in a DST gap stays 02:30)."""
     digits_text = F.regexp_extract(_c(name), stamp_pattern(prefix, digits), 1)
-    return F.when(digits_text != F.lit(""), F.try_to_timestamp(digits_text, F.lit(fmt)))
+    valid = (digits_text != F.lit("")) & F.try_to_timestamp(digits_text, F.lit(fmt)).isNotNull()
+    return F.when(valid, F.to_timestamp_ntz(digits_text, F.lit(fmt)))
+
+
+_TIME_TOKENS = re.compile(r"(yyyy|MM|dd|HH|mm|ss|SSSSSS|SSS)")
+
+
+def format_time(ts: Column | str, pattern: str) -> Column:
+    """``date_format`` without the session time zone for zone-less values.
+
+    TIMESTAMP_NTZ values print their own wall-clock time (``date_format``
+    would route them through the session zone and move times in a DST gap);
+    instants (TIMESTAMP) print in the session zone, as ``date_format`` does;
+    dates print at midnight. Tokens: yyyy MM dd HH mm ss SSS SSSSSS."""
+    text = _c(ts).cast("timestamp_ntz").cast("string")  # yyyy-MM-dd HH:mm:ss[.fraction]
+    frac = F.when(F.instr(text, ".") > 0, F.rpad(F.substring_index(text, ".", -1), 6, "0")).otherwise(F.lit("000000"))
+    spans = {"yyyy": (1, 4), "MM": (6, 2), "dd": (9, 2), "HH": (12, 2), "mm": (15, 2), "ss": (18, 2)}
+    parts = []
+    for piece in _TIME_TOKENS.split(pattern):
+        if not piece:
+            continue
+        if piece in spans:
+            parts.append(F.substring(text, *spans[piece]))
+        elif piece == "SSSSSS":
+            parts.append(frac)
+        elif piece == "SSS":
+            parts.append(F.substring(frac, 1, 3))
+        else:
+            parts.append(F.lit(piece))
+    return F.when(text.isNotNull(), F.concat(*parts))
+
+
+def ntz_micros(ts: Column | str) -> Column:
+    """Microseconds of a TIMESTAMP_NTZ wall-clock time read as UTC: an
+    ordering key that no session time zone can bend."""
+    return F.unix_micros(F.concat(_c(ts).cast("string"), F.lit("Z")).cast("timestamp"))
 
 
 def size_label(size_bytes: Column | str) -> Column:
@@ -142,9 +181,10 @@ def keyword_match(message: Column | str, keyword: str | None) -> Column:
 
 def display_stamp(ts: Column | str) -> Column:
     """Stamp as shown in the feed scripts."""
-    return F.date_format(_c(ts), DISPLAY_STAMP_FORMAT)
+    return format_time(ts, DISPLAY_STAMP_FORMAT)
 
 
 def display_mtime(ts: Column | str) -> Column:
-    """Modification time as shown in the scan list."""
-    return F.date_format(_c(ts), DISPLAY_MTIME_FORMAT)
+    """Modification time as shown in the scan list (an instant prints in
+    the session zone, a zone-less time as itself)."""
+    return format_time(ts, DISPLAY_MTIME_FORMAT)

@@ -12,10 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.scalars import display_mtime, display_stamp, file_stamp, size_mb_label
+from pyspark.sql import types as T
+
+from quayside.functions.scalars import display_mtime, display_stamp, file_stamp, ntz_micros, size_mb_label
 from quayside.sources.feeds import FEEDS, Feed, expected
 
 
+def time_micros(df: DataFrame, col: str) -> F.Column:
+    """Ordering key of a time column by its type: instants by their epoch
+    micros, zone-less times by their wall clock read as UTC (never bent by the
+    session zone), dates by their day."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        return ntz_micros(F.col(col))
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(F.col(col)).cast("bigint") * F.lit(86_400_000_000)
+    return F.unix_micros(F.col(col).cast("timestamp"))
+
+
 def stamp_files(catalog: DataFrame, profiles: list[Feed] | None = None) -> DataFrame:
     """Adds ``feed`` and ``stamp`` to every file; both NULL when the
     name is not ``prefix + stamp + .csv`` (any case) with a real stamp.
@@ -40,7 +54,7 @@ def candidates(catalog: DataFrame, profiles: list[Feed] | None = None) -> DataFr
 def latest_by_stamp(cands: DataFrame) -> DataFrame:
     """Newest stamp per feed; ties -> smallest path."""
     best = cands.groupBy("feed").agg(
-        F.min(F.struct((-F.unix_micros(F.col("stamp").cast("timestamp"))).alias("k"), "path", "name", "size", "mtime", "stamp")).alias("b")
+        F.min(F.struct((-time_micros(cands, "stamp")).alias("k"), "path", "name", "size", "mtime", "stamp")).alias("b")
     )
     return best.select("feed", "b.path", "b.name", "b.size", "b.mtime", "b.stamp")
 
@@ -69,7 +83,7 @@ def latest_by_mtime(catalog: DataFrame, profiles: list[Feed] | None = None, ext:
     """Newest output file per feed by modification time (ties: smallest path)."""
     tagged = catalog.withColumn("feed", output_feed("name", profiles, ext)).filter(F.col("feed").isNotNull())
     best = tagged.groupBy("feed").agg(
-        F.min(F.struct((-F.unix_micros(F.col("mtime").cast("timestamp"))).alias("k"), "path", "name", "size", "mtime")).alias("b")
+        F.min(F.struct((-time_micros(tagged, "mtime")).alias("k"), "path", "name", "size", "mtime")).alias("b")
     )
     return best.select("feed", "b.path", "b.name", "b.size", "b.mtime")
 
@@ -107,7 +121,7 @@ def day_scan(spark: SparkSession, catalog: DataFrame, days: DataFrame, day_col:
         .withColumn("day", F.try_to_date(day_text, "yyyyMMdd"))
         .filter(F.col("day").isNotNull())
         .groupBy("feed", "day")
-        .agg(F.min(F.struct((-F.unix_micros(F.col("mtime").cast("timestamp"))).alias("k"), "path", "name", "size", "mtime")).alias("b"))
+        .agg(F.min(F.struct((-time_micros(catalog, "mtime")).alias("k"), "path", "name", "size", "mtime")).alias("b"))
     )
     j = exp.join(found, ["feed", "day"], "left_outer")
     hit = F.col("b").isNotNull()

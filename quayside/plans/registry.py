@@ -56,7 +56,9 @@ def money(c: str) -> F.Column:
 
 
 def ts_text(c, fmt: str = "yyyy-MM-dd HH:mm:ss") -> F.Column:
-    return F.date_format(F.col(c) if isinstance(c, str) else c, fmt)
+    from quayside.functions.scalars import format_time
+
+    return format_time(F.col(c) if isinstance(c, str) else c, fmt)
 
 
 # ------------------------------------------------------------- B1 / B2 ---
@@ -278,8 +280,8 @@ def _manifest_rows(spark: SparkSession, sf: str) -> DataFrame:
     return m.select(
         F.concat(F.lit("/land/b"), s(F.col("o_orderkey") % 5), F.lit("/"), "name").alias("path"), "name",
         F.floor("o_totalprice").cast("bigint").alias("size"),
-        (F.col("ts") + F.make_dt_interval(mins=(F.col("o_orderkey") % 1000).cast("int"))).cast("timestamp").alias("mtime"),
-        "fi", F.col("ts").cast("timestamp").alias("ts"),
+        (F.col("ts") + F.make_dt_interval(mins=(F.col("o_orderkey") % 1000).cast("int"))).alias("mtime"),
+        "fi", "ts",
     )
 
 
@@ -951,7 +953,7 @@ def q_log_expiry(spark, sf):
 def _heartbeats(spark, sf) -> DataFrame:
     e = t(spark, sf, "events")
     return e.select(F.concat(F.lit("dev"), s("user_id")).alias("device_id"), F.upper("event_type").alias("status"),
-                    F.col("props").alias("current_job"), F.col("ts").cast("timestamp").alias("last_seen"))
+                    F.col("props").alias("current_job"), F.col("ts").alias("last_seen"))
 
 
 _LIVENESS_SQL = """
@@ -980,7 +982,7 @@ def _file_events(spark, sf) -> DataFrame:
         F.concat(F.lit("file"), s(F.col("user_id") % 30)).alias("file"),
         status.alias("status"), F.floor("value").cast("int").alias("progress"),
         F.when(status == "completed", F.concat(F.lit("/out/file"), s(F.col("user_id") % 30), F.lit(".parquet"))).alias("output"),
-        F.col("ts").cast("timestamp").alias("ts"), "event_id")
+        F.col("ts").alias("ts"), "event_id")
 
 
 _FILE_STATE_SQL = """

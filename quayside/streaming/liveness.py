@@ -25,7 +25,14 @@ HEARTBEAT_SCHEMA = T.StructType([
 
 
 def start_liveness(spark: SparkSession, landing: str, table: str, checkpoint: str, available_now: bool = True,
-                   schema: T.StructType = HEARTBEAT_SCHEMA):
+                   schema: T.StructType | None = None):
+    """Start K2. ``schema`` defaults to the schema of the files already landed
+    (a metadata read), else ``HEARTBEAT_SCHEMA``."""
+    if schema is None:
+        try:
+            schema = spark.read.parquet(landing).schema
+        except Exception:  # noqa: BLE001 - nothing landed yet
+            schema = HEARTBEAT_SCHEMA
     beats = spark.readStream.schema(schema).parquet(landing)
     latest = latest_heartbeat(beats)
 

@@ -59,3 +59,22 @@ def test_resolve_feed(spark):
         resolve_feed_name("")
     with pytest.raises(ValueError):
         resolve_feed_name("unknown")
+
+
+def test_times_ignore_the_session_zone(spark):
+    from quayside.functions.scalars import display_stamp, format_time
+    from quayside.operators.selection import candidates, latest_by_stamp
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        names = ["30D_SALES_19970406023028.csv", "30D_SALES_19970406031000.csv"]  # 02:30 is in a DST gap there
+        df = spark.createDataFrame([(f"/l/{n}", n, 1, None) for n in names], "path string, name string, size long, mtime timestamp")
+        c = candidates(df)
+        got = sorted(r[0] for r in c.select(display_stamp("stamp")).collect())
+        assert got == ["06/04/1997 02:30:28", "06/04/1997 03:10:00"]
+        assert latest_by_stamp(c).collect()[0]["name"] == "30D_SALES_19970406031000.csv"
+        ntz = spark.createDataFrame([("1997-04-06 02:30:28.5",)], ["s"]).select(F.col("s").cast("timestamp_ntz").alias("t"))
+        assert ntz.select(format_time("t", "yyyyMMddHHmmss.SSSSSS")).collect()[0][0] == "19970406023028.500000"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
