@@ -63,3 +63,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a Parquet table under the shared
+    checkpoint root and reading it back (one job; an eager ``checkpoint()``
+    of an unpersisted plan computes it twice). Used for small side tables."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

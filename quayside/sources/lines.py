@@ -11,8 +11,9 @@ Line numbers (1-based, per file) are computed without moving the lines:
 2. a tiny aggregate gives, per (file, block), the line count and the first id;
    a window over that table (one row per split, not per line) gives the number
    of lines in the earlier blocks of the same file;
-3. the block table is checkpointed to the shared folder, its size checked, and
-   joined back (broadcast when it is small, which it is: one row per split).
+3. the block table is written as a table in the shared checkpoint folder
+   (cutting lineage), its size checked, and joined back (broadcast when it is
+   small, which it is: one row per split).
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quayside.session import materialize
+
 # one row per 128 MB split: 2M rows cover ~250 TB of text; ~40 bytes per row.
 BLOCK_BROADCAST_MAX_ROWS = 2_000_000
 
@@ -56,10 +59,10 @@ def read_numbered_lines(spark: SparkSession, paths: str | list[str], recursive:
         F.min("_rid").alias("_rid0"),
     )
     earlier = Window.partitionBy("_fkey").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select(
+    offsets = materialize(per_block.select(
         "_fkey", "block", "_rid0",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-    ).checkpoint(eager=True)
+    ), "split-offsets")
     if offsets.count() <= BLOCK_BROADCAST_MAX_ROWS:
         offsets = F.broadcast(offsets)
     return raw.join(offsets, ["_fkey", "block"]).select(
