@@ -109,14 +109,6 @@ def preview_literal(rows: list[list[str]]) -> Column:
                      else F.array().cast("array<string>") for r in rows])
 
 
-def preview_array(rows: DataFrame, keys: str | list[str] = "file") -> DataFrame:
-    """The preview as ``ARRAY<ARRAY<STRING>>`` per key (bounded: n rows)."""
-    k = _keys(keys)
-    return rows.groupBy(*k).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("row", "fields"))), lambda s: s["fields"]).alias("preview")
-    )
-
-
 def as_string_fields(df: DataFrame, columns: list[str]) -> Column:
     """A typed row as the ``ARRAY<STRING>`` shown in the preview."""
     return F.array(*[F.col(c).cast("string") for c in columns])
@@ -135,12 +127,6 @@ def parquet_stats(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def dataset_stats(df: DataFrame, keys: str | list[str], data_columns: list[str]) -> DataFrame:
-    """D2 grouped by dataset keys (e.g. feed partitions) instead of files."""
-    k = _keys(keys)
-    return df.groupBy(*k).agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(data_columns)))
-
-
 def parquet_preview(df: DataFrame, data_columns: list[str], keys: list[str] | None = None,
                     n: int = PREVIEW_ROWS) -> DataFrame:
     """C6 on the Parquet side: first ``n`` rows in file order (part file name,

@@ -16,9 +16,6 @@ from quayside.functions.quoting import encode_csv
 from quayside.sources.catalog import path_exists
 from quayside.sources.feeds import FEED_BY_KEY
 
-ROW_GROUP_DEFAULT = None
-
-
 def _writer(df: DataFrame, row_group_bytes: int | None):
     w = df.write.option("compression", "snappy")
     if row_group_bytes:

@@ -71,10 +71,3 @@ def read_numbered_lines(spark: SparkSession, paths: str | list[str], recursive:
         "value",
     )
 
-
-def first_lines(lines: DataFrame) -> DataFrame:
-    """The first line of each file, found without numbering every line:
-    the smallest (block, line_no) per file (partial aggregate, no line moves)."""
-    return lines.groupBy("file").agg(
-        F.min(F.struct(F.col("block") if "block" in lines.columns else F.lit(0), F.col("line_no"), F.col("value"))).alias("_first")
-    ).select("file", F.col("_first.value").alias("value"))

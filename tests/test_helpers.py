@@ -76,3 +76,27 @@ def test_publish_all_or_nothing_and_log(spark, tmp):
     assert sorted(r["feed"] for r in log) == ["CLOSING_STOCK", "SCCT"]
     with pytest.raises(FileNotFoundError):
         publish(spark, staged, os.path.join(tmp, "nowhere"), ["SCCT"])
+
+
+def test_small_operator_helpers(spark, tmp):
+    from quayside.operators.audit import numeric_equal
+    from quayside.operators.selection import check_exists
+    from quayside.sources.feeds import resolve_feed_strict
+    from quayside.sources.lines import read_numbered_lines
+    from tests.conftest import write_bytes
+
+    df = spark.createDataFrame([("007", "7"), ("1e3", "1000"), ("a", "a"), ("7", "8")], "a string, b string")
+    assert [r[0] for r in df.select(numeric_equal(F.col("a"), F.col("b"))).collect()] == [True, True, True, False]
+    check_exists(spark, [tmp])
+    with pytest.raises(FileNotFoundError):
+        check_exists(spark, [os.path.join(tmp, "nope")])
+    names = spark.createDataFrame([("scct",), ("",), ("zzz",)], ["n"])
+    assert names.filter(F.col("n") == "scct").select(resolve_feed_strict("n")).collect()[0][0] == "SCCT"
+    with pytest.raises(Exception, match="missing feed type"):
+        names.filter(F.col("n") == "").select(resolve_feed_strict("n")).collect()
+    with pytest.raises(Exception, match="unsupported feed type"):
+        names.filter(F.col("n") == "zzz").select(resolve_feed_strict("n")).collect()
+    p = write_bytes(tmp, "a.csv", b"a;b\nc;d;e\n")
+    lines = TB.parse(read_numbered_lines(spark, p), ";")
+    assert [r["expected"] for r in TB.file_arity(lines).collect()] == [2]
+    assert TB.check_nonempty(lines, [r["file"] for r in lines.select("file").distinct().collect()])
