@@ -32,9 +32,9 @@ def retain_last(logs: DataFrame, keys: list[str], n: int = LOG_KEEP_LAST, ts: st
 
 def _with_asof(df: DataFrame, asof, ts: str) -> DataFrame:
     """Attach ``_asof``: a given instant, or the newest ``ts`` of ``df`` itself
-    (a one-row aggregate joined by broadcast: its size is one row)."""
+    (a scalar subquery: computed once, no join)."""
     if asof is None:
-        return df.crossJoin(F.broadcast(df.agg(F.max(ts).alias("_asof"))))
+        return df.withColumn("_asof", df.agg(F.max(ts)).scalar())
     return df.withColumn("_asof", asof if isinstance(asof, F.Column) else F.lit(asof))
 
 
@@ -44,7 +44,7 @@ def expire_keys(logs: DataFrame, keys: list[str], asof=None, ttl_seconds: int =
     (default: the newest entry of the whole log)."""
     last = logs.groupBy(*keys).agg(F.max(ts).alias("_last"))
     if asof is None:
-        last = last.crossJoin(F.broadcast(logs.agg(F.max(ts).alias("_asof"))))
+        last = last.withColumn("_asof", logs.agg(F.max(ts)).scalar())  # scalar subquery, no join
     else:
         last = last.withColumn("_asof", asof if isinstance(asof, F.Column) else F.lit(asof))
     alive = last.filter(F.col("_last") >= F.col("_asof") - F.make_dt_interval(secs=F.lit(ttl_seconds))).select(*keys)

@@ -136,7 +136,9 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
     csv_total = csv.agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"), F.sum("size").alias("size"))
     pq = A.parquet_stats(spark, f"{staged}/feed={feed.key}")
     pq_total = pq.agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"), F.sum("size").alias("size"))
-    check = csv_total.crossJoin(pq_total.toDF("p_rows", "p_columns", "p_size")).collect()[0]  # 1 x 1 rows
+    c_row, p_row = csv_total.collect()[0], pq_total.collect()[0]  # one row each
+    check = {"rows": c_row["rows"], "columns": c_row["columns"], "size": c_row["size"],
+             "p_rows": p_row["rows"], "p_columns": p_row["columns"], "p_size": p_row["size"]}
     if strict and (check["rows"] != check["p_rows"] or check["columns"] != check["p_columns"]):
         raise RuntimeError(f"integrity check failed for {feed.key}: csv {check['rows']}x{check['columns']}, "
                            f"parquet {check['p_rows']}x{check['p_columns']}")

@@ -205,10 +205,10 @@ FROM part GROUP BY 1""")
 def q_catalog(spark, sf):
     root = _land_part(spark, sf)
     deep = catalog(spark, root, recursive=True)
-    flat = catalog(spark, root, recursive=False).agg(F.count(F.lit(1)).alias("flat_files"))
+    flat = catalog(spark, root, recursive=False).agg(F.count(F.lit(1)))
     per = deep.groupBy(F.regexp_extract("path", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket")).agg(
         F.count(F.lit(1)).alias("files"), F.sum("size").cast("bigint").alias("bytes"))
-    return per.crossJoin(flat)
+    return per.withColumn("flat_files", flat.scalar())
 
 
 # ------------------------------------------------- B5, B6, C1-C5, D4, E4 ---

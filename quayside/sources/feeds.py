@@ -1,9 +1,9 @@
 """A8 feed dimension and B6 feed resolution.
 
 The four feed profiles are fixed configuration. They are exposed as a small
-literal DataFrame (a dimension, safe to broadcast: its size is the number of
-profiles) and as Python records for driver-side planning decisions such as the
-delimiter of a parse or the write options of a sink.
+literal DataFrame, as literal arrays expanded per row (no join), and as Python
+records for driver-side planning decisions such as the delimiter of a parse or
+the write options of a sink.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.scalars import format_time
+
 
 @dataclass(frozen=True)
 class Feed:
@@ -68,17 +70,17 @@ def feeds(spark: SparkSession, profiles: list[Feed] | None = None) -> DataFrame:
 def expected(spark: SparkSession, days: DataFrame, day_col: str = "day",
              profiles: list[Feed] | None = None) -> DataFrame:
     """The (feed, day) pairs expected for each day of ``days``, with the
-    name prefix a landed file of that day carries (``prefix + yyyyMMdd``)."""
-    dim = F.broadcast(feeds(spark, profiles).select("key", "prefix", "stamp_digits"))
-    return (
-        days.select(F.col(day_col).cast("date").alias("day")).distinct()
-        .crossJoin(dim)  # tiny constant dimension: #days x #profiles rows
-        .select(
-            F.col("key").alias("feed"),
-            "day",
-            F.concat(F.col("prefix"), F.date_format("day", "yyyyMMdd")).alias("day_prefix"),
-            (F.col("stamp_digits") == 8).alias("date_only"),
-        )
+    name prefix a landed file of that day carries (``prefix + yyyyMMdd``).
+    The fixed profiles are generated per day with ``explode`` (no join)."""
+    table = profiles or FEEDS
+    dim = F.array(*[F.struct(F.lit(f.key).alias("key"), F.lit(f.prefix).alias("prefix"),
+                             F.lit(f.stamp_digits == 8).alias("date_only")) for f in table])
+    per_day = days.select(F.col(day_col).cast("date").alias("day")).distinct()
+    return per_day.select("day", F.explode(dim).alias("f")).select(
+        F.col("f.key").alias("feed"),
+        "day",
+        F.concat(F.col("f.prefix"), format_time(F.col("day"), "yyyyMMdd")).alias("day_prefix"),
+        F.col("f.date_only").alias("date_only"),
     )
 
 
