@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.quoting import encode_csv, quote_all, split_quoted
+from quayside.functions.quoting import encode_columns, encode_csv, quote_all, split_fields
 from quayside.functions.scalars import (
     compression_ratio, display_mtime, display_stamp, file_stamp, keyword_match, severity, size_label,
 )
@@ -70,10 +70,9 @@ FROM part""")
 def q_split_base(spark, sf):
     p = t(spark, sf, "part")
     fields = F.array(s("p_partkey"), F.concat("p_name", F.lit('";'), "p_brand"), F.col("p_brand"), F.col("p_type"), s("p_size"))
-    parsed = p.select(split_quoted(quote_all(fields, ";"), ";", repair=False).alias("f"))
-    return parsed.select(
-        F.col("f")[0].alias("f_key"), F.col("f")[1].alias("f_name"), F.col("f")[2].alias("f_brand"),
-        F.col("f")[3].alias("f_type"), F.col("f")[4].alias("f_size"), F.size("f").cast("bigint").alias("n_fields"))
+    cells, n = split_fields(quote_all(fields, ";"), ";", False, 5)
+    names = ["f_key", "f_name", "f_brand", "f_type", "f_size"]
+    return p.select(*[c.alias(nm) for c, nm in zip(cells, names)], n.cast("bigint").alias("n_fields"))
 
 
 @query("split_repair", """
@@ -84,11 +83,10 @@ FROM part""")
 def q_split_repair(spark, sf):
     p = t(spark, sf, "part")
     line = F.concat(F.lit('"'), s("p_size"), F.lit('"";'), F.col("p_brand"), F.lit(';"'), F.col("p_type"), F.lit('"'))
-    r = split_quoted(line, ";", repair=True)
-    b = split_quoted(line, ";", repair=False)
-    return p.select("p_partkey", r.alias("r"), b.alias("b")).select(
-        "p_partkey", F.col("r")[0].alias("r_size"), F.col("r")[1].alias("r_brand"), F.col("r")[2].alias("r_type"),
-        F.size("r").cast("bigint").alias("r_n"), F.col("b")[0].alias("b_field"), F.size("b").cast("bigint").alias("b_n"))
+    (r_size, r_brand, r_type), r_n = split_fields(line, ";", True, 3)
+    (b_field,), b_n = split_fields(line, ";", False, 1)
+    return p.select("p_partkey", r_size.alias("r_size"), r_brand.alias("r_brand"), r_type.alias("r_type"),
+                    r_n.cast("bigint").alias("r_n"), b_field.alias("b_field"), b_n.cast("bigint").alias("b_n"))
 
 
 @query("split_inner_quotes", """
@@ -99,11 +97,9 @@ FROM pages""")
 def q_split_inner_quotes(spark, sf):
     pg = t(spark, sf, "pages")
     line = F.concat_ws(";", s("page_id"), F.translate("html", ";\n\r", ""), F.translate("url", ";", ""))
-    f = split_quoted(line, ";", repair=False)
-    return pg.select(f.alias("f")).select(
-        F.col("f")[0].alias("f_id"), F.col("f")[1].alias("f_html"), F.col("f")[2].alias("f_url"),
-        F.size("f").cast("bigint").alias("n_fields"),
-        (F.length(F.col("f")[1]) - F.length(F.replace(F.col("f")[1], F.lit('"'), F.lit("")))).cast("bigint").alias("quotes"))
+    (f_id, f_html, f_url), n = split_fields(line, ";", False, 3)
+    out = pg.select(f_id.alias("f_id"), f_html.alias("f_html"), f_url.alias("f_url"), n.cast("bigint").alias("n_fields"))
+    return out.withColumn("quotes", (F.length("f_html") - F.length(F.replace("f_html", F.lit('"'), F.lit("")))).cast("bigint"))
 
 
 @query("split_unclosed", """
@@ -113,11 +109,10 @@ FROM orders""")
 def q_split_unclosed(spark, sf):
     o = t(spark, sf, "orders")
     line = F.concat(s("o_orderkey"), F.lit(';"'), F.col("o_orderpriority"), F.lit(";"), F.col("o_orderstatus"))
-    b = split_quoted(line, ";", repair=False)
-    r = split_quoted(line, ";", repair=True)
-    return o.select(b.alias("b"), r.alias("r")).select(
-        F.col("b")[0].alias("f_key"), F.col("b")[1].alias("f_rest"),
-        F.size("b").cast("bigint").alias("n_base"), F.size("r").cast("bigint").alias("n_repair"))
+    (f_key, f_rest), n_base = split_fields(line, ";", False, 2)
+    _, n_repair = split_fields(line, ";", True, 0)
+    return o.select(f_key.alias("f_key"), f_rest.alias("f_rest"), n_base.cast("bigint").alias("n_base"),
+                    n_repair.cast("bigint").alias("n_repair"))
 
 
 # ------------------------------------------------------------------ B3 ---
@@ -138,10 +133,11 @@ SELECT l_orderkey, l_linenumber,
 FROM lineitem""")
 def q_encode_csv(spark, sf):
     li = t(spark, sf, "lineitem")
-    fields = F.array(s("l_orderkey"), s("l_linenumber"), F.concat("l_returnflag", F.lit('"'), "l_linestatus"),
-                     F.concat("l_linestatus", F.lit(";"), "l_returnflag"), F.lit(""), money("l_extendedprice"))
-    solo = F.array(F.when(F.col("l_linenumber") == 1, F.lit("")).otherwise(F.col("l_returnflag")))
-    return li.select("l_orderkey", "l_linenumber", encode_csv(fields, ";").alias("line"), encode_csv(solo, ";").alias("solo"))
+    fields = [s("l_orderkey"), s("l_linenumber"), F.concat("l_returnflag", F.lit('"'), "l_linestatus"),
+              F.concat("l_linestatus", F.lit(";"), "l_returnflag"), F.lit(""), money("l_extendedprice")]
+    solo = [F.when(F.col("l_linenumber") == 1, F.lit("")).otherwise(F.col("l_returnflag"))]
+    return li.select("l_orderkey", "l_linenumber", encode_columns(fields, ";").alias("line"),
+                     encode_columns(solo, ";").alias("solo"))
 
 
 # ------------------------------------------------------ A5 + B3 + B1 + B4 ---
