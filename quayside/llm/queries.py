@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quayside.llm.common import table
 from quayside.llm.line_dedup import dedup_lines
 from quayside.llm.mixing import fair_queue
+from quayside.llm.near_dup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +80,32 @@ FROM queued
 """)
 def op7_fair_mix(spark, sf_dir):
     return fair_queue(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_near_dup", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS sh
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(sh) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (min(x.n) + min(y.n) - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS seen FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.seen
+), comp AS (
+  SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT s.doc_id, s.n AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM sizes s JOIN comp c USING (doc_id)
+""")
+def op9_near_dup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
