@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import table
+from quayside.llm.langid import held_out_identify
 from quayside.llm.line_dedup import dedup_lines
 from quayside.llm.mixing import fair_queue
 from quayside.llm.near_dup import near_duplicates
@@ -109,3 +110,9 @@ FROM sizes s JOIN comp c USING (doc_id)
 """)
 def op9_near_dup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op8_language_id")
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return held_out_identify(docs).select("doc_id", "held_out", "lang_pred", "score")
