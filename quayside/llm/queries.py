@@ -16,6 +16,7 @@ from quayside.llm.langid import held_out_identify
 from quayside.llm.line_dedup import dedup_lines
 from quayside.llm.mixing import fair_queue
 from quayside.llm.near_dup import near_duplicates
+from quayside.llm.quality import assess
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,3 +117,9 @@ def op9_near_dup(spark, sf_dir):
 def op8_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return held_out_identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op3_quality")
+def op3_quality(spark, sf_dir):
+    out = assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score", "threshold")
