@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import table
-from quayside.llm.langid import held_out_identify
+from quayside.llm.katz import katz_scores
+from quayside.llm.langid import fold, held_out_identify
 from quayside.llm.line_dedup import dedup_lines
 from quayside.llm.mixing import fair_queue
 from quayside.llm.near_dup import near_duplicates
@@ -123,3 +124,9 @@ def op8_language_id(spark, sf_dir):
 def op3_quality(spark, sf_dir):
     out = assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score", "threshold")
+
+
+@query("op5_katz_lm")
+def op5_katz_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz_scores(docs, fold(docs, 10) == 0)
