@@ -18,6 +18,7 @@ from quayside.llm.line_dedup import dedup_lines
 from quayside.llm.mixing import fair_queue
 from quayside.llm.near_dup import near_duplicates
 from quayside.llm.quality import assess
+from quayside.llm.suffix_dedup import repeated_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,3 +131,9 @@ def op3_quality(spark, sf_dir):
 def op5_katz_lm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return katz_scores(docs, fold(docs, 10) == 0)
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark, sf_dir):
+    out = repeated_spans(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
