@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import table
+from quayside.llm.decontam import contained_items
 from quayside.llm.katz import katz_scores
 from quayside.llm.langid import fold, held_out_identify
 from quayside.llm.line_dedup import dedup_lines
@@ -137,3 +138,8 @@ def op5_katz_lm(spark, sf_dir):
 def op1_suffix_dedup(spark, sf_dir):
     out = repeated_spans(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark, sf_dir):
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
