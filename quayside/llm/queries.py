@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import table
 from quayside.llm.decontam import contained_items
+from quayside.llm.html_text import extract
 from quayside.llm.katz import katz_scores
 from quayside.llm.langid import fold, held_out_identify
 from quayside.llm.line_dedup import dedup_lines
@@ -143,3 +144,8 @@ def op1_suffix_dedup(spark, sf_dir):
 @query("op6_decontamination")
 def op6_decontamination(spark, sf_dir):
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_html_text")
+def op4_html_text(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
