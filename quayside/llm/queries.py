@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.llm.chat import format_chats
 from quayside.llm.common import table
 from quayside.llm.decontam import contained_items
 from quayside.llm.html_text import extract
@@ -149,3 +150,9 @@ def op6_decontamination(spark, sf_dir):
 @query("op4_html_text")
 def op4_html_text(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query("op10_chat_format")
+def op10_chat_format(spark, sf_dir):
+    return format_chats(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "turn", "role", F.get("roles", F.lit(0)).alias("role_found"), F.size("roles").cast("bigint").alias("n_turns"), "n_lines", "rendered")
