@@ -150,10 +150,11 @@ def mixture(like: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return best
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred and score."""
+def identify(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
+    """``docs`` with lang_pred and score, their names led by ``prefix``."""
     logs, langs = model.logs, model.langs
-    own = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    made = [f"{prefix}lang_pred", f"{prefix}score"]
+    own = [c for c in docs.columns if c not in made]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in chunks(batches):
@@ -172,10 +173,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                         k = int(pi[i].argmax())
                         pred[i], score[i] = langs[k], min(1.0, float(pi[i, k]))
             columns = [c for c, name in zip(rows.columns, rows.schema.names, strict=True) if name in own]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(pred, pa.string()), pa.array(score)], [*own, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(pred, pa.string()), pa.array(score)], [*own, *made])
 
     types = ", ".join(f"`{c}` {t}" for c, t in docs.select(*own).dtypes)
-    return docs.select(*own).mapInArrow(predict, f"{types}, lang_pred string, score double")
+    return docs.select(*own).mapInArrow(predict, f"{types}, `{made[0]}` string, `{made[1]}` double")
 
 
 def fold(docs: DataFrame, of: int) -> F.Column:

@@ -80,7 +80,7 @@ class SortedRuns:
 
 def _bounds(docs: DataFrame, batches: int) -> list[int]:
     """Ids that part the documents into ``batches`` ranges; where they lie changes no result."""
-    cuts = docs.select(F.percentile_approx("_did", [i / batches for i in range(1, batches)], 1000)).head()[0]
+    cuts = docs.select(F.percentile_approx("__did", [i / batches for i in range(1, batches)], 1000)).head()[0]
     return sorted(set(cuts or []))
 
 
@@ -94,44 +94,44 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT,
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "line-dedup")
     own = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     docs = docs.select(*own, "text").withColumns({
-        "_did": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)),
-        "_row": F.xxhash64(F.coalesce("text", F.lit("")))})
+        "__did": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)),
+        "__row": F.xxhash64(F.coalesce("text", F.lit("")))})
     bounds = _bounds(docs, batches)
     batch = F.lit(0)
     for b in bounds:
-        batch = batch + (F.col("_did") > b).cast("int")
+        batch = batch + (F.col("__did") > b).cast("int")
 
-    lines = (docs.select("_did", "_row", batch.alias("batch"),
+    lines = (docs.select("__did", "__row", batch.alias("batch"),
                          F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("idx", "line"))
-             .select("_did", "_row", "batch", "idx", line_key(F.col("line")).alias("key"))
+             .select("__did", "__row", "batch", "idx", line_key(F.col("line")).alias("key"))
              .where(F.length("key") >= min_chars)
-             .select("_did", "_row", "idx", F.xxhash64("key").alias("k1"),
+             .select("__did", "__row", "idx", F.xxhash64("key").alias("k1"),
                      F.xxhash64(F.lit("second"), "key").alias("k2"), "batch"))
     lines = scratch.save(lines, "batch")
 
     runs, drops = SortedRuns(spark, scratch, fanout), None
     for b in range(len(bounds) + 1):
         mine = lines.where(F.col("batch") == b)
-        keys = mine.groupBy("k1", "k2").agg(F.min("_did").alias("first"), F.max("_did").alias("last"))
+        keys = mine.groupBy("k1", "k2").agg(F.min("__did").alias("first"), F.max("__did").alias("last"))
         probed = scratch.save(runs.probe(keys))
         late = probed.where("owner < last").select("k1", "k2", "owner").hint("merge")
-        part = mine.join(late, ["k1", "k2"]).where("_did > owner").select("_did", "_row", "idx")
+        part = mine.join(late, ["k1", "k2"]).where("__did > owner").select("__did", "__row", "idx")
         drops = part if drops is None else drops.unionAll(part)
         runs.add(probed.where("fresh"))
-    drops = drops.distinct().groupBy("_did", "_row").agg(F.collect_list("idx").alias("_drop"))
+    drops = drops.distinct().groupBy("__did", "__row").agg(F.collect_list("idx").alias("__drop"))
 
-    out = docs.join(drops, ["_did", "_row"], "left").withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n"))
-    n = F.size("_lines")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), "_drop"), lambda i: F.get("_lines", i))
-    return out.select(*own, F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+    out = docs.join(drops, ["__did", "__row"], "left").withColumn("__lines", F.split(F.coalesce("text", F.lit("")), "\n"))
+    n = F.size("__lines")
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), "__drop"), lambda i: F.get("__lines", i))
+    return out.select(*own, F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
                       n.cast("bigint").alias("n_lines"),
-                      F.coalesce(F.size("_drop"), F.lit(0)).cast("bigint").alias("n_dropped"))
+                      F.coalesce(F.size("__drop"), F.lit(0)).cast("bigint").alias("n_dropped"))
 
 
 def dedup_lines_stage(docs: DataFrame) -> DataFrame:
     """The columns of documents, ``text`` and ``n_chars`` as they are after dropping lines."""
-    columns = docs.columns
-    out = dedup_lines(docs)
+    columns, clash = docs.columns, {c: f"__{c}" for c in ("n_lines", "n_dropped") if c in docs.columns}
+    out = dedup_lines(docs.withColumnsRenamed(clash)).drop("n_lines", "n_dropped").withColumnsRenamed({v: k for k, v in clash.items()})
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast("bigint"))
     return out.select(*columns)

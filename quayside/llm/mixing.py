@@ -33,15 +33,15 @@ BUCKET_DIGITS = 3
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS) -> DataFrame:
-    """(skey, source_size, weight, target) from (skey, size): shares by weight of 150 % of all
+    """(__skey, source_size, weight, target) from (__skey, size): shares by weight of 150 % of all
     sizes, none above twice its source's size, the excess reshared by weight.
 
     Sources in order of the level at which they are full: the water level is found at the first
     that is not full when those before it are. Whole numbers until one last division.
     """
-    per = sizes.groupBy("skey").agg(F.sum("size").alias("source_size"))
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(Window.orderBy("skey")) - 1) % len(weights) + 1)
-    fill = Window.orderBy(F.col("source_size") / F.col("weight"), "skey")
+    per = sizes.groupBy("__skey").agg(F.sum("size").alias("source_size"))
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(Window.orderBy("__skey")) - 1) % len(weights) + 1)
+    fill = Window.orderBy(F.col("source_size") / F.col("weight"), "__skey")
     per = per.withColumn("weight", weight.cast("bigint")).withColumns({
         "_total": F.sum("source_size").over(Window.partitionBy()),
         "_full": F.coalesce(F.sum(F.lit(PASSES) * F.col("source_size")).over(fill.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
@@ -52,7 +52,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS) -> DataFrame:
     per = per.withColumn("_at", level).withColumns({"_w": F.col("_at._weights"), "_l": F.col("_at._left")})
     share = (F.col("weight") * F.col("_l")).cast("double") / (F.col("_w") * 2).cast("double")
     return per.select(
-        "skey", "source_size", "weight",
+        "__skey", "source_size", "weight",
         F.least((F.lit(PASSES) * F.col("source_size")).cast("double"), share).alias("target"))
 
 
@@ -61,21 +61,21 @@ def fair_queue(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     (pass, finish, words), ``finish`` the virtual finish time of the words taken."""
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "packets")]
     rows = docs.select(*own, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-                       F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), "source")).alias("skey"),
-                       F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_order"))
-    rows = rows.withColumn("_bucket", F.substring("_order", 1, BUCKET_DIGITS))
-    sums = rows.groupBy("skey", "_bucket").agg(F.sum("size").alias("size"))
-    before = Window.partitionBy("skey").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("skey", "_bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_offset"))
-    offsets = offsets.join(source_targets(sums, weights), "skey")
-
-    inside = Window.partitionBy("skey", "_bucket").orderBy("_order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    queued = (rows.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-              .join(offsets, ["skey", "_bucket"]).withColumn("_start", F.col("_offset") + F.col("_inside")))
+                       F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), "source")).alias("__skey"),
+                       F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("__order"))
+    rows = rows.withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS))
+    sums = rows.groupBy("__skey", "__bucket").agg(F.sum("size").alias("size"))
+    before = Window.partitionBy("__skey").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("__skey", "__bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("__offset"))
+    offsets = offsets.join(source_targets(sums, weights), "__skey")
+
+    inside = Window.partitionBy("__skey", "__bucket").orderBy("__order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    queued = (rows.withColumn("__inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+              .join(offsets, ["__skey", "__bucket"]).withColumn("__start", F.col("__offset") + F.col("__inside")))
     cut = F.floor("target").cast("bigint")
 
     def packet(i):
-        start = F.col("_start") + F.col("source_size") * i
+        start = F.col("__start") + F.col("source_size") * i
         words = F.greatest(F.lit(0), F.least(cut - start, F.col("size")))
         return F.struct(F.lit(i + 1).alias("pass"), ((start + words) / F.col("target")).alias("finish"), words.cast("bigint").alias("words"))
 
@@ -89,6 +89,6 @@ def schedule(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     finish time; what comes after virtual time 1, the total budget, is cut off."""
     queued = fair_queue(docs, weights)
     own = [c for c in queued.columns if c != "packets"]
-    return (queued.select(*own, F.explode("packets").alias("_p")).where("_p.words > 0")
-            .select(*own, F.col("_p.pass").alias("pass"), F.col("_p.finish").alias("finish"), F.col("_p.words").alias("words"))
+    return (queued.select(*own, F.explode("packets").alias("__p")).where("__p.words > 0")
+            .select(*own, F.col("__p.pass").alias("pass"), F.col("__p.finish").alias("finish"), F.col("__p.words").alias("words"))
             .orderBy("finish", "doc_id", "pass"))
