@@ -60,12 +60,12 @@ def decode_token(token: Column) -> Column:
     closing quote (dropped); even ``k`` is either unclosed (base) or pairs and
     a ``""`` close (repair), and both read as the run unescaped. Decoding is
     therefore the same in both dialects; only the token boundaries differ."""
-    inner = F.substring(token, 3, 1 << 30)  # after the delimiter and the opening quote
+    inner = F.substr(token, F.lit(3))  # after the delimiter and the opening quote
     n = F.length(inner)
     k = n - F.length(F.rtrim(inner, F.lit('"')))
     unescape = lambda c: F.replace(c, F.lit('""'), F.lit('"'))
     quoted = F.when(k % 2 == 1, unescape(F.left(inner, n - 1))).otherwise(unescape(inner))
-    return F.when(F.substring(token, 2, 1) == F.lit('"'), quoted).otherwise(F.substring(token, 2, 1 << 30))
+    return F.when(F.substring(token, 2, 1) == F.lit('"'), quoted).otherwise(F.substr(token, F.lit(2)))
 
 
 def field_from_tokens(tokens: Column, i: int) -> Column:
@@ -138,6 +138,11 @@ def is_blank_record(fields: Column | str) -> Column:
     return (F.size(arr) == 1) & (F.get(arr, 0) == F.lit(""))
 
 
+def is_blank_line(value: Column | str) -> Column:
+    """C7 on a raw line, without a split: the only lines of one empty field."""
+    return (F.col(value) if isinstance(value, str) else value).isin("", '"', '""')
+
+
 # Column name under which ``parse`` keeps the field tokens of a line.
 TOKENS = "_qt"
 
@@ -161,4 +166,4 @@ def is_blank_parsed() -> Column:
     """C7 on a parsed line: one field and it is empty - a blank line, a lone
     ``""`` or a lone ``"`` (the token is the delimiter plus '', '"' or '""')."""
     first = F.get(F.col(TOKENS), 0)
-    return (n_fields() == 1) & F.substring(first, 2, 1 << 30).isin("", '"', '""')
+    return (n_fields() == 1) & F.substr(first, F.lit(2)).isin("", '"', '""')

@@ -102,11 +102,28 @@ def size_mb_label(size_bytes: Column | str) -> Column:
     return F.format_string("%.1f MB", F.bround(_c(size_bytes).cast("double") / F.lit(1048576.0), 1))
 
 
+def round_half_even_1(x: Column) -> Column:
+    """A double rounded to one decimal by its exact binary value, ties to even.
+
+    ``bround`` rounds the shortest decimal text, which can stand on the other
+    side of a tie. Here the whole part is split off and the fraction scaled by
+    2**53: both are exact, so ten times the fraction is rounded as a whole number."""
+    size = F.abs(x)
+    whole = F.floor(size)
+    scaled = ((size - whole) * F.lit(2.0 ** 53)).cast("decimal(20,0)") * F.lit(10)
+    unit = F.lit(2 ** 53).cast("decimal(20,0)")
+    tenths = F.floor(scaled / unit).cast("bigint")
+    rest = (scaled - tenths.cast("decimal(20,0)") * unit) * F.lit(2)
+    up = (rest > unit) | ((rest == unit) & (tenths % 2 == 1))
+    rounded = (whole * F.lit(10) + tenths + up.cast("bigint")).cast("double") / F.lit(10.0)
+    return F.when(size >= F.lit(2.0 ** 50), x).otherwise(F.signum(x) * rounded)
+
+
 def compression_ratio(parquet_bytes: Column | str, csv_bytes: Column | str) -> Column:
     """Percent saved, one decimal; 0 when the source is empty."""
     p = _c(parquet_bytes).cast("double")
     c = _c(csv_bytes).cast("double")
-    return F.when(c > 0, F.bround((F.lit(1.0) - p / c) * F.lit(100.0), 1)).otherwise(F.lit(0.0))
+    return F.when(c > 0, round_half_even_1((F.lit(1.0) - p / c) * F.lit(100.0))).otherwise(F.lit(0.0))
 
 
 def js_trim(text: Column | str) -> Column:
@@ -114,20 +131,36 @@ def js_trim(text: Column | str) -> Column:
     return F.trim(_c(text), F.lit(_JS_SPACE_CHARS))
 
 
+def _radix_number(t: Column, base: int) -> Column:
+    """The digits after the two-character prefix as a double, of any length.
+
+    Their bits are cut to 64: the first 62 significant ones exactly, one more that
+    says whether any later bit is set (so that rounding to a double is as from all
+    bits), and the power of two that was cut off."""
+    width = {16: 4, 8: 3, 2: 1}[base]
+    digits = F.ltrim(F.substr(t, F.lit(3)), F.lit("0"))
+    bits = digits
+    if width > 1:
+        for d in range(base):
+            bits = F.replace(bits, F.lit("0123456789abcdef"[d]), F.lit("".join("zo"[int(b)] for b in format(d, f"0{width}b"))))
+        bits = F.ltrim(F.translate(bits, "zo", "01"), F.lit("0"))
+    n = F.length(bits)
+    head = F.substring(bits, 1, 61)
+    sticky = F.when(F.contains(F.substr(bits, F.lit(62)), F.lit("1")), "1").otherwise("0")
+    long = F.conv(F.concat(head, sticky), 2, 10).cast("double") * F.pow(F.lit(2.0), (n - 62).cast("double"))
+    return F.when(n <= 62, F.conv(F.when(n == 0, "0").otherwise(bits), 2, 10).cast("double")).otherwise(long)
+
+
 def comparable_number(value: Column | str) -> Column:
     """The finite number a trimmed text stands for (JavaScript ``Number`` rules:
     decimal literals, exponents, 0x/0o/0b integers), else NULL."""
     t = js_trim(_c(value).cast("string"))
     # cheap guards first: the regexes only run on text that can be a number
     may_be_number = F.substring(t, 1, 1).isin(*list("+-.0123456789"))
-    radix = F.lower(F.substring(t, 1, 2))
     dec = F.when(may_be_number & t.rlike(_DECIMAL_SHAPE), t.try_cast("double"))
-    hexa = F.when((radix == "0x") & t.rlike("^0[xX][0-9a-fA-F]{1,15}$"),
-                  F.conv(F.substring(t, 3, 64), 16, 10).try_cast("double"))
-    octa = F.when((radix == "0o") & t.rlike("^0[oO][0-7]{1,20}$"),
-                  F.conv(F.substring(t, 3, 64), 8, 10).try_cast("double"))
-    bina = F.when((radix == "0b") & t.rlike("^0[bB][01]{1,62}$"),
-                  F.conv(F.substring(t, 3, 64), 2, 10).try_cast("double"))
+    hexa = F.when(t.rlike("^0[xX][0-9a-fA-F]+$"), _radix_number(F.lower(t), 16))
+    octa = F.when(t.rlike("^0[oO][0-7]+$"), _radix_number(t, 8))
+    bina = F.when(t.rlike("^0[bB][01]+$"), _radix_number(t, 2))
     num = F.coalesce(dec, hexa, octa, bina)
     finite = num.isNotNull() & (F.abs(num) < F.lit(float("inf")))
     return F.when(finite, num + F.lit(0.0))  # + 0.0 folds -0.0 into 0.0

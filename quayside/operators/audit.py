@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.functions.quoting import is_blank_parsed, n_fields
+from quayside.functions.quoting import is_blank_line, is_blank_parsed, n_fields
 from quayside.functions.scalars import comparable_equal, comparable_number, size_label
 
 PREVIEW_ROWS = 20
@@ -63,42 +63,25 @@ def csv_preview(parsed: DataFrame, keys: str | list[str] | None = "file", has_he
     )
 
 
-def first_data_rows(parsed: DataFrame, has_header: bool = False, n: int = PREVIEW_ROWS) -> list[list[str]]:
-    """C6/C7/C8 for one conversion: the first ``n`` non-blank data records in
-    scan order, as lists (bounded: ``n`` rows reach the driver).
+def first_data_rows(numbered: DataFrame, feed, n: int = PREVIEW_ROWS) -> list[list[str]]:
+    """C6/C7/C8 for one conversion: the first ``n`` non-blank data records by file and line, as
+    lists (bounded: ``n`` rows reach the driver). Each task keeps its own first ``n`` raw lines;
+    only the lines that remain are split, so the answer depends on no plan and no file layout."""
+    from quayside.operators.tables import parse
 
-    Scan order is partition order, so an incremental ``limit`` (Spark's
-    ``executeTake``) reads the start of the first split and stops; no sort
-    and no full pass over the source."""
-    rows = parsed.filter(~is_blank_parsed())
-    if has_header:
+    rows = numbered.filter(~is_blank_line("value"))
+    if feed.has_header:
         rows = rows.filter(F.col("line_no") > 1)
-    taken = rows.select("scan_pos", "fields").limit(n).collect()
-    return [list(r["fields"]) for r in sorted(taken, key=lambda r: r["scan_pos"])]
-
-
-def first_output_rows(spark: SparkSession, path: str, data_columns: list[str], n: int = PREVIEW_ROWS) -> list[list[str]]:
-    """C6 on the Parquet side: the first ``n`` rows of the part files in name
-    order (part files are numbered by write task, tasks follow the scan
-    order). Reads files one at a time until ``n`` rows are found."""
-    from quayside.sources.catalog import catalog
-
-    listing = catalog(spark, path).filter(F.col("name").endswith(".parquet")).select("path", "name").orderBy("name")
-    out: list[list[str]] = []
-    page, offset = 16, 0
-    while len(out) < n:
-        files = [r["path"] for r in listing.offset(offset).limit(page).collect()]  # a page of file names
-        if not files:
-            break
-        offset += page
-        for f in files:
-            if len(out) >= n:
-                break
-            df = spark.read.parquet(f)
-            got = df.select(F.col("_metadata.row_index").alias("_ri"), as_string_fields(df, data_columns).alias("fields")) \
-                .limit(n - len(out)).collect()
-            out.extend(list(r["fields"]) for r in sorted(got, key=lambda r: r["_ri"]))
-    return out
+    top = rows.select("file", "line_no", "value").orderBy("file", "line_no").limit(n)
+    return [list(r["fields"]) for r in
+            parse(top, feed.delimiter, feed.repair_dangling_quote).select("file", "line_no", "fields").orderBy("file", "line_no").collect()]
+
+
+def first_output_rows(written: DataFrame, data_columns: list[str], n: int = PREVIEW_ROWS) -> list[list[str]]:
+    """C6 on the Parquet side: the first ``n`` rows by source file and line."""
+    top = written.orderBy("_file", "_line_no").limit(n)
+    return [list(r["fields"]) for r in
+            top.select("_file", "_line_no", as_string_fields(top, data_columns).alias("fields")).orderBy("_file", "_line_no").collect()]
 
 
 def preview_literal(rows: list[list[str]]) -> Column:

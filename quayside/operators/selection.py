@@ -143,11 +143,24 @@ def found_count(scan: DataFrame) -> DataFrame:
 
 def missing_feeds(spark: SparkSession, catalog: DataFrame, days: DataFrame, day_col: str = "day",
                   profiles: list[Feed] | None = None) -> DataFrame:
-    """Expected (day, feed) pairs without any file (left anti join)."""
-    scan = day_scan(spark, catalog, days, day_col, profiles)
-    present = scan.filter(F.col("status") != F.lit("missing")).select("day", "feed")
-    exp = expected(spark, days, day_col, profiles).select("day", "feed")
-    return exp.join(present, ["day", "feed"], "left_anti")
+    """Expected (day, feed) pairs without any file: the scan's placeholders."""
+    return day_scan(spark, catalog, days, day_col, profiles).filter(F.col("status") == F.lit("missing")).select("day", "feed")
+
+
+def published_outputs(spark: SparkSession, root: str) -> DataFrame:
+    """The outputs of this engine below ``root`` as a catalogue: one row per feed folder and source
+    file in it, named ``<stem>.parquet`` after that file, so that C5 and D6 read it like any other."""
+    from quayside.sources.catalog import catalog
+
+    files = catalog(spark, root).filter(F.col("path").rlike("/feed=[^/]+/[^/]*\\.parquet$"))
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    times = files.groupBy(folder.alias("path")).agg(F.max("mtime").alias("mtime"), F.sum("size").alias("size"))
+    parts = spark.read.option("recursiveFileLookup", "true").schema("_file string").parquet(root)
+    rows = parts.select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("path"), "_file")
+    stems = rows.filter(F.col("path").rlike("/feed=[^/]+$")).distinct().select(
+        F.regexp_extract("path", "/feed=([^/]+)$", 0).alias("_k"),
+        F.concat(F.regexp_replace(F.regexp_extract("_file", "[^/]*$", 0), r"(?i)\.csv$", ""), F.lit(".parquet")).alias("name"))
+    return times.withColumn("_k", F.regexp_extract("path", "/feed=([^/]+)$", 0)).join(stems, "_k").select("path", "name", "size", "mtime")
 
 
 def with_display(cands: DataFrame) -> DataFrame:

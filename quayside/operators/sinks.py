@@ -1,10 +1,11 @@
 """Sinks: F1 Parquet write, F2 replace one feed, F3 publish, F4 staged
 write with clean-up, F5 canonical CSV text.
 
-Replacement uses dynamic partition overwrite on ``feed``: only partitions that
-appear in the written data are replaced, atomically at job commit through
-Spark's commit protocol (task retries after a lost executor write to fresh
-attempt folders and never leak into the result).
+A feed's folder is replaced by moves: the new data is written beside the target
+(``_staging``, which readers of the feed folders skip), the old folder is moved
+aside, the new one moved in, the old one deleted. Readers between the two moves
+find no folder; a failed move puts the old one back. Task retries after a lost
+executor write to fresh attempt folders and never leak into the result.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.quoting import encode_csv
+from quayside.session import remove
 from quayside.sources.catalog import path_exists
 from quayside.sources.feeds import FEED_BY_KEY
 
@@ -23,6 +25,14 @@ def _writer(df: DataFrame, row_group_bytes: int | None):
     return w
 
 
+def staging_path(target_dir: str) -> str:
+    """A fresh folder on the target's own file system, where a move is a rename."""
+    import uuid
+
+    parent, _, name = target_dir.rstrip("/").rpartition("/")
+    return f"{parent}/_staging/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def write_staged(df: DataFrame, folder: str, row_group_bytes: int | None = None) -> None:
     """F1 into one folder (no partition columns, so no per-task sort): Snappy
     Parquet with the feed's row-group size. Used for staged outputs."""
@@ -34,8 +44,8 @@ def write_feed(df: DataFrame, path: str, feed: str | None = None, stamp=None,
     """write ``df`` as Snappy Parquet under ``path``, partitioned by
     feed (and more keys if asked), replacing only the partitions written.
 
-    One feed given as ``feed``: the data is written to a staged folder under
-    the shared scratch root and moved into ``path/feed=<feed>`` afterwards
+    One feed given as ``feed``: the data is written to a staged folder beside
+    the target and moved into ``path/feed=<feed>`` afterwards
     (the same stage-then-rename a dynamic overwrite does at commit, without
     sorting every task's rows by a constant partition value). A frame that
     carries a ``feed`` column (several feeds) uses dynamic partition overwrite.
@@ -49,11 +59,13 @@ def write_feed(df: DataFrame, path: str, feed: str | None = None, stamp=None,
     if row_group_bytes is None and feed is not None and feed in FEED_BY_KEY:
         row_group_bytes = FEED_BY_KEY[feed].row_group_bytes
     if feed is not None and "feed" not in df.columns and parts == ["feed"]:
-        from quayside.session import scratch_path
-
-        staged = scratch_path(out.sparkSession, f"stage-{feed}")
-        write_staged(out, staged, row_group_bytes)
-        swap_in(out.sparkSession, staged, f"{path.rstrip('/')}/feed={feed}")
+        target = f"{path.rstrip('/')}/feed={feed}"
+        staged = staging_path(target)
+        try:
+            write_staged(out, staged, row_group_bytes)
+            swap_in(out.sparkSession, staged, target)
+        finally:
+            remove(out.sparkSession, staged)
         return
     if feed is not None and "feed" not in df.columns:
         out = out.withColumn("feed", F.lit(feed))
@@ -79,11 +91,11 @@ def publish(spark: SparkSession, staged: str, target: str, feeds: list[str], mod
     ``per_feed``: copy and swap feed by feed; a failure leaves earlier feeds
     published. ``all_or_nothing``: every staged feed must exist (G3), all are
     copied into staged folders first, and only then swapped in, so a failed
-    copy publishes nothing. Each run appends a row per feed to
-    ``target/_publish`` (ignored by readers of the feed folders).
+    copy publishes nothing. Two logs (ignored by readers of the feed folders)
+    record each run: ``target/_publish_started`` a row per feed before the first
+    swap, ``target/_publish`` one after each swap; ``unfinished`` is their
+    difference, so a run that stopped midway shows.
     """
-    import datetime as _dt
-
     if not path_exists(spark, staged):
         raise FileNotFoundError(f"staged output not found: {staged}")
     if not path_exists(spark, target):
@@ -93,41 +105,73 @@ def publish(spark: SparkSession, staged: str, target: str, feeds: list[str], mod
         raise FileNotFoundError(f"staged output missing for: {', '.join(missing)}")
     if mode not in ("per_feed", "all_or_nothing"):
         raise ValueError(f"unknown publish mode: {mode}")
-    from quayside.session import scratch_path
+    import uuid
 
-    rg = {f: FEED_BY_KEY[f].row_group_bytes if f in FEED_BY_KEY else None for f in feeds}
-    if mode == "per_feed":
-        for f in feeds:
-            write_feed(spark.read.parquet(f"{staged}/feed={f}"), target, feed=f, row_group_bytes=rg[f])
-    else:
-        copies = {}
-        for f in feeds:
-            copies[f] = scratch_path(spark, f"publish-{f}")
-            write_staged(spark.read.parquet(f"{staged}/feed={f}"), copies[f], rg[f])
+    target, run = target.rstrip("/"), uuid.uuid4().hex
+    place = {f: f"{target}/feed={f}" for f in feeds}
+    copies = {f: staging_path(place[f]) for f in feeds}
+
+    def copy(f: str) -> None:
+        write_staged(spark.read.parquet(f"{staged}/feed={f}"), copies[f], FEED_BY_KEY[f].row_group_bytes if f in FEED_BY_KEY else None)
+
+    try:
+        if mode == "all_or_nothing":
+            for f in feeds:
+                copy(f)
+        _record(spark, f"{target}/_publish_started", run, mode, feeds)
         for f in feeds:
-            swap_in(spark, copies[f], f"{target.rstrip('/')}/feed={f}")
-    stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    record = spark.createDataFrame([(f, mode, stamp) for f in feeds], "feed string, mode string, published_at timestamp_ntz")
-    record.write.mode("append").parquet(f"{target.rstrip('/')}/_publish")
+            if mode == "per_feed":
+                copy(f)
+            swap_in(spark, copies[f], place[f])
+            _record(spark, f"{target}/_publish", run, mode, [f])
+    finally:
+        remove(spark, *copies.values())
     return feeds
 
 
+def _record(spark: SparkSession, log: str, run: str, mode: str, feeds: list[str]) -> None:
+    import datetime as dt
+
+    at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = spark.createDataFrame([(run, f, mode, at) for f in feeds], "run string, feed string, mode string, published_at timestamp_ntz")
+    rows.coalesce(1).write.mode("append").parquet(log)
+
+
+def unfinished(spark: SparkSession, target: str) -> DataFrame:
+    """Feeds of publish runs that were started and not done."""
+    target = target.rstrip("/")
+    started = spark.read.parquet(f"{target}/_publish_started").select("run", "feed", "published_at")
+    if not path_exists(spark, f"{target}/_publish"):
+        return started
+    return started.join(spark.read.parquet(f"{target}/_publish").select("run", "feed"), ["run", "feed"], "left_anti")
+
+
 def swap_in(spark: SparkSession, staged_dir: str, target_dir: str) -> None:
-    """move a checked, staged partition folder into place (the old one is
-    removed only now, after the new data was written and checked). A rename is
-    a metadata operation on HDFS-like stores; nothing is read or rewritten."""
+    """move a checked, staged folder into place: old aside, new in, old deleted; the old one
+    is put back if the new one cannot be moved. Moves are metadata operations on one file system."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src = jvm.org.apache.hadoop.fs.Path(staged_dir)
-    dst = jvm.org.apache.hadoop.fs.Path(target_dir)
+    src, dst = (jvm.org.apache.hadoop.fs.Path(x) for x in (staged_dir, target_dir))
     fs = dst.getFileSystem(conf)
     if not fs.exists(src):
         raise FileNotFoundError(f"staged output not found: {staged_dir}")
-    if fs.exists(dst):
-        fs.delete(dst, True)
     fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
+    old = None
+    if fs.exists(dst):
+        old = jvm.org.apache.hadoop.fs.Path(staging_path(target_dir) + "-old")
+        fs.mkdirs(old.getParent())
+        if not fs.rename(dst, old):
+            raise RuntimeError(f"could not move {target_dir} aside")
+    try:
+        moved = fs.rename(src, dst)
+    except Exception:
+        moved = False
+    if not moved:
+        if old is not None:
+            fs.rename(old, dst)
         raise RuntimeError(f"could not move {staged_dir} to {target_dir}")
+    if old is not None:
+        fs.delete(old, True)
 
 
 def write_canonical_csv(parsed: DataFrame, path: str, delim: str, n: int | None = None) -> None:

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.quoting import TOKENS, field, field_tokens, fields_from_tokens, fields_of_parsed, n_fields
+from quayside.functions.quoting import TOKENS, field, field_tokens, fields_of_parsed, n_fields
+from quayside.functions.scalars import js_trim
+from quayside.session import materialize
 
 FILE_BROADCAST_MAX_ROWS = 1_000_000
 
@@ -58,16 +60,14 @@ def fix_header_names(raw: list[str]) -> list[str]:
 # ------------------------------------------------------- shape (G1, G2) ---
 
 def first_records(parsed: DataFrame) -> DataFrame:
-    """H2: ``DF[file, fields]`` of line 1 of every file (partial aggregate;
-    the fields array is built for one line per file only)."""
-    firsts = parsed.groupBy("file").agg(F.min_by(F.col(TOKENS), "line_no").alias("_t"))
-    return firsts.select("file", fields_from_tokens(F.col("_t")).alias("fields"))
+    """H2: ``DF[file, fields]`` of line 1 of every file (a filter: no line is
+    aggregated, and only the kept lines build their fields array)."""
+    return parsed.filter(F.col("line_no") == 1).select("file", fields_of_parsed().alias("fields"))
 
 
 def file_arity(parsed: DataFrame) -> DataFrame:
     """H2: ``DF[file, expected]`` = field count of line 1 of each file."""
-    firsts = parsed.groupBy("file").agg(F.min_by(n_fields(), "line_no").alias("expected"))
-    return firsts
+    return parsed.filter(F.col("line_no") == 1).select("file", n_fields().alias("expected"))
 
 
 def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
@@ -78,21 +78,26 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
 class Shape:
     """What the driver learns about a file group before building its table."""
 
-    files: list[str]
     expected: int
     header: list[str] | None = None
 
 
-def group_shapes(parsed: DataFrame, has_header: bool = False) -> list[Shape]:
-    """Files grouped by (field count of line 1[, header]) - one table per group.
-    Collects one row per file (G2: a file without line 1 does not appear)."""
-    rows = first_records(parsed).collect()
-    groups: dict[tuple, list[str]] = {}
-    for r in rows:
-        fields = list(r["fields"])
-        key = (len(fields), tuple(fields) if has_header else None)
-        groups.setdefault(key, []).append(r["file"])
-    return [Shape(sorted(files), n, list(h) if h is not None else None) for (n, h), files in sorted(groups.items(), key=lambda kv: kv[1][0])]
+def group_shapes(parsed: DataFrame, has_header: bool = False, most: int = 2) -> list[Shape]:
+    """The distinct shapes (field count of line 1[, header]) of a file group, at most ``most``:
+    the default is enough to tell one from several, whatever the number of files."""
+    cols = [F.size("fields").alias("n")] + ([F.col("fields").alias("h")] if has_header else [])
+    rows = first_records(parsed).select(*cols).distinct().orderBy("n").limit(most).collect()
+    return [Shape(r["n"], list(r["h"]) if has_header else None) for r in rows]
+
+
+def one_shape(parsed: DataFrame, has_header: bool = False) -> Shape:
+    """The shape that all files of a group share."""
+    found = group_shapes(parsed, has_header)
+    if not found:
+        raise ValueError("no data")
+    if len(found) > 1:
+        raise ValueError("files disagree on their first line: convert them as separate groups")
+    return found[0]
 
 
 def check_nonempty(lines: DataFrame, files: list[str] | None = None) -> list[str]:
@@ -271,7 +276,7 @@ BUSINESS_HEADER = ["date", "store_id", "product_id", "category", "qty_sold", "re
 def header_matches(cells: list[Column], names: list[str]) -> Column:
     cond = F.lit(True)
     for c, name in zip(cells, names):
-        cond = cond & (F.lower(F.trim(F.coalesce(c, F.lit("")))) == F.lit(name))
+        cond = cond & (F.lower(js_trim(F.coalesce(c, F.lit("")))) == F.lit(name))
     if len(cells) < len(names):
         return F.lit(False)
     return cond
@@ -279,23 +284,23 @@ def header_matches(cells: list[Column], names: list[str]) -> Column:
 
 def promote_header(table: DataFrame, names: list[str] | None = None, order_col: str = "line_no",
                    group_col: str = "file") -> DataFrame:
-    """When the first row (per ``group_col`` by ``order_col``) holds the
-    known names (trimmed, lower-cased), use them as column names and drop that
-    row; otherwise the table is returned unchanged."""
+    """C9, file by file: where the first row (per ``group_col`` by ``order_col``)
+    holds the known names (trimmed, lower-cased), that row is dropped. The columns
+    get the known names when any file brings them - the files of one table share
+    their columns by position; a table without such a row is returned unchanged."""
     names = names or BUSINESS_HEADER
     data_cols = [c for c in table.columns if c not in (order_col, group_col)]
     if len(data_cols) < len(names):
         return table
-    firsts = table.groupBy(group_col).agg(
-        F.min_by(F.struct(*[F.col(c) for c in data_cols[:len(names)]]), order_col).alias("_r"),
-        F.min(order_col).alias("_first"),
-    )
-    cells = [F.col(f"_r.{c}") for c in data_cols[:len(names)]]
-    checked = firsts.select(group_col, "_first", header_matches(cells, names).alias("_is_header"))
-    flags = checked.select(F.bool_and("_is_header").alias("all"), F.count(F.lit(1)).alias("n")).collect()[0]
-    if not flags["all"]:
+    # first places by a hash aggregate of numbers; only the rows there are looked at
+    firsts = table.groupBy(group_col).agg(F.min(order_col).alias("_first"))
+    at = [table[group_col].eqNullSafe(firsts[group_col]), table[order_col] == firsts["_first"]]
+    heads = table.join(firsts, at, "left_semi").filter(header_matches([F.col(c) for c in data_cols[:len(names)]], names))
+    heads = materialize(heads.select(F.col(group_col).alias("_g"), F.col(order_col).alias("_o")), "header-rows")
+    found = heads.count()
+    if not found:
         return table
-    drop = _maybe_broadcast(checked.select(group_col, "_first"), flags["n"])
-    kept = table.join(drop, group_col).filter(F.col(order_col) != F.col("_first")).drop("_first")
+    gone = _maybe_broadcast(heads, found)
+    kept = table.join(gone, [table[group_col].eqNullSafe(gone["_g"]), table[order_col] == gone["_o"]], "left_anti")
     renames = dict(zip(data_cols[:len(names)], names))
     return kept.select(*[F.col(c).alias(renames.get(c, c)) for c in table.columns])

@@ -21,13 +21,20 @@ DEVICE_TTL_SECONDS = 120      # a device reads OFFLINE this long after last_seen
 RUNNABLE_STATUSES = ["pending", "stopped", "error"]
 # ---------------------------------------------------------------------------
 
+#: Parts of a log key that are cut to their newest entries in tasks of their own.
+SALTS = 32
+
 
 def retain_last(logs: DataFrame, keys: list[str], n: int = LOG_KEEP_LAST, ts: str = "ts", tiebreak: str = "id") -> DataFrame:
-    """The newest ``n`` entries per key. ``row_number() <= n`` is planned as
-    a partial WindowGroupLimit before the shuffle, so each task ships at most
-    ``n`` rows per key even when one key holds most of the log."""
-    w = Window.partitionBy(*keys).orderBy(F.col(ts).desc(), F.col(tiebreak).desc())
-    return logs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    """The newest ``n`` entries per key, in two levels: of each of ``SALTS`` parts of a
+    key, then of the at most ``SALTS * n`` entries that remain. So a key that holds most of the
+    log is cut in many tasks, whatever ``n`` is (Spark's own early limit stops at 1000)."""
+    newest = [F.col(ts).desc(), F.col(tiebreak).desc()]
+    salted = logs.withColumn("_salt", F.pmod(F.xxhash64(tiebreak), F.lit(SALTS)))
+    part = Window.partitionBy(*keys, "_salt").orderBy(*newest)
+    parts = salted.withColumn("_rn", F.row_number().over(part)).filter(F.col("_rn") <= n).drop("_rn", "_salt")
+    whole = Window.partitionBy(*keys).orderBy(*newest)
+    return parts.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= n).drop("_rn")
 
 
 def _with_asof(df: DataFrame, asof, ts: str) -> DataFrame:
@@ -44,16 +51,28 @@ def expire_keys(logs: DataFrame, keys: list[str], asof=None, ttl_seconds: int =
     (default: the newest entry of the whole log)."""
     last = logs.groupBy(*keys).agg(F.max(ts).alias("_last"))
     if asof is None:
-        last = last.withColumn("_asof", logs.agg(F.max(ts)).scalar())  # scalar subquery, no join
+        # the newest entry of all is the newest of the keys: a scalar subquery that reuses their aggregate
+        last = last.withColumn("_asof", last.agg(F.max("_last")).scalar())
     else:
         last = last.withColumn("_asof", asof if isinstance(asof, F.Column) else F.lit(asof))
     alive = last.filter(F.col("_last") >= F.col("_asof") - F.make_dt_interval(secs=F.lit(ttl_seconds))).select(*keys)
     return logs.join(alive, keys, "left_semi")
 
 
+def _latest(rows: DataFrame, keys: list[str], ts: str, then: list[str]) -> DataFrame:
+    """Per key the row with the newest ``ts``, ties by the largest ``then`` values. The instants are
+    reduced first (a hash aggregate of numbers); only rows at their key's instant are compared."""
+    last = rows.groupBy(*keys).agg(F.max(ts).alias("_last"))
+    named = last.select(*[F.col(k).alias(f"_{k}") for k in keys], "_last")
+    same = [rows[k].eqNullSafe(named[f"_{k}"]) for k in keys] + [rows[ts].eqNullSafe(named["_last"])]
+    tied = rows.join(named, same, "left_semi").groupBy(*keys).agg(F.max(F.struct(ts, *then)).alias("s"))
+    return tied.select(*keys, *[f"s.{c}" for c in (ts, *then)])
+
+
 def latest_heartbeat(heartbeats: DataFrame) -> DataFrame:
-    """Newest heartbeat per device (partial aggregate: a chatty device still
-    ships one row per task)."""
+    """Newest heartbeat per device (a chatty device still ships one row per task)."""
+    if not heartbeats.isStreaming:
+        return _latest(heartbeats, ["device_id"], "last_seen", ["status", "current_job"])
     latest = heartbeats.groupBy("device_id").agg(F.max(F.struct("last_seen", "status", "current_job")).alias("s"))
     return latest.select("device_id", "s.last_seen", "s.status", "s.current_job")
 
@@ -76,14 +95,16 @@ def liveness(heartbeats: DataFrame, asof=None, ttl_seconds: int = DEVICE_TTL_SEC
     return apply_device_ttl(latest_heartbeat(heartbeats), asof, ttl_seconds)
 
 
-def fold_file_state(events: DataFrame) -> DataFrame:
+def fold_file_state(events: DataFrame, job_results: DataFrame | None = None) -> DataFrame:
     """Latest status/progress/output per (job, file) by (ts, then the
-    larger status text for ties); when a job has an error, every file still
+    larger status text for ties). A job has failed when one of its files is in
+    ``error`` or ``job_results`` (job, failed) says so; then every file still
     ``converting`` in it becomes ``error``."""
-    latest = events.groupBy("job", "file").agg(
-        F.max(F.struct("ts", "status", "progress", "output")).alias("s")
-    ).select("job", "file", "s.ts", "s.status", "s.progress", "s.output")
-    failed = latest.groupBy("job").agg(F.bool_or(F.col("status") == F.lit("error")).alias("_job_failed"))
+    latest = _latest(events, ["job", "file"], "ts", ["status", "progress", "output"])
+    failed = latest.groupBy("job").agg(F.bool_or(F.col("status") == F.lit("error")).alias("failed"))
+    if job_results is not None:
+        failed = failed.unionByName(job_results.select("job", "failed"))
+    failed = failed.groupBy("job").agg(F.coalesce(F.bool_or("failed"), F.lit(False)).alias("_job_failed"))
     return latest.join(failed, "job").select(
         "job", "file",
         F.when(F.col("_job_failed") & (F.col("status") == F.lit("converting")), F.lit("error"))
@@ -115,10 +136,11 @@ def runnable(file_state: DataFrame, selected_col: str = "selected") -> DataFrame
 
 
 def since_last_run(logs: DataFrame, commands: DataFrame, job_col: str = "job") -> DataFrame:
-    """A RUN clears the job's log: keep entries at or after the latest RUN
-    of their job; jobs never run keep everything."""
+    """A RUN clears the job's log and a RUN_ALL every job's: keep entries at
+    or after the latest of both; jobs never run keep everything."""
     runs = commands.filter(F.col("command") == F.lit("RUN")).groupBy(job_col).agg(F.max("created_at").alias("_started"))
-    j = logs.join(runs, job_col, "left_outer")
+    whole = commands.filter(F.col("command") == F.lit("RUN_ALL")).agg(F.max("created_at")).scalar()
+    j = logs.join(runs, job_col, "left_outer").withColumn("_started", F.greatest("_started", whole))
     return j.filter(F.col("_started").isNull() | (F.col("ts") >= F.col("_started"))).drop("_started")
 
 

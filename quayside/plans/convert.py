@@ -1,117 +1,145 @@
 """Convert, run one feed, run all feeds, run selected files, re-check.
 
-A conversion reads the source text three times, each a parallel scan:
-
-1. one aggregate per (file, split): line count, first id, first line, blank
-   records, widest record and bytes - this gives line numbers, the field count
-   or header of line 1 (H2/A6) and the CSV statistics (D1) in one pass;
-2. the first 20 data records in scan order (C6): an incremental limit that
-   reads the start of the first split only;
-3. parse + strict shape check + write (F1/F2), rows counted by ``observe``
-   (D3) while writing.
-
-Output is staged in the shared folder and moved into place (a rename of the
-feed partition folder) only after the integrity check (E1) passes (F4).
+A conversion scans the source text in parallel, and splits its fields once (an
+inferred feed twice):
+
+1. a hash aggregate per (file, split): line count, first id, non-blank lines
+   (told without a split) - line numbers and the row counts of D1;
+2. line 1 of every file (H2/A6) and the first 20 data records (C6): light scans
+   that split only the lines they keep;
+3. parse + strict shape check + write (F1/F2), the widest record counted by
+   ``observe`` while writing. Every row keeps its file, line and stamp.
+
+Output is staged beside its target and moved into place only after the integrity
+check (E1, file by file) passes; what was staged goes in any case (F4).
 """
 
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.quoting import TOKENS, fields_from_tokens, is_blank_parsed, n_fields
-from quayside.functions.scalars import compression_ratio, size_label
+from quayside.functions.quoting import TOKENS, fields_of_parsed, is_blank_line, is_blank_parsed, n_fields
+from quayside.functions.scalars import compression_ratio, file_stamp, size_label
 from quayside.operators import audit as A
 from quayside.operators import tables as TB
 from quayside.operators.selection import candidates, latest_by_stamp, require_latest
-from quayside.operators.sinks import swap_in, write_staged
-from quayside.session import materialize, scratch_path
+from quayside.operators.sinks import staging_path, swap_in, write_staged
+from quayside.session import remove
 from quayside.sources.catalog import catalog
 from quayside.sources.feeds import FEED_BY_KEY, FEEDS, Feed, resolve_feed_name
-from quayside.sources.lines import BLOCK_BROADCAST_MAX_ROWS, read_lines
+from quayside.sources.lines import number_lines, split_table, tagged_lines
+
+#: Where a row of an output comes from; no part of the data.
+ORIGIN = ["_file", "_line_no", "_stamp"]
 
 
 @dataclass
 class Profiled:
-    lines: DataFrame        # file, file_size, mtime, line_no, scan_pos, value, fields
-    per_file: DataFrame     # file, first (fields of line 1), rows_nonblank, columns, size
+    lines: DataFrame        # file, file_size, mtime, line_no, value, tokens, fields
+    per_file: DataFrame     # file, first (fields of line 1), rows_nonblank, lines, columns, size
     unnumbered: DataFrame   # the parsed lines without line numbers (no join): for whole-table aggregates
+    numbered: DataFrame     # the numbered lines before any split
+    written: list[str] = field(default_factory=list)  # folders that go when the profile is no longer read
 
 
-def profile_source(spark: SparkSession, paths: list[str], feed: Feed) -> Profiled:
-    """Pass 1 (see module doc): numbered, parsed lines plus per-file facts."""
-    raw = TB.parse(
-        read_lines(spark, paths)
-        .withColumn("_rid", F.monotonically_increasing_id())
-        .withColumn("_fkey", F.xxhash64("file")),
-        feed.delimiter, feed.repair_dangling_quote,
-    )
-    nonblank = ~is_blank_parsed()
-    blocks = raw.groupBy("_fkey", "file", "block").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_rid").alias("_rid0"),
-        F.min_by(F.col(TOKENS), "_rid").alias("_first"),
-        F.count_if(nonblank).alias("_nonblank"),
-        F.max(F.when(nonblank, n_fields())).alias("_widest"),
-        F.max("file_size").alias("_size"),
-    )
-    earlier = Window.partitionBy("_fkey").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = materialize(blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))), "split-table")
-    n_blocks = blocks.count()
-    offsets = blocks.select("_fkey", "block", "_rid0", "_before")
-    if n_blocks <= BLOCK_BROADCAST_MAX_ROWS:
-        offsets = F.broadcast(offsets)
-    lines = raw.join(offsets, ["_fkey", "block"]).select(
-        "file", "file_size", "mtime",
-        (F.col("_rid") - F.col("_rid0") + F.col("_before") + F.lit(1)).alias("line_no"),
-        F.col("_rid").alias("scan_pos"), "value", TOKENS, "fields",
-    )
-    per_file = blocks.groupBy("file").agg(
-        F.min_by("_first", "block").alias("_p"),
-        F.sum("_nonblank").alias("rows_nonblank"),
-        F.coalesce(F.max("_widest"), F.lit(0)).alias("columns"),
-        F.max("_size").alias("size"),
-    ).select("file", fields_from_tokens(F.col("_p")).alias("first"),
-             "rows_nonblank", "columns", "size")
-    return Profiled(lines, per_file, raw)
+def profile_source(spark: SparkSession, paths: list[str], feed: Feed, widest: bool = True) -> Profiled:
+    """Pass 1 (see module doc): numbered lines plus per-file facts. ``columns``, the widest
+    record, needs a split of every line; without ``widest`` it is NULL."""
+    raw = tagged_lines(spark, paths)
+    parse = lambda df: TB.parse(df, feed.delimiter, feed.repair_dangling_quote)
+    counts = {"_nonblank": F.count_if(~is_blank_line("value")), "_size": F.max("file_size")}
+    counted = raw
+    if widest:
+        counted = parse(raw)
+        counts["_widest"] = F.max(F.when(~is_blank_parsed(), n_fields()))
+    blocks = split_table(counted, **counts)
+    numbered = number_lines(raw, blocks)
+    # line 1 of a file is found by number; only these lines are split
+    firsts = parse(numbered.filter(F.col("line_no") == 1).select("_fkey", "file", "value")).select(
+        "_fkey", "file", fields_of_parsed().alias("first"))
+    columns = F.coalesce(F.max("_widest"), F.lit(0)) if widest else F.lit(None).cast("int")
+    per_file = blocks.groupBy("_fkey").agg(
+        F.sum("_nonblank").alias("rows_nonblank"), F.sum("_n").alias("lines"), columns.alias("columns"), F.max("_size").alias("size"))
+    per_file = firsts.join(per_file, "_fkey").select("file", "first", "rows_nonblank", "lines", "columns", "size")
+    lines = parse(numbered).select("file", "file_size", "mtime", "line_no", "value", TOKENS, "fields")
+    return Profiled(lines, per_file, parse(raw), numbered, [blocks.path_])
+
+
+def _rows_expected(feed: Feed, n: int | None, all_lines: bool) -> F.Column:
+    """Rows that E1 expects of a file: its non-blank records less the header. In a table of one
+    column a blank line is a row, and a quarantine takes blank lines too: there all lines count."""
+    total = F.col("lines") if n == 1 or all_lines else F.col("rows_nonblank")
+    return F.greatest(total - F.lit(1), F.lit(0)) if feed.has_header else total
 
 
 def _csv_side(prof: Profiled, feed: Feed) -> DataFrame:
-    rows = F.greatest(F.col("rows_nonblank") - F.lit(1), F.lit(0)) if feed.has_header else F.col("rows_nonblank")
     return prof.per_file.select(
-        "file", rows.cast("bigint").alias("rows"), F.col("columns").cast("int").alias("columns"),
+        "file", _rows_expected(feed, None, False).cast("bigint").alias("rows"), F.col("columns").cast("int").alias("columns"),
         "size", size_label("size").alias("size_label"),
     )
 
 
-def build_table(spark: SparkSession, prof: Profiled, feed: Feed, strict: bool = True) -> tuple[DataFrame, list[str], DataFrame | None]:
-    """A5/A6/A7 + G1 for one feed: returns (table, data columns, rejected)."""
-    # distinct first-line shapes only (not one row per file) reach the driver
-    shape_cols = [F.size("first").alias("n")] + ([F.col("first").alias("h")] if feed.has_header else [])
-    firsts = prof.per_file.select(*shape_cols).distinct().limit(16).collect()
-    if not firsts:
+def require_data(spark: SparkSession, paths: list[str]) -> None:
+    """G2/G3 over a listing: every path exists and no file of the group is empty."""
+    listed = spark.read.format("binaryFile").load(paths).select("path", "length")
+    empty = [r["path"] for r in listed.filter(F.col("length") == 0).select("path").orderBy("path").limit(5).collect()]
+    if empty:
+        raise ValueError(f"no data in: {', '.join(empty)}")
+    if listed.isEmpty():
+        raise ValueError(f"no data in: {', '.join(paths)}")
+
+
+def first_shape(prof: Profiled, feed: Feed) -> tuple[int, list[str] | None]:
+    """H2/A6 of a group: the field count, and header if the feed has one, of all first lines."""
+    cols = [F.size("first").alias("n")] + ([F.col("first").alias("h")] if feed.has_header else [])
+    shapes = prof.per_file.select(*cols).distinct().limit(2).collect()  # two are enough to refuse
+    if not shapes:
         raise ValueError("no data")
-    shapes = {(r["n"], tuple(r["h"]) if feed.has_header else None) for r in firsts}
     if len(shapes) > 1:
         raise ValueError(f"files of {feed.key} disagree on their first line: convert them as separate groups")
-    n, header = shapes.pop()
-    rejected = None
-    parsed = prof.lines
+    return shapes[0]["n"], list(shapes[0]["h"]) if feed.has_header else None
+
+
+def origin(feed: Feed) -> list[F.Column]:
+    """Identity of a row: file, line, and the stamp in the file's name."""
+    name = F.url_decode(F.regexp_replace(F.regexp_extract("file", "[^/]*$", 0), r"\\+", "%2B"))
+    return [F.col("file").alias("_file"), F.col("line_no").alias("_line_no"),
+            file_stamp(name, feed.prefix, feed.stamp_digits, feed.stamp_format).alias("_stamp")]
+
+
+def shaped_table(parsed: DataFrame, unnumbered: DataFrame, feed: Feed, n: int, header: list[str] | None,
+                 strict: bool, keep: list[F.Column]) -> DataFrame:
+    """A5/A6/A7 for records of ``n`` fields: the one table builder of batch and stream."""
+    if feed.has_header:
+        return TB.to_table_header(parsed, list(header), strict=strict, keep=keep)
+    if feed.all_string:
+        return TB.to_table_positional(parsed, n, base=1, strict=strict, keep=keep)
+    table = TB.to_table_positional(parsed, n, base=0, pad=True, strict=strict, keep=keep)
+    # inference needs no line numbers: aggregate over the unnumbered scan
+    whole = unnumbered.filter(n_fields() == n)
+    return TB.cast_table(table, TB.infer_types(TB.to_table_positional(whole, n, base=0, pad=True, strict=False)))
+
+
+def build_table(spark: SparkSession, prof: Profiled, feed: Feed, strict: bool = True) -> tuple[DataFrame, list[str], DataFrame | None]:
+    """A5/A6/A7 + G1 for one feed: returns (table with ORIGIN, data columns, rejected)."""
+    n, header = first_shape(prof, feed)
+    parsed, rejected = prof.lines, None
     if not strict:
         parsed, rejected = TB.split_by_arity(parsed, n)
-    if feed.has_header:
-        table = TB.to_table_header(parsed, list(header), strict=strict)
-    elif feed.all_string:
-        table = TB.to_table_positional(parsed, n, base=1, strict=strict)
-    else:
-        table = TB.to_table_positional(parsed, n, base=0, pad=True, strict=strict)
-        # inference needs no line numbers: aggregate over the unnumbered scan
-        types = TB.infer_types(TB.to_table_positional(prof.unnumbered, n, base=0, pad=True, strict=False))
-        table = TB.cast_table(table, types)
-    return table, table.columns, rejected
+    table = shaped_table(parsed, prof.unnumbered, feed, n, header, strict, origin(feed))
+    return table, [c for c in table.columns if c not in ORIGIN], rejected
+
+
+def _file_mismatches(prof: Profiled, feed: Feed, n: int, found: DataFrame, all_lines: bool) -> list[str]:
+    """E1 per file: files whose rows differ between source and output (the first few)."""
+    want = prof.per_file.select("file", _rows_expected(feed, n, all_lines).cast("bigint").alias("want"))
+    both = want.join(found.groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("got")), "file", "full_outer")
+    bad = both.filter(F.coalesce("want", F.lit(0)) != F.coalesce("got", F.lit(0)))
+    return [f"{r['file']}: {r['want']} in the source, {r['got']} in the output" for r in bad.orderBy("file").limit(5).collect()]
 
 
 def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: str | None = None,
@@ -119,43 +147,57 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
     """Resolve the feed, audit the CSV, build the table, write it staged,
     audit the Parquet, check integrity, swap into ``out`` (feed partition).
 
+    With ``strict=False`` records of another field count go to ``quarantine``,
+    which must be given: every line of the source is in one of the two.
     Returns a one-row audit DataFrame (FIXTURES.md ``audit`` schema)."""
     started = time.perf_counter()
     files = [paths] if isinstance(paths, str) else list(paths)
-    feed = resolve_feed_name(feed_name or files[0].rsplit("/", 1)[-1])
-    prof = profile_source(spark, files, feed)
-    table, data_cols, rejected = build_table(spark, prof, feed, strict)
-    staged = stage or scratch_path(spark, f"stage-{feed.key}")
-    obs = Observation(f"rows_{feed.key}")
-    write_staged(table.observe(obs, F.count(F.lit(1)).alias("rows")), f"{staged}/feed={feed.key}",
-                 row_group_bytes=feed.row_group_bytes)
-    if rejected is not None and quarantine:
-        rejected.withColumn("feed", F.lit(feed.key)).write.mode("overwrite").partitionBy("feed").parquet(quarantine)
-
-    csv = _csv_side(prof, feed)
-    csv_total = csv.agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"), F.sum("size").alias("size"))
-    pq = A.parquet_stats(spark, f"{staged}/feed={feed.key}")
-    pq_total = pq.agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"), F.sum("size").alias("size"))
-    c_row, p_row = csv_total.collect()[0], pq_total.collect()[0]  # one row each
-    check = {"rows": c_row["rows"], "columns": c_row["columns"], "size": c_row["size"],
-             "p_rows": p_row["rows"], "p_columns": p_row["columns"], "p_size": p_row["size"]}
-    if strict and (check["rows"] != check["p_rows"] or check["columns"] != check["p_columns"]):
-        raise RuntimeError(f"integrity check failed for {feed.key}: csv {check['rows']}x{check['columns']}, "
-                           f"parquet {check['p_rows']}x{check['p_columns']}")
-    swap_in(spark, f"{staged}/feed={feed.key}", f"{out}/feed={feed.key}")  # swap after E1
-
-    csv_prev = A.first_data_rows(prof.lines, feed.has_header)
-    written = spark.read.parquet(f"{out}/feed={feed.key}")
-    pq_prev = A.first_output_rows(spark, f"{out}/feed={feed.key}", data_cols)
-    schema = [(f.name, f.dataType.simpleString()) for f in written.schema.fields]
+    if not strict and not quarantine:
+        raise ValueError("strict=False needs a quarantine for the records it takes out")
+    keys = {resolve_feed_name(feed_name or f.rstrip("/").rsplit("/", 1)[-1]).key for f in files}
+    if len(keys) != 1:
+        raise ValueError(f"files of several feeds: {', '.join(sorted(keys))}")
+    feed = FEED_BY_KEY[keys.pop()]
+    require_data(spark, files)
+    target = f"{out.rstrip('/')}/feed={feed.key}"
+    staged = f"{stage}/feed={feed.key}" if stage else staging_path(target)
+    prof, bad_staged = profile_source(spark, files, feed, widest=False), None
+    try:
+        table, data_cols, rejected = build_table(spark, prof, feed, strict)
+        n = len(data_cols)
+        obs = Observation(f"rows_{feed.key}")
+        write_staged(table.observe(obs, F.count(F.lit(1)).alias("rows")), staged, row_group_bytes=feed.row_group_bytes)
+        found, widest = spark.read.parquet(staged).select("_file"), n
+        if rejected is not None:
+            aside = f"{quarantine.rstrip('/')}/feed={feed.key}"
+            bad_staged = staging_path(aside)
+            write_staged(rejected, bad_staged)
+            bad = spark.read.parquet(bad_staged)
+            found = found.unionAll(bad.filter(F.col("line_no") > (1 if feed.has_header else 0)).select(F.col("file").alias("_file")))
+            widest = max(n, bad.agg(F.max("found")).head()[0] or 0)
+        wrong = _file_mismatches(prof, feed, n, found, not strict)
+        if wrong:
+            raise RuntimeError(f"integrity check failed for {feed.key}: {'; '.join(wrong)}")
+        csv_row = prof.per_file.agg(F.sum(_rows_expected(feed, None, False)).alias("rows"), F.sum("size").alias("size")).head()
+        pq = A.parquet_stats(spark, staged).agg(F.sum("rows").alias("rows"), F.sum("size").alias("size")).head()
+        if rejected is not None:
+            swap_in(spark, bad_staged, aside)
+        swap_in(spark, staged, target)  # swap after E1
+
+        csv_prev = A.first_data_rows(prof.numbered, feed)
+        written = spark.read.parquet(target)
+        pq_prev = A.first_output_rows(written, data_cols)
+    finally:
+        remove(spark, staged, *([bad_staged] if bad_staged else []), *prof.written)
+    schema = [(f.name, f.dataType.simpleString()) for f in written.schema.fields if f.name not in ORIGIN]
     elapsed = round(time.perf_counter() - started, 2)
     schema_col = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in schema])
     # the moved files are the checked files: the audit row reuses the numbers of
     # the integrity check instead of reading the output again
     stats = spark.range(1).select(
-        F.lit(check["rows"]).cast("bigint").alias("rows"), F.lit(check["columns"]).cast("int").alias("columns"),
-        F.lit(check["size"]).cast("bigint").alias("size"), F.lit(check["p_rows"]).cast("bigint").alias("p_rows"),
-        F.lit(check["p_columns"]).cast("int").alias("p_columns"), F.lit(check["p_size"]).cast("bigint").alias("p_size"),
+        F.lit(csv_row["rows"]).cast("bigint").alias("rows"), F.lit(widest).cast("int").alias("columns"),
+        F.lit(csv_row["size"]).cast("bigint").alias("size"), F.lit(pq["rows"]).cast("bigint").alias("p_rows"),
+        F.lit(len(data_cols)).cast("int").alias("p_columns"), F.lit(pq["size"]).cast("bigint").alias("p_size"),
     )
     return (
         stats
@@ -164,7 +206,7 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
         .select(
             F.lit(feed.key).alias("feed"),
             F.lit(",".join(files)).alias("input"),
-            F.lit(f"{out}/feed={feed.key}").alias("output"),
+            F.lit(target).alias("output"),
             F.struct(F.col("rows").alias("rows"), F.col("columns").alias("columns"),
                      F.col("size").alias("size"), size_label("size").alias("size_label"),
                      F.col("c_prev").alias("preview")).alias("csv"),
@@ -232,13 +274,13 @@ def check(spark: SparkSession, csv_paths: str | list[str], parquet_path: str, fe
     csv = _csv_side(prof, feed).agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"),
                                     F.sum("size").alias("size")).withColumn("k", F.lit(1))
     pdf = spark.read.parquet(parquet_path)
-    data_cols = [c for c in pdf.columns if c != "feed"]
-    pq = A.parquet_stats(spark, parquet_path).agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"),
-                                                  F.sum("size").alias("size")).withColumn("k", F.lit(1))
+    data_cols = [c for c in pdf.columns if c != "feed" and c not in ORIGIN]
+    pq = A.parquet_stats(spark, parquet_path).agg(F.sum("rows").alias("rows"), F.sum("size").alias("size")).withColumns(
+        {"k": F.lit(1), "columns": F.lit(len(data_cols))})
     integ = A.integrity(csv, pq, "k")
     schema = "row int, fields array<string>"
-    c_rows = A.first_data_rows(prof.lines, feed.has_header)
-    p_rows = A.first_output_rows(spark, parquet_path, data_cols)
+    c_rows = A.first_data_rows(prof.numbered, feed)
+    p_rows = A.first_output_rows(pdf, data_cols)
     c_prev = spark.createDataFrame([(i + 1, r) for i, r in enumerate(c_rows)], schema)  # <= 20 rows
     p_prev = spark.createDataFrame([(i + 1, r) for i, r in enumerate(p_rows)], schema)
     diff = A.preview_diff(c_prev.withColumn("k", F.lit(1)), p_prev.withColumn("k", F.lit(1)), ["k"])

@@ -30,10 +30,12 @@ def land_buckets(spark: SparkSession, df: DataFrame, value: str, bucket: str, or
     return path
 
 
-def land_ranges(spark: SparkSession, df: DataFrame, value: str, order: list[str], name: str, files: int = 4) -> str:
-    """Text files cut by ranges of ``order[0]``; lines sorted by ``order``."""
+def land_ranges(spark: SparkSession, df: DataFrame, value: str, order: list[str], name: str, files: int | None = None) -> str:
+    """Text files cut by ranges of ``order[0]``, as many as the session's shuffle makes of the
+    input (or ``files``); lines sorted by ``order``."""
     path = scratch_path(spark, name)
-    (df.repartitionByRange(files, F.col(order[0])).sortWithinPartitions(*order)
+    cut = [files, F.col(order[0])] if files else [F.col(order[0])]
+    (df.repartitionByRange(*cut).sortWithinPartitions(*order)
      .select(F.col(value).alias("value")).write.mode("overwrite").text(path))
     return path
 

@@ -29,6 +29,9 @@ from quayside.sources.catalog import catalog
 from quayside.sources.feeds import FEED_BY_KEY, FEEDS, resolve_feed
 from quayside.sources.lines import read_numbered_lines
 
+#: What a converted row carries besides its data (``plans.convert.ORIGIN``).
+ORIGIN = ["_file", "_line_no", "_stamp"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -388,12 +391,18 @@ days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),
 feeds(feed, prefix, date_only) AS (VALUES ('30D_SALES', '30D_SALES_', false), ('CLOSING_STOCK', 'CLOSING_STOCK_', false),
                           ('STOCK_INTRANSIT', 'STOCK_INTRANSIT_', false), ('SCCT', 'SCCT_RAWDATA_LD_WMP_', true)),
 exp AS (SELECT day, feed, prefix || strftime(day, '%Y%m%d') AS day_prefix, date_only FROM days CROSS JOIN feeds),
+named AS (
+  -- at most one feed's prefix starts a name; its 8-digit day is the equality key
+  SELECT name, path, size, mtime, CASE WHEN starts_with(name, '30D_SALES_') THEN '30D_SALES' WHEN starts_with(name, 'CLOSING_STOCK_') THEN 'CLOSING_STOCK'
+              WHEN starts_with(name, 'STOCK_INTRANSIT_') THEN 'STOCK_INTRANSIT' WHEN starts_with(name, 'SCCT_RAWDATA_LD_WMP_') THEN 'SCCT' END AS feed
+  FROM manifest WHERE ends_with(name, '.csv')),
+dated AS (
+  SELECT n.*, substr(name, 1, length(f.prefix) + 8) AS day_prefix FROM named n JOIN feeds f USING (feed)),
 hits AS (
   SELECT e.day, e.feed, m.name, m.path, m.size, m.mtime,
          row_number() OVER (PARTITION BY e.day, e.feed ORDER BY m.mtime DESC, m.path, m.name, m.size) AS rn
-  FROM exp e JOIN manifest m
-    ON starts_with(m.name, e.day_prefix) AND ends_with(m.name, '.csv')
-   AND (NOT e.date_only OR m.name = e.day_prefix || '.csv')),
+  FROM exp e JOIN dated m ON m.feed = e.feed AND m.day_prefix = e.day_prefix
+  WHERE NOT e.date_only OR m.name = e.day_prefix || '.csv'),
 scan AS (
   SELECT e.day, e.feed,
          CASE WHEN h.name IS NULL THEN e.day_prefix || '*.csv' ELSE h.name END AS name,
@@ -481,10 +490,7 @@ def _land_part_with_header(spark, sf) -> str:
 def _header_table(spark, sf) -> DataFrame:
     lines = read_numbered_lines(spark, _land_part_with_header(spark, sf), recursive=True)
     parsed = TB.parse(lines, ",", repair=FEED_BY_KEY["SCCT"].repair_dangling_quote)
-    shapes = TB.group_shapes(parsed, has_header=True)
-    if len(shapes) != 1:
-        raise ValueError("landed files disagree on their header")
-    return TB.to_table_header(parsed, shapes[0].header)
+    return TB.to_table_header(parsed, TB.one_shape(parsed, has_header=True).header)
 
 
 @query("header_table", """
@@ -510,8 +516,7 @@ def q_positional_schema(spark, sf):
     fields = F.array(s("c_custkey"), F.col("c_name"), s("c_nationkey"), money("c_acctbal"), F.col("c_mktsegment"))
     root = land_ranges(spark, c.withColumn("value", encode_csv(fields, ";")), "value", ["c_custkey"], "customer-positional")
     parsed = TB.parse(read_numbered_lines(spark, root), ";")
-    shapes = TB.group_shapes(parsed)
-    return TB.describe(spark, TB.to_table_positional(parsed, shapes[0].expected))
+    return TB.describe(spark, TB.to_table_positional(parsed, TB.one_shape(parsed).expected))
 
 
 @query("describe", """
@@ -533,8 +538,7 @@ def _events_typed(spark, sf) -> DataFrame:
                      ts_text("ts", "HH:mm:ss"), ts_text("ts", "yyyyMMdd"))
     root = land_ranges(spark, e.withColumn("value", encode_csv(fields, ",")), "value", ["event_id"], "events-text")
     parsed = TB.parse(read_numbered_lines(spark, root), ",")
-    shapes = TB.group_shapes(parsed)
-    table = TB.to_table_positional(parsed, shapes[0].expected, base=0, pad=True)
+    table = TB.to_table_positional(parsed, TB.one_shape(parsed).expected, base=0, pad=True)
     return TB.cast_table(table, TB.infer_types(table))
 
 
@@ -683,19 +687,17 @@ def q_run_feed(spark, sf):
     o = t(spark, sf, "orders").withColumn("bucket", (F.col("o_orderkey") / _RUN_BUCKET_ROWS).cast("bigint"))
     o = o.withColumn("value", encode_csv(_orders_fields(), ";"))
 
-    def name(k: str) -> str:
-        minutes = int(k)
-        return f"30D_SALES_202401{1 + minutes // 1440:02d}{(minutes // 60) % 24:02d}{minutes % 60:02d}00.csv"
-
-    root = land_named_files(spark, o, "value", "bucket", ["o_orderkey"], "orders-feed", name)
+    root = land_named_files(spark, o, "value", "bucket", ["o_orderkey"], "orders-feed", lambda k: f"30D_SALES_{_stamp14(k)}.csv")
     out = scratch_path(spark, "published")
     run_feed(spark, root, out, "30D_SALES").collect()
-    return spark.read.parquet(f"{out}/feed=30D_SALES")
+    return spark.read.parquet(f"{out}/feed=30D_SALES").drop(*ORIGIN)
 
 
 def _stamp14(k: str) -> str:
-    m = int(k)
-    return f"202401{1 + m // 1440:02d}{(m // 60) % 24:02d}{m % 60:02d}00"
+    """The k-th minute from the start of 2024."""
+    import datetime as dt
+
+    return (dt.datetime(2024, 1, 1) + dt.timedelta(minutes=int(k))).strftime("%Y%m%d%H%M%S")
 
 
 @query("run_all", """
@@ -765,7 +767,7 @@ def q_converted_table(spark, sf):
     root = land_ranges(spark, o.withColumn("value", encode_csv(_orders_fields(), ";")), "value", ["o_orderkey"], "orders-landing")
     out = scratch_path(spark, "published")
     convert(spark, root, out, "30D_SALES").collect()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop(*ORIGIN)
 
 
 @query("canonical_csv", """
@@ -889,8 +891,8 @@ def q_publish(spark, sf):
 def _messages(spark, sf) -> DataFrame:
     e = t(spark, sf, "events")
     et = F.col("event_type")
-    msg = (F.when(et == "error", F.concat(F.lit("Lỗi tại dòng "), s("event_id")))
-           .when(et == "purchase", F.concat(F.lit("Hoàn tất order of user "), s("user_id")))
+    msg = (F.when(et == "error", F.concat(F.lit("event with lỗi, number "), s("event_id")))
+           .when(et == "purchase", F.concat(F.lit("order hoàn tất for user "), s("user_id")))
            .when(et == "signup", F.concat(F.lit("WARNING: new user "), F.col("props")))
            .when(et == "click", F.concat(F.lit("Convert "), s("event_id"), F.lit(" Complete")))
            .otherwise(F.concat(F.lit("view "), F.col("props"))))
@@ -903,14 +905,15 @@ def _messages(spark, sf) -> DataFrame:
 _MESSAGES_SQL = """
 msgs AS (
   SELECT 'e' || CAST(event_id AS VARCHAR) AS id,
-         CASE event_type WHEN 'error' THEN 'Lỗi tại dòng ' || CAST(event_id AS VARCHAR)
-              WHEN 'purchase' THEN 'Hoàn tất order of user ' || CAST(user_id AS VARCHAR)
+         CASE event_type WHEN 'error' THEN 'event with lỗi, number ' || CAST(event_id AS VARCHAR)
+              WHEN 'purchase' THEN 'order hoàn tất for user ' || CAST(user_id AS VARCHAR)
               WHEN 'signup' THEN 'WARNING: new user ' || props
               WHEN 'click' THEN 'Convert ' || CAST(event_id AS VARCHAR) || ' Complete'
               ELSE 'view ' || props END AS message
   FROM events
   UNION ALL SELECT 'c' || CAST(conv_id AS VARCHAR) || '.' || CAST(turn AS VARCHAR), text FROM conversations)"""
 
+# --- fixed values (must equal the reference's): the severity words, and the feed prefixes above ---
 _SEVERITY_SQL = """CASE WHEN contains(lower(message), 'error') OR contains(lower(message), 'lỗi') OR contains(lower(message), 'failed') THEN 'error'
      WHEN contains(lower(message), 'hoàn tất') OR contains(lower(message), 'complete') OR contains(lower(message), 'success') THEN 'success'
      WHEN contains(lower(message), 'warning') OR contains(lower(message), 'dừng') THEN 'warning' ELSE 'info' END"""
@@ -1067,12 +1070,25 @@ def q_arity_quarantine(spark, sf):
                       "expected", "found")
 
 
+def _stream_landing(spark, sf) -> str:
+    """Lineitem as STOCK_INTRANSIT files, among a backup copy, another feed's file and a note."""
+    from quayside.plans.landing import land_named_files
+
+    li = _lineitem_ragged(spark, sf).withColumn("bucket", (F.col("l_orderkey") / 15000).cast("bigint"))
+    root = land_named_files(spark, li, "value", "bucket", ["l_orderkey", "l_linenumber"], "lineitem-landing",
+                            lambda k: f"STOCK_INTRANSIT_{_stamp14(k)}.csv")
+    few = t(spark, sf, "part").select(F.lit(0).alias("bucket"), "p_partkey", F.concat_ws(",", "p_name", "p_brand").alias("value"))
+    for n, name in enumerate(("STOCK_INTRANSIT_20240101000000_bak.csv", "CLOSING_STOCK_20240101000000.csv", "notes.txt")):
+        land_named_files(spark, few, "value", "bucket", ["p_partkey"], f"foreign-{n}", lambda k, name=name: name, root=root)
+    return root
+
+
 def _run_stream_ingest(spark, sf) -> tuple[str, str]:
     from quayside.streaming.ingest import start_ingest
 
-    landing = land_ranges(spark, _lineitem_ragged(spark, sf), "value", ["l_orderkey", "l_linenumber"], "lineitem-landing")
+    landing = _stream_landing(spark, sf)
     out, quarantine, ckpt = scratch_path(spark, "ingested"), scratch_path(spark, "quarantine"), scratch_path(spark, "ckpt")
-    q = start_ingest(spark, landing, FEED_BY_KEY["STOCK_INTRANSIT"], out, quarantine, ckpt, max_files_per_trigger=2)
+    q = start_ingest(spark, landing, FEED_BY_KEY["STOCK_INTRANSIT"], out, quarantine, ckpt)
     q.awaitTermination()
     return out, quarantine
 
@@ -1105,3 +1121,271 @@ def q_stream_liveness(spark, sf):
     q = start_liveness(spark, landing, table, ckpt)
     q.awaitTermination()
     return read_liveness(spark, table).withColumn("last_seen", ts_text("last_seen", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+# ------------------------------------------- G1-G4, F4, I4, K1: planted cases ---
+
+def _land_feed(spark, sf, table: str, key: str, fields: list, delim: str, name: str, bad=None, root: str | None = None, header: str | None = None) -> str:
+    """A table as one file of a feed; rows where ``bad`` holds get one field more."""
+    from quayside.functions.quoting import encode_columns
+    from quayside.plans.landing import land_named_files
+
+    line = encode_columns(fields, delim)
+    if bad is not None:
+        line = F.when(bad, F.concat(line, F.lit(f"{delim}extra"))).otherwise(line)
+    df = t(spark, sf, table).withColumn("value", line).withColumn("bucket", F.lit(0))
+    return land_named_files(spark, df, "value", "bucket", [key], f"land-{table}", lambda k: name, header=header, root=root)
+
+
+def _order_fields() -> list:
+    return [s("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")]
+
+
+def _part_fields() -> list:
+    return [s("p_partkey"), F.col("p_brand"), s("p_size")]
+
+
+@query("convert_quarantine", """
+SELECT '30D_SALES' AS feed, CAST(o_orderkey AS VARCHAR) AS key, o_orderkey % 7 = 3 AS rejected FROM orders
+UNION ALL SELECT 'STOCK_INTRANSIT', CAST(p_partkey AS VARCHAR), p_partkey % 5 = 3 FROM part""")
+def q_convert_quarantine(spark, sf):
+    """G1 with two feeds and one quarantine: every line is in its output or its quarantine."""
+    from quayside.plans.convert import convert
+
+    out, aside = scratch_path(spark, "published"), scratch_path(spark, "quarantine")
+    sales = _land_feed(spark, sf, "orders", "o_orderkey", _order_fields(), ";", "30D_SALES_20240101000000.csv", F.col("o_orderkey") % 7 == 3)
+    stock = _land_feed(spark, sf, "part", "p_partkey", _part_fields(), ";", "STOCK_INTRANSIT_20240101000000.csv", F.col("p_partkey") % 5 == 3)
+    for root, key in ((sales, "30D_SALES"), (stock, "STOCK_INTRANSIT")):
+        convert(spark, root, out, key, strict=False, quarantine=aside)
+    good = spark.read.parquet(out).select("feed", F.col("column1").alias("key"), F.lit(False).alias("rejected"))
+    bad = spark.read.parquet(aside).select("feed", F.split("value", ";")[0].alias("key"), F.lit(True).alias("rejected"))
+    return good.unionAll(bad)
+
+
+@query("failed_convert", """
+SELECT CAST(p_partkey AS VARCHAR) AS key, 'part' AS source, CAST(0 AS BIGINT) AS leftovers, true AS refused FROM part""")
+def q_failed_convert(spark, sf):
+    """a conversion that fails on a ragged line leaves the old output, and nothing else."""
+    from quayside.plans.convert import convert
+    from quayside.sources.catalog import catalog
+
+    out = scratch_path(spark, "published")
+    old = _land_feed(spark, sf, "part", "p_partkey", _part_fields(), ";", "30D_SALES_20240101000000.csv")
+    new = _land_feed(spark, sf, "orders", "o_orderkey", _order_fields(), ";", "30D_SALES_20240102000000.csv", F.col("o_orderkey") % 100 == 50)
+    convert(spark, old, out, "30D_SALES")
+    refused = False
+    try:
+        convert(spark, new, out, "30D_SALES")
+    except Exception as exc:  # noqa: BLE001 - the refusal is the result
+        refused = "wrong field count" in str(exc)
+    inside = catalog(spark, out).filter(~F.col("path").contains("/feed=30D_SALES/") | F.col("path").contains("/_staging/"))
+    left = inside.agg(F.count(F.lit(1)))
+    return spark.read.parquet(out).select(F.col("column1").alias("key"), F.lit("part").alias("source")).withColumns(
+        {"leftovers": left.scalar(), "refused": F.lit(refused)})
+
+
+@query("refused_inputs", """
+SELECT count(*) AS rows, true AS empty_file, true AS missing_file, true AS several_feeds, true AS no_quarantine FROM orders""")
+def q_refused_inputs(spark, sf):
+    """An empty file in a group, a path that is not there, files of two feeds, and records
+    to take out without a place for them are refused; the good file alone converts."""
+    from quayside.plans.convert import convert
+
+    root = _land_feed(spark, sf, "orders", "o_orderkey", _order_fields(), ";", "30D_SALES_20240101000000.csv")
+    good, out = f"{root}/30D_SALES_20240101000000.csv", scratch_path(spark, "published")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    empty = jvm.org.apache.hadoop.fs.Path(f"{root}/30D_SALES_20240102000000.csv")
+    empty.getFileSystem(conf).create(empty).close()
+
+    def refused(text: str, *args, **kw) -> bool:
+        try:
+            convert(spark, *args, **kw)
+        except Exception as exc:  # noqa: BLE001 - the refusal is the result
+            return text in str(exc)
+        return False
+
+    flags = {"empty_file": refused("no data in", [good, empty.toString()], out),
+             "missing_file": refused("PATH_NOT_FOUND", [good, f"{root}/30D_SALES_20250101000000.csv"], out),
+             "several_feeds": refused("several feeds", [good, f"{root}/SCCT_RAWDATA_LD_WMP_20240101.csv"], out),
+             "no_quarantine": refused("quarantine", good, out, strict=False)}
+    convert(spark, good, out)
+    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("rows")).withColumns({k: F.lit(v) for k, v in flags.items()})
+
+
+@query("late_string", """
+SELECT CAST(event_id AS VARCHAR) AS column0, CASE WHEN event_id = (SELECT max(event_id) FROM events) THEN 'abc' ELSE CAST(user_id AS VARCHAR) END AS column1,
+       'bigint' AS type0, 'string' AS type1 FROM events""")
+def q_late_string(spark, sf):
+    """One late value that is no number widens its column to text, and fails nothing."""
+    from quayside.plans.convert import convert
+
+    last = t(spark, sf, "events").agg(F.max("event_id")).scalar()
+    fields = [s("event_id"), F.when(F.col("event_id") == last, "abc").otherwise(s("user_id"))]
+    root = _land_feed(spark, sf, "events", "event_id", fields, ",", "CLOSING_STOCK_20240101000000.csv")
+    out = scratch_path(spark, "published")
+    convert(spark, root, out, "CLOSING_STOCK")
+    df = spark.read.parquet(out)
+    types = dict(df.dtypes)
+    return df.select(s("column0").alias("column0"), "column1", F.lit(types["column0"]).alias("type0"), F.lit(types["column1"]).alias("type1"))
+
+
+@query("run_selected", """
+SELECT '30D_SALES' AS feed, 'completed' AS status, count(*) AS published FROM orders
+UNION ALL SELECT 'STOCK_INTRANSIT', 'error', CAST(0 AS BIGINT) UNION ALL SELECT 'SCCT', 'pending', CAST(0 AS BIGINT)""")
+def q_run_selected(spark, sf):
+    """I4: selected files in order, each published; the first error stops the rest."""
+    from quayside.plans.convert import run_selected
+    from quayside.sources.catalog import ensure_dir, path_exists
+
+    root, target = scratch_path(spark, "zone"), ensure_dir(spark, scratch_path(spark, "serving"))
+    _land_feed(spark, sf, "orders", "o_orderkey", _order_fields(), ";", "30D_SALES_20240101000000.csv", root=root)
+    _land_feed(spark, sf, "part", "p_partkey", _part_fields(), ";", "STOCK_INTRANSIT_20240101000000.csv", F.col("p_partkey") % 9 == 4, root=root)
+    _land_feed(spark, sf, "part", "p_partkey", _part_fields(), ",", "SCCT_RAWDATA_LD_WMP_20240101.csv", header="key,brand,size", root=root)
+    names = {"30D_SALES": "30D_SALES_20240101000000.csv", "STOCK_INTRANSIT": "STOCK_INTRANSIT_20240101000000.csv", "SCCT": "SCCT_RAWDATA_LD_WMP_20240101.csv"}
+    states = run_selected(spark, [(f"{root}/{n}", k) for k, n in names.items()], scratch_path(spark, "published"), target)
+    out = None
+    for st in states:
+        row = (spark.read.parquet(f"{target}/feed={st['feed']}") if path_exists(spark, f"{target}/feed={st['feed']}") else spark.range(0)).agg(
+            F.count(F.lit(1)).alias("published")).select(F.lit(st["feed"]).alias("feed"), F.lit(st["status"]).alias("status"), "published")
+        out = row if out is None else out.unionAll(row)
+    return out
+
+
+@query("row_origin", """
+SELECT CAST(o_orderkey AS VARCHAR) AS key, row_number() OVER (ORDER BY o_orderkey) AS line_no,
+       '30D_SALES_20240203040506.csv' AS file, '2024-02-03 04:05:06' AS stamp, '30D_SALES_20240203040506.parquet' AS output, CAST(1 AS BIGINT) AS old_outputs
+FROM orders""")
+def q_row_origin(spark, sf):
+    """An output row knows its file, line and stamp, and the published feed its source."""
+    from quayside.plans.convert import convert
+
+    name, out = "30D_SALES_20240203040506.csv", scratch_path(spark, "published")
+    convert(spark, _land_feed(spark, sf, "orders", "o_orderkey", _order_fields(), ";", name), out, "30D_SALES")
+    listed = S.published_outputs(spark, out)
+    latest = S.latest_by_mtime(listed).join(S.old_output_count(listed), "feed").select("feed", F.col("name").alias("output"), "old_outputs")
+    rows = spark.read.parquet(out).select("feed", F.col("column1").alias("key"), F.col("_line_no").alias("line_no"),
+                                          F.regexp_extract("_file", "[^/]*$", 0).alias("file"), ts_text("_stamp").alias("stamp"))
+    return rows.join(latest, "feed").drop("feed")
+
+
+@query("source_output_diff", """
+WITH x AS (SELECT o_orderkey % 10 = 4 AS status, o_orderkey % 15 = 7 AS gone FROM orders)
+SELECT count(*) FILTER (WHERE gone) AS missing_right, count(*) FILTER (WHERE gone OR status) AS rows_differ,
+       count(*) FILTER (WHERE status AND NOT gone) AS status_differs FROM x""")
+def q_source_output_diff(spark, sf):
+    """E3 of landed text against its converted table, whole, by file and line, with planted changes."""
+    from quayside.plans.convert import convert, profile_source
+
+    out = scratch_path(spark, "published")
+    root = _land_feed(spark, sf, "orders", "o_orderkey", _order_fields(), ";", "30D_SALES_20240101000000.csv")
+    convert(spark, root, out, "30D_SALES")
+    left = TB.to_table_positional(profile_source(spark, [root], FEED_BY_KEY["30D_SALES"], widest=False).lines, 3, keep=["file", "line_no"])
+    key = F.col("column1").cast("bigint")
+    right = spark.read.parquet(out).filter(key % 15 != 7).withColumn("column2", F.when(key % 10 == 4, "?").otherwise(F.col("column2")))
+    right = right.withColumnsRenamed({"_file": "file", "_line_no": "line_no"})
+    diff = A.table_diff(left, right, ["file", "line_no"], ["column1", "column2", "column3"])
+    return diff.filter(F.col("column") == "column2").select("missing_right", "rows_differ", F.col("value_diff").alias("status_differs"))
+
+
+def _ingest(spark, landing: str, key: str) -> str:
+    from quayside.streaming.ingest import start_ingest
+
+    out = scratch_path(spark, "ingested")
+    start_ingest(spark, landing, FEED_BY_KEY[key], out, scratch_path(spark, "quarantine"), scratch_path(spark, "ckpt")).awaitTermination()
+    return out
+
+
+@query("stream_two_headers", """
+SELECT CAST(p_partkey AS VARCHAR) AS key, p_brand AS brand, CASE WHEN p_partkey % 2 = 0 THEN 'key,brand' ELSE 'id,make' END AS header FROM part""")
+def q_stream_two_headers(spark, sf):
+    """K1: two files of one width and different headers in one micro-batch are two tables."""
+    from quayside.plans.landing import land_named_files
+    from quayside.sources.catalog import catalog
+
+    root = scratch_path(spark, "zone")
+    for i, header in enumerate(("key,brand", "id,make")):
+        p = t(spark, sf, "part").filter(F.col("p_partkey") % 2 == i).withColumn("bucket", F.lit(0)).withColumn("value", F.concat_ws(",", "p_partkey", "p_brand"))
+        land_named_files(spark, p, "value", "bucket", ["p_partkey"], f"two-{i}", lambda k, i=i: f"SCCT_RAWDATA_LD_WMP_2024010{i + 1}.csv", header=header, root=root)
+    out = _ingest(spark, root, "SCCT")
+    folders = catalog(spark, out).select(F.regexp_extract("path", "^(.*/shape=[^/]*)/", 1).alias("d")).filter("d <> ''").distinct().collect()  # one a shape
+    rows = None
+    for r in folders:
+        df = spark.read.parquet(r["d"])
+        names = [c for c in df.columns if c in ("key", "brand", "id", "make")]
+        part = df.select(F.col(names[0]).alias("key"), F.col(names[1]).alias("brand"), F.lit(",".join(names)).alias("header"))
+        rows = part if rows is None else rows.unionAll(part)
+    return rows
+
+
+@query("stream_typed", """
+SELECT event_id AS column0, strftime(ts, '%Y-%m-%d') AS column1, value AS column2, 'bigint,date,double' AS types FROM events""")
+def q_stream_typed(spark, sf):
+    """K1 = I1: a feed of inferred types gets them in the stream too."""
+    root = _land_feed(spark, sf, "events", "event_id", [s("event_id"), ts_text("ts", "yyyy-MM-dd"), money("value")], ",", "CLOSING_STOCK_20240101000000.csv")
+    df = spark.read.parquet(f"{_ingest(spark, root, 'CLOSING_STOCK')}/n=3")
+    kinds = dict(df.dtypes)
+    return df.select("column0", ts_text("column1", "yyyy-MM-dd").alias("column1"), "column2", F.lit(",".join(kinds[f"column{i}"] for i in range(3))).alias("types"))
+
+
+@query("header_promotion_mixed", """
+SELECT c_custkey // 500 AS bucket, CAST(c_custkey AS VARCHAR) AS product_id, printf('%.2f', c_acctbal) AS revenue FROM customer""")
+def q_header_promotion_mixed(spark, sf):
+    """C9 file by file: only every other file brings the header, with odd white space around a name."""
+    from quayside.plans.landing import land_buckets
+
+    c = t(spark, sf, "customer").withColumn("bucket", (F.col("c_custkey") / 500).cast("bigint"))
+    fields = F.array(F.lit("2024-01-01"), s("c_nationkey"), s("c_custkey"), F.col("c_mktsegment"), F.lit("1"), money("c_acctbal"), F.lit("0"), F.lit("VND"))
+    c = c.withColumn("value", encode_csv(fields, ","))
+    parts = []
+    for i, header in enumerate((_BUSINESS_HEADER_LINE.replace("Store_ID", "\u00a0Store_ID\u2003"), None)):
+        root = land_buckets(spark, c.filter(F.col("bucket") % 2 == i), "value", "bucket", ["c_custkey"], f"customer-mixed-{i}", header=header)
+        parts.append(read_numbered_lines(spark, root, recursive=True))
+    table = TB.to_table_positional(TB.parse(parts[0].unionAll(parts[1]), ","), 8, keep=["file", "line_no"])
+    out = TB.promote_header(table)
+    return out.select(F.regexp_extract("file", "bucket=([0-9]+)", 1).cast("bigint").alias("bucket"), "product_id", "revenue")
+
+
+@query("ratio_ties", """
+SELECT DISTINCT p_size AS size, CAST(1665 AS BIGINT) AS p, CAST(30000 AS BIGINT) AS c, 94.5::DOUBLE AS ratio FROM part
+UNION ALL SELECT DISTINCT p_size, CAST(10486 AS BIGINT), CAST(28000 AS BIGINT), 62.5::DOUBLE FROM part
+UNION ALL SELECT DISTINCT p_size, CAST(1397 AS BIGINT), CAST(2000 AS BIGINT), 30.1::DOUBLE FROM part""")
+def q_ratio_ties(spark, sf):
+    """B9 where the printed value is a tie and the stored one is not."""
+    sizes = t(spark, sf, "part").select(F.col("p_size").alias("size")).distinct()
+    pairs = F.array(*[F.struct(F.lit(p).cast("bigint").alias("p"), F.lit(c).cast("bigint").alias("c")) for p, c in ((1665, 30000), (10486, 28000), (1397, 2000))])
+    x = sizes.select("size", F.explode(pairs).alias("x")).select("size", "x.p", "x.c")
+    return x.withColumn("ratio", compression_ratio("p", "c"))
+
+
+@query("job_failure", f"""
+WITH {_FILE_STATE_SQL.replace("failed AS (SELECT job, bool_or(status = 'error') AS jf", "failed AS (SELECT job, bool_or(status = 'error') OR job IN ('job1', 'job4') AS jf")}
+SELECT job, file, status FROM state""")
+def q_job_failure(spark, sf):
+    """J4 with job results: a failed job turns its converting files into errors."""
+    results = t(spark, sf, "events").select(F.concat(F.lit("job"), s(F.col("user_id") % 7)).alias("job")).distinct()
+    results = results.withColumn("failed", F.col("job").isin("job1", "job4"))
+    return TL.fold_file_state(_file_events(spark, sf), results).select("job", "file", "status")
+
+
+@query("since_run_all", """
+WITH logs AS (SELECT event_id, 'job' || CAST(user_id % 7 AS VARCHAR) AS job, ts FROM events),
+runs AS (SELECT 'job' || CAST(user_id % 7 AS VARCHAR) AS job, max(ts) AS started FROM events WHERE event_type = 'signup' GROUP BY 1),
+whole AS (SELECT max(ts) AS started FROM events WHERE event_type = 'purchase' AND event_id % 10 = 3)
+SELECT l.event_id, l.job FROM logs l LEFT JOIN runs r USING (job), whole w
+WHERE l.ts >= coalesce(greatest(r.started, w.started), r.started, w.started, l.ts)""")
+def q_since_run_all(spark, sf):
+    """J6 with RUN_ALL commands, which name no job."""
+    e = t(spark, sf, "events")
+    job = F.concat(F.lit("job"), s(F.col("user_id") % 7))
+    whole = (F.col("event_type") == "purchase") & (F.col("event_id") % 10 == 3)
+    commands = e.select(F.when(F.col("event_type") == "signup", "RUN").when(whole, "RUN_ALL").otherwise("LOG").alias("command"),
+                        F.when(~whole, job).alias("job"), F.col("ts").alias("created_at"))
+    return TL.since_last_run(e.select("event_id", job.alias("job"), "ts"), commands).select("event_id", "job")
+
+
+@query("log_retention_5000", """
+SELECT event_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 5000""")
+def q_log_retention_5000(spark, sf):
+    e = t(spark, sf, "events")
+    return TL.retain_last(e, ["event_type"], n=5000, ts="ts", tiebreak="event_id").select("event_id", "event_type")

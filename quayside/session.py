@@ -15,21 +15,26 @@ from pyspark.sql import SparkSession
 _LOCAL_CHECKPOINT_ROOT: str | None = None
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "quayside",
+def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "quayside",
                 extra: dict | None = None) -> SparkSession:
+    """A session with this library's settings. ``master`` and ``shuffle_partitions`` are left to
+    spark-submit unless given; tests and the bench give them."""
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.driver.memory", "16g")
     )
+    if master is not None:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", "16g")
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -42,7 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
     dir). Only when neither is set, as in tests, a temp folder is created and
-    registered as the checkpoint dir.
+    registered as the checkpoint dir; off a ``local`` master that would be a folder
+    of each machine's own, so there it is an error.
     """
     global _LOCAL_CHECKPOINT_ROOT
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -54,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if _LOCAL_CHECKPOINT_ROOT is None:
             _LOCAL_CHECKPOINT_ROOT = tempfile.mkdtemp(prefix="quayside-ckpt-")
         root = _LOCAL_CHECKPOINT_ROOT
@@ -72,4 +80,14 @@ def materialize(df, name: str):
     of an unpersisted plan computes it twice). Used for small side tables."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out.path_ = path
+    return out
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders this library wrote, where they are."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

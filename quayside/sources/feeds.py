@@ -29,7 +29,6 @@ class Feed:
     has_header: bool
     row_group_bytes: int | None = None
     repair_dangling_quote: bool = True
-    progress_every: int = 100000
 
 
 # --- fixed values (must equal the reference's) -----------------------------
@@ -84,40 +83,38 @@ def expected(spark: SparkSession, days: DataFrame, day_col: str = "day",
     )
 
 
-def resolve_feed_name(value: str | None, profiles: list[Feed] | None = None) -> Feed:
-    """B6 for one name on the driver (used to plan a single conversion)."""
-    if not value or not value.strip():
-        raise ValueError("missing feed type")
-    normalized = value.strip().upper()
+# B6 as data: rules in order of precedence, each (kind, text, feed key). A feed's key or bare prefix
+# names it exactly, a file name starts with its prefix; every key is tried before any prefix.
+def feed_rules(profiles: list[Feed] | None = None) -> list[tuple[str, str, str]]:
     table = profiles or FEEDS
-    for f in table:
-        if normalized == f.key:
-            return f
-    for f in table:
-        if normalized == f.prefix.rstrip("_") or normalized.startswith(f.prefix):
-            return f
-    raise ValueError(f"unsupported feed type: {value}")
+    by_prefix = [(kind, text, f.key) for f in table for kind, text in (("is", f.prefix.rstrip("_")), ("starts", f.prefix))]
+    return [("is", f.key, f.key) for f in table] + by_prefix
 
 
 def resolve_feed(name: Column | str, profiles: list[Feed] | None = None) -> Column:
-    """B6/E5 as one column expression: exact key first, then the prefix rules in
-    profile order; NULL when nothing matches (``raise_error`` it for strict use).
+    """B6/E5 as one column expression: the first rule that holds; NULL when none does
+    (``raise_error`` it for strict use).
 
     The attachment of a name to the (constant) feed dimension is a CASE, which
     is what a broadcast nested-loop join with ``startswith`` on a 4-row table
     reduces to, without the join.
     """
-    table = profiles or FEEDS
     col = F.col(name) if isinstance(name, str) else name
     n = F.upper(F.regexp_replace(col, r"(?U)^\s+|\s+$", ""))
-    expr = None
-    for f in table:
-        cond = n == F.lit(f.key)
-        expr = F.when(cond, F.lit(f.key)) if expr is None else expr.when(cond, F.lit(f.key))
-    for f in table:
-        cond = (n == F.lit(f.prefix.rstrip("_"))) | n.startswith(f.prefix)
-        expr = expr.when(cond, F.lit(f.key))
-    return expr
+    hits = [F.when(n == F.lit(text) if kind == "is" else n.startswith(text), F.lit(key)) for kind, text, key in feed_rules(profiles)]
+    return F.coalesce(*hits)
+
+
+def resolve_feed_name(value: str | None, profiles: list[Feed] | None = None) -> Feed:
+    """B6 for one name on the driver (used to plan a single conversion): the same rules."""
+    name = (value or "").strip().upper()
+    if not name:
+        raise ValueError("missing feed type")
+    holds = {"is": name.__eq__, "starts": name.startswith}
+    key = next((key for kind, text, key in feed_rules(profiles) if holds[kind](text)), None)
+    if key is None:
+        raise ValueError(f"unsupported feed type: {value}")
+    return {f.key: f for f in profiles or FEEDS}[key]
 
 
 def resolve_feed_strict(name: Column | str, profiles: list[Feed] | None = None) -> Column:

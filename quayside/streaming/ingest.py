@@ -3,23 +3,33 @@
 The stream tracks *which* files are new (a ``binaryFile`` stream with the
 content column pruned: only paths, sizes and times are read), so each landed
 file is processed exactly once across restarts (the checkpoint records the
-consumed files). Every micro-batch then runs the batch operators over its new
-files: numbered lines, quote repair, strict shape with quarantine, and an
-idempotent write (each micro-batch writes its own ``feed=/ingest_batch=``
-folder in overwrite mode, so a replayed batch replaces its own output).
+consumed files). Every micro-batch runs the batch operators over its new files
+of the feed (C1: other names in the folder are left alone): numbered lines,
+quote repair, the table builder of the conversion, quarantine, and an idempotent
+write.
+
+Files of one shape - field count, header and column types - form one table:
+``n=<fields>/shape=<digest>/feed=<key>/ingest_batch=<id>``, written in overwrite
+mode, so a replayed batch replaces its own output and nothing else. Every line
+of a batch must be in its tables, its quarantine or a header, or the batch fails.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators import tables as TB
+from quayside.operators.selection import stamp_files
 from quayside.operators.sinks import write_staged
-from quayside.plans.convert import profile_source
+from quayside.plans.convert import origin, profile_source, shaped_table
+from quayside.session import remove
 from quayside.sources.feeds import Feed
 
+MAX_FILES = 1000
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -29,41 +39,52 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
+def shape_digest(table: DataFrame) -> str:
+    """Names and types of a table's columns, as a folder name."""
+    return hashlib.sha256(repr([(f.name, f.dataType.simpleString()) for f in table.schema.fields]).encode()).hexdigest()[:12]
+
+
 def ingest_batch(spark: SparkSession, files: list[str], feed: Feed, out: str, quarantine: str, batch_id: int) -> None:
     """One micro-batch: the new files of ``feed``, grouped by first-line shape."""
     if not files:
         return
-    prof = profile_source(spark, files, feed)
-    firsts = prof.per_file.select("file", "first").collect()  # one row per new file (<= maxFilesPerTrigger)
-    groups: dict[tuple, list[str]] = {}
-    for r in firsts:
-        key = (len(r["first"]), tuple(r["first"]) if feed.has_header else None)
-        groups.setdefault(key, []).append(r["file"])
-    single = len(groups) == 1
-    for (n, header), group_files in groups.items():
-        parsed = prof.lines if single else prof.lines.filter(F.col("file").isin(*group_files))
-        good, bad = TB.split_by_arity(parsed, n)  # every file of the group has n fields on line 1
-        if feed.has_header:
-            table = TB.to_table_header(good, list(header), strict=False, keep=["file", "line_no"])
-        else:
-            table = TB.to_table_positional(good, n, base=1, strict=False, keep=["file", "line_no"])
-        # one folder per (group, feed, batch): a replayed batch overwrites its own folder only
-        write_staged(table, f"{out}/n={n}/feed={feed.key}/ingest_batch={batch_id}", feed.row_group_bytes)
-        write_staged(bad, f"{quarantine}/feed={feed.key}/ingest_batch={batch_id}/n={n}")
+    prof = profile_source(spark, files, feed, widest=False)
+    try:
+        groups: dict[tuple, list] = {}
+        for r in prof.per_file.select("file", "first", "lines").collect():  # one row per new file (<= MAX_FILES)
+            groups.setdefault((len(r["first"]), tuple(r["first"]) if feed.has_header else None), []).append(r)
+        for (n, header), rows in groups.items():
+            mine = F.col("file").isin(*[r["file"] for r in rows]) if len(groups) > 1 else F.lit(True)
+            good, bad = TB.split_by_arity(prof.lines.filter(mine), n)  # every file of the group has n fields on line 1
+            keep = [F.col("file"), F.col("line_no"), origin(feed)[-1]]
+            table = shaped_table(good, prof.unnumbered.filter(mine), feed, n, list(header) if header else None, False, keep)
+            shape = shape_digest(table)
+            seen = [Observation(), Observation()]
+            counted = [df.observe(o, F.count(F.lit(1)).alias("rows")) for df, o in zip((table, bad), seen)]
+            # one folder per (shape, feed, batch): a replayed batch overwrites its own folder only
+            write_staged(counted[0], f"{out}/n={n}/shape={shape}/feed={feed.key}/ingest_batch={batch_id}", feed.row_group_bytes)
+            write_staged(counted[1], f"{quarantine}/feed={feed.key}/ingest_batch={batch_id}/n={n}/shape={shape}")
+            want = sum(r["lines"] for r in rows) - (len(rows) if feed.has_header else 0)
+            got = sum(o.get["rows"] for o in seen)
+            if got != want:
+                raise RuntimeError(f"batch {batch_id} of {feed.key}: {want} lines in the source, {got} written")
+    finally:
+        remove(spark, *prof.written)
 
 
 def start_ingest(spark: SparkSession, landing: str, feed: Feed, out: str, quarantine: str, checkpoint: str,
-                 available_now: bool = True, max_files_per_trigger: int | None = 1000):
+                 available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start K1 over ``landing``; returns the StreamingQuery. Each micro-batch
-    takes at most ``max_files_per_trigger`` new files (bounds the per-batch
-    file list and the number of first lines the driver sees)."""
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    takes at most ``max_files_per_trigger`` new files (default ``MAX_FILES``: bounds the
+    per-batch file list and the first lines the driver sees). A file's age never
+    hides it: one with an old modification time is taken when it is first seen."""
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
+              .option("maxFileAge", "36500d").option("maxFilesPerTrigger", str(max_files_per_trigger or MAX_FILES)))
     new_files = reader.load(landing).select("path", "length")
 
     def _batch(df: DataFrame, batch_id: int) -> None:
-        paths = [r["path"] for r in df.select("path").collect()]  # bounded by maxFilesPerTrigger
+        named = stamp_files(df.withColumn("name", F.regexp_extract("path", "[^/]*$", 0)))
+        paths = [r["path"] for r in named.filter((F.col("feed") == feed.key) & (F.col("length") > 0)).select("path").collect()]
         ingest_batch(spark, sorted(paths), feed, out, quarantine, batch_id)
 
     writer = new_files.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)

@@ -21,7 +21,11 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    # the training-data queries, where present, are tested against brute force instead where SQL has no form
+    from quayside.plans import registry
+
+    assert set(registry.ORACLE) == set(registry.QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def _norm(v):

@@ -195,3 +195,57 @@ def test_run_feed_run_all_and_selected(spark, tmp):
                                   (bad, "30D_SALES"), (os.path.join(root, "SCCT_RAWDATA_LD_WMP_20240301.csv"), "SCCT")],
                           out, target)
     assert [s["status"] for s in states] == ["completed", "error", "pending"]
+
+
+def test_a_changed_split_layout_raises_and_loses_no_line(spark, tmp):
+    write_bytes(tmp, "n/one.csv", "".join(f"{i:06d};row\n" for i in range(1, 40001)).encode())
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+        spark.conf.set("spark.sql.files.minPartitionNum", "4")
+        lines = read_numbered_lines(spark, os.path.join(tmp, "n"))
+        spark.conf.set("spark.sql.files.minPartitionNum", "7")
+        with pytest.raises(Exception, match="changed between two scans"):
+            lines.collect()
+        assert read_numbered_lines(spark, os.path.join(tmp, "n")).agg(F.max("line_no"), F.count("*")).head() == (40000, 40000)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_one_column_feed_with_a_blank_line(spark, tmp):
+    p = write_bytes(tmp, "30D_SALES_20240101000000.csv", b"a\n\nb\n")
+    audit = convert(spark, p, os.path.join(tmp, "out")).collect()[0]
+    assert (audit["csv"]["rows"], audit["parquet"]["rows"]) == (2, 3)
+
+
+def test_publish_that_fails_midway_shows(spark, tmp, monkeypatch):
+    from quayside.operators import sinks
+
+    target, staged = os.path.join(tmp, "serving"), os.path.join(tmp, "staged")
+    os.makedirs(target)
+    for feed, v in (("SCCT", 1), ("CLOSING_STOCK", 2)):
+        write_feed(spark.createDataFrame([(v,)], "k int"), staged, feed=feed)
+        write_feed(spark.createDataFrame([(0,)], "k int"), target, feed=feed)
+    real, done = sinks.swap_in, []
+
+    def failing(spark, src, dst):
+        if done:
+            raise RuntimeError("no")
+        done.append(dst)
+        real(spark, src, dst)
+
+    monkeypatch.setattr(sinks, "swap_in", failing)
+    with pytest.raises(RuntimeError):
+        publish(spark, staged, target, ["SCCT", "CLOSING_STOCK"], mode="all_or_nothing")
+    assert [r["feed"] for r in sinks.unfinished(spark, target).collect()] == ["CLOSING_STOCK"]
+    assert [spark.read.parquet(f"{target}/feed={f}").head()[0] for f in ("SCCT", "CLOSING_STOCK")] == [1, 0]
+    assert not os.listdir(os.path.join(target, "_staging"))
+
+
+def test_radix_numbers_of_any_length(spark):
+    from quayside.functions.scalars import comparable_number
+
+    values = ["0x1F", "0o17", "0b101", "0x" + "f" * 40, "0b1" + "0" * 70 + "1", "0x0", "0b" + "0" * 80 + "11", "0o7777777777777777777777777", "0x20000000000001", "0x1fffffffffffff8", "0xg", "0b2"]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v string").select(comparable_number("v")).collect()]
+    assert got == [float(int(v, 0)) if v[2:] not in ("g", "2") else None for v in values]
