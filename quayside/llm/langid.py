@@ -142,7 +142,7 @@ def mixture(like: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
         if not live.any():
             break
         less[np.arange(n), least] = np.where(live, 0, less[np.arange(n), least])
-        less /= np.maximum(less.sum(1, keepdims=True), 1e-300)
+        less /= np.maximum(less.sum(1, keepdims=True), tiny)
         pi, fitted = fit(less, REFIT)
         now = penalised(pi, fitted)
         live &= now >= value

@@ -77,7 +77,7 @@ def fair_queue(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     def packet(i):
         start = F.col("__start") + F.col("source_size") * i
         words = F.greatest(F.lit(0), F.least(cut - start, F.col("size")))
-        return F.struct(F.lit(i + 1).alias("pass"), ((start + words) / F.col("target")).alias("finish"), words.cast("bigint").alias("words"))
+        return F.struct(F.lit(i + 1).alias("pass"), F.try_divide(start + words, F.col("target")).alias("finish"), words.cast("bigint").alias("words"))
 
     queued = queued.withColumn("packets", F.array(*[packet(i) for i in range(PASSES)]))
     return queued.select(*own, "size", "source_size", "target",
