@@ -62,17 +62,18 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pad[:len(s[:SKETCH])] = s[:SKETCH] >> np.uint64(32)
             sketches.append(pad.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [rows.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+            [rows.column(0), rows.column(1), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
              pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-            ["did", "n", "s1", "s2", "keys", "sketch"])
+            ["did", "row", "n", "s1", "s2", "keys", "sketch"])
 
 
 def estimates(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Similarity of sketch ``one`` to each row of ``others`` from their union sketches."""
     last = np.minimum(one[-1], others[:, -1])[:, None]
-    mine = np.searchsorted(one, others)
+    known = np.zeros(1 << 16, bool)  # by the lower half: one foreign value in a thousand counts as shared
+    known[one & 0xFFFF] = True
     within = (others <= last) & (others != _PAD)
-    both = (within & (one[np.minimum(mine, SKETCH - 1)] == others)).sum(1)
+    both = (within & known[others & 0xFFFF]).sum(1)
     own = ((one <= last) & (one != _PAD)).sum(1)
     return both / np.maximum(1, own + within.sum(1) - both)
 
@@ -155,24 +156,31 @@ def _verify(group: pa.Table) -> pa.Table:
     return pa.table({"node": x[:, 0], "other": x[:, 1]})
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+def _identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns that tell rows apart: did, the doc_id, and row, the text."""
+    return docs.withColumns({"did": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)),
+                             "row": F.xxhash64(F.coalesce("text", F.lit("")))})
+
+
+def _classified(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: did, row, n, component."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "near-dup")
-    ids = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("did"), "text")
+    ids = _identified(docs.select("doc_id", "text")).select("did", "row", "text")
     signed = scratch.save(ids.mapInArrow(
-        _signatures, "did bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>, sketch binary"))
+        _signatures, "did bigint, row bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>, sketch binary"))
 
     classes = signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("did").alias("node"))
     classes = scratch.save(classes)
-    nodes = signed.join(classes, ["n", "s1", "s2"]).where("did = node").select("node", "n", "keys", "sketch")
-    lists = nodes.select("node", "n", "sketch", F.explode(F.array_distinct("keys")).alias("key"))
+    nodes = scratch.save(signed.join(classes, ["n", "s1", "s2"]).where("did = node").select("node", "n", "keys", "sketch"))
+    lists = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
     sizes = (lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
              .select("key", F.ceil(F.col("m") / LIST_BLOCK).cast("int").alias("blocks")))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     lists = lists.join(sizes, "key").select(
-        "node", "n", "sketch", F.explode(F.transform(
+        "node", F.explode(F.transform(
             F.sequence(F.lit(0), F.col("blocks") - 1),
             lambda j: F.xxhash64("key", F.least(mine, j), F.greatest(mine, j)))).alias("task"))
+    lists = lists.join(nodes.select("node", "n", "sketch"), "node")
     lists = lists.select("task", "node", "n", "sketch").repartition("task").sortWithinPartitions("task", "node")
     loose = scratch.save(lists.mapInArrow(_join_lists, _SIGNED).distinct())
 
@@ -191,19 +199,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     found = components(links, scratch)
     classed = classes.join(found, "node", "left").select("n", "s1", "s2", F.coalesce("component", "node").alias("component"))
-    out = signed.select("did", "n", "s1", "s2").join(classed, ["n", "s1", "s2"], "left")
-    component = F.coalesce("component", "did")
+    out = signed.select("did", "row", "n", "s1", "s2").join(classed, ["n", "s1", "s2"], "left")
+    return out.select("did", "row", "n", F.coalesce("component", "did").alias("component"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     unknown = F.lit(None).cast("bigint")
-    return out.select(F.when(F.col("did") < LAST_ID, F.col("did")).otherwise(unknown).alias("doc_id"),
-                      F.col("n").alias("n_shingles"),
-                      F.when(component < LAST_ID, component).otherwise(unknown).alias("component_id"),
-                      (F.col("did") == component).alias("kept"))
+    return _classified(docs).select(
+        F.when(F.col("did") < LAST_ID, F.col("did")).otherwise(unknown).alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.when(F.col("component") < LAST_ID, F.col("component")).otherwise(unknown).alias("component_id"),
+        (F.col("did") == F.col("component")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that a smaller doc_id stands for; of equal rows one stays."""
-    found = near_duplicates(docs)
-    keep = found.where("kept").groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("_many"))
-    kept = docs.join(keep.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    once = kept.where(~F.col("_many")).drop("_many")
-    return once.unionByName(kept.where("_many").drop("_many").dropDuplicates(["doc_id", "text"]))
+    columns = docs.columns
+    stays = _classified(docs).where("did = component").groupBy(F.col("did").alias("__did"), F.col("row").alias("__row")).agg(
+        (F.count(F.lit(1)) > 1).alias("__many"))
+    marked = docs.withColumns({"__did": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)),
+                               "__row": F.xxhash64(F.coalesce("text", F.lit("")))})
+    kept = marked.join(stays, ["__did", "__row"])
+    once = kept.where(~F.col("__many")).select(*columns)
+    return once.unionByName(kept.where("__many").dropDuplicates(["__did", "__row"]).select(*columns))
