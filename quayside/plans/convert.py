@@ -83,14 +83,16 @@ def _csv_side(prof: Profiled, feed: Feed) -> DataFrame:
     )
 
 
-def require_data(spark: SparkSession, paths: list[str]) -> None:
-    """G2/G3 over a listing: every path exists and no file of the group is empty."""
-    listed = spark.read.format("binaryFile").load(paths).select("path", "length")
-    empty = [r["path"] for r in listed.filter(F.col("length") == 0).select("path").orderBy("path").limit(5).collect()]
-    if empty:
-        raise ValueError(f"no data in: {', '.join(empty)}")
-    if listed.isEmpty():
-        raise ValueError(f"no data in: {', '.join(paths)}")
+def require_data(spark: SparkSession, paths: list[str], prof: Profiled) -> None:
+    """No file of the group is empty. The listing is the one that planning the scan made (a
+    path that does not exist fails there, G3); files without a line have no row in the profile."""
+    listed = spark.read.text(paths).inputFiles()
+    if len(listed) == prof.per_file.count():
+        return
+    name = F.regexp_extract("file", "[^/]*$", 0)
+    empty = spark.createDataFrame([(f,) for f in listed], "file string").select(name.alias("name")).join(
+        prof.per_file.select(name.alias("name")), "name", "left_anti")
+    raise ValueError(f"no data in: {', '.join(r['name'] for r in empty.orderBy('name').limit(5).collect()) or ', '.join(paths)}")
 
 
 def first_shape(prof: Profiled, feed: Feed) -> tuple[int, list[str] | None]:
@@ -158,11 +160,11 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
     if len(keys) != 1:
         raise ValueError(f"files of several feeds: {', '.join(sorted(keys))}")
     feed = FEED_BY_KEY[keys.pop()]
-    require_data(spark, files)
     target = f"{out.rstrip('/')}/feed={feed.key}"
     staged = f"{stage}/feed={feed.key}" if stage else staging_path(target)
     prof, bad_staged = profile_source(spark, files, feed, widest=False), None
     try:
+        require_data(spark, files, prof)
         table, data_cols, rejected = build_table(spark, prof, feed, strict)
         n = len(data_cols)
         obs = Observation(f"rows_{feed.key}")
