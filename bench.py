@@ -28,7 +28,7 @@ from quayside.operators import selection as S  # noqa: E402
 from quayside.operators import tables as TB  # noqa: E402
 from quayside.operators import telemetry as TL  # noqa: E402
 from quayside.plans.convert import convert  # noqa: E402
-from quayside.plans.landing import land_ranges  # noqa: E402
+from quayside.plans.landing import land_named_files, land_ranges  # noqa: E402
 from quayside.plans.registry import manifest  # noqa: E402
 from quayside.session import get_session, scratch_path  # noqa: E402
 from quayside.sources.feeds import FEED_BY_KEY  # noqa: E402
@@ -56,6 +56,9 @@ def main() -> None:
     li_text = li.withColumn("value", encode_columns(list(li_fields), ";"))
     files = max(4, int(cpus))
     lineitem_txt = land_ranges(spark, li_text, "value", ["l_orderkey", "l_linenumber"], "bench-lineitem", files)
+    lineitem_zone = land_named_files(  # the same lines as files of a feed: a stream takes no others
+        spark, li_text.withColumn("bucket", F.pmod("l_orderkey", F.lit(files))), "value", "bucket",
+        ["l_orderkey", "l_linenumber"], "bench-zone", lambda k: f"STOCK_INTRANSIT_2024010100{int(k):02d}00.csv")
     ev = t("events")
     ev_fields = (F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
                         F.col("user_id").cast("string"), F.col("event_type"), F.format_string("%.2f", "value"),
@@ -117,7 +120,7 @@ def main() -> None:
 
     def q_stream_ingest():
         out, quar, ckpt = (scratch_path(spark, n) for n in ("bench-ingest", "bench-quar", "bench-ckpt"))
-        start_ingest(spark, lineitem_txt, FEED_BY_KEY["STOCK_INTRANSIT"], out, quar, ckpt).awaitTermination()
+        start_ingest(spark, lineitem_zone, FEED_BY_KEY["STOCK_INTRANSIT"], out, quar, ckpt).awaitTermination()
 
     queries = {
         "split_quoted": q_split,

@@ -65,7 +65,9 @@ def profile_source(spark: SparkSession, paths: list[str], feed: Feed, widest: bo
     per_file = blocks.groupBy("_fkey").agg(
         F.sum("_nonblank").alias("rows_nonblank"), F.sum("_n").alias("lines"), columns.alias("columns"), F.max("_size").alias("size"))
     per_file = firsts.join(per_file, "_fkey").select("file", "first", "rows_nonblank", "lines", "columns", "size")
-    lines = parse(numbered).select("file", "file_size", "mtime", "line_no", "value", TOKENS, "fields")
+    # split below the join with the split table: a check of the field count above it, which names the
+    # line, then reads the tokens and does not split a second time
+    lines = number_lines(parse(raw), blocks).select("file", "file_size", "mtime", "line_no", "value", TOKENS, "fields")
     return Profiled(lines, per_file, parse(raw), numbered, [blocks.path_])
 
 
