@@ -584,6 +584,21 @@ def q_csv_stats(spark, sf):
     return st.select("file", "rows", F.col("columns").cast("bigint").alias("columns"), "size", "size_label")
 
 
+@query("csv_stats_quoted", """
+WITH l AS (SELECT doc_id, lang, unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS line FROM documents)
+SELECT doc_id AS file, CAST(count(*) AS BIGINT) AS rows, CAST(max(CASE WHEN doc_id % 3 = 1 AND line <> '' THEN 4 ELSE 3 END) AS BIGINT) AS columns FROM l GROUP BY doc_id""")
+def q_csv_stats_quoted(spark, sf):
+    """D1 over quoted fields: whole texts with their own quotes and delimiters, encoded."""
+    from quayside.functions.quoting import encode_columns
+
+    d = t(spark, sf, "documents")
+    lines = d.select(F.col("doc_id").alias("file"), "lang", F.posexplode(F.split("text", "\r\n|\r|\n")).alias("pos", "line"))
+    three, four = [s("file"), F.col("line"), F.coalesce("lang", F.lit("?"))], [s("file"), F.col("line"), F.lit(""), F.concat(F.lit('"'), "line", F.lit(",;"))]
+    value = F.when((F.col("file") % 3 == 1) & (F.col("line") != ""), encode_columns(four, ",")).otherwise(encode_columns(three, ","))
+    parsed = TB.parse(lines.select("file", (F.col("pos") + 1).alias("line_no"), value.alias("value")), ",", repair=False)
+    return A.csv_stats(parsed, "file", size_col=None).select("file", "rows", F.col("columns").cast("bigint").alias("columns"))
+
+
 @query("parquet_stats", """
 SELECT 'lineitem.parquet' AS name, count(*) AS rows, CAST(11 AS BIGINT) AS columns FROM lineitem""")
 def q_parquet_stats(spark, sf):
