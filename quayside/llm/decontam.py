@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.kernel import _SPACE, LOWER, chunks
+from quayside.llm.kernel import _SPACE, LOWER, chunks, mix
 from quayside.llm.suffix_dedup import _ranges
 
 Q = 8
@@ -84,6 +84,7 @@ class Index:
             if len(body) >= MIN_ITEM:
                 by_text.setdefault(body, []).append(i)
         self.texts, self.ids = list(by_text), list(by_text.values())
+        self.places = [letters(t) for t in self.texts]
         self.m = np.array([len(t) for t in self.texts], np.int64)
         self.k = (self.m * ERRORS).astype(np.int64)
         self.bound = self.m + 1 - Q - self.k * Q
@@ -118,75 +119,106 @@ class Index:
         good = hit + Q <= offsets[row + 1]
         hit, found, row = hit[good], found[good], row[good]
         n = self.start[found + 1] - self.start[found]
-        out, done, total = [], 0, np.r_[0, np.cumsum(n)]
-        held = np.zeros((4, 0), np.int64)
-        while done < len(hit):
-            upto = max(done + 1, int(np.searchsorted(total, total[done] + EXPAND, "right")) - 1)
-            part = slice(done, upto)
+        total = np.r_[0, np.cumsum(n)]
+        cuts = [0]
+        while cuts[-1] < len(hit):
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(total, total[cuts[-1]] + EXPAND, "right")) - 1))
+        parts = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+        def pairs(part):
+            """Bands of the shared q-grams of a part, twice: each lies in two; then bound, p and item position."""
             post = _ranges(self.start[found[part]], n[part])
             item, p, r = self.item[post], np.repeat(hit[part], n[part]), np.repeat(row[part], n[part])
-            width = self.k[item] + 1
             # diagonals from the start of the row, made positive
-            band = (p - offsets[r] - self.pos[post] + self.m[item]) // width
-            rows = np.stack([np.r_[r, r], np.r_[item, item], np.r_[band, band - 1], np.r_[p, p]])
-            rows = np.unique(np.concatenate([held, rows], 1), axis=1) if held.size else rows
-            done = upto
-            if done < len(hit):  # a row goes on in the next part
-                last = rows[0] == row[upto]
-                held, rows = rows[:, last], rows[:, ~last]
-            order = np.lexsort(rows[::-1])
-            rows = rows[:, order]
-            if not rows.shape[1]:
-                continue
-            distinct = np.r_[True, (rows[:, 1:] != rows[:, :-1]).any(0)]
-            rows = rows[:, distinct]
-            first = np.flatnonzero(np.r_[True, (rows[:3, 1:] != rows[:3, :-1]).any(0)])
-            count = np.diff(np.r_[first, rows.shape[1]])
-            for f in first[count >= self.bound[rows[1, first]]]:
-                r, i, b, _ = rows[:, f].tolist()
-                m, k = int(self.m[i]), int(self.k[i])
-                low = int(offsets[r]) + b * (k + 1) - m
-                out.append((r, i, max(int(offsets[r]), low - k), min(int(offsets[r + 1]), low + 2 * (k + 1) + m + k)))
+            band = (p - offsets[r] - self.pos[post] + self.m[item]) // (self.k[item] + 1)
+            key = (r * len(self.m) + item << 32) + band
+            return np.r_[key + 1, key], np.tile(self.bound[item], 2), np.tile(p, 2), np.tile(self.pos[post], 2)
+
+        # counts by hash are never too small, and settle nearly all bands
+        slot = lambda key: (mix(key.astype(np.uint64)) >> np.uint64(44)).astype(np.int64)
+        counts, made = np.zeros(1 << 20, np.int64), None
+        for part in parts:
+            made = pairs(part)
+            counts += np.bincount(slot(made[0]), minlength=len(counts))
+        keys, places, inner = [], [], []
+        for part in parts:
+            key, bound, p, pos = made if len(parts) == 1 else pairs(part)
+            rich = counts[slot(key)] >= bound
+            key, p, pos = key[rich], p[rich], pos[rich]
+            if len(parts) > 1:  # a part of very repetitive text: each place once
+                order = np.lexsort((p, key))
+                first = np.r_[True, (key[order][1:] != key[order][:-1]) | (p[order][1:] != p[order][:-1])][:len(order)]
+                key, p, pos = (x[order][first] for x in (key, p, pos))
+            keys.append(key)
+            places.append(p)
+            inner.append(pos)
+        if not keys:
+            return []
+        key, p, pos = (np.concatenate(x) for x in (keys, places, inner))
+        band, count = self._distinct(key, p)
+        if len(parts) == 1:  # as many places of the item must be met
+            count = np.minimum(count, self._distinct(key, pos)[1])
+        out = []
+        for x in band[count >= self.bound[(band >> 32) % len(self.m)]].tolist():
+            r, i = divmod(x >> 32, len(self.m))
+            m, k = int(self.m[i]), int(self.k[i])
+            low = int(offsets[r]) + ((x & 0xFFFFFFFF) - 1) * (k + 1) - m
+            out.append((r, i, max(int(offsets[r]), low - k), min(int(offsets[r + 1]), low + 2 * (k + 1) + m + k)))
         return out
 
+    @staticmethod
+    def _distinct(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys and the number of distinct values of each."""
+        order = np.lexsort((value, key))
+        key, value = key[order], value[order]
+        new = np.r_[True, (key[1:] != key[:-1]) | (value[1:] != value[:-1])][:len(key)]
+        return np.unique(key[new], return_counts=True)
+
     def verify(self, i: int, region: bytes) -> tuple[int, int, int] | None:
         """(edits, start, end) of the best span of ``region`` for item ``i``, if within its budget."""
         text, k = self.texts[i], int(self.k[i])
         at = region.find(text)
         if at >= 0:
             return 0, at, at + len(text)
-        edits, end = align(text, region)
+        edits, end = align(text, region, places=self.places[i])
         if edits > k:
             return None
         start = end - align(text[::-1], region[:end][::-1], fixed=True)[1]
         return edits, start, end
 
 
-def align(text: bytes, region: bytes, fixed: bool = False) -> tuple[int, int]:
+def letters(text: bytes) -> dict[int, int]:
+    """For each byte the bits of its places in ``text``."""
+    out: dict[int, int] = {}
+    for i, c in enumerate(text):
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
+def align(text: bytes, region: bytes, fixed: bool = False, places: dict[int, int] | None = None) -> tuple[int, int]:
     """Least edits of ``text`` against a span of ``region``, and the span's end. The span may start
-    anywhere, or only at 0 if ``fixed``. The band is the region's own width of diagonals."""
-    m, n = len(text), len(region)
-    a, b = np.frombuffer(text, np.uint8), np.frombuffer(region, np.uint8)
-    low = -m if fixed else -int(m * ERRORS) - 1
-    width = n - low + 1  # diagonal e holds region position i + e + low
-    at = np.arange(width) + low
-    big = 1 << 20
-    row = np.where((at == 0) if fixed else (at >= 0), 0, big)
-    if fixed:
-        row = np.where(at >= 0, at, big)
-    step = np.arange(width)
-    padded = np.r_[np.zeros(m + width, np.int16) - 1, b.astype(np.int16), np.zeros(m + width, np.int16) - 1]
-    for i in range(1, m + 1):
-        j = i + low  # region position of diagonal 0 after i bytes of text
-        base = m + width + j - 1
-        new = row + (padded[base:base + width] != a[i - 1])
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        new[(step + j < 0) | (step + j > n)] = big
-        row = np.minimum(np.minimum.accumulate(new - step) + step, big)
-    ends = step + m + low
-    row = np.where((ends >= 0) & (ends <= n), row, big)
-    best = int(row.argmin())
-    return int(row[best]), int(ends[best])
+    anywhere, or only at 0 if ``fixed``. ``region`` holds the retained band of diagonals; each column
+    of the alignment is a pair of bit vectors over ``text`` (Myers), up and down steps."""
+    m = len(text)
+    places = letters(text) if places is None else places
+    full, top, edge = (1 << m) - 1, 1 << m - 1, int(fixed)
+    up, down, score, best, end = full, 0, m, m, 0
+    for j, c in enumerate(region, 1):
+        eq = places.get(c, 0)
+        vertical = eq | down
+        across = (((eq & up) + up) ^ up) | eq
+        plus = down | (full & ~(across | up))
+        minus = up & across
+        if plus & top:
+            score += 1
+        elif minus & top:
+            score -= 1
+        plus, minus = plus << 1 | edge, minus << 1
+        up = (minus | ~(vertical | plus)) & full
+        down = plus & vertical & full
+        if score < best:
+            best, end = score, j
+    return best, end
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[int | None, str]]]:
