@@ -171,17 +171,18 @@ def _classified(docs: DataFrame) -> DataFrame:
 
     classes = signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("did").alias("node"))
     classes = scratch.save(classes)
-    nodes = scratch.save(signed.join(classes, ["n", "s1", "s2"]).where("did = node").select("node", "n", "keys", "sketch"))
+    nodes = scratch.save(signed.join(classes.hint("merge"), ["n", "s1", "s2"]).where("did = node").select("node", "n", "keys", "sketch"))
     lists = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
     sizes = (lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
              .select("key", F.ceil(F.col("m") / LIST_BLOCK).cast("int").alias("blocks")))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    lists = lists.join(sizes, "key").select(
+    lists = lists.join(sizes.hint("merge"), "key").select(
         "node", F.explode(F.transform(
             F.sequence(F.lit(0), F.col("blocks") - 1),
             lambda j: F.xxhash64("key", F.least(mine, j), F.greatest(mine, j)))).alias("task"))
-    lists = lists.join(nodes.select("node", "n", "sketch"), "node")
+    lists = lists.join(nodes.select("node", "n", "sketch").hint("merge"), "node")
     lists = lists.select("task", "node", "n", "sketch").repartition("task").sortWithinPartitions("task", "node")
+    # none of these sides has a size bound, so the joins above and below are sort-merge joins at every size
     loose = scratch.save(lists.mapInArrow(_join_lists, _SIGNED).distinct())
 
     clusters = components(loose, scratch)
@@ -194,12 +195,12 @@ def _classified(docs: DataFrame) -> DataFrame:
         "node", F.col("component").alias("cluster"), F.explode(F.transform(
             F.sequence(F.lit(0), F.col("blocks") - 1),
             lambda j: group.otherwise(F.xxhash64("component", F.least(mine, j), F.greatest(mine, j))))).alias("task")))
-    read = ids.join(members, ids["did"] == members["node"]).select("task", "cluster", "node", "text")
+    read = ids.join(members.hint("merge"), ids["did"] == members["node"]).select("task", "cluster", "node", "text")
     links = scratch.save(read.groupBy("task").applyInArrow(_verify, _SIGNED).distinct())
 
     found = components(links, scratch)
     classed = classes.join(found, "node", "left").select("n", "s1", "s2", F.coalesce("component", "node").alias("component"))
-    out = signed.select("did", "row", "n", "s1", "s2").join(classed, ["n", "s1", "s2"], "left")
+    out = signed.select("did", "row", "n", "s1", "s2").join(classed.hint("merge"), ["n", "s1", "s2"], "left")
     return out.select("did", "row", "n", F.coalesce("component", "did").alias("component"))
 
 
