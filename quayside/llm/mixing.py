@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import WORD
+from quayside.llm.common import WORD, Scratch
 
 WEIGHTS = (5, 2, 1)
 PASSES = 2
@@ -64,7 +64,8 @@ def fair_queue(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
                        F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), "source")).alias("__skey"),
                        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("__order"))
     rows = rows.withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS))
-    sums = rows.groupBy("__skey", "__bucket").agg(F.sum("size").alias("size"))
+    # written once: targets and offsets both read it, and the texts are counted no third time
+    sums = Scratch(docs.sparkSession, "mixing").save(rows.groupBy("__skey", "__bucket").agg(F.sum("size").alias("size")))
     before = Window.partitionBy("__skey").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("__skey", "__bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("__offset"))
     offsets = offsets.join(source_targets(sums, weights), "__skey")
