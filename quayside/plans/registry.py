@@ -1361,14 +1361,15 @@ def q_header_promotion_mixed(spark, sf):
 
 
 @query("ratio_ties", """
-SELECT DISTINCT p_size AS size, CAST(1665 AS BIGINT) AS p, CAST(30000 AS BIGINT) AS c, 94.5::DOUBLE AS ratio FROM part
-UNION ALL SELECT DISTINCT p_size, CAST(10486 AS BIGINT), CAST(28000 AS BIGINT), 62.5::DOUBLE FROM part
-UNION ALL SELECT DISTINCT p_size, CAST(1397 AS BIGINT), CAST(2000 AS BIGINT), 30.1::DOUBLE FROM part""")
+SELECT p_partkey AS part, CAST(1665 AS BIGINT) * p_size AS p, CAST(30000 AS BIGINT) * p_size AS c, 94.5::DOUBLE AS ratio FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT p_partkey, CAST(10486 AS BIGINT) * p_size, CAST(28000 AS BIGINT) * p_size, 62.5::DOUBLE FROM part WHERE p_partkey % 3 = 1
+UNION ALL SELECT p_partkey, CAST(1397 AS BIGINT) * p_size, CAST(2000 AS BIGINT) * p_size, 30.1::DOUBLE FROM part WHERE p_partkey % 3 = 2""")
 def q_ratio_ties(spark, sf):
-    """B9 where the printed value is a tie and the stored one is not."""
-    sizes = t(spark, sf, "part").select(F.col("p_size").alias("size")).distinct()
-    pairs = F.array(*[F.struct(F.lit(p).cast("bigint").alias("p"), F.lit(c).cast("bigint").alias("c")) for p, c in ((1665, 30000), (10486, 28000), (1397, 2000))])
-    x = sizes.select("size", F.explode(pairs).alias("x")).select("size", "x.p", "x.c")
+    """B9 where the printed value is a tie and the stored one is not, at the sizes of every part."""
+    third = F.col("p_partkey") % 3
+    p = F.when(third == 0, 1665).when(third == 1, 10486).otherwise(1397).cast("bigint") * F.col("p_size")
+    c = F.when(third == 0, 30000).when(third == 1, 28000).otherwise(2000).cast("bigint") * F.col("p_size")
+    x = t(spark, sf, "part").select(F.col("p_partkey").alias("part"), p.alias("p"), c.alias("c"))
     return x.withColumn("ratio", compression_ratio("p", "c"))
 
 
