@@ -54,7 +54,7 @@ TRIGGER = 16
 MODULUS_BITS = 5
 #: Distance of a window's first trigger beyond which it is compared by itself.
 REACH = 160
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 32 << 20
 PIECE = 1 << 20
 
