@@ -21,8 +21,7 @@ tokens; a history with more than ``split`` occurrences is spread over several.
 No vocabulary, n-gram or score passes through the driver: only ``LOW + 3`` sums
 per level do.
 
-Order three was measured out: its distinct trigrams alone need more disk than the
-corpus (README).
+The order is two; README says what order three would cost.
 
 Defined results: a NULL or empty text is one end token; a row whose ``held_out``
 is NULL, as for a NULL doc_id, teaches; rows that repeat a doc_id are scored and
@@ -46,8 +45,8 @@ from quayside.llm.kernel import chunks, mix, word_hashes
 #: Counts up to LOW are discounted.
 LOW = 5
 #: Bytes of text of a token block, tokens of a bucket, occurrences of a history per bucket.
-BLOCK_BYTES = 16 << 20
-BUCKET_TOKENS = 3_000_000
+BLOCK_BYTES = 8 << 20
+BUCKET_TOKENS = 2_000_000
 SPLIT = 1 << 20
 
 _END = np.uint64(0x656E64)
