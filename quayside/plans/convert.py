@@ -28,7 +28,7 @@ from quayside.operators import audit as A
 from quayside.operators import tables as TB
 from quayside.operators.selection import candidates, latest_by_stamp, require_latest
 from quayside.operators.sinks import staging_path, swap_in, write_staged
-from quayside.session import remove
+from quayside.session import materialize, remove
 from quayside.sources.catalog import catalog
 from quayside.sources.feeds import FEED_BY_KEY, FEEDS, Feed, resolve_feed_name
 from quayside.sources.lines import number_lines, split_table, tagged_lines
@@ -64,11 +64,12 @@ def profile_source(spark: SparkSession, paths: list[str], feed: Feed, widest: bo
     columns = F.coalesce(F.max("_widest"), F.lit(0)) if widest else F.lit(None).cast("int")
     per_file = blocks.groupBy("_fkey").agg(
         F.sum("_nonblank").alias("rows_nonblank"), F.sum("_n").alias("lines"), columns.alias("columns"), F.max("_size").alias("size"))
-    per_file = firsts.join(per_file, "_fkey").select("file", "first", "rows_nonblank", "lines", "columns", "size")
+    # read several times below: written once (a row per file), or each use would scan the text for line 1
+    per_file = materialize(firsts.join(per_file, "_fkey").select("file", "first", "rows_nonblank", "lines", "columns", "size"), "per-file")
     # split below the join with the split table: a check of the field count above it, which names the
     # line, then reads the tokens and does not split a second time
     lines = number_lines(parse(raw), blocks).select("file", "file_size", "mtime", "line_no", "value", TOKENS, "fields")
-    return Profiled(lines, per_file, parse(raw), numbered, [blocks.path_])
+    return Profiled(lines, per_file, parse(raw), numbered, [blocks.path_, per_file.path_])
 
 
 def _rows_expected(feed: Feed, n: int | None, all_lines: bool) -> F.Column:
@@ -110,7 +111,7 @@ def first_shape(prof: Profiled, feed: Feed) -> tuple[int, list[str] | None]:
 
 def origin(feed: Feed) -> list[F.Column]:
     """Identity of a row: file, line, and the stamp in the file's name."""
-    name = F.url_decode(F.regexp_replace(F.regexp_extract("file", "[^/]*$", 0), r"\\+", "%2B"))
+    name = F.substring_index("file", "/", -1)  # a name with a stamp has nothing that a URI would encode
     return [F.col("file").alias("_file"), F.col("line_no").alias("_line_no"),
             file_stamp(name, feed.prefix, feed.stamp_digits, feed.stamp_format).alias("_stamp")]
 
