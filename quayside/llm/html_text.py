@@ -1,22 +1,27 @@
 """Main text of web pages by differencing with the page of nearest URL.
 
 1. A page becomes lines: one for each block, character references decoded, white
-   space one space. Lines in elements that HTML or their class or id names as
-   something else than main text (navigation, header, footer, aside, form,
-   script, advert, notice, comments and so on) are left out; lines inside
-   ``article`` or ``main`` are marked as such.
+   space one space. Each line knows whether it is inside ``article`` or ``main``
+   and whether an element around it is named (by HTML or its class or id) as
+   something else than main text: navigation, header, footer, aside, form, advert,
+   notice, comments and so on.
 2. The distinct pages of a host are put in order of URL path. Each is paired
    with the neighbour that shares the longer path with it (the one before it on
    ties). The order is a range sort over all hosts, so a host that holds most
    pages is spread over many tasks; neighbours across task borders are found by
    row number.
-3. The lines of a pair are aligned by longest common subsequence. Shared lines
-   belong to the site, not the page: they are deleted, unless marked as main. A
-   pair that shares more than half of its text is one page twice and says
-   nothing; then the other neighbour is taken.
+3. All lines of a pair are aligned by longest common subsequence. Shared lines
+   belong to the site, not the page: they are deleted, inside ``article`` and
+   ``main`` and outside. A pair that shares more than half of the page's text is
+   one page twice and says nothing; then the other neighbour is taken.
+4. Names supplement the difference. Lines named as something else go too, but an
+   element with more than half of the page's text keeps it whatever its name, and
+   names that together hold more than half say nothing. If both neighbours are
+   the page twice, ``article`` and ``main`` with more than half of the text keep
+   theirs and lose the shared lines around them.
 
 Copies of a page on a host count once in the order and get the same result.
-A page with an ``article`` or ``main`` element has only its lines as text.
+Lines outside an ``article`` or ``main`` element are text unless shared or named.
 
 Defined results: NULL or empty html has the empty text; a NULL or odd url is a
 host of its own ('' and the whole url as path); rows that repeat a page_id are
@@ -58,6 +63,8 @@ _OTHER = frozenset(
     "cookies disqus footer header masthead menu nav navbar navigation newsletter notice notices popup promo promotion "
     "related replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget "
     "widgets contentinfo complementary alert".split())
+#: Kinds of lines: in none of these elements, inside article or main, inside an element named as something else.
+PLAIN, MAIN, OTHER = 0, 1, 2
 #: Void of end tags: an opening tag of the key closes an open one of the values.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "option": ("option",)}
 
@@ -71,42 +78,62 @@ def _other(name: str, attrs: str) -> bool:
     return bool(words & _OTHER) or bool(_HIDDEN.search(attrs))
 
 
-def page_lines(page: str | None) -> tuple[list[str], list[bool]]:
-    """Lines of a page without what its markup names as other, and whether each is marked as main."""
+def _scan(page: str, doubted: set[int] | None) -> tuple[list[str], list[int], list[int], int, int]:
+    """Lines, their kinds, the text in each named element, in all of them and in the page.
+
+    ``doubted`` elements (by their number; None for all) count as not named.
+    """
     lines: list[str] = []
-    main: list[bool] = []
+    kinds: list[int] = []
     buffer: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, starts what is left out, is main
-    out = inside = 0
+    beside: list[str] = []  # of elements left out inside a line
+    stack: list[tuple[str, int, bool, bool]] = []  # name, number if named, starts what is left out, is main
+    held: list[int] = []
+    out = inside = left = total = 0
 
-    def end_block():
+    def end(buffer: list[str], kind: int):
         text = " ".join(html_lib.unescape("".join(buffer)).split())
         buffer.clear()
         if text:
             lines.append(text)
-            main.append(inside > 0)
+            kinds.append(kind)
+
+    def end_block():
+        end(beside, OTHER)
+        end(buffer, MAIN if inside else PLAIN)
+
+    def put(text: str):
+        nonlocal left, total
+        (beside if out else buffer).append(text)
+        n = sum(map(len, (html_lib.unescape(text) if "&" in text else text).split()))
+        total += n
+        left += n if out else 0
 
     def pop():
         nonlocal out, inside
-        _, a, b = stack.pop()
+        _, number, a, b = stack.pop()
+        if number >= 0:
+            held[number] += total
         out -= a
         inside -= b
+        if a and not out:
+            end(beside, OTHER)
 
-    page, at = page or "", 0
+    at = 0
     for m in _TOKEN.finditer(page):
-        if not out and m.start() > at:
-            buffer.append(page[at:m.start()])
+        if m.start() > at:
+            put(page[at:m.start()])
         at = m.end()
         name = (m["name"] or "").lower()
         if not name:
             continue
         if name == "br":
-            buffer.append(" ")
+            (beside if out else buffer).append(" ")
             continue
         if name in _BLOCKS:
             end_block()
         elif name in ("td", "th"):
-            buffer.append(" ")
+            (beside if out else buffer).append(" ")
         if m["close"]:
             if any(x[0] == name for x in stack):
                 while stack[-1][0] != name:
@@ -120,27 +147,51 @@ def page_lines(page: str | None) -> tuple[list[str], list[bool]]:
                 pop()
             if name == "p":
                 continue  # p has no nesting; its blocks end at every block tag
-            a, b = _other(name, m["attrs"]), name in _MAIN
-            stack.append((name, a, b))
+            number = -1
+            if _other(name, m["attrs"]):
+                number = len(held)
+                held.append(-total)
+            a, b = number >= 0 and doubted is not None and number not in doubted, name in _MAIN
+            stack.append((name, number, a, b))
             out += a
             inside += b
-    if not out and at < len(page):
-        buffer.append(page[at:])
+    if at < len(page):
+        put(page[at:])
     end_block()
-    return lines, main
+    while stack:
+        pop()
+    return lines, kinds, held, left, total
+
+
+def page_lines(page: str | None) -> tuple[list[str], list[bool]]:
+    """Lines of a page without what its markup names as other, and whether each is marked as main."""
+    lines, kinds, *_ = _scan(page or "", set())
+    own = [i for i, k in enumerate(kinds) if k != OTHER]
+    return [lines[i] for i in own], [kinds[i] == MAIN for i in own]
+
+
+def marked_lines(page: str | None) -> tuple[list[str], list[int]]:
+    """All lines of a page and their kinds; what is named as other is never more than half of the text."""
+    page = page or ""
+    lines, kinds, held, left, total = _scan(page, set())
+    doubted = {i for i, n in enumerate(held) if 2 * n > total}
+    if doubted:
+        lines, kinds, _, left, _ = _scan(page, doubted)
+    if 2 * left > total:
+        lines, kinds, *_ = _scan(page, None)
+    return lines, kinds
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lines, main = [], []
+        lines, kinds = [], []
         for page in batch.column(2):
-            a, b = page_lines(page.as_py())
-            if any(b):
-                a, b = [x for x, y in zip(a, b, strict=True) if y], [True] * sum(b)
+            a, b = marked_lines(page.as_py())
             lines.append(a)
-            main.append(bool(b) and b[0])
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lines, pa.list_(pa.string())), pa.array(main)],
-                                         ["page_id", "url", "lines", "main"])
+            kinds.append(b)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(lines, pa.list_(pa.string())), pa.array(kinds, pa.list_(pa.int8()))],
+            ["page_id", "url", "lines", "kinds"])
 
 
 def _rows(a: list, b: list) -> list[int]:
@@ -196,16 +247,18 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         host, page, gone = [], [], []
         for r in batch.to_pylist():
-            own, sizes = r["hashes"], r["sizes"]
+            own, kinds = r["hashes"], r["kinds"]
+            sizes = [0 if k == OTHER else n for n, k in zip(r["sizes"], kinds, strict=True)]
             others = [(-_common(r["path"], r[f"{k}_path"]), n, r[f"{k}_hashes"]) for n, k in enumerate(("before", "after")) if r[f"{k}_path"] is not None]
-            for _, _, lines in sorted(others, key=lambda x: x[:2]):
-                same = shared(own, lines)
-                if 2 * sum(sizes[i] for i in same) <= sum(sizes):
-                    if same:
-                        host.append(r["host"])
-                        page.append(r["content"])
-                        gone.append(same)
-                    break
+            pairs = [shared(own, lines) for _, _, lines in sorted(others, key=lambda x: x[:2])]
+            same = next((x for x in pairs if 2 * sum(sizes[i] for i in x) <= sum(sizes)), None)
+            if same is None and 2 * sum(n for n, k in zip(sizes, kinds, strict=True) if k == MAIN) > sum(sizes):
+                same = [i for i in (pairs or [[]])[0] if kinds[i] != MAIN]
+            same = [i for i in same or () if kinds[i] != OTHER]
+            if same:
+                host.append(r["host"])
+                page.append(r["content"])
+                gone.append(same)
         yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(page, pa.int64()), pa.array(gone, pa.list_(pa.int32()))],
                                          ["host", "content", "gone"])
 
@@ -218,37 +271,33 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     path = F.regexp_replace(F.regexp_replace(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*|[?#].*$", ""), r"(?:\.html?|/)+$", "")
     parsed = pages.select("page_id", "url", "html").mapInArrow(
-        _parse, f"page_id {types['page_id']}, url {types['url']}, lines array<string>, main boolean")
-    parsed = scratch.save(parsed.select("page_id", "url", "lines", "main", host.alias("host"), path.alias("path"),
-                                        F.xxhash64("lines", "main").alias("content")))
+        _parse, f"page_id {types['page_id']}, url {types['url']}, lines array<string>, kinds array<tinyint>")
+    parsed = scratch.save(parsed.select("page_id", "url", "lines", "kinds", host.alias("host"), path.alias("path"),
+                                        F.xxhash64("lines", "kinds").alias("content")))
 
     line = F.struct("path", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
-                    F.transform("lines", lambda x: F.length(x)).alias("sizes"), "main")
+                    F.transform("lines", lambda x: F.length(x)).alias("sizes"), "kinds")
     distinct = parsed.groupBy("host", "content").agg(F.min(line).alias("page")).select(
-        "host", "content", "page.path", "page.hashes", "page.sizes", "page.main")
+        "host", "content", "page.path", "page.hashes", "page.sizes", "page.kinds")
     ordered = scratch.save(distinct.repartitionByRange("host", "path", "content").sortWithinPartitions("host", "path", "content")
                            .withColumn("row", F.monotonically_increasing_id()))
     part = F.shiftright("row", 33)
     ends = ordered.groupBy(part.alias("part")).agg(F.min("row").alias("first"), F.max("row").alias("last"))
-    before = F.lag("last").over(Window.orderBy("part"))  # one row for each task of the sort
-    ends = F.broadcast(ends.select("part", "first", before.alias("end_before")))
-    numbered = ordered.withColumn("part", part).join(ends, "part").withColumn(
-        "before", F.when(F.col("row") == F.col("first"), F.col("end_before")).otherwise(F.col("row") - 1))
-    links = numbered.select("row", "before").where("before is not null")
-    side = ordered.select("row", "host", "path", "hashes")
-
-    def neighbour(kind: str):
-        return side.select(F.col("row").alias(kind), F.col("host").alias(f"{kind}_host"), F.col("path").alias(f"{kind}_path"),
-                           F.col("hashes").alias(f"{kind}_hashes"))
-
-    pairs = (ordered.where("not main").join(links, "row", "left")
-             .join(links.select(F.col("before").alias("row"), F.col("row").alias("after")), "row", "left")
-             .join(neighbour("before"), "before", "left").join(neighbour("after"), "after", "left"))
-    for kind in ("before", "after"):
-        for c in ("path", "hashes"):
-            pairs = pairs.withColumn(f"{kind}_{c}", F.when(F.col(f"{kind}_host") == F.col("host"), F.col(f"{kind}_{c}")))
-    gone = pairs.select("host", "content", "path", "hashes", "sizes", "before_path", "before_hashes", "after_path", "after_hashes")
+    tasks = Window.orderBy("part")  # one row for each task of the sort
+    ends = F.broadcast(ends.select("part", "first", "last", F.lag("last").over(tasks).alias("end_before"), F.lead("first").over(tasks).alias("start_after")))
+    before = F.when(F.col("row") == F.col("first"), F.col("end_before")).otherwise(F.col("row") - 1)
+    after = F.when(F.col("row") == F.col("last"), F.col("start_after")).otherwise(F.col("row") + 1)
+    to = {"own": F.col("row"), "before": after, "after": before}  # a page is what lies before the next one
+    sent = (ordered.withColumn("part", part).join(ends, "part")
+            .withColumn("to", F.explode(F.array(*[F.struct(F.lit(k).alias("side"), v.alias("row")) for k, v in to.items()]))).where("to.row is not null"))
+    one = {k: F.max(F.when(F.col("to.side") == k, F.struct("host", "path", "hashes", *(("content", "sizes", "kinds") if k == "own" else ())))).alias(k)
+           for k in to}
+    own = F.col("to.side") == "own"
+    sent = sent.select("to", "host", "path", "hashes", *[F.when(own, F.col(c)).alias(c) for c in ("content", "sizes", "kinds")])
+    pairs = sent.groupBy("to.row").agg(*one.values())
+    gone = pairs.select("own.*", *[F.when(F.col(f"{k}.host") == F.col("own.host"), F.col(f"{k}.{c}")).alias(f"{k}_{c}")
+                                   for k in ("before", "after") for c in ("path", "hashes")])
     gone = scratch.save(gone.mapInArrow(_difference, "host string, content bigint, gone array<int>"))
     out = parsed.join(gone, ["host", "content"], "left")
-    kept = F.filter("lines", lambda x, i: F.col("gone").isNull() | ~F.array_contains("gone", i))
+    kept = F.filter("lines", lambda x, i: (F.get("kinds", i) != OTHER) & (F.col("gone").isNull() | ~F.array_contains("gone", i)))
     return out.select("page_id", "url", F.array_join(kept, "\n").alias("text"))

@@ -66,5 +66,20 @@ def test_nearest_page_gives_the_template(spark):
     assert got == sorted(want, key=str)
 
 
+def test_names_only_supplement_the_difference(spark):
+    def page(i):
+        return (f"<div class=site><p>Welcome to the site</div><div id=content><p>The long story {i} is told outside of any article here.</div>"
+                f"<article><p>Read more<p>Teaser {i}</article><div class=comment>Comment {i}</div>")
+
+    rows = [(i, f"http://d.org/a/{i}", page(i), None, 1) for i in range(3)]
+    rows += [(10, "http://form.org/", "<form><nav>Home</nav><div class=widget><p>All of the story</div><p>and more.</form>", None, 1)]
+    rows += [(11, "http://parts.org/", "<p>Hi" + "".join(f"<div class=widget>Part {i} of the story</div>" for i in range(4)), None, 1)]
+    rows += [(12, "http://lone.org/", "<div>The story of a lone page.</div><article>Teaser</article><footer>Foot</footer>", None, 1)]
+    want = [(i, f"http://d.org/a/{i}", f"The long story {i} is told outside of any article here.\nTeaser {i}") for i in range(3)]
+    want += [(10, "http://form.org/", "All of the story\nand more."), (11, "http://parts.org/", "Hi\n" + "\n".join(f"Part {i} of the story" for i in range(4)))]
+    want += [(12, "http://lone.org/", "The story of a lone page.\nTeaser")]
+    assert sorted(texts(spark, rows)) == want
+
+
 def test_empty_table(spark):
     assert texts(spark, []) == []
