@@ -1,7 +1,8 @@
 """Near-duplicates by bottom-k sketches of one hash function.
 
 1. A document's set is its distinct hashed word shingles. Equal sets collapse to
-   one *node* (their smallest doc_id) before anything is compared.
+   one *node* before anything is compared: the number of one of their rows, so
+   different sets are different nodes whatever their doc_ids are.
 2. A node keeps its ``KEYS`` smallest hashes as keys of inverted lists and its
    ``SKETCH`` smallest (upper halves) for estimates. Two sets with similarity s
    share none of their k smallest with probability (1 - s)^k: 2e-10 at 0.75.
@@ -10,10 +11,11 @@
    uniform sample of the union); estimates of ``LOOSE`` or more join them. A
    list gives a spanning forest of its joins, never its pairs. Lists over
    ``LIST_BLOCK`` members are compared block against block.
-4. Components of those joins are loose clusters. Their members' texts are read
+4. Components of those joins are loose clusters. One text of each member is read
    again and full sets compared exactly, cluster by cluster, large clusters
    block against block; confirmed links again leave as spanning forests.
-5. Components of the confirmed links give each node its smallest doc_id.
+5. Components of the confirmed links give each node the smallest doc_id of all
+   rows of its nodes.
 
 No pair is skipped unless its members are already joined, so no list or cluster
 size has a cap, and what leaves a task is linear in what enters it.
@@ -62,9 +64,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pad[:len(s[:SKETCH])] = s[:SKETCH] >> np.uint64(32)
             sketches.append(pad.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [rows.column(0), rows.column(1), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+            [rows.column(0), rows.column(1), rows.column(2), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
              pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-            ["did", "row", "n", "s1", "s2", "keys", "sketch"])
+            ["did", "row", "rid", "n", "s1", "s2", "keys", "sketch"])
 
 
 def estimates(one: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -165,13 +167,14 @@ def _identified(docs: DataFrame) -> DataFrame:
 def _classified(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: did, row, n, component."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "near-dup")
-    ids = _identified(docs.select("doc_id", "text")).select("did", "row", "text")
+    ids = _identified(docs.select("doc_id", "text")).select("did", "row", F.monotonically_increasing_id().alias("rid"), "text")
+    ids = scratch.save(ids)  # doc_id and text may repeat, rid does not
     signed = scratch.save(ids.mapInArrow(
-        _signatures, "did bigint, row bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>, sketch binary"))
+        _signatures, "did bigint, row bigint, rid bigint, n bigint, s1 bigint, s2 bigint, keys array<bigint>, sketch binary"))
 
-    classes = signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("did").alias("node"))
+    classes = signed.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("rid").alias("node"), F.min("did").alias("did"))
     classes = scratch.save(classes)
-    nodes = scratch.save(signed.join(classes.hint("merge"), ["n", "s1", "s2"]).where("did = node").select("node", "n", "keys", "sketch"))
+    nodes = scratch.save(signed.join(classes.drop("did").hint("merge"), ["n", "s1", "s2"]).where("rid = node").select("node", "n", "keys", "sketch"))
     lists = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
     sizes = (lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
              .select("key", F.ceil(F.col("m") / LIST_BLOCK).cast("int").alias("blocks")))
@@ -195,11 +198,14 @@ def _classified(docs: DataFrame) -> DataFrame:
         "node", F.col("component").alias("cluster"), F.explode(F.transform(
             F.sequence(F.lit(0), F.col("blocks") - 1),
             lambda j: group.otherwise(F.xxhash64("component", F.least(mine, j), F.greatest(mine, j))))).alias("task")))
-    read = ids.join(members.hint("merge"), ids["did"] == members["node"]).select("task", "cluster", "node", "text")
+    read = ids.join(members.hint("merge"), ids["rid"] == members["node"]).select("task", "cluster", "node", "text")
     links = scratch.save(read.groupBy("task").applyInArrow(_verify, _SIGNED).distinct())
+    scratch.drop(ids)
 
     found = components(links, scratch)
-    classed = classes.join(found, "node", "left").select("n", "s1", "s2", F.coalesce("component", "node").alias("component"))
+    labels = found.join(classes.select("node", "did").hint("merge"), "node").groupBy("component").agg(F.min("did").alias("label"))
+    named = found.join(scratch.save(labels).hint("merge"), "component").select("node", "label")
+    classed = classes.join(named.hint("merge"), "node", "left").select("n", "s1", "s2", F.coalesce("label", "did").alias("component"))
     out = signed.select("did", "row", "n", "s1", "s2").join(classed.hint("merge"), ["n", "s1", "s2"], "left")
     return out.select("did", "row", "n", F.coalesce("component", "did").alias("component"))
 

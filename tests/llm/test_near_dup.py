@@ -86,6 +86,22 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, "alone here"), (3, t), (7, ""), (7, "other")]
 
 
+@pytest.mark.parametrize("shared", [None, 5])
+def test_texts_that_share_an_id_are_told_apart(spark, shared):
+    t = " ".join(f"w{i}" for i in range(40))
+    near, other = t + " end", " ".join(f"u{i}" for i in range(30))
+    rows = [(3, t), (shared, near), (shared, other), (shared, other + " more"), (9, other + " and more")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs).collect())
+    low = shared or 9
+    assert got == sorted([(3, 36, 3, True), (shared or 0, 37, 3, False), (shared or 0, 26, low, low == shared),
+                          (shared or 0, 27, low, low == shared), (9, 28, low, low == 9)])
+    kept = sorted(r.text for r in one_of_each(docs).collect())
+    assert kept == sorted([t, other, other + " more"] if shared else [t, other + " and more"])
+    docs = spark.createDataFrame([(3, t), (shared, near), (shared, other)], "doc_id bigint, text string")
+    assert sorted(r.text for r in one_of_each(docs).collect()) == sorted([t, other])
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, 400), (400, 450), (9, 9)] + [(1000, 1001 + i) for i in range(50)]
     random.Random(1).shuffle(edges)
