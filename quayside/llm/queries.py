@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.llm.byte_bpe import Codec
 from quayside.llm.chat import format_chats
 from quayside.llm.common import table
 from quayside.llm.decontam import contained_items
@@ -22,6 +23,7 @@ from quayside.llm.mixing import fair_queue
 from quayside.llm.near_dup import near_duplicates
 from quayside.llm.quality import assess
 from quayside.llm.suffix_dedup import repeated_spans
+from quayside.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -156,3 +158,18 @@ def op4_html_text(spark, sf_dir):
 def op10_chat_format(spark, sf_dir):
     return format_chats(table(spark, sf_dir, "conversations")).select(
         "conv_id", "turn", "role", F.get("roles", F.lit(0)).alias("role_found"), F.size("roles").cast("bigint").alias("n_turns"), "n_lines", "rendered")
+
+
+@query("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    codec = Codec(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    decoded = codec.decode_ids(codec.encode_texts(table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", F.floor(F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
