@@ -22,6 +22,7 @@ from quayside.llm.line_dedup import dedup_lines
 from quayside.llm.mixing import fair_queue
 from quayside.llm.near_dup import near_duplicates
 from quayside.llm.quality import assess
+from quayside.llm.spelling import spelling_groups
 from quayside.llm.suffix_dedup import repeated_spans
 from quayside.llm.whitening import whiten
 
@@ -173,3 +174,8 @@ def op12_byte_bpe(spark, sf_dir):
     decoded = codec.decode_ids(codec.encode_texts(table(spark, sf_dir, "documents")))
     return decoded.select("doc_id", F.floor(F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_spelling")
+def op13_spelling(spark, sf_dir):
+    return spelling_groups(table(spark, sf_dir, "documents"))
