@@ -138,9 +138,13 @@ def is_blank_record(fields: Column | str) -> Column:
     return (F.size(arr) == 1) & (F.get(arr, 0) == F.lit(""))
 
 
+#: The only lines of one empty field.
+BLANK_LINES = ("", '"', '""')
+
+
 def is_blank_line(value: Column | str) -> Column:
-    """C7 on a raw line, without a split: the only lines of one empty field."""
-    return (F.col(value) if isinstance(value, str) else value).isin("", '"', '""')
+    """C7 on a raw line, without a split."""
+    return (F.col(value) if isinstance(value, str) else value).isin(*BLANK_LINES)
 
 
 # Column name under which ``parse`` keeps the field tokens of a line.

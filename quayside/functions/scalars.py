@@ -27,6 +27,7 @@ DISPLAY_MTIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _JS_SPACE_CHARS = ("\t\n\u000b\f\r \u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
                    + "\u2028\u2029\u202f\u205f\u3000\ufeff")
 _DECIMAL_SHAPE = "^[+-]?(?:[0-9]+\\.?[0-9]*|\\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+_RADIX_SHAPE = "^0(?:[xX][0-9a-fA-F]+|[oO][0-7]+|[bB][01]+)$"
 
 
 def _c(col: Column | str) -> Column:
@@ -131,24 +132,20 @@ def js_trim(text: Column | str) -> Column:
     return F.trim(_c(text), F.lit(_JS_SPACE_CHARS))
 
 
-def _radix_number(t: Column, base: int) -> Column:
-    """The digits after the two-character prefix as a double, of any length.
+def _radix_number(t: Column) -> Column:
+    """A 0x, 0o or 0b integer of any length as a double.
 
-    Their bits are cut to 64: the first 62 significant ones exactly, one more that
-    says whether any later bit is set (so that rounding to a double is as from all
-    bits), and the power of two that was cut off."""
-    width = {16: 4, 8: 3, 2: 1}[base]
+    Of the digits after the prefix the first ones that fill at most 60 bits are read exactly; one
+    more bit says whether anything but zeros follows, so that rounding to a double is as from all
+    digits, and the power of two that was cut off is multiplied back."""
+    kind = F.lower(F.substring(t, 2, 1))
+    base, width, keep = (F.when(kind == "x", x).when(kind == "o", o).otherwise(b) for x, o, b in ((16, 8, 2), (4, 3, 1), (15, 20, 60)))
     digits = F.ltrim(F.substr(t, F.lit(3)), F.lit("0"))
-    bits = digits
-    if width > 1:
-        for d in range(base):
-            bits = F.replace(bits, F.lit("0123456789abcdef"[d]), F.lit("".join("zo"[int(b)] for b in format(d, f"0{width}b"))))
-        bits = F.ltrim(F.translate(bits, "zo", "01"), F.lit("0"))
-    n = F.length(bits)
-    head = F.substring(bits, 1, 61)
-    sticky = F.when(F.contains(F.substr(bits, F.lit(62)), F.lit("1")), "1").otherwise("0")
-    long = F.conv(F.concat(head, sticky), 2, 10).cast("double") * F.pow(F.lit(2.0), (n - 62).cast("double"))
-    return F.when(n <= 62, F.conv(F.when(n == 0, "0").otherwise(bits), 2, 10).cast("double")).otherwise(long)
+    n = F.length(digits)
+    head = F.call_function("conv", F.substr(digits, F.lit(1), keep), base, F.lit(10)).cast("bigint")
+    rest = (F.ltrim(F.substr(digits, keep + 1), F.lit("0")) != "").cast("bigint")
+    long = (head * 2 + rest).cast("double") * F.pow(F.lit(2.0), (width * (n - keep) - 1).cast("double"))
+    return F.when(n == 0, F.lit(0.0)).when(n <= keep, head.cast("double")).otherwise(long)
 
 
 def comparable_number(value: Column | str) -> Column:
@@ -158,10 +155,8 @@ def comparable_number(value: Column | str) -> Column:
     # cheap guards first: the regexes only run on text that can be a number
     may_be_number = F.substring(t, 1, 1).isin(*list("+-.0123456789"))
     dec = F.when(may_be_number & t.rlike(_DECIMAL_SHAPE), t.try_cast("double"))
-    hexa = F.when(t.rlike("^0[xX][0-9a-fA-F]+$"), _radix_number(F.lower(t), 16))
-    octa = F.when(t.rlike("^0[oO][0-7]+$"), _radix_number(t, 8))
-    bina = F.when(t.rlike("^0[bB][01]+$"), _radix_number(t, 2))
-    num = F.coalesce(dec, hexa, octa, bina)
+    radix = may_be_number & F.lower(F.substring(t, 1, 2)).isin("0x", "0o", "0b") & t.rlike(_RADIX_SHAPE)
+    num = F.coalesce(dec, F.when(radix, _radix_number(t)))
     finite = num.isNotNull() & (F.abs(num) < F.lit(float("inf")))
     return F.when(finite, num + F.lit(0.0))  # + 0.0 folds -0.0 into 0.0
 
@@ -184,11 +179,13 @@ def comparable(value: Column | str) -> Column:
 def comparable_equal(a: Column | str, b: Column | str) -> Column:
     """B10 as a predicate: ``comparable(a) == comparable(b)`` without turning
     numbers back into text (numbers compare as doubles, other values as
-    trimmed text, NULL as '')."""
+    trimmed text, NULL as ''). Texts that are equal as they are, most of what a diff
+    meets, are settled first; only the others are read as numbers."""
     va, vb = _c(a).cast("string"), _c(b).cast("string")
+    same = F.coalesce(va, F.lit("")) == F.coalesce(vb, F.lit(""))
     na, nb = comparable_number(va), comparable_number(vb)
     ta, tb = js_trim(F.coalesce(va, F.lit(""))), js_trim(F.coalesce(vb, F.lit("")))
-    return F.when(na.isNotNull() | nb.isNotNull(), na.eqNullSafe(nb)).otherwise(ta == tb)
+    return F.when(same, F.lit(True)).when(na.isNotNull() | nb.isNotNull(), na.eqNullSafe(nb)).otherwise(ta == tb)
 
 
 def severity(message: Column | str) -> Column:

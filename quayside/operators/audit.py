@@ -8,13 +8,19 @@ shuffle. Diffs join on a unique position key: no key is hot.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.quoting import is_blank_line, is_blank_parsed, n_fields
 from quayside.functions.scalars import comparable_equal, comparable_number, size_label
+from quayside.operators.origin import first_rows
 
 PREVIEW_ROWS = 20
+#: Blocks that two tables are compared by before rows are: digests of 48 bytes, so a few hundred KB a task.
+DIFF_BLOCKS = 4096
 
 
 def _keys(keys: str | list[str]) -> list[str]:
@@ -77,11 +83,11 @@ def first_data_rows(numbered: DataFrame, feed, n: int = PREVIEW_ROWS) -> list[li
             parse(top, feed.delimiter, feed.repair_dangling_quote).select("file", "line_no", "fields").orderBy("file", "line_no").collect()]
 
 
-def first_output_rows(written: DataFrame, data_columns: list[str], n: int = PREVIEW_ROWS) -> list[list[str]]:
-    """C6 on the Parquet side: the first ``n`` rows by source file and line."""
-    top = written.orderBy("_file", "_line_no").limit(n)
-    return [list(r["fields"]) for r in
-            top.select("_file", "_line_no", as_string_fields(top, data_columns).alias("fields")).orderBy("_file", "_line_no").collect()]
+def first_output_rows(spark: SparkSession, folder: str, data_columns: list[str], n: int = PREVIEW_ROWS) -> list[list[str]]:
+    """C6 on the Parquet side: the first ``n`` rows of a converted table by source file and line."""
+    top = first_rows(spark, folder, n)
+    rows = top.select("_file", "_split", "_rid", as_string_fields(top, data_columns).alias("fields")).orderBy("_file", "_split", "_rid")
+    return [list(r["fields"]) for r in rows.collect()]
 
 
 def preview_literal(rows: list[list[str]]) -> Column:
@@ -162,12 +168,53 @@ def preview_diff(csv_rows: DataFrame, parquet_rows: DataFrame, keys: list[str] |
     return out
 
 
-def table_diff(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
-    """The E2 rule over whole tables aligned on ``keys`` (a sort-merge full
-    outer join), with per-column counts of lexical and of numeric mismatches.
+def block_digests(df: DataFrame, keys: list[str], columns: list[str], blocks: int = DIFF_BLOCKS) -> DataFrame:
+    """Per block of rows (by the hash of their keys) the row count and an order-independent digest
+    of 128 bits: the sums of the halves of two hashes over keys and cells (NULL as '', as the diff
+    compares them). Every task sends one fixed-width row per block. Rows with a NULL key, which
+    match nothing, are block -1."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (*keys, *columns)]
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    rows = df.select(F.when(no_key, F.lit(-1)).otherwise(F.pmod(F.xxhash64(*keys), F.lit(blocks)).cast("int")).alias("block"),
+                     F.xxhash64(*cells).alias("h0"), F.xxhash64(F.lit("second"), *reversed(cells)).alias("h1"))
+    halves = [F.sum(half).alias(f"{h}_{i}") for h in ("h0", "h1")
+              for i, half in enumerate((F.col(h).bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)))]
+    return rows.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), *halves)
+
+
+def differing_blocks(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str], blocks: int = DIFF_BLOCKS) -> DataFrame:
+    """``DF[block]`` of the blocks whose digests differ, or that hold rows without a key."""
+    a, b = (block_digests(df, keys, columns, blocks) for df in (left, right))
+    facts = [c for c in a.columns if c != "block"]
+    both = a.withColumnsRenamed({c: f"l_{c}" for c in facts}).join(b.withColumnsRenamed({c: f"r_{c}" for c in facts}), "block", "full_outer")
+    same = reduce(and_, [F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}")) for c in facts])
+    return both.filter(~same | (F.col("block") < 0)).select("block")
+
+
+def table_diff(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str] | None = None,
+               blocks: int = DIFF_BLOCKS) -> DataFrame:
+    """The E2 rule over whole tables aligned on ``keys`` (unique; of the same type on both
+    sides), with per-column counts of lexical and of numeric mismatches.
+
+    First both sides are reduced to digests of ``blocks`` blocks of rows; only blocks whose digests
+    differ are joined (a sort-merge full outer join), so equal tables move digests and nothing else.
+    Where more than half of the blocks differ, whole tables are joined.
 
     One output row per column: ``column, lexical_diff, value_diff`` plus the
     table-level ``missing_left``, ``missing_right``, ``rows_differ``."""
+    compared = columns or [c for c in left.columns if c not in keys]
+    differ = [r["block"] for r in differing_blocks(left, right, keys, compared, blocks).collect()]  # <= blocks + 1 numbers
+    if 2 * len(differ) <= blocks:
+        of_key = F.pmod(F.xxhash64(*keys), F.lit(blocks)).cast("int")
+        kept = of_key.isin(*[b for b in differ if b >= 0]) if differ and max(differ) >= 0 else F.lit(False)
+        if -1 in differ:
+            kept = reduce(or_, [F.col(k).isNull() for k in keys], kept)
+        left, right = left.filter(kept), right.filter(kept)
+    return joined_diff(left, right, keys, compared)
+
+
+def joined_diff(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
+    """``table_diff`` by the full join alone."""
     cols = columns or [c for c in left.columns if c not in keys]
     lsel = left.select(*keys, *[F.col(c).cast("string").alias(f"l_{i}") for i, c in enumerate(cols)], F.lit(True).alias("_l"))
     rsel = right.select(*keys, *[F.col(c).cast("string").alias(f"r_{i}") for i, c in enumerate(cols)], F.lit(True).alias("_r"))

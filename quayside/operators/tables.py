@@ -17,7 +17,10 @@ from quayside.functions.quoting import TOKENS, field, field_tokens, fields_of_pa
 from quayside.functions.scalars import js_trim
 from quayside.session import materialize
 
-FILE_BROADCAST_MAX_ROWS = 1_000_000
+#: Start of the message of a record that does not fit the shape of its table.
+WRONG_COUNT = "wrong field count in"
+# one row per file, a path of about 200 bytes; beyond it the join is a shuffle, with the same result
+FILE_BROADCAST_MAX_ROWS = 50_000
 
 
 # ---------------------------------------------------------------- parsing ---
@@ -100,21 +103,10 @@ def one_shape(parsed: DataFrame, has_header: bool = False) -> Shape:
     return found[0]
 
 
-def check_nonempty(lines: DataFrame, files: list[str] | None = None) -> list[str]:
-    """Files of ``files`` that have no line 1 (empty input) -> error."""
-    present = {r["file"] for r in lines.filter(F.col("line_no") == 1).select("file").collect()}
-    missing = [f for f in (files or []) if f not in present]
-    if missing:
-        raise ValueError(f"no data in: {', '.join(missing)}")
-    if not present:
-        raise ValueError("no data")
-    return sorted(present)
-
-
 def arity_error(expected: Column | int) -> Column:
     exp = F.lit(expected) if isinstance(expected, int) else expected
     return F.raise_error(F.concat(
-        F.lit("wrong field count in "), F.col("file"), F.lit(" at line "), F.col("line_no").cast("string"),
+        F.lit(f"{WRONG_COUNT} "), F.col("file"), F.lit(" at line "), F.col("line_no").cast("string"),
         F.lit(": expected "), exp.cast("string"), F.lit(", found "), n_fields().cast("string"),
     ))
 
@@ -132,6 +124,8 @@ def split_by_arity(parsed: DataFrame, expected: int | DataFrame) -> tuple[DataFr
     if isinstance(expected, int):
         tagged = parsed.withColumn("expected", F.lit(expected))
     else:
+        if not hasattr(expected, "path_"):  # counted and joined: written once
+            expected = materialize(expected, "expected")
         tagged = parsed.join(_maybe_broadcast(expected, expected.count()), "file")
     ok = n_fields() == F.col("expected")
     good = tagged.filter(ok).drop("expected")
@@ -173,6 +167,12 @@ def to_table_header(parsed: DataFrame, header: list[str], strict: bool = True,
     return body.select(*(keep or []), *cols)
 
 
+def to_table_named(parsed: DataFrame, names: list[str], strict: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """All-string table with the given names, of records that hold no header."""
+    cols = [c.alias(nm) for c, nm in zip(_cells(len(names)), names)]
+    return _checked(parsed, len(names), strict).select(*(keep or []), *cols)
+
+
 # Type ladder for A7, most specific first. TIME is detected but kept as text.
 _INT = "^[+-]?(0|[1-9][0-9]*)$"
 _DEC = "^[+-]?(?:(?:0|[1-9][0-9]*)(?:\\.[0-9]*)?|\\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"

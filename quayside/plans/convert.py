@@ -1,14 +1,20 @@
 """Convert, run one feed, run all feeds, run selected files, re-check.
 
-A conversion scans the source text in parallel, and splits its fields once (an
-inferred feed twice):
-
-1. a hash aggregate per (file, split): line count, first id, non-blank lines
-   (told without a split) - line numbers and the row counts of D1;
-2. line 1 of every file (H2/A6) and the first 20 data records (C6): light scans
-   that split only the lines they keep;
-3. parse + strict shape check + write (F1/F2), the widest record counted by
-   ``observe`` while writing. Every row keeps its file, line and stamp.
+A strict conversion reads the source text once:
+
+1. the heads of the files (``sources.heads``: first lines, no scan) give shape, header, the
+   source preview and, for an inferred feed, a guess of the column types;
+2. one pass parses, checks the shape and writes. Rows carry file, split and place instead of
+   a line number; ``observe`` counts lines, blank lines and headers, and for an inferred feed
+   which types the values of each column fit. Where they say other than the guess, and only
+   then, the pass is made again with the types found;
+3. the audit reads three columns of the output: rows and places of each split. They must be
+   consecutive and add up to the lines observed, so no line is lost or doubled, and they give
+   the offsets that line numbers are resolved with (``operators.origin``).
+
+Conversions with a quarantine, of groups of more than ``HEAD_FILES`` files, or of files in
+which a data line equals the header, are planned from numbered lines: a pass over the text
+for counts per split, then the write.
 
 Output is staged beside its target and moved into place only after the integrity
 check (E1, file by file) passes; what was staged goes in any case (F4).
@@ -22,19 +28,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.quoting import TOKENS, fields_of_parsed, is_blank_line, is_blank_parsed, n_fields
+from quayside.functions.quoting import BLANK_LINES, TOKENS, fields_of_parsed, is_blank_line, is_blank_parsed, n_fields
 from quayside.functions.scalars import compression_ratio, file_stamp, size_label
 from quayside.operators import audit as A
 from quayside.operators import tables as TB
+from quayside.operators.origin import ORIGIN, offsets_of, split_facts, write_offsets
 from quayside.operators.selection import candidates, latest_by_stamp, require_latest
 from quayside.operators.sinks import staging_path, swap_in, write_staged
 from quayside.session import materialize, remove
 from quayside.sources.catalog import catalog
 from quayside.sources.feeds import FEED_BY_KEY, FEEDS, Feed, resolve_feed_name
-from quayside.sources.lines import number_lines, split_table, tagged_lines
-
-#: Where a row of an output comes from; no part of the data.
-ORIGIN = ["_file", "_line_no", "_stamp"]
+from quayside.sources.heads import HEAD_FILES, Head, file_heads, first_records, listed_files, plain_names
+from quayside.sources.lines import number_lines, read_numbered_lines, split_table, tagged_lines
 
 
 @dataclass
@@ -44,6 +49,7 @@ class Profiled:
     unnumbered: DataFrame   # the parsed lines without line numbers (no join): for whole-table aggregates
     numbered: DataFrame     # the numbered lines before any split
     written: list[str] = field(default_factory=list)  # folders that go when the profile is no longer read
+    offsets: DataFrame | None = None  # file, split, first, before
 
 
 def profile_source(spark: SparkSession, paths: list[str], feed: Feed, widest: bool = True) -> Profiled:
@@ -65,11 +71,13 @@ def profile_source(spark: SparkSession, paths: list[str], feed: Feed, widest: bo
     per_file = blocks.groupBy("_fkey").agg(
         F.sum("_nonblank").alias("rows_nonblank"), F.sum("_n").alias("lines"), columns.alias("columns"), F.max("_size").alias("size"))
     # read several times below: written once (a row per file), or each use would scan the text for line 1
-    per_file = materialize(firsts.join(per_file, "_fkey").select("file", "first", "rows_nonblank", "lines", "columns", "size"), "per-file")
+    per_file = materialize(firsts.join(per_file, "_fkey").select("_fkey", "file", "first", "rows_nonblank", "lines", "columns", "size"), "per-file")
+    offsets = blocks.join(per_file.select("_fkey", "file"), "_fkey").select(
+        "file", F.col("block").alias("split"), F.col("_rid0").alias("first"), F.col("_before").alias("before"))
     # split below the join with the split table: a check of the field count above it, which names the
     # line, then reads the tokens and does not split a second time
-    lines = number_lines(parse(raw), blocks).select("file", "file_size", "mtime", "line_no", "value", TOKENS, "fields")
-    return Profiled(lines, per_file, parse(raw), numbered, [blocks.path_, per_file.path_])
+    lines = number_lines(parse(raw), blocks).select("file", "file_size", "mtime", "line_no", "block", "_rid", "value", TOKENS, "fields")
+    return Profiled(lines, per_file, parse(raw), numbered, [blocks.path_, per_file.path_], offsets)
 
 
 def _rows_expected(feed: Feed, n: int | None, all_lines: bool) -> F.Column:
@@ -87,15 +95,14 @@ def _csv_side(prof: Profiled, feed: Feed) -> DataFrame:
 
 
 def require_data(spark: SparkSession, paths: list[str], prof: Profiled) -> None:
-    """No file of the group is empty. The listing is the one that planning the scan made (a
-    path that does not exist fails there, G3); files without a line have no row in the profile."""
-    listed = spark.read.text(paths).inputFiles()
-    if len(listed) == prof.per_file.count():
-        return
+    """No file of the group is empty (files without a line have no row in the profile; a path
+    that does not exist fails when the scan is planned, G3). The listing is a DataFrame."""
     name = F.regexp_extract("file", "[^/]*$", 0)
-    empty = spark.createDataFrame([(f,) for f in listed], "file string").select(name.alias("name")).join(
-        prof.per_file.select(name.alias("name")), "name", "left_anti")
-    raise ValueError(f"no data in: {', '.join(r['name'] for r in empty.orderBy('name').limit(5).collect()) or ', '.join(paths)}")
+    listed = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file"))
+    empty = listed.select(name.alias("name")).join(prof.per_file.select(name.alias("name")), "name", "left_anti")
+    found = [r["name"] for r in empty.orderBy("name").limit(5).collect()]
+    if found or prof.per_file.isEmpty():
+        raise ValueError(f"no data in: {', '.join(found) or ', '.join(paths)}")
 
 
 def first_shape(prof: Profiled, feed: Feed) -> tuple[int, list[str] | None]:
@@ -110,9 +117,9 @@ def first_shape(prof: Profiled, feed: Feed) -> tuple[int, list[str] | None]:
 
 
 def origin(feed: Feed) -> list[F.Column]:
-    """Identity of a row: file, line, and the stamp in the file's name."""
+    """Identity of a row: file, split, place in the scan, and the stamp in the file's name."""
     name = F.substring_index("file", "/", -1)  # a name with a stamp has nothing that a URI would encode
-    return [F.col("file").alias("_file"), F.col("line_no").alias("_line_no"),
+    return [F.col("file").alias("_file"), F.col("block").alias("_split"), F.col("_rid"),
             file_stamp(name, feed.prefix, feed.stamp_digits, feed.stamp_format).alias("_stamp")]
 
 
@@ -147,6 +154,141 @@ def _file_mismatches(prof: Profiled, feed: Feed, n: int, found: DataFrame, all_l
     return [f"{r['file']}: {r['want']} in the source, {r['got']} in the output" for r in bad.orderBy("file").limit(5).collect()]
 
 
+@dataclass
+class Written:
+    """A staged output and what the audit says of its source."""
+
+    columns: list[str]
+    rows: int              # D1: data records of the source
+    size: int              # bytes of the source
+    widest: int
+    preview: list[list[str]]
+    rows_written: int
+    aside: tuple[str, str] | None = None  # staged quarantine and its place
+
+
+class NeedsNumbers(Exception):
+    """Line numbers are needed while the text is read: to name a misfit line, or because a data
+    line in a first split equals the header."""
+
+
+def _parsed_lines(spark: SparkSession, records: list[tuple[str, int, str]], feed: Feed) -> list[list[str]]:
+    """Fields of a few lines that the driver holds, by the splitter of the scan."""
+    lines = spark.createDataFrame([(i, v) for i, (_, _, v) in enumerate(records)], "i int, value string")
+    parsed = TB.parse(lines, feed.delimiter, feed.repair_dangling_quote)
+    return [list(r["fields"]) for r in parsed.select("i", "fields").orderBy("i").collect()]
+
+
+def _is_blank(value: str) -> bool:
+    """``is_blank_line`` for a line that the driver holds."""
+    return value in BLANK_LINES
+
+
+def _shape_of(spark: SparkSession, heads: list[Head], feed: Feed) -> tuple[int, list[str] | None]:
+    """H2/A6 of a group from the first lines of its files."""
+    firsts = sorted({h.lines[0] for h in heads})
+    fields = _parsed_lines(spark, [("", 1, v) for v in firsts], feed)
+    if len({tuple(f) if feed.has_header else len(f) for f in fields}) > 1:
+        raise ValueError(f"files of {feed.key} disagree on their first line: convert them as separate groups")
+    return len(fields[0]), fields[0] if feed.has_header else None
+
+
+def _guess_types(spark: SparkSession, heads: list[Head], feed: Feed, n: int) -> dict[str, str]:
+    """A7 of the lines in the heads."""
+    lines = spark.createDataFrame([(v,) for h in heads for v in h.lines], "value string")
+    parsed = TB.parse(lines, feed.delimiter, feed.repair_dangling_quote).filter(n_fields() == n)
+    return TB.infer_types(TB.to_table_positional(parsed, n, base=0, pad=True, strict=False))
+
+
+def write_in_one_pass(spark: SparkSession, files: list[str], listed: list[str], feed: Feed, staged: str) -> Written:
+    """A2-A7, G1, F1 and the facts for E1 from one read of the text (two if the types were guessed wrong)."""
+    heads = file_heads(spark, listed)
+    empty = [h.file.rsplit("/", 1)[-1] for h in heads if not h.lines]
+    if empty or not heads:
+        raise ValueError(f"no data in: {', '.join(empty[:5]) or ', '.join(files)}")
+    n, header = _shape_of(spark, heads, feed)
+    is_header = F.lit(False)
+    if feed.has_header:
+        is_header = (F.col("block") == 0) & F.col("value").isin(*{h.lines[0] for h in heads})
+    seen, made = Observation(), Observation()
+    raw = tagged_lines(spark, files).observe(
+        seen, F.count(F.lit(1)).alias("lines"), F.count_if(is_header).alias("headers"), F.count_if(~is_blank_line("value")).alias("nonblank"))
+    parsed = TB.parse(raw.filter(~is_header), feed.delimiter, feed.repair_dangling_quote)
+    parsed = parsed.withColumn("line_no", F.col("_rid"))  # for the message of a misfit, which is then made from numbered lines
+    inferred = not feed.has_header and not feed.all_string
+    if feed.has_header:
+        names = TB.fix_header_names(header)
+    else:
+        names = TB.positional_names(n, base=0 if inferred else 1, pad=inferred)
+    table = TB.to_table_named(parsed, names, keep=origin(feed))
+    types = _guess_types(spark, heads, feed, n) if inferred else {}
+    bits = [F.bit_or(TB.value_type_bit(F.col(c))).alias(f"m{i}") for i, c in enumerate(names)] if inferred else []
+    first = TB.cast_table(table.observe(made, F.count(F.lit(1)).alias("rows"), *bits), types)
+    try:
+        write_staged(first, staged, row_group_bytes=feed.row_group_bytes)
+    except Exception as failed:
+        if TB.WRONG_COUNT in str(failed):
+            raise NeedsNumbers from failed
+        raise
+    if inferred:
+        found = {c: TB.type_from_bits(made.get[f"m{i}"]) for i, c in enumerate(names)}
+        if found != types:
+            seen_before = dict(seen.get)
+            made = Observation()
+            again = TB.cast_table(table.observe(made, F.count(F.lit(1)).alias("rows")), found)
+            write_staged(again, staged, row_group_bytes=feed.row_group_bytes)
+            if made.get["rows"] != seen_before["lines"]:
+                raise RuntimeError(f"integrity check failed for {feed.key}: the source changed while it was read")
+    lines, headers, rows = seen.get["lines"], seen.get["headers"], made.get["rows"]
+    if feed.has_header and headers != len(listed):
+        raise NeedsNumbers
+    facts = materialize(split_facts(spark.read.parquet(staged).select("_file", "_split", "_rid")), "split-facts")
+    try:
+        broken = facts.filter(F.col("high") - F.col("low") + 1 != F.col("rows")).select("file").limit(5).collect()
+        total = facts.agg(F.sum("rows")).head()[0] or 0
+        if broken or not lines - headers == rows == total:
+            raise RuntimeError(f"integrity check failed for {feed.key}: {lines - headers} lines in the source, {total} in the output"
+                               + "".join(f"; lines of {r['file']} are missing" for r in broken))
+        write_offsets(offsets_of(facts, feed.has_header), staged)
+    finally:
+        remove(spark, facts.path_)
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).head()[0]
+    top = first_records(heads, A.PREVIEW_ROWS, _is_blank, 1 if feed.has_header else 0)
+    preview = A.first_data_rows(read_numbered_lines(spark, files), feed) if top is None else _parsed_lines(spark, top, feed) if top else []
+    return Written(names, seen.get["nonblank"] - headers, size, n, preview, rows)
+
+
+def write_numbered(spark: SparkSession, files: list[str], feed: Feed, staged: str, strict: bool, aside: str | None) -> Written:
+    """The same from numbered lines, with or without a quarantine: a pass for counts, one for each output."""
+    prof = profile_source(spark, files, feed, widest=False)
+    bad_staged = staging_path(aside) if aside else None
+    try:
+        require_data(spark, files, prof)
+        table, data_cols, rejected = build_table(spark, prof, feed, strict)
+        n = len(data_cols)
+        obs = Observation(f"rows_{feed.key}")
+        write_staged(table.observe(obs, F.count(F.lit(1)).alias("rows")), staged, row_group_bytes=feed.row_group_bytes)
+        found, widest = spark.read.parquet(staged).select("_file"), n
+        if rejected is not None:
+            write_staged(rejected, bad_staged)
+            bad = spark.read.parquet(bad_staged)
+            found = found.unionAll(bad.filter(F.col("line_no") > (1 if feed.has_header else 0)).select(F.col("file").alias("_file")))
+            widest = max(n, bad.agg(F.max("found")).head()[0] or 0)
+        wrong = _file_mismatches(prof, feed, n, found, not strict)
+        if wrong:
+            raise RuntimeError(f"integrity check failed for {feed.key}: {'; '.join(wrong)}")
+        write_offsets(prof.offsets, staged)
+        csv_row = prof.per_file.agg(F.sum(_rows_expected(feed, None, False)).alias("rows"), F.sum("size").alias("size")).head()
+        preview = A.first_data_rows(prof.numbered, feed)
+        return Written(data_cols, csv_row["rows"], csv_row["size"], widest, preview, obs.get["rows"], (bad_staged, aside) if aside else None)
+    except BaseException:
+        if bad_staged:
+            remove(spark, bad_staged)
+        raise
+    finally:
+        remove(spark, *prof.written)
+
+
 def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: str | None = None,
             strict: bool = True, quarantine: str | None = None, stage: str | None = None) -> DataFrame:
     """Resolve the feed, audit the CSV, build the table, write it staged,
@@ -165,48 +307,38 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
     feed = FEED_BY_KEY[keys.pop()]
     target = f"{out.rstrip('/')}/feed={feed.key}"
     staged = f"{stage}/feed={feed.key}" if stage else staging_path(target)
-    prof, bad_staged = profile_source(spark, files, feed, widest=False), None
+    aside = None if strict else f"{quarantine.rstrip('/')}/feed={feed.key}"
+    done = None
     try:
-        require_data(spark, files, prof)
-        table, data_cols, rejected = build_table(spark, prof, feed, strict)
-        n = len(data_cols)
-        obs = Observation(f"rows_{feed.key}")
-        write_staged(table.observe(obs, F.count(F.lit(1)).alias("rows")), staged, row_group_bytes=feed.row_group_bytes)
-        found, widest = spark.read.parquet(staged).select("_file"), n
-        if rejected is not None:
-            aside = f"{quarantine.rstrip('/')}/feed={feed.key}"
-            bad_staged = staging_path(aside)
-            write_staged(rejected, bad_staged)
-            bad = spark.read.parquet(bad_staged)
-            found = found.unionAll(bad.filter(F.col("line_no") > (1 if feed.has_header else 0)).select(F.col("file").alias("_file")))
-            widest = max(n, bad.agg(F.max("found")).head()[0] or 0)
-        wrong = _file_mismatches(prof, feed, n, found, not strict)
-        if wrong:
-            raise RuntimeError(f"integrity check failed for {feed.key}: {'; '.join(wrong)}")
-        csv_row = prof.per_file.agg(F.sum(_rows_expected(feed, None, False)).alias("rows"), F.sum("size").alias("size")).head()
+        listed = listed_files(spark, files)
+        if strict and len(listed) <= HEAD_FILES and plain_names(listed):
+            try:
+                done = write_in_one_pass(spark, files, listed, feed, staged)
+            except NeedsNumbers:
+                remove(spark, staged)
+        if done is None:
+            done = write_numbered(spark, files, feed, staged, strict, aside)
         pq = A.parquet_stats(spark, staged).agg(F.sum("rows").alias("rows"), F.sum("size").alias("size")).head()
-        if rejected is not None:
-            swap_in(spark, bad_staged, aside)
+        if done.aside:
+            swap_in(spark, *done.aside)
         swap_in(spark, staged, target)  # swap after E1
-
-        csv_prev = A.first_data_rows(prof.numbered, feed)
         written = spark.read.parquet(target)
-        pq_prev = A.first_output_rows(written, data_cols)
+        pq_prev = A.first_output_rows(spark, target, done.columns)
     finally:
-        remove(spark, staged, *([bad_staged] if bad_staged else []), *prof.written)
+        remove(spark, staged, *([done.aside[0]] if done and done.aside else []))
     schema = [(f.name, f.dataType.simpleString()) for f in written.schema.fields if f.name not in ORIGIN]
     elapsed = round(time.perf_counter() - started, 2)
     schema_col = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in schema])
     # the moved files are the checked files: the audit row reuses the numbers of
     # the integrity check instead of reading the output again
     stats = spark.range(1).select(
-        F.lit(csv_row["rows"]).cast("bigint").alias("rows"), F.lit(widest).cast("int").alias("columns"),
-        F.lit(csv_row["size"]).cast("bigint").alias("size"), F.lit(pq["rows"]).cast("bigint").alias("p_rows"),
-        F.lit(len(data_cols)).cast("int").alias("p_columns"), F.lit(pq["size"]).cast("bigint").alias("p_size"),
+        F.lit(done.rows).cast("bigint").alias("rows"), F.lit(done.widest).cast("int").alias("columns"),
+        F.lit(done.size).cast("bigint").alias("size"), F.lit(pq["rows"]).cast("bigint").alias("p_rows"),
+        F.lit(len(done.columns)).cast("int").alias("p_columns"), F.lit(pq["size"]).cast("bigint").alias("p_size"),
     )
     return (
         stats
-        .withColumn("c_prev", A.preview_literal(csv_prev))
+        .withColumn("c_prev", A.preview_literal(done.preview))
         .withColumn("p_prev", A.preview_literal(pq_prev))
         .select(
             F.lit(feed.key).alias("feed"),
@@ -220,7 +352,7 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
                      F.col("p_prev").alias("preview"), schema_col.alias("schema")).alias("parquet"),
             compression_ratio("p_size", "size").alias("compression_ratio"),
             F.lit(float(elapsed)).alias("elapsed_seconds"),
-            F.lit(obs.get.get("rows", 0) if obs.get else 0).cast("bigint").alias("rows_written"),
+            F.lit(done.rows_written).cast("bigint").alias("rows_written"),
         )
     )
 
@@ -285,7 +417,7 @@ def check(spark: SparkSession, csv_paths: str | list[str], parquet_path: str, fe
     integ = A.integrity(csv, pq, "k")
     schema = "row int, fields array<string>"
     c_rows = A.first_data_rows(prof.numbered, feed)
-    p_rows = A.first_output_rows(pdf, data_cols)
+    p_rows = A.first_output_rows(spark, parquet_path, data_cols)
     c_prev = spark.createDataFrame([(i + 1, r) for i, r in enumerate(c_rows)], schema)  # <= 20 rows
     p_prev = spark.createDataFrame([(i + 1, r) for i, r in enumerate(p_rows)], schema)
     diff = A.preview_diff(c_prev.withColumn("k", F.lit(1)), p_prev.withColumn("k", F.lit(1)), ["k"])

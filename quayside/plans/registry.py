@@ -22,6 +22,7 @@ from quayside.operators import audit as A
 from quayside.operators import selection as S
 from quayside.operators import tables as TB
 from quayside.operators import telemetry as TL
+from quayside.operators.origin import with_line_numbers
 from quayside.operators.sinks import publish, write_feed
 from quayside.plans.landing import land_buckets, land_ranges
 from quayside.session import scratch_path
@@ -29,8 +30,8 @@ from quayside.sources.catalog import catalog
 from quayside.sources.feeds import FEED_BY_KEY, FEEDS, resolve_feed
 from quayside.sources.lines import read_numbered_lines
 
-#: What a converted row carries besides its data (``plans.convert.ORIGIN``).
-ORIGIN = ["_file", "_line_no", "_stamp"]
+#: What a converted row carries besides its data (``operators.origin.ORIGIN``).
+ORIGIN = ["_file", "_split", "_rid", "_stamp"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -868,6 +869,18 @@ def q_table_diff(spark, sf):
     return A.table_diff(_orders_left(spark, sf), _orders_right(spark, sf), ["o_orderkey"], ["status", "price", "priority"])
 
 
+@query("table_diff_blocks", """
+WITH x AS (SELECT event_id % 997 = 3 AS changed, event_id % 1499 = 11 AS gone FROM events)
+SELECT count(*) FILTER (WHERE gone) AS missing_right, CAST(0 AS BIGINT) AS missing_left,
+       count(*) FILTER (WHERE gone OR changed) AS rows_differ, count(*) FILTER (WHERE changed AND NOT gone) AS lexical_diff FROM x""")
+def q_table_diff_blocks(spark, sf):
+    """E3 by block digests: few changes in a large table, so only a few blocks are joined."""
+    ev, k = t(spark, sf, "events").select("event_id", money("value").alias("value"), "event_type"), F.col("event_id")
+    changed = ev.filter(k % 1499 != 11).withColumn("value", F.when(k % 997 == 3, F.concat("value", F.lit("9"))).otherwise(F.col("value")))
+    diff = A.table_diff(ev, changed, ["event_id"], ["value", "event_type"])
+    return diff.filter(F.col("column") == "value").select("missing_right", "missing_left", "rows_differ", "lexical_diff")
+
+
 # ---------------------------------------------------------------- F2, F3 ---
 
 def _orders_by_status(spark, sf, status: str) -> DataFrame:
@@ -1278,8 +1291,9 @@ def q_row_origin(spark, sf):
     convert(spark, _land_feed(spark, sf, "orders", "o_orderkey", _order_fields(), ";", name), out, "30D_SALES")
     listed = S.published_outputs(spark, out)
     latest = S.latest_by_mtime(listed).join(S.old_output_count(listed), "feed").select("feed", F.col("name").alias("output"), "old_outputs")
-    rows = spark.read.parquet(out).select("feed", F.col("column1").alias("key"), F.col("_line_no").alias("line_no"),
-                                          F.regexp_extract("_file", "[^/]*$", 0).alias("file"), ts_text("_stamp").alias("stamp"))
+    rows = with_line_numbers(spark, f"{out}/feed=30D_SALES").select(
+        F.lit("30D_SALES").alias("feed"), F.col("column1").alias("key"), F.col("_line_no").alias("line_no"),
+        F.regexp_extract("_file", "[^/]*$", 0).alias("file"), ts_text("_stamp").alias("stamp"))
     return rows.join(latest, "feed").drop("feed")
 
 
@@ -1296,7 +1310,7 @@ def q_source_output_diff(spark, sf):
     convert(spark, root, out, "30D_SALES")
     left = TB.to_table_positional(profile_source(spark, [root], FEED_BY_KEY["30D_SALES"], widest=False).lines, 3, keep=["file", "line_no"])
     key = F.col("column1").cast("bigint")
-    right = spark.read.parquet(out).filter(key % 15 != 7).withColumn("column2", F.when(key % 10 == 4, "?").otherwise(F.col("column2")))
+    right = with_line_numbers(spark, f"{out}/feed=30D_SALES").filter(key % 15 != 7).withColumn("column2", F.when(key % 10 == 4, "?").otherwise(F.col("column2")))
     right = right.withColumnsRenamed({"_file": "file", "_line_no": "line_no"})
     diff = A.table_diff(left, right, ["file", "line_no"], ["column1", "column2", "column3"])
     return diff.filter(F.col("column") == "column2").select("missing_right", "rows_differ", F.col("value_diff").alias("status_differs"))

@@ -99,4 +99,3 @@ def test_small_operator_helpers(spark, tmp):
     p = write_bytes(tmp, "a.csv", b"a;b\nc;d;e\n")
     lines = TB.parse(read_numbered_lines(spark, p), ";")
     assert [r["expected"] for r in TB.file_arity(lines).collect()] == [2]
-    assert TB.check_nonempty(lines, [r["file"] for r in lines.select("file").distinct().collect()])
