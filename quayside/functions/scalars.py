@@ -148,17 +148,24 @@ def _radix_number(t: Column) -> Column:
     return F.when(n == 0, F.lit(0.0)).when(n <= keep, head.cast("double")).otherwise(long)
 
 
-def comparable_number(value: Column | str) -> Column:
-    """The finite number a trimmed text stands for (JavaScript ``Number`` rules:
-    decimal literals, exponents, 0x/0o/0b integers), else NULL."""
-    t = js_trim(_c(value).cast("string"))
+def _literal_number(t: Column) -> Column:
+    """The number a trimmed text is a literal of (it may be infinite), else NULL."""
     # cheap guards first: the regexes only run on text that can be a number
     may_be_number = F.substring(t, 1, 1).isin(*list("+-.0123456789"))
     dec = F.when(may_be_number & t.rlike(_DECIMAL_SHAPE), t.try_cast("double"))
     radix = may_be_number & F.lower(F.substring(t, 1, 2)).isin("0x", "0o", "0b") & t.rlike(_RADIX_SHAPE)
-    num = F.coalesce(dec, F.when(radix, _radix_number(t)))
-    finite = num.isNotNull() & (F.abs(num) < F.lit(float("inf")))
-    return F.when(finite, num + F.lit(0.0))  # + 0.0 folds -0.0 into 0.0
+    return F.coalesce(dec, F.when(radix, _radix_number(t)))
+
+
+def _finite(num: Column) -> Column:
+    """A finite number with -0.0 folded into 0.0, else NULL."""
+    return F.when(num.isNotNull() & (F.abs(num) < F.lit(float("inf"))), num + F.lit(0.0))
+
+
+def comparable_number(value: Column | str) -> Column:
+    """The finite number a trimmed text stands for (JavaScript ``Number`` rules:
+    decimal literals, exponents, 0x/0o/0b integers), else NULL."""
+    return _finite(_literal_number(js_trim(_c(value).cast("string"))))
 
 
 def comparable(value: Column | str) -> Column:
@@ -176,16 +183,28 @@ def comparable(value: Column | str) -> Column:
     )
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used. Written out in full,
+    the expressions below would repeat each other many times over, to code that is too long to be
+    compiled to machine code."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def comparable_equal(a: Column | str, b: Column | str) -> Column:
     """B10 as a predicate: ``comparable(a) == comparable(b)`` without turning
     numbers back into text (numbers compare as doubles, other values as
     trimmed text, NULL as ''). Texts that are equal as they are, most of what a diff
     meets, are settled first; only the others are read as numbers."""
-    va, vb = _c(a).cast("string"), _c(b).cast("string")
-    same = F.coalesce(va, F.lit("")) == F.coalesce(vb, F.lit(""))
-    na, nb = comparable_number(va), comparable_number(vb)
-    ta, tb = js_trim(F.coalesce(va, F.lit(""))), js_trim(F.coalesce(vb, F.lit("")))
-    return F.when(same, F.lit(True)).when(na.isNotNull() | nb.isNotNull(), na.eqNullSafe(nb)).otherwise(ta == tb)
+    va, vb = (F.coalesce(_c(x).cast("string"), F.lit("")) for x in (a, b))
+
+    def number(t: Column) -> Column:
+        return _let(_literal_number(t), _finite)
+
+    def equal(t: Column) -> Column:
+        numbers = F.struct(number(t["a"]).alias("a"), number(t["b"]).alias("b"))
+        return _let(numbers, lambda n: F.when(n["a"].isNotNull() | n["b"].isNotNull(), n["a"].eqNullSafe(n["b"])).otherwise(t["a"] == t["b"]))
+
+    return F.when(va == vb, F.lit(True)).otherwise(_let(F.struct(js_trim(va).alias("a"), js_trim(vb).alias("b")), equal))
 
 
 def severity(message: Column | str) -> Column:

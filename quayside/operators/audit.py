@@ -218,22 +218,19 @@ def joined_diff(left: DataFrame, right: DataFrame, keys: list[str], columns: lis
     cols = columns or [c for c in left.columns if c not in keys]
     lsel = left.select(*keys, *[F.col(c).cast("string").alias(f"l_{i}") for i, c in enumerate(cols)], F.lit(True).alias("_l"))
     rsel = right.select(*keys, *[F.col(c).cast("string").alias(f"r_{i}") for i, c in enumerate(cols)], F.lit(True).alias("_r"))
-    j = lsel.join(rsel, keys, "full_outer")
     both = F.col("_l").isNotNull() & F.col("_r").isNotNull()
-    aggs = [
-        F.count_if(F.col("_l").isNull()).alias("missing_left"),
-        F.count_if(F.col("_r").isNull()).alias("missing_right"),
-    ]
-    row_diff = ~both
-    for i in range(len(cols)):
-        l, r = F.col(f"l_{i}"), F.col(f"r_{i}")
-        lex = both & ~F.coalesce(l, F.lit("")).eqNullSafe(F.coalesce(r, F.lit("")))
-        val = both & ~comparable_equal(l, r)
-        aggs.append(F.count_if(lex).alias(f"lex_{i}"))
-        aggs.append(F.count_if(val).alias(f"val_{i}"))
-        row_diff = row_diff | val
-    aggs.append(F.count_if(row_diff).alias("rows_differ"))
-    totals = j.agg(*aggs)
+    pairs = [(F.col(f"l_{i}"), F.col(f"r_{i}")) for i in range(len(cols))]
+    # the comparison stands in the plan once, for an array of cells, whatever the number of columns
+    cells = F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in pairs])
+    equal = lsel.join(rsel, keys, "full_outer").select("*", F.transform(cells, lambda p: comparable_equal(p["a"], p["b"])).alias("_eq"))
+    marks = equal.select(
+        "_l", "_r", *[(both & (F.coalesce(a, F.lit("")) != F.coalesce(b, F.lit("")))).alias(f"lex_{i}") for i, (a, b) in enumerate(pairs)],
+        *[(both & ~F.get("_eq", F.lit(i))).alias(f"val_{i}") for i in range(len(cols))])
+    counted = [f"{kind}_{i}" for kind in ("lex", "val") for i in range(len(cols))]
+    totals = marks.agg(
+        F.count_if(F.col("_l").isNull()).alias("missing_left"), F.count_if(F.col("_r").isNull()).alias("missing_right"),
+        *[F.count_if(F.col(c)).alias(c) for c in counted],
+        F.count_if(reduce(or_, [F.col(f"val_{i}") for i in range(len(cols))], ~both)).alias("rows_differ"))
     stack = ", ".join(f"'{c}', lex_{i}, val_{i}" for i, c in enumerate(cols))
     return totals.select(
         "missing_left", "missing_right", "rows_differ",

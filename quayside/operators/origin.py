@@ -3,19 +3,20 @@
 A row is written with its file, its split (byte offset of the split in the file) and its
 place ``_rid``, which the scan gives out without knowing how many lines earlier splits have.
 Beside the rows, in a folder that readers of the table skip, lies one row per split: the
-``_rid`` of its first line and the lines before it in its file. ``with_line_numbers`` joins
-the two. So numbering needs no pass over the source.
+``_rid`` of its first line, the lines before it in its file, and the stamp in the file's
+name. ``with_line_numbers`` joins the two. So numbering needs no pass over the source, and a
+name is taken apart once a split, not once a row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.sources.catalog import path_exists
 
 #: Where a row of an output comes from; no part of the data.
-ORIGIN = ["_file", "_split", "_rid", "_stamp"]
+ORIGIN = ["_file", "_split", "_rid"]
 OFFSETS = "_offsets"
 # a row per split, about 150 bytes with its path; beyond it the join is a shuffle, with the same result
 OFFSETS_BROADCAST_MAX_ROWS = 50_000
@@ -36,8 +37,9 @@ def offsets_of(facts: DataFrame, header: bool) -> DataFrame:
                         F.when(starts, F.lit(0)).otherwise(F.coalesce(F.sum("rows").over(earlier), F.lit(0)) + head).cast("bigint").alias("before"))
 
 
-def write_offsets(offsets: DataFrame, folder: str) -> None:
-    offsets.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{OFFSETS}")
+def write_offsets(offsets: DataFrame, folder: str, stamp: Column) -> None:
+    """``stamp``: the stamp in the name of ``file``."""
+    offsets.withColumn("stamp", stamp).coalesce(1).write.mode("overwrite").parquet(f"{folder}/{OFFSETS}")
 
 
 def read_offsets(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,7 +49,7 @@ def read_offsets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    """The converted table in ``folder`` with ``_line_no`` in place of ``_split`` and ``_rid``."""
+    """The converted table in ``folder`` with ``_line_no`` and ``_stamp`` in place of ``_split`` and ``_rid``."""
     table, offsets = spark.read.parquet(folder), read_offsets(spark, folder)
     offsets = offsets.withColumnsRenamed({"file": "_file", "split": "_split"})
     if offsets.count() <= OFFSETS_BROADCAST_MAX_ROWS:
@@ -56,7 +58,7 @@ def with_line_numbers(spark: SparkSession, folder: str) -> DataFrame:
     number = F.when(F.col("first").isNotNull(), F.col("_rid") - F.col("first") + F.col("before") + 1).otherwise(unknown)
     out = table.join(offsets, ["_file", "_split"], "left").withColumn("_line_no", number)
     data = [c for c in table.columns if c not in ORIGIN]
-    return out.select(*data, "_file", "_line_no", "_stamp")
+    return out.select(*data, "_file", "_line_no", F.col("stamp").alias("_stamp"))
 
 
 def first_rows(spark: SparkSession, folder: str, n: int) -> DataFrame:

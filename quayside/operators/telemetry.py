@@ -21,20 +21,34 @@ DEVICE_TTL_SECONDS = 120      # a device reads OFFLINE this long after last_seen
 RUNNABLE_STATUSES = ["pending", "stopped", "error"]
 # ---------------------------------------------------------------------------
 
-#: Parts of a log key that are cut to their newest entries in tasks of their own.
-SALTS = 32
+#: Cells of a key's time histogram; each task sends at most so many rows a key.
+TIME_CELLS = 1024
 
 
 def retain_last(logs: DataFrame, keys: list[str], n: int = LOG_KEEP_LAST, ts: str = "ts", tiebreak: str = "id") -> DataFrame:
-    """The newest ``n`` entries per key, in two levels: of each of ``SALTS`` parts of a
-    key, then of the at most ``SALTS * n`` entries that remain. So a key that holds most of the
-    log is cut in many tasks, whatever ``n`` is (Spark's own early limit stops at 1000)."""
-    newest = [F.col(ts).desc(), F.col(tiebreak).desc()]
-    salted = logs.withColumn("_salt", F.pmod(F.xxhash64(tiebreak), F.lit(SALTS)))
-    part = Window.partitionBy(*keys, "_salt").orderBy(*newest)
-    parts = salted.withColumn("_rn", F.row_number().over(part)).filter(F.col("_rn") <= n).drop("_rn", "_salt")
-    whole = Window.partitionBy(*keys).orderBy(*newest)
-    return parts.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= n).drop("_rn")
+    """The newest ``n`` entries per key.
+
+    A histogram of the instants of each key (``TIME_CELLS`` cells between its first and last; hash
+    aggregates of fixed-width rows) gives the start of the cell that holds the ``n``-th newest entry.
+    Older entries go by a filter, before anything is sorted: what the one window sorts is the newest
+    ``n`` entries of a key and the rest of one cell. NULL instants are the oldest."""
+    at = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(-(1 << 62)))
+    keyed = logs.withColumn("_at", at)
+    span = keyed.groupBy(*keys).agg(F.min("_at").alias("_low"), F.max("_at").alias("_high"), F.count(F.lit(1)).alias("_n"))
+    # a NULL key is a key: it is matched by a struct, which is never NULL
+    of_key = F.struct(*keys)
+    long = span.filter(F.col("_n") > n).select(of_key.alias("_key"), "_low", (F.col("_high") / TIME_CELLS - F.col("_low") / TIME_CELLS).alias("_step"))
+    keyed = keyed.withColumn("_key", of_key)
+    cell = F.when(F.col("_step") > 0, F.least(F.floor((F.col("_at") - F.col("_low")) / F.col("_step")), F.lit(TIME_CELLS))).otherwise(F.lit(0))
+    placed = keyed.select("_key", "_at").join(long, "_key").select("_key", cell.alias("_cell"))
+    counts = placed.groupBy("_key", "_cell").count()
+    newer = Window.partitionBy("_key").orderBy(F.desc("_cell")).rowsBetween(Window.unboundedPreceding, -1)
+    cut = (counts.withColumn("_newer", F.coalesce(F.sum("count").over(newer), F.lit(0))).filter(F.col("_newer") < n)
+           .groupBy("_key").agg(F.min("_cell").alias("_cut")))
+    bounds = long.join(cut, "_key")
+    near = keyed.join(bounds, "_key", "left").filter(F.col("_cut").isNull() | (cell >= F.col("_cut")))
+    whole = Window.partitionBy(*keys).orderBy(F.col(ts).desc(), F.col(tiebreak).desc())
+    return near.select(*logs.columns, F.row_number().over(whole).alias("_rn")).filter(F.col("_rn") <= n).drop("_rn")
 
 
 def _with_asof(df: DataFrame, asof, ts: str) -> DataFrame:

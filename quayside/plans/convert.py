@@ -116,11 +116,15 @@ def first_shape(prof: Profiled, feed: Feed) -> tuple[int, list[str] | None]:
     return shapes[0]["n"], list(shapes[0]["h"]) if feed.has_header else None
 
 
-def origin(feed: Feed) -> list[F.Column]:
-    """Identity of a row: file, split, place in the scan, and the stamp in the file's name."""
+def stamp_of(feed: Feed) -> F.Column:
+    """The stamp in the name of ``file``."""
     name = F.substring_index("file", "/", -1)  # a name with a stamp has nothing that a URI would encode
-    return [F.col("file").alias("_file"), F.col("block").alias("_split"), F.col("_rid"),
-            file_stamp(name, feed.prefix, feed.stamp_digits, feed.stamp_format).alias("_stamp")]
+    return file_stamp(name, feed.prefix, feed.stamp_digits, feed.stamp_format)
+
+
+def origin() -> list[F.Column]:
+    """Identity of a row: file, split and place in the scan."""
+    return [F.col("file").alias("_file"), F.col("block").alias("_split"), F.col("_rid")]
 
 
 def shaped_table(parsed: DataFrame, unnumbered: DataFrame, feed: Feed, n: int, header: list[str] | None,
@@ -142,7 +146,7 @@ def build_table(spark: SparkSession, prof: Profiled, feed: Feed, strict: bool =
     parsed, rejected = prof.lines, None
     if not strict:
         parsed, rejected = TB.split_by_arity(parsed, n)
-    table = shaped_table(parsed, prof.unnumbered, feed, n, header, strict, origin(feed))
+    table = shaped_table(parsed, prof.unnumbered, feed, n, header, strict, origin())
     return table, [c for c in table.columns if c not in ORIGIN], rejected
 
 
@@ -154,6 +158,11 @@ def _file_mismatches(prof: Profiled, feed: Feed, n: int, found: DataFrame, all_l
     return [f"{r['file']}: {r['want']} in the source, {r['got']} in the output" for r in bad.orderBy("file").limit(5).collect()]
 
 
+_AUDIT = ("feed string, input string, output string, c_rows bigint, c_columns int, c_size bigint, c_preview array<array<string>>, "
+          "p_rows bigint, p_columns int, p_size bigint, p_preview array<array<string>>, schema array<struct<name:string,type:string>>, "
+          "elapsed_seconds double, rows_written bigint")
+
+
 @dataclass
 class Written:
     """A staged output and what the audit says of its source."""
@@ -200,6 +209,11 @@ def _guess_types(spark: SparkSession, heads: list[Head], feed: Feed, n: int) ->
     return TB.infer_types(TB.to_table_positional(parsed, n, base=0, pad=True, strict=False))
 
 
+def bytes_of(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the files in a listing; none is opened."""
+    return spark.read.format("binaryFile").load(paths).agg(F.sum("length")).head()[0] or 0
+
+
 def write_in_one_pass(spark: SparkSession, files: list[str], listed: list[str], feed: Feed, staged: str) -> Written:
     """A2-A7, G1, F1 and the facts for E1 from one read of the text (two if the types were guessed wrong)."""
     heads = file_heads(spark, listed)
@@ -220,7 +234,8 @@ def write_in_one_pass(spark: SparkSession, files: list[str], listed: list[str],
         names = TB.fix_header_names(header)
     else:
         names = TB.positional_names(n, base=0 if inferred else 1, pad=inferred)
-    table = TB.to_table_named(parsed, names, keep=origin(feed))
+    file, split, place = origin()
+    table = TB.to_table_named(parsed, names, [file, split, TB.checked(n, place, "bigint").alias("_rid")])
     types = _guess_types(spark, heads, feed, n) if inferred else {}
     bits = [F.bit_or(TB.value_type_bit(F.col(c))).alias(f"m{i}") for i, c in enumerate(names)] if inferred else []
     first = TB.cast_table(table.observe(made, F.count(F.lit(1)).alias("rows"), *bits), types)
@@ -244,15 +259,15 @@ def write_in_one_pass(spark: SparkSession, files: list[str], listed: list[str],
         raise NeedsNumbers
     facts = materialize(split_facts(spark.read.parquet(staged).select("_file", "_split", "_rid")), "split-facts")
     try:
-        broken = facts.filter(F.col("high") - F.col("low") + 1 != F.col("rows")).select("file").limit(5).collect()
-        total = facts.agg(F.sum("rows")).head()[0] or 0
-        if broken or not lines - headers == rows == total:
-            raise RuntimeError(f"integrity check failed for {feed.key}: {lines - headers} lines in the source, {total} in the output"
-                               + "".join(f"; lines of {r['file']} are missing" for r in broken))
-        write_offsets(offsets_of(facts, feed.has_header), staged)
+        gap = F.when(F.col("high") - F.col("low") + 1 != F.col("rows"), F.col("file"))
+        found = facts.agg(F.sum("rows").alias("rows"), F.min(gap).alias("gap")).head()
+        if found["gap"] or not lines - headers == rows == (found["rows"] or 0):
+            raise RuntimeError(f"integrity check failed for {feed.key}: {lines - headers} lines in the source, {found['rows']} in the output"
+                               + (f"; lines of {found['gap']} are missing" if found["gap"] else ""))
+        write_offsets(offsets_of(facts, feed.has_header), staged, stamp_of(feed))
     finally:
         remove(spark, facts.path_)
-    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).head()[0]
+    size = bytes_of(spark, files)
     top = first_records(heads, A.PREVIEW_ROWS, _is_blank, 1 if feed.has_header else 0)
     preview = A.first_data_rows(read_numbered_lines(spark, files), feed) if top is None else _parsed_lines(spark, top, feed) if top else []
     return Written(names, seen.get["nonblank"] - headers, size, n, preview, rows)
@@ -277,7 +292,7 @@ def write_numbered(spark: SparkSession, files: list[str], feed: Feed, staged: st
         wrong = _file_mismatches(prof, feed, n, found, not strict)
         if wrong:
             raise RuntimeError(f"integrity check failed for {feed.key}: {'; '.join(wrong)}")
-        write_offsets(prof.offsets, staged)
+        write_offsets(prof.offsets, staged, stamp_of(feed))
         csv_row = prof.per_file.agg(F.sum(_rows_expected(feed, None, False)).alias("rows"), F.sum("size").alias("size")).head()
         preview = A.first_data_rows(prof.numbered, feed)
         return Written(data_cols, csv_row["rows"], csv_row["size"], widest, preview, obs.get["rows"], (bad_staged, aside) if aside else None)
@@ -318,7 +333,7 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
                 remove(spark, staged)
         if done is None:
             done = write_numbered(spark, files, feed, staged, strict, aside)
-        pq = A.parquet_stats(spark, staged).agg(F.sum("rows").alias("rows"), F.sum("size").alias("size")).head()
+        p_size = bytes_of(spark, [staged])
         if done.aside:
             swap_in(spark, *done.aside)
         swap_in(spark, staged, target)  # swap after E1
@@ -328,33 +343,14 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
         remove(spark, staged, *([done.aside[0]] if done and done.aside else []))
     schema = [(f.name, f.dataType.simpleString()) for f in written.schema.fields if f.name not in ORIGIN]
     elapsed = round(time.perf_counter() - started, 2)
-    schema_col = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in schema])
-    # the moved files are the checked files: the audit row reuses the numbers of
-    # the integrity check instead of reading the output again
-    stats = spark.range(1).select(
-        F.lit(done.rows).cast("bigint").alias("rows"), F.lit(done.widest).cast("int").alias("columns"),
-        F.lit(done.size).cast("bigint").alias("size"), F.lit(pq["rows"]).cast("bigint").alias("p_rows"),
-        F.lit(len(done.columns)).cast("int").alias("p_columns"), F.lit(pq["size"]).cast("bigint").alias("p_size"),
-    )
-    return (
-        stats
-        .withColumn("c_prev", A.preview_literal(done.preview))
-        .withColumn("p_prev", A.preview_literal(pq_prev))
-        .select(
-            F.lit(feed.key).alias("feed"),
-            F.lit(",".join(files)).alias("input"),
-            F.lit(target).alias("output"),
-            F.struct(F.col("rows").alias("rows"), F.col("columns").alias("columns"),
-                     F.col("size").alias("size"), size_label("size").alias("size_label"),
-                     F.col("c_prev").alias("preview")).alias("csv"),
-            F.struct(F.col("p_rows").alias("rows"), F.col("p_columns").alias("columns"),
-                     F.col("p_size").alias("size"), size_label("p_size").alias("size_label"),
-                     F.col("p_prev").alias("preview"), schema_col.alias("schema")).alias("parquet"),
-            compression_ratio("p_size", "size").alias("compression_ratio"),
-            F.lit(float(elapsed)).alias("elapsed_seconds"),
-            F.lit(done.rows_written).cast("bigint").alias("rows_written"),
-        )
-    )
+    # the moved files are the checked files: the audit row reuses the numbers of the integrity check
+    facts = (feed.key, ",".join(files), target, done.rows, done.widest, done.size, done.preview, done.rows_written, len(done.columns), p_size,
+             pq_prev, schema, float(elapsed), done.rows_written)
+    side = lambda p, *more: F.struct(*[F.col(f"{p}_{c}").alias(c) for c in ("rows", "columns", "size")],
+                                     size_label(f"{p}_size").alias("size_label"), F.col(f"{p}_preview").alias("preview"), *more)
+    return spark.createDataFrame([facts], _AUDIT).select(
+        "feed", "input", "output", side("c").alias("csv"), side("p", F.col("schema")).alias("parquet"),
+        compression_ratio("p_size", "c_size").alias("compression_ratio"), "elapsed_seconds", "rows_written")
 
 
 def run_feed(spark: SparkSession, root: str, out: str, feed_name: str, recursive: bool = True) -> DataFrame:

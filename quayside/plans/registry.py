@@ -22,7 +22,7 @@ from quayside.operators import audit as A
 from quayside.operators import selection as S
 from quayside.operators import tables as TB
 from quayside.operators import telemetry as TL
-from quayside.operators.origin import with_line_numbers
+from quayside.operators.origin import ORIGIN, with_line_numbers
 from quayside.operators.sinks import publish, write_feed
 from quayside.plans.landing import land_buckets, land_ranges
 from quayside.session import scratch_path
@@ -30,8 +30,6 @@ from quayside.sources.catalog import catalog
 from quayside.sources.feeds import FEED_BY_KEY, FEEDS, resolve_feed
 from quayside.sources.lines import read_numbered_lines
 
-#: What a converted row carries besides its data (``operators.origin.ORIGIN``).
-ORIGIN = ["_file", "_split", "_rid", "_stamp"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -914,6 +912,28 @@ def q_publish(spark, sf):
     return spark.read.parquet(target)
 
 
+@query("publish_version", """
+SELECT 'CLOSING_STOCK' AS feed, o_orderkey, o_orderstatus, CAST(2 AS BIGINT) AS commits FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'SCCT', o_orderkey, o_orderstatus, 2 FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 'STOCK_INTRANSIT', o_orderkey, o_orderstatus, 2 FROM orders WHERE o_orderstatus = 'F'""")
+def q_publish_version(spark, sf):
+    """F3 by commits: two feeds, then one of them anew and a third, each publish appearing at once."""
+    from quayside.operators.commits import commit_numbers, publish_version, read_published
+    from quayside.sources.catalog import ensure_dir
+
+    target = ensure_dir(spark, scratch_path(spark, "serving"))
+    for parts in ({"CLOSING_STOCK": "F", "SCCT": "O"}, {"CLOSING_STOCK": "P", "STOCK_INTRANSIT": "F"}):
+        staged = scratch_path(spark, "staged")
+        for feed, status in parts.items():
+            write_feed(_orders_by_status(spark, sf, status), staged, feed=feed)
+        publish_version(spark, staged, target, list(parts), move="STOCK_INTRANSIT" in parts)
+    out = None
+    for feed in ("CLOSING_STOCK", "SCCT", "STOCK_INTRANSIT"):
+        rows = read_published(spark, target, feed).select(F.lit(feed).alias("feed"), "o_orderkey", "o_orderstatus")
+        out = rows if out is None else out.unionAll(rows)
+    return out.withColumn("commits", F.lit(len(commit_numbers(spark, target))).cast("bigint"))
+
+
 # ------------------------------------------------------ B11, B12, J1-J6 ---
 
 def _messages(spark, sf) -> DataFrame:
@@ -1126,16 +1146,22 @@ SELECT CAST(l_orderkey AS VARCHAR) AS column1, CAST(l_linenumber AS VARCHAR) AS
        l_linestatus AS column4, strftime(l_shipdate, '%Y-%m-%d') AS column5
 FROM lineitem WHERE NOT {_RAGGED_SQL}""")
 def q_stream_ingest(spark, sf):
+    from quayside.streaming.ingest import ingested_shapes, read_ingested
+
     out, _ = _run_stream_ingest(spark, sf)
-    return spark.read.parquet(f"{out}/n=5").select("column1", "column2", "column3", "column4", "column5")
+    feed = FEED_BY_KEY["STOCK_INTRANSIT"]
+    (shape,) = ingested_shapes(spark, out, feed)
+    return read_ingested(spark, out, feed, shape).select("column1", "column2", "column3", "column4", "column5")
 
 
 @query("stream_quarantine", f"""
 SELECT CAST(l_orderkey AS VARCHAR) AS orderkey, 5 AS expected, CASE WHEN l_orderkey % 2 = 0 THEN 6 ELSE 4 END AS found
 FROM lineitem WHERE {_RAGGED_SQL}""")
 def q_stream_quarantine(spark, sf):
-    _, quarantine = _run_stream_ingest(spark, sf)
-    return spark.read.parquet(quarantine).select(F.split("value", ";")[0].alias("orderkey"), "expected", "found")
+    from quayside.streaming.ingest import read_quarantined
+
+    out, quarantine = _run_stream_ingest(spark, sf)
+    return read_quarantined(spark, out, quarantine, FEED_BY_KEY["STOCK_INTRANSIT"]).select(F.split("value", ";")[0].alias("orderkey"), "expected", "found")
 
 
 @query("stream_liveness", _LIVENESS_SQL)

@@ -27,6 +27,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # the JVM compiles no method of more bytecode; beyond it Spark's row-wise code, in short methods, is faster
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master is not None:

@@ -12,6 +12,11 @@ Files of one shape - field count, header and column types - form one table:
 ``n=<fields>/shape=<digest>/feed=<key>/ingest_batch=<id>``, written in overwrite
 mode, so a replayed batch replaces its own output and nothing else. Every line
 of a batch must be in its tables, its quarantine or a header, or the batch fails.
+
+A batch ends with one commit (``operators.commits``) that lists its folders.
+``read_ingested`` and ``read_quarantined`` take committed batches only, so all shapes and
+the quarantine of a batch appear together, and one that died between two shapes
+shows nothing; a replay of a committed batch finds its commit and does nothing.
 """
 
 from __future__ import annotations
@@ -23,9 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators import tables as TB
+from quayside.operators.commits import commit, commit_numbers, read_commit
 from quayside.operators.selection import stamp_files
 from quayside.operators.sinks import write_staged
-from quayside.plans.convert import origin, profile_source, shaped_table
+from quayside.plans.convert import profile_source, shaped_table, stamp_of
 from quayside.session import remove
 from quayside.sources.feeds import Feed
 
@@ -46,32 +52,68 @@ def shape_digest(table: DataFrame) -> str:
 
 def ingest_batch(spark: SparkSession, files: list[str], feed: Feed, out: str, quarantine: str, batch_id: int) -> None:
     """One micro-batch: the new files of ``feed``, grouped by first-line shape."""
+    log = _log(out, feed)
     if not files:
         return
+    if batch_id in commit_numbers(spark, log):
+        if read_commit(spark, log, batch_id)["files"] != files:
+            raise ValueError(f"{out} holds a batch {batch_id} of other files: go on with its checkpoint, or write elsewhere")
+        return
+    made: dict[str, list[str]] = {"files": files, "tables": [], "quarantine": []}
     prof = profile_source(spark, files, feed, widest=False)
     try:
         groups: dict[tuple, list] = {}
         for r in prof.per_file.select("file", "first", "lines").collect():  # one row per new file (<= MAX_FILES)
             groups.setdefault((len(r["first"]), tuple(r["first"]) if feed.has_header else None), []).append(r)
+        stamps = prof.per_file.select("file", stamp_of(feed).alias("_stamp"))  # a row per new file (<= MAX_FILES)
         for (n, header), rows in groups.items():
             mine = F.col("file").isin(*[r["file"] for r in rows]) if len(groups) > 1 else F.lit(True)
             good, bad = TB.split_by_arity(prof.lines.filter(mine), n)  # every file of the group has n fields on line 1
-            keep = [F.col("file"), F.col("line_no"), origin(feed)[-1]]
+            good = good.join(F.broadcast(stamps), "file", "left")
+            keep = [F.col("file"), F.col("line_no"), F.col("_stamp")]
             table = shaped_table(good, prof.unnumbered.filter(mine), feed, n, list(header) if header else None, False, keep)
             shape = shape_digest(table)
             seen = [Observation(), Observation()]
             counted = [df.observe(o, F.count(F.lit(1)).alias("rows")) for df, o in zip((table, bad), seen)]
             # one folder per (shape, feed, batch): a replayed batch overwrites its own folder only
-            write_staged(counted[0], f"{out}/n={n}/shape={shape}/feed={feed.key}/ingest_batch={batch_id}", feed.row_group_bytes)
-            write_staged(counted[1], f"{quarantine}/feed={feed.key}/ingest_batch={batch_id}/n={n}/shape={shape}")
+            made["tables"].append(f"n={n}/shape={shape}/feed={feed.key}/ingest_batch={batch_id}")
+            made["quarantine"].append(f"feed={feed.key}/ingest_batch={batch_id}/n={n}/shape={shape}")
+            write_staged(counted[0], f"{out}/{made['tables'][-1]}", feed.row_group_bytes)
+            write_staged(counted[1], f"{quarantine}/{made['quarantine'][-1]}")
             want = sum(r["lines"] for r in rows) - (len(rows) if feed.has_header else 0)
             got = sum(o.get["rows"] for o in seen)
             if got != want:
                 raise RuntimeError(f"batch {batch_id} of {feed.key}: {want} lines in the source, {got} written")
+        commit(spark, log, batch_id, made)
     finally:
         remove(spark, *prof.written)
 
 
+def _log(out: str, feed: Feed) -> str:
+    return f"{out}/_log/{feed.key}"
+
+
+def _committed(spark: SparkSession, out: str, feed: Feed, kind: str) -> list[str]:
+    log = _log(out, feed)
+    return [folder for n in commit_numbers(spark, log) for folder in read_commit(spark, log, n)[kind]]
+
+
+def ingested_shapes(spark: SparkSession, out: str, feed: Feed) -> list[str]:
+    """The tables of a feed (``n=<fields>/shape=<digest>``) that committed batches have written to."""
+    return sorted({folder.split("/feed=")[0] for folder in _committed(spark, out, feed, "tables")})
+
+
+def read_ingested(spark: SparkSession, out: str, feed: Feed, shape: str) -> DataFrame:
+    """One table of a feed, committed batches only, with ``feed`` and ``ingest_batch``."""
+    folders = [f for f in _committed(spark, out, feed, "tables") if f.startswith(f"{shape}/")]
+    return spark.read.option("basePath", f"{out}/{shape}").parquet(*[f"{out}/{f}" for f in folders])
+
+
+def read_quarantined(spark: SparkSession, out: str, quarantine: str, feed: Feed) -> DataFrame:
+    """What committed batches of a feed put aside, with ``feed``, ``ingest_batch``, ``n`` and ``shape``."""
+    return spark.read.option("basePath", quarantine).parquet(*[f"{quarantine}/{f}" for f in _committed(spark, out, feed, "quarantine")])
+
+
 def start_ingest(spark: SparkSession, landing: str, feed: Feed, out: str, quarantine: str, checkpoint: str,
                  available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start K1 over ``landing``; returns the StreamingQuery. Each micro-batch
