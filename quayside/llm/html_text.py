@@ -14,11 +14,12 @@
    belong to the site, not the page: they are deleted, inside ``article`` and
    ``main`` and outside. A pair that shares more than half of the page's text is
    one page twice and says nothing; then the other neighbour is taken.
-4. Names supplement the difference. Lines named as something else go too, but an
-   element with more than half of the page's text keeps it whatever its name, and
-   names that together hold more than half say nothing. If both neighbours are
-   the page twice, ``article`` and ``main`` with more than half of the text keep
-   theirs and lose the shared lines around them.
+4. Names supplement the difference. What an HTML element says of itself always
+   counts (``nav``, ``footer``, ``aside``), however much text it holds. A class, an id or
+   a ``form`` counts too, but not around the page's ``main`` element or ``h1`` (a wrapper
+   named after one of its parts, a page that is one form), and not where nothing would
+   be left. If both neighbours are the page twice, ``article`` and ``main`` with more than
+   half of the text keep theirs and lose the shared lines around them.
 
 Copies of a page on a host count once in the order and get the same result.
 Lines outside an ``article`` or ``main`` element are text unless shared or named.
@@ -65,31 +66,35 @@ _OTHER = frozenset(
     "widgets contentinfo complementary alert".split())
 #: Kinds of lines: in none of these elements, inside article or main, inside an element named as something else.
 PLAIN, MAIN, OTHER = 0, 1, 2
+BY_TAG, BY_CLASS = 1, 2
+#: Elements that a page has once, in its main part.
+_HEART = frozenset(("main", "h1"))
 #: Void of end tags: an opening tag of the key closes an open one of the values.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "option": ("option",)}
 
 
-def _other(name: str, attrs: str) -> bool:
+def _other(name: str, attrs: str) -> int:
+    """Whether an element is named as something else: BY_TAG, BY_CLASS or neither (0)."""
     if name in _NOT_MAIN:
-        return True
+        return BY_TAG if name != "form" else BY_CLASS
     if name in ("html", "body", "article", "main") or not attrs:
-        return False
+        return 0
     words = {w for m in _NAMED.finditer(attrs) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())}
-    return bool(words & _OTHER) or bool(_HIDDEN.search(attrs))
+    return BY_CLASS if words & _OTHER or _HIDDEN.search(attrs) else 0
 
 
-def _scan(page: str, doubted: set[int] | None) -> tuple[list[str], list[int], list[int], int, int]:
-    """Lines, their kinds, the text in each named element, in all of them and in the page.
+def _scan(page: str, doubted: set[int] | None) -> tuple[list[str], list[int], set[int]]:
+    """Lines, their kinds, and the elements named by class around the page's main element or heading.
 
-    ``doubted`` elements (by their number; None for all) count as not named.
+    ``doubted`` elements (by their number; None for all that are named by class) count as not named.
     """
     lines: list[str] = []
     kinds: list[int] = []
     buffer: list[str] = []
     beside: list[str] = []  # of elements left out inside a line
-    stack: list[tuple[str, int, bool, bool]] = []  # name, number if named, starts what is left out, is main
-    held: list[int] = []
-    out = inside = left = total = 0
+    stack: list[tuple[str, int, bool, bool]] = []  # name, number if named by class, starts what is left out, is main
+    around: set[int] = set()
+    out = inside = named = 0
 
     def end(buffer: list[str], kind: int):
         text = " ".join(html_lib.unescape("".join(buffer)).split())
@@ -103,17 +108,11 @@ def _scan(page: str, doubted: set[int] | None) -> tuple[list[str], list[int], li
         end(buffer, MAIN if inside else PLAIN)
 
     def put(text: str):
-        nonlocal left, total
         (beside if out else buffer).append(text)
-        n = sum(map(len, (html_lib.unescape(text) if "&" in text else text).split()))
-        total += n
-        left += n if out else 0
 
     def pop():
         nonlocal out, inside
-        _, number, a, b = stack.pop()
-        if number >= 0:
-            held[number] += total
+        _, _, a, b = stack.pop()
         out -= a
         inside -= b
         if a and not out:
@@ -147,11 +146,13 @@ def _scan(page: str, doubted: set[int] | None) -> tuple[list[str], list[int], li
                 pop()
             if name == "p":
                 continue  # p has no nesting; its blocks end at every block tag
-            number = -1
-            if _other(name, m["attrs"]):
-                number = len(held)
-                held.append(-total)
-            a, b = number >= 0 and doubted is not None and number not in doubted, name in _MAIN
+            if name in _HEART:
+                around.update(x[1] for x in stack if x[1] >= 0)
+            by, number = _other(name, m["attrs"]), -1
+            if by == BY_CLASS:
+                number, named = named, named + 1
+            a = by == BY_TAG or by == BY_CLASS and doubted is not None and number not in doubted
+            b = name in _MAIN
             stack.append((name, number, a, b))
             out += a
             inside += b
@@ -160,25 +161,24 @@ def _scan(page: str, doubted: set[int] | None) -> tuple[list[str], list[int], li
     end_block()
     while stack:
         pop()
-    return lines, kinds, held, left, total
+    return lines, kinds, around
 
 
 def page_lines(page: str | None) -> tuple[list[str], list[bool]]:
     """Lines of a page without what its markup names as other, and whether each is marked as main."""
-    lines, kinds, *_ = _scan(page or "", set())
+    lines, kinds, _ = _scan(page or "", set())
     own = [i for i, k in enumerate(kinds) if k != OTHER]
     return [lines[i] for i in own], [kinds[i] == MAIN for i in own]
 
 
 def marked_lines(page: str | None) -> tuple[list[str], list[int]]:
-    """All lines of a page and their kinds; what is named as other is never more than half of the text."""
+    """All lines of a page and their kinds."""
     page = page or ""
-    lines, kinds, held, left, total = _scan(page, set())
-    doubted = {i for i, n in enumerate(held) if 2 * n > total}
-    if doubted:
-        lines, kinds, _, left, _ = _scan(page, doubted)
-    if 2 * left > total:
-        lines, kinds, *_ = _scan(page, None)
+    lines, kinds, around = _scan(page, set())
+    if around:
+        lines, kinds, _ = _scan(page, around)
+    if lines and all(k == OTHER for k in kinds):
+        lines, kinds, _ = _scan(page, None)
     return lines, kinds
 
 

@@ -76,10 +76,22 @@ def test_names_only_supplement_the_difference(spark):
     rows += [(11, "http://parts.org/", "<p>Hi" + "".join(f"<div class=widget>Part {i} of the story</div>" for i in range(4)), None, 1)]
     rows += [(12, "http://lone.org/", "<div>The story of a lone page.</div><article>Teaser</article><footer>Foot</footer>", None, 1)]
     want = [(i, f"http://d.org/a/{i}", f"The long story {i} is told outside of any article here.\nTeaser {i}") for i in range(3)]
-    want += [(10, "http://form.org/", "All of the story\nand more."), (11, "http://parts.org/", "Hi\n" + "\n".join(f"Part {i} of the story" for i in range(4)))]
+    want += [(10, "http://form.org/", "All of the story\nand more."), (11, "http://parts.org/", "Hi")]
     want += [(12, "http://lone.org/", "The story of a lone page.\nTeaser")]
     assert sorted(texts(spark, rows)) == want
 
 
 def test_empty_table(spark):
     assert texts(spark, []) == []
+
+
+def test_boilerplate_that_outweighs_the_story(spark):
+    story = "<p>A short story of a few words only.</p>"
+    comments = "".join(f"<div class='comment'><p>Reader {i} says something long about the matter at hand.</p></div>" for i in range(20))
+    around = ("<nav>" + "menu item " * 40 + "</nav><div class=advert>" + "buy now " * 40 + "</div><aside>" + "side " * 50 + "</aside><form>"
+              + "field " * 30 + "</form><footer>" + "imprint " * 30 + "</footer>")
+    pages = [story + f"<div id=comments>{comments}</div>", around + story, f"<div class='layout sidebar'><h1>Title</h1>{story}{around}</div>",
+             f"<div class='sidebar'>{story}<nav>Home</nav></div>", f"<form><main>{story}</main><div class=search>Find</div></form>"]
+    rows = [(i, f"http://h{i}.org/x", html, None, 1) for i, html in enumerate(pages)]
+    text = "A short story of a few words only."
+    assert [t for _, _, t in sorted(texts(spark, rows))] == [text, text, f"Title\n{text}", text, text]
