@@ -80,13 +80,16 @@ WITH sized AS (
 ), targets AS (
   SELECT k, s, least(CAST(2 * s AS DOUBLE), CAST(w * l AS DOUBLE) / CAST(2 * wl AS DOUBLE)) AS target FROM src, level
 ), queued AS (
-  SELECT doc_id, size, s, target, CAST(floor(target) AS BIGINT) AS cut,
-         CAST(sum(size) OVER (PARTITION BY k ORDER BY h, doc_id) - size AS BIGINT) AS p
-  FROM sized JOIN targets USING (k)
+  SELECT doc_id, k, h, size, s, target, sum(size) OVER (PARTITION BY k ORDER BY h, doc_id) AS e FROM sized JOIN targets USING (k)
+), packets AS (
+  SELECT doc_id, k, h, size, p, CAST(e + p * s AS DOUBLE) / target AS finish FROM queued, (VALUES (0), (1)) v(p) WHERE size > 0
+), served AS (
+  SELECT doc_id, k, size, sum(size) OVER (ORDER BY finish, h, p, k) - size AS before FROM packets
+), given AS (
+  SELECT doc_id, k, CAST(sum(greatest(0, least(size, (SELECT sum(s) * 3 // 2 FROM src) - before))) AS BIGINT) AS taken FROM served GROUP BY doc_id, k
 )
-SELECT doc_id, size, s AS source_size, target,
-       greatest(0, least(cut - p, size)) + greatest(0, least(cut - s - p, size)) AS taken
-FROM queued
+SELECT doc_id, size, s AS source_size, target, coalesce(taken, 0) AS taken
+FROM queued LEFT JOIN given USING (doc_id, k)
 """)
 def op7_fair_mix(spark, sf_dir):
     return fair_queue(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
