@@ -1177,6 +1177,20 @@ def q_stream_liveness(spark, sf):
     return read_liveness(spark, table).withColumn("last_seen", ts_text("last_seen", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
+@query("stream_transitions", _LIVENESS_SQL)
+def q_stream_transitions(spark, sf):
+    """K2 with timers: heartbeats by day, in several triggers; the newest transition of each device."""
+    from quayside.streaming.transitions import device_states, read_transitions, start_transitions
+
+    landing = scratch_path(spark, "heartbeats")
+    _heartbeats(spark, sf).withColumn("day", F.to_date("last_seen")).write.partitionBy("day").parquet(landing)
+    table, ckpt = scratch_path(spark, "transitions"), scratch_path(spark, "ckpt")
+    days = spark.read.parquet(landing)
+    start_transitions(spark, landing, table, ckpt, lateness_seconds=400 * 86400, max_files_per_trigger=20, schema=days.schema).awaitTermination()
+    out = device_states(read_transitions(spark, table))
+    return out.withColumn("last_seen", ts_text("last_seen", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 # ------------------------------------------- G1-G4, F4, I4, K1: planted cases ---
 
 def _land_feed(spark, sf, table: str, key: str, fields: list, delim: str, name: str, bad=None, root: str | None = None, header: str | None = None) -> str:
