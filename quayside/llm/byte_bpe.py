@@ -19,7 +19,7 @@ have been made earlier.
 
 Spark part: ``encode_texts`` and ``decode_ids`` are maps without a shuffle; tasks get
 the vocabulary as plain tables by broadcast (its file is checked to be below
-``VOCABULARY_BYTES``) and keep the encodings of up to ``CACHED`` short pieces. Long
+``VOCABULARY_BYTES``) and keep the encodings of up to ``2 * CACHED`` short pieces. Long
 texts are cut and encoded ``PIECES`` pieces at a time. New pieces are encoded in
 order, each from the prefix table of the one before.
 
@@ -47,12 +47,12 @@ from pyspark.sql import functions as F
 from quayside.llm.kernel import chunks, texts
 
 VOCABULARY_BYTES = 64 << 20
-#: Short pieces whose tokens a worker remembers, and their greatest length.
-CACHED, SHORT = 1 << 19, 48
+#: Short pieces whose tokens a worker remembers, in each of two generations, and their greatest length.
+CACHED, SHORT = 1 << 18, 48
 #: Pairs of tokens that a worker remembers.
-PAIRS = 1 << 20
+PAIRS = 1 << 19
 #: Bytes of texts cut at once, and pieces of a longer text.
-CHUNK_BYTES, PIECES = 4 << 20, 1 << 18
+CHUNK_BYTES, PIECES = 2 << 20, 1 << 17
 #: A match of the pattern depends on no character further than this beyond its end.
 AHEAD = 3
 #: Code points that are letters or digits since Unicode 17 or later. The tokenizer's tables are
@@ -243,17 +243,20 @@ class Encoded:
 
 
 class Pieces(dict):
-    """Tokens of pieces as little-endian 32-bit integers; short pieces are remembered."""
+    """Tokens of pieces as little-endian 32-bit integers. Short pieces are remembered in two
+    generations: a full one becomes the old one, from which what is met again is taken over."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.table = Prefixes(vocabulary)
+        self.table, self.old = Prefixes(vocabulary), {}
 
     def __missing__(self, piece: str) -> bytes:
-        self.table.change(piece.encode())
-        out = array("I", self.table.tokens())
-        if sys.byteorder == "big":
-            out.byteswap()
-        out = out.tobytes()
+        out = self.old.get(piece)
+        if out is None:
+            self.table.change(piece.encode())
+            out = array("I", self.table.tokens())
+            if sys.byteorder == "big":
+                out.byteswap()
+            out = out.tobytes()
         if len(piece) <= SHORT:
             self[piece] = out
         return out
@@ -261,6 +264,7 @@ class Pieces(dict):
     def learn(self, pieces: set[str]) -> None:
         """Encode new pieces in order, each from what it has in common with the one before."""
         if len(self) >= CACHED:
+            self.old = dict(self)
             self.clear()
         for piece in sorted(pieces - self.keys()):
             self[piece]
