@@ -21,6 +21,8 @@ DEVICE_TTL_SECONDS = 120      # a device reads OFFLINE this long after last_seen
 RUNNABLE_STATUSES = ["pending", "stopped", "error"]
 # ---------------------------------------------------------------------------
 
+#: Parts of a key that are cut to their newest entries in tasks of their own.
+SALTS = 32
 #: Cells of a key's time histogram; each task sends at most so many rows a key.
 TIME_CELLS = 1024
 
@@ -30,8 +32,9 @@ def retain_last(logs: DataFrame, keys: list[str], n: int = LOG_KEEP_LAST, ts: st
 
     A histogram of the instants of each key (``TIME_CELLS`` cells between its first and last; hash
     aggregates of fixed-width rows) gives the start of the cell that holds the ``n``-th newest entry.
-    Older entries go by a filter, before anything is sorted: what the one window sorts is the newest
-    ``n`` entries of a key and the rest of one cell. NULL instants are the oldest."""
+    Older entries go by a filter, before anything is sorted: what is sorted is the newest ``n``
+    entries of a key and the rest of one cell. Time cannot part the entries of one instant, so what is
+    left is cut in ``SALTS`` parts of a key first. NULL instants are the oldest."""
     at = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(-(1 << 62)))
     keyed = logs.withColumn("_at", at)
     span = keyed.groupBy(*keys).agg(F.min("_at").alias("_low"), F.max("_at").alias("_high"), F.count(F.lit(1)).alias("_n"))
@@ -47,8 +50,11 @@ def retain_last(logs: DataFrame, keys: list[str], n: int = LOG_KEEP_LAST, ts: st
            .groupBy("_key").agg(F.min("_cell").alias("_cut")))
     bounds = long.join(cut, "_key")
     near = keyed.join(bounds, "_key", "left").filter(F.col("_cut").isNull() | (cell >= F.col("_cut")))
-    whole = Window.partitionBy(*keys).orderBy(F.col(ts).desc(), F.col(tiebreak).desc())
-    return near.select(*logs.columns, F.row_number().over(whole).alias("_rn")).filter(F.col("_rn") <= n).drop("_rn")
+    newest = [F.col(ts).desc(), F.col(tiebreak).desc()]
+    part = Window.partitionBy(*keys, "_salt").orderBy(*newest)
+    near = near.select(*logs.columns, F.pmod(F.xxhash64(tiebreak), F.lit(SALTS)).alias("_salt"))
+    near = near.withColumn("_rn", F.row_number().over(part)).filter(F.col("_rn") <= n).drop("_rn", "_salt")
+    return near.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))).filter(F.col("_rn") <= n).drop("_rn")
 
 
 def _with_asof(df: DataFrame, asof, ts: str) -> DataFrame:

@@ -35,7 +35,7 @@ def test_matches_brute_force(spark, n):
     assert retain_last(logs.limit(0), ["job"], n).collect() == []
 
 
-def test_one_sort_of_what_is_left(spark):
+def test_older_entries_go_by_a_filter(spark):
     logs = spark.createDataFrame([("a", T0 + dt.timedelta(seconds=i), i) for i in range(5000)], "job string, ts timestamp, id long")
     plan = retain_last(logs, ["job"], 10)
     near = plan._jdf.queryExecution().optimizedPlan().toString()
