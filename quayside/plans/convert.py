@@ -23,6 +23,7 @@ check (E1, file by file) passes; what was staged goes in any case (F4).
 from __future__ import annotations
 
 import time
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,6 +36,7 @@ from quayside.operators import tables as TB
 from quayside.operators.origin import ORIGIN, offsets_of, split_facts, write_offsets
 from quayside.operators.selection import candidates, latest_by_stamp, require_latest
 from quayside.operators.sinks import staging_path, swap_in, write_staged
+from quayside.plans.progress import Progress
 from quayside.session import materialize, remove
 from quayside.sources.catalog import catalog
 from quayside.sources.feeds import FEED_BY_KEY, FEEDS, Feed, resolve_feed_name
@@ -214,7 +216,12 @@ def bytes_of(spark: SparkSession, paths: list[str]) -> int:
     return spark.read.format("binaryFile").load(paths).agg(F.sum("length")).head()[0] or 0
 
 
-def write_in_one_pass(spark: SparkSession, files: list[str], listed: list[str], feed: Feed, staged: str) -> Written:
+def _watched(progress: Progress | None, rows: int):
+    return progress.watch(rows) if progress else nullcontext()
+
+
+def write_in_one_pass(spark: SparkSession, files: list[str], listed: list[str], feed: Feed, staged: str,
+                      progress: Progress | None = None) -> Written:
     """A2-A7, G1, F1 and the facts for E1 from one read of the text (two if the types were guessed wrong)."""
     heads = file_heads(spark, listed)
     empty = [h.file.rsplit("/", 1)[-1] for h in heads if not h.lines]
@@ -239,8 +246,11 @@ def write_in_one_pass(spark: SparkSession, files: list[str], listed: list[str],
     types = _guess_types(spark, heads, feed, n) if inferred else {}
     bits = [F.bit_or(TB.value_type_bit(F.col(c))).alias(f"m{i}") for i, c in enumerate(names)] if inferred else []
     first = TB.cast_table(table.observe(made, F.count(F.lit(1)).alias("rows"), *bits), types)
+    size = bytes_of(spark, files)
+    seen_lines = [len(v.encode()) + 1 for h in heads for v in h.lines]
     try:
-        write_staged(first, staged, row_group_bytes=feed.row_group_bytes)
+        with _watched(progress, size * len(seen_lines) // sum(seen_lines)):
+            write_staged(first, staged, row_group_bytes=feed.row_group_bytes)
     except Exception as failed:
         if TB.WRONG_COUNT in str(failed):
             raise NeedsNumbers from failed
@@ -267,13 +277,13 @@ def write_in_one_pass(spark: SparkSession, files: list[str], listed: list[str],
         write_offsets(offsets_of(facts, feed.has_header), staged, stamp_of(feed))
     finally:
         remove(spark, facts.path_)
-    size = bytes_of(spark, files)
     top = first_records(heads, A.PREVIEW_ROWS, _is_blank, 1 if feed.has_header else 0)
     preview = A.first_data_rows(read_numbered_lines(spark, files), feed) if top is None else _parsed_lines(spark, top, feed) if top else []
     return Written(names, seen.get["nonblank"] - headers, size, n, preview, rows)
 
 
-def write_numbered(spark: SparkSession, files: list[str], feed: Feed, staged: str, strict: bool, aside: str | None) -> Written:
+def write_numbered(spark: SparkSession, files: list[str], feed: Feed, staged: str, strict: bool, aside: str | None,
+                   progress: Progress | None = None) -> Written:
     """The same from numbered lines, with or without a quarantine: a pass for counts, one for each output."""
     prof = profile_source(spark, files, feed, widest=False)
     bad_staged = staging_path(aside) if aside else None
@@ -282,7 +292,9 @@ def write_numbered(spark: SparkSession, files: list[str], feed: Feed, staged: st
         table, data_cols, rejected = build_table(spark, prof, feed, strict)
         n = len(data_cols)
         obs = Observation(f"rows_{feed.key}")
-        write_staged(table.observe(obs, F.count(F.lit(1)).alias("rows")), staged, row_group_bytes=feed.row_group_bytes)
+        lines = prof.per_file.agg(F.sum("lines")).head()[0] if progress else 0
+        with _watched(progress, lines):
+            write_staged(table.observe(obs, F.count(F.lit(1)).alias("rows")), staged, row_group_bytes=feed.row_group_bytes)
         found, widest = spark.read.parquet(staged).select("_file"), n
         if rejected is not None:
             write_staged(rejected, bad_staged)
@@ -305,12 +317,13 @@ def write_numbered(spark: SparkSession, files: list[str], feed: Feed, staged: st
 
 
 def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: str | None = None,
-            strict: bool = True, quarantine: str | None = None, stage: str | None = None) -> DataFrame:
+            strict: bool = True, quarantine: str | None = None, stage: str | None = None, progress: str | None = None) -> DataFrame:
     """Resolve the feed, audit the CSV, build the table, write it staged,
     audit the Parquet, check integrity, swap into ``out`` (feed partition).
 
     With ``strict=False`` records of another field count go to ``quarantine``,
     which must be given: every line of the source is in one of the two.
+    With ``progress``, a folder, rows written so far are reported there (D3).
     Returns a one-row audit DataFrame (FIXTURES.md ``audit`` schema)."""
     started = time.perf_counter()
     files = [paths] if isinstance(paths, str) else list(paths)
@@ -323,24 +336,30 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
     target = f"{out.rstrip('/')}/feed={feed.key}"
     staged = f"{stage}/feed={feed.key}" if stage else staging_path(target)
     aside = None if strict else f"{quarantine.rstrip('/')}/feed={feed.key}"
-    done = None
+    done, steps = None, Progress(spark, progress, feed.key) if progress else None
     try:
         listed = listed_files(spark, files)
         if strict and len(listed) <= HEAD_FILES and plain_names(listed):
             try:
-                done = write_in_one_pass(spark, files, listed, feed, staged)
+                done = write_in_one_pass(spark, files, listed, feed, staged, steps)
             except NeedsNumbers:
                 remove(spark, staged)
         if done is None:
-            done = write_numbered(spark, files, feed, staged, strict, aside)
+            done = write_numbered(spark, files, feed, staged, strict, aside, steps)
         p_size = bytes_of(spark, [staged])
         if done.aside:
             swap_in(spark, *done.aside)
         swap_in(spark, staged, target)  # swap after E1
         written = spark.read.parquet(target)
         pq_prev = A.first_output_rows(spark, target, done.columns)
+    except BaseException:
+        if steps:
+            steps.failed()
+        raise
     finally:
         remove(spark, staged, *([done.aside[0]] if done and done.aside else []))
+    if steps:
+        steps.done(done.rows_written)
     schema = [(f.name, f.dataType.simpleString()) for f in written.schema.fields if f.name not in ORIGIN]
     elapsed = round(time.perf_counter() - started, 2)
     # the moved files are the checked files: the audit row reuses the numbers of the integrity check
@@ -353,16 +372,16 @@ def convert(spark: SparkSession, paths: str | list[str], out: str, feed_name: st
         compression_ratio("p_size", "c_size").alias("compression_ratio"), "elapsed_seconds", "rows_written")
 
 
-def run_feed(spark: SparkSession, root: str, out: str, feed_name: str, recursive: bool = True) -> DataFrame:
+def run_feed(spark: SparkSession, root: str, out: str, feed_name: str, recursive: bool = True, progress: str | None = None) -> DataFrame:
     """Pick the latest file of the feed by stamp (C2), then convert."""
     feed = resolve_feed_name(feed_name)
     latest = require_latest(latest_by_stamp(candidates(catalog(spark, root, recursive), [feed])), [feed.key])
     path = latest.select("path").collect()[0]["path"]  # one row: the chosen file
-    return convert(spark, path, out, feed.key)
+    return convert(spark, path, out, feed.key, progress=progress)
 
 
 def run_all(spark: SparkSession, root: str, out: str, target: str | None = None, recursive: bool = True,
-            profiles: list[Feed] | None = None) -> DataFrame:
+            profiles: list[Feed] | None = None, progress: str | None = None) -> DataFrame:
     """One catalogue listing and one latest-per-feed aggregate for all
     feeds, one conversion per feed, then publish all feeds together."""
     from quayside.operators.sinks import publish
@@ -370,7 +389,7 @@ def run_all(spark: SparkSession, root: str, out: str, target: str | None = None,
     table = profiles or FEEDS
     latest = require_latest(latest_by_stamp(candidates(catalog(spark, root, recursive), table)), [f.key for f in table])
     chosen = {r["feed"]: r["path"] for r in latest.select("feed", "path").collect()}  # <= #feeds rows
-    audits = [convert(spark, chosen[f.key], out, f.key) for f in table]
+    audits = [convert(spark, chosen[f.key], out, f.key, progress=progress) for f in table]
     if target:
         publish(spark, out, target, [f.key for f in table], mode="all_or_nothing")
     result = audits[0]
@@ -379,7 +398,8 @@ def run_all(spark: SparkSession, root: str, out: str, target: str | None = None,
     return result
 
 
-def run_selected(spark: SparkSession, selected: list[tuple[str, str]], out: str, target: str | None = None) -> list[dict]:
+def run_selected(spark: SparkSession, selected: list[tuple[str, str]], out: str, target: str | None = None,
+                 progress: str | None = None) -> list[dict]:
     """I4: convert the selected files in order, publishing each; the first
     error stops the rest (they stay ``pending``), the failing file is ``error``."""
     from quayside.operators.sinks import publish
@@ -388,7 +408,7 @@ def run_selected(spark: SparkSession, selected: list[tuple[str, str]], out: str,
     for st in states:
         st["status"] = "converting"
         try:
-            convert(spark, st["file"], out, st["feed"]).collect()
+            convert(spark, st["file"], out, st["feed"], progress=progress).collect()
             if target:
                 publish(spark, out, target, [resolve_feed_name(st["feed"]).key], mode="per_feed")
             st["status"] = "completed"

@@ -26,7 +26,7 @@ from quayside.operators.origin import ORIGIN, with_line_numbers
 from quayside.operators.sinks import publish, write_feed
 from quayside.plans.landing import land_buckets, land_ranges
 from quayside.session import scratch_path
-from quayside.sources.catalog import catalog
+from quayside.sources.catalog import catalog, catalog_changes
 from quayside.sources.feeds import FEED_BY_KEY, FEEDS, resolve_feed
 from quayside.sources.lines import read_numbered_lines
 
@@ -209,6 +209,34 @@ def q_catalog(spark, sf):
     return per.withColumn("flat_files", flat.scalar())
 
 
+@query("catalog_changes", """
+WITH f AS (SELECT p_partkey // 50 AS b, p_partkey, p_name FROM part),
+v AS (SELECT b, sum(strlen(CAST(p_partkey AS VARCHAR) || ';' || p_name) + 1) AS size, count(*) AS n FROM f GROUP BY b)
+SELECT 'part_' || CAST(b AS VARCHAR) || '.csv' AS name,
+       CASE b % 4 WHEN 1 THEN 'gone' WHEN 2 THEN 'new' ELSE 'changed' END AS change,
+       CAST(CASE WHEN b % 4 <> 2 THEN size END AS BIGINT) AS size_before,
+       CAST(CASE b % 4 WHEN 2 THEN size WHEN 3 THEN size + n END AS BIGINT) AS size_after
+FROM v WHERE b % 4 <> 0""")
+def q_catalog_changes(spark, sf):
+    """A1 twice, by flat listings of a folder in which files come, go and change; a file in a subfolder is not met."""
+    from quayside.plans.landing import land_named_files
+    from quayside.session import materialize, remove
+
+    p = t(spark, sf, "part").withColumn("b", (F.col("p_partkey") / 50).cast("bigint"))
+    kind = F.col("b") % 4  # 0 stays, 1 goes, 2 comes, 3 changes
+    line = F.concat(s("p_partkey"), F.lit(";"), F.col("p_name"))
+    name = lambda k: f"part_{k}.csv"
+    root = land_named_files(spark, p.where(kind != 2).withColumn("value", line), "value", "b", ["p_partkey"], "files-before", name)
+    before = materialize(catalog(spark, root, recursive=False), "catalog-before")
+    for row in before.select("path", "name").collect():  # the files of the landing zone
+        if int(row["name"][5:-4]) % 4 in (1, 3):
+            remove(spark, row["path"])
+    later = p.where(kind.isin(2, 3)).withColumn("value", F.when(kind == 3, F.concat(line, F.lit("+"))).otherwise(line))
+    land_named_files(spark, later, "value", "b", ["p_partkey"], "files-after", name, root=root)
+    land_named_files(spark, later, "value", "b", ["p_partkey"], "files-below", name, root=f"{root}/below")
+    return catalog_changes(before, catalog(spark, root, recursive=False)).select("name", "change", "size_before", "size_after")
+
+
 # ------------------------------------------------- B5, B6, C1-C5, D4, E4 ---
 
 _MANIFEST_SQL = """
@@ -1154,6 +1182,24 @@ def q_stream_ingest(spark, sf):
     return read_ingested(spark, out, feed, shape).select("column1", "column2", "column3", "column4", "column5")
 
 
+@query("ingest_progress", f"""
+WITH n AS (SELECT count(*) AS total, count(*) FILTER (WHERE {_RAGGED_SQL}) AS rejected FROM lineitem)
+SELECT CAST(unnest(range(5000, total + 1, 5000)) AS BIGINT) AS mark, total, rejected, true AS rising FROM n""")
+def q_ingest_progress(spark, sf):
+    """D3 of a stream in triggers of one file: the marks passed, and running totals that only rise."""
+    from quayside.plans.progress import marks
+    from quayside.streaming.ingest import ingest_progress, start_ingest
+
+    feed = FEED_BY_KEY["STOCK_INTRANSIT"]
+    out, quarantine, ckpt = scratch_path(spark, "ingested"), scratch_path(spark, "quarantine"), scratch_path(spark, "ckpt")
+    start_ingest(spark, _stream_landing(spark, sf), feed, out, quarantine, ckpt, max_files_per_trigger=1).awaitTermination()
+    batches = F.collect_list(F.struct("ingest_batch", "total"))  # a row per trigger
+    in_order = F.transform(F.array_sort(batches), lambda b: b["total"])
+    whole = ingest_progress(spark, out, feed).agg(
+        F.max("total").alias("total"), F.sum("rejected").alias("rejected"), (in_order == F.array_sort(in_order)).alias("rising"))
+    return marks(whole, "total", 5000).select("mark", "total", "rejected", "rising")
+
+
 @query("stream_quarantine", f"""
 SELECT CAST(l_orderkey AS VARCHAR) AS orderkey, 5 AS expected, CASE WHEN l_orderkey % 2 = 0 THEN 6 ELSE 4 END AS found
 FROM lineitem WHERE {_RAGGED_SQL}""")
@@ -1230,12 +1276,32 @@ def q_convert_quarantine(spark, sf):
     return good.unionAll(bad)
 
 
+@query("convert_progress", """
+SELECT '30D_SALES' AS feed, 'done' AS state, count(*) AS rows, true AS rising FROM orders
+UNION ALL SELECT 'STOCK_INTRANSIT', 'failed', CAST(0 AS BIGINT), true FROM part HAVING count(*) > 0""")
+def q_convert_progress(spark, sf):
+    """D3: the last progress row of a run that ends well and of one that does not; rows never fall on the way."""
+    from quayside.plans.convert import run_selected
+    from quayside.plans.progress import latest_progress, read_progress
+
+    root, steps = scratch_path(spark, "zone"), scratch_path(spark, "progress")
+    names = {"30D_SALES": "30D_SALES_20240101000000.csv", "STOCK_INTRANSIT": "STOCK_INTRANSIT_20240101000000.csv"}
+    _land_feed(spark, sf, "orders", "o_orderkey", _order_fields(), ";", names["30D_SALES"], root=root)
+    _land_feed(spark, sf, "part", "p_partkey", _part_fields(), ";", names["STOCK_INTRANSIT"], F.col("p_partkey") % 9 == 4, root=root)
+    run_selected(spark, [(f"{root}/{n}", k) for k, n in names.items()], scratch_path(spark, "published"), progress=steps)
+    rows = read_progress(spark, steps)
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("seq", "rows"))), lambda r: r["rows"])
+    rising = rows.where("state = 'running'").groupBy("run").agg((in_order == F.array_sort(in_order)).alias("rising"))
+    return latest_progress(rows).join(rising, "run", "left").select(
+        "feed", "state", F.when(F.col("state") == "done", F.col("rows")).otherwise(0).alias("rows"), F.coalesce("rising", F.lit(True)).alias("rising"))
+
+
 @query("failed_convert", """
 SELECT CAST(p_partkey AS VARCHAR) AS key, 'part' AS source, CAST(0 AS BIGINT) AS leftovers, true AS refused FROM part""")
 def q_failed_convert(spark, sf):
     """a conversion that fails on a ragged line leaves the old output, and nothing else."""
     from quayside.plans.convert import convert
-    from quayside.sources.catalog import catalog
+    from quayside.sources.catalog import catalog, catalog_changes
 
     out = scratch_path(spark, "published")
     old = _land_feed(spark, sf, "part", "p_partkey", _part_fields(), ";", "30D_SALES_20240101000000.csv")
@@ -1369,7 +1435,7 @@ SELECT CAST(p_partkey AS VARCHAR) AS key, p_brand AS brand, CASE WHEN p_partkey
 def q_stream_two_headers(spark, sf):
     """K1: two files of one width and different headers in one micro-batch are two tables."""
     from quayside.plans.landing import land_named_files
-    from quayside.sources.catalog import catalog
+    from quayside.sources.catalog import catalog, catalog_changes
 
     root = scratch_path(spark, "zone")
     for i, header in enumerate(("key,brand", "id,make")):

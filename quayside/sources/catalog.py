@@ -1,7 +1,9 @@
 """A1 landing-zone catalogue and A4 Parquet scan.
 
-The catalogue is a ``binaryFile`` listing with the ``content`` column pruned:
-Spark lists the tree in parallel and never opens the files.
+The catalogue of a tree is a ``binaryFile`` listing with the ``content`` column pruned: Spark lists
+a level of many folders in parallel (a job, from ``spark.sql.sources.parallelPartitionDiscovery.threshold``
+folders on) and never opens the files. The flat catalogue is the listing of one folder; what lies in its
+subfolders is not touched. ``catalog_changes`` compares two catalogues.
 """
 
 from __future__ import annotations
@@ -33,25 +35,58 @@ def ensure_dir(spark: SparkSession, path: str) -> str:
     return path
 
 
+def _listed(name: str) -> bool:
+    """Names that Spark's own listing shows."""
+    return not (name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_"))
+
+
+def _flat(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
+    """Files directly in ``root``: one listing of one folder."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.globStatus(folder):
+        raise FileNotFoundError(f"PATH_NOT_FOUND: {root}")
+    rows = []
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, glob or "*")) or []:
+        name = status.getPath().getName()
+        if status.isFile() and _listed(name):
+            rows.append((status.getPath().toString(), name, status.getLen(), status.getModificationTime()))
+    files = spark.createDataFrame(rows, "path string, name string, size bigint, ms bigint")
+    return files.select("path", "name", "size", F.timestamp_millis("ms").alias("mtime"))
+
+
 def catalog(spark: SparkSession, root: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
     """A1: ``DF[path, name, size, mtime]`` of every file under ``root``.
 
-    ``recursive=False`` keeps only the files directly in ``root``. A missing
-    root is an error (G3), raised by Spark as PATH_NOT_FOUND.
+    ``recursive=False`` lists the files directly in ``root`` and no other folder. A missing
+    root is an error (G3): PATH_NOT_FOUND.
     """
+    if not recursive:
+        return _flat(spark, root, glob)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root).select(
+    return reader.load(root).select(
         F.col("path"),
         F.regexp_extract(F.col("path"), "[^/]*$", 0).alias("name"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("mtime"),
     )
-    if not recursive:
-        parent = qualify(spark, root)
-        df = df.filter(F.regexp_replace(F.col("path"), "/[^/]*$", "") == F.lit(parent))
-    return df
+
+
+def catalog_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What happened between two catalogues: ``DF[path, name, change, size_before, size_after,
+    mtime_before, mtime_after]``, a row per file that is ``new``, ``gone`` or ``changed`` (another size
+    or modification time). A catalogue is lazy: write ``before`` (``session.materialize``) when it is taken."""
+    sides = [df.select("path", *[F.col(c).alias(f"{c}_{side}") for c in ("name", "size", "mtime")], F.lit(True).alias(side))
+             for df, side in ((before, "before"), (after, "after"))]
+    both = sides[0].join(sides[1], "path", "full_outer")
+    same = F.col("size_before").eqNullSafe(F.col("size_after")) & F.col("mtime_before").eqNullSafe(F.col("mtime_after"))
+    change = F.when(F.col("before").isNull(), "new").when(F.col("after").isNull(), "gone").when(~same, "changed")
+    return both.withColumn("change", change).where("change is not null").select(
+        "path", F.coalesce("name_after", "name_before").alias("name"), "change",
+        "size_before", "size_after", "mtime_before", "mtime_after")
 
 
 def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -23,12 +23,12 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators import tables as TB
-from quayside.operators.commits import commit, commit_numbers, read_commit
+from quayside.operators.commits import LOG, commit, commit_numbers, read_commit
 from quayside.operators.selection import stamp_files
 from quayside.operators.sinks import write_staged
 from quayside.plans.convert import profile_source, shaped_table, stamp_of
@@ -59,7 +59,7 @@ def ingest_batch(spark: SparkSession, files: list[str], feed: Feed, out: str, qu
         if read_commit(spark, log, batch_id)["files"] != files:
             raise ValueError(f"{out} holds a batch {batch_id} of other files: go on with its checkpoint, or write elsewhere")
         return
-    made: dict[str, list[str]] = {"files": files, "tables": [], "quarantine": []}
+    made: dict = {"files": files, "tables": [], "quarantine": [], "rows": 0, "rejected": 0}
     prof = profile_source(spark, files, feed, widest=False)
     try:
         groups: dict[tuple, list] = {}
@@ -81,7 +81,9 @@ def ingest_batch(spark: SparkSession, files: list[str], feed: Feed, out: str, qu
             write_staged(counted[0], f"{out}/{made['tables'][-1]}", feed.row_group_bytes)
             write_staged(counted[1], f"{quarantine}/{made['quarantine'][-1]}")
             want = sum(r["lines"] for r in rows) - (len(rows) if feed.has_header else 0)
-            got = sum(o.get["rows"] for o in seen)
+            good_rows, bad_rows = (o.get["rows"] for o in seen)
+            got = good_rows + bad_rows
+            made["rows"], made["rejected"] = made["rows"] + good_rows, made["rejected"] + bad_rows
             if got != want:
                 raise RuntimeError(f"batch {batch_id} of {feed.key}: {want} lines in the source, {got} written")
         commit(spark, log, batch_id, made)
@@ -114,6 +116,20 @@ def read_quarantined(spark: SparkSession, out: str, quarantine: str, feed: Feed)
     return spark.read.option("basePath", quarantine).parquet(*[f"{quarantine}/{f}" for f in _committed(spark, out, feed, "quarantine")])
 
 
+def ingest_progress(spark: SparkSession, out: str, feed: Feed) -> DataFrame:
+    """D3 of a stream: ``DF[ingest_batch, files, rows, rejected, total]``, a row per committed batch;
+    ``total`` counts the rows and rejected lines up to it. It grows while the stream runs, and
+    what it counts can be read: both come from the commits."""
+    log, schema = _log(out, feed), "files array<string>, rows bigint, rejected bigint"
+    if not commit_numbers(spark, log):
+        return spark.createDataFrame([], "ingest_batch bigint, files int, rows bigint, rejected bigint, total bigint")
+    batches = spark.read.schema(schema).json(f"{log}/{LOG}/*.json").select(
+        F.regexp_extract("_metadata.file_name", r"\d+", 0).cast("bigint").alias("ingest_batch"),
+        F.size("files").alias("files"), "rows", "rejected")
+    upto = Window.orderBy("ingest_batch").rowsBetween(Window.unboundedPreceding, 0)  # a row per batch
+    return batches.withColumn("total", F.sum(F.col("rows") + F.col("rejected")).over(upto))
+
+
 def start_ingest(spark: SparkSession, landing: str, feed: Feed, out: str, quarantine: str, checkpoint: str,
                  available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start K1 over ``landing``; returns the StreamingQuery. Each micro-batch
