@@ -2,14 +2,18 @@
 
 Texts are compared as canonical bytes: A-Z lower-cased, runs of white space one
 space, none at either end. An item of m bytes is *contained* in a document that
-has a span within ``k = floor(ERRORS * m)`` edits of the whole item.
+has a span within ``k = floor(ERRORS * m)`` edits of the whole item. Items of fewer than ``MIN_ITEM``
+bytes have ``k = 0`` and must stand between word borders (``lexicon`` does not hold ``icon``), those of
+fewer than ``Q`` must be a document's whole text: as a part they say nothing.
+A document that holds part of an item, with more than a tenth of it missing, does not contain it.
 
 * Filter: such a span shares at least ``m + 1 - Q - k Q`` q-grams with the item,
   on diagonals no more than k apart. Shared q-grams are counted in bands of
   2 (k + 1) diagonals that start every k + 1, so that one band holds them all;
   bands that reach the bound are retained. The bound is positive for every item
-  of ``MIN_ITEM`` bytes or more; shorter ones say too little to be looked for.
-* Verification: a banded alignment of the item with the retained region, exact.
+  of ``Q`` bytes or more; texts of fewer bytes are looked up whole.
+* Verification: a banded alignment of the item with the retained region, exact; of a short
+  item, a search in that region.
 
 The benchmark is the query set: it is dealt into blocks of about
 ``BLOCK_BYTES``, each small enough for every task to hold, and all documents are
@@ -36,8 +40,11 @@ from quayside.llm.suffix_dedup import _ranges
 
 Q = 8
 ERRORS = 0.1
-#: The least m whose bound is positive: m - 7 - 8 floor(m / 10) > 0 for every m from here on.
+#: The least m whose bound is positive with the budget of edits: m - 7 - 8 floor(m / 10) > 0 for every m
+#: from here on. Shorter items are looked for without edits.
 MIN_ITEM = 40
+#: Bytes of words: ASCII letters and digits, and every byte of another character.
+WORD = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
 BLOCK_BYTES = 1 << 20
 #: Pairs of shared q-grams expanded at once.
 EXPAND = 2_000_000
@@ -78,15 +85,16 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, str]]):
         by_text: dict[bytes, list] = {}
+        self.tiny: dict[bytes, list] = {}
         for i, t in items:
             raw = np.frombuffer((t or "").encode(), np.uint8)
             body = canonical(raw, np.array([0, len(raw)]))[0].tobytes()
-            if len(body) >= MIN_ITEM:
-                by_text.setdefault(body, []).append(i)
+            if body:
+                (by_text if len(body) >= Q else self.tiny).setdefault(body, []).append(i)
         self.texts, self.ids = list(by_text), list(by_text.values())
         self.places = [letters(t) for t in self.texts]
         self.m = np.array([len(t) for t in self.texts], np.int64)
-        self.k = (self.m * ERRORS).astype(np.int64)
+        self.k = np.where(self.m < MIN_ITEM, 0, self.m * ERRORS).astype(np.int64)
         self.bound = self.m + 1 - Q - self.k * Q
         n = self.m - Q + 1
         data = np.frombuffer(b"".join(self.texts), np.uint8)
@@ -187,6 +195,18 @@ class Index:
         return edits, start, end
 
 
+    def copies(self, i: int, body: np.ndarray, low: int, high: int, first: int, last: int) -> Iterator[tuple[int, int, int]]:
+        """(0, start, end), from ``low``, of the copies of item ``i`` between word borders in
+        ``body[low:high]``, of a text in ``body[first:last]``."""
+        inside = lambda p: first < p < last and WORD[body[p - 1]] and WORD[body[p]]
+        region, text = body[low:high].tobytes(), self.texts[i]
+        at = region.find(text)
+        while at >= 0:
+            if not inside(low + at) and not inside(low + at + len(text)):
+                yield 0, at, at + len(text)
+            at = region.find(text, at + 1)
+
+
 def letters(text: bytes) -> dict[int, int]:
     """For each byte the bits of its places in ``text``."""
     out: dict[int, int] = {}
@@ -234,15 +254,22 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[int | Non
 def _found(index: Index, rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
     """(row, item ids, start, end, edits) of all contained items; places in bytes of the row."""
     body, at, place = canonical(data, offsets)
+    span = lambda r, a, b: (int(place[a]) - int(offsets[r]), int(place[b - 1]) + 1 - int(offsets[r]))
+    if index.tiny:
+        for r in np.flatnonzero((at[1:] > at[:-1]) & (at[1:] - at[:-1] < Q)):
+            ids = index.tiny.get(body[at[r]:at[r + 1]].tobytes())
+            if ids:
+                yield r, ids, *span(r, int(at[r]), int(at[r + 1])), 0
     seen = set()
     for r, i, a, b in index.regions(body, at):
-        hit = index.verify(i, body[a:b].tobytes())
-        if hit:
-            edits, start, end = hit
+        if index.m[i] < MIN_ITEM:
+            hits = index.copies(i, body, a, b, int(at[r]), int(at[r + 1]))
+        else:
+            hits = [index.verify(i, body[a:b].tobytes())]
+        for edits, start, end in filter(None, hits):
             if (r, i, a + start) not in seen and end > start:
                 seen.add((r, i, a + start))
-                first, last = int(place[a + start]), int(place[a + end - 1]) + 1
-                yield r, index.ids[i], first - int(offsets[r]), last - int(offsets[r]), edits
+                yield r, index.ids[i], *span(r, a + start, a + end), edits
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -25,11 +25,20 @@ def distance(p, t):
     return min(row)
 
 
+def stands(p, t):
+    """p is in t between word borders."""
+    word = lambda c: c >= 128 or chr(c).isalnum()
+    border = lambda k: not (0 < k < len(t) and word(t[k - 1]) and word(t[k]))
+    return any(t[a:a + len(p)] == p and border(a) and border(a + len(p)) for a in range(len(t) - len(p) + 1))
+
+
 def brute(docs, items):
     out = set()
     for d, t in docs:
         for i, x in items:
             p = canon(x)
+            if p and (canon(t) == p if len(p) < 8 else len(p) < MIN_ITEM and stands(p, canon(t))):
+                out.add((d, i))
             if len(p) >= MIN_ITEM and distance(p, canon(t)) <= int(len(p) * ERRORS):
                 out.add((d, i))
     return out
@@ -48,12 +57,15 @@ def corpus(seed):
     text = lambda n: " ".join(word() for _ in range(n))
     items = [(i, text(n)) for i, n in enumerate((5, 9, 12, 20, 30))]
     items += [(50, "a" * 60), (51, "ab " * 30), (52, None), (53, ""), (54, items[4][1].upper()), (None, text(15))]
+    items += [(60, "Is it 8?"), (61, "a question of thirty-nine bytes: or not"), (62, "yes"), (63, "é bytes +")]
     docs = [(i, text(rng.randrange(0, 60))) for i in range(6)]
     for n, (_, t) in enumerate(items):
         if t:
             for k, e in enumerate((0, 1, int(len(t) * ERRORS), int(len(t) * ERRORS) + 1, int(len(t) * 0.15) + 2)):
                 docs.append((100 + n * 10 + k, text(rng.randrange(0, 20)) + "\n" + edit(rng, t, e).replace(" ", rng.choice([" ", "\n", "  "])) + " " + text(9)))
-    return docs + [(900, None), (901, ""), (902, "a" * 1500), (903, "ab " * 300), (904, "x" * 39), (905, items[4][1]), (905, items[3][1])], items
+    return docs + [(900, None), (901, ""), (902, "a" * 1500), (903, "ab " * 300), (904, "x" * 39), (905, items[4][1]), (905, items[3][1])] + [
+        (910, "so\nis  it 8? yes"), (911, "this it 8?"), (912, " YES\n"), (913, "yes yes"), (914, "x é bytes +y"), (915, "xé bytes +"),
+        (916, items[-3][1]), (917, "A " + items[-3][1].replace(" ", "\n") + "s"), (918, items[-3][1][:-1]), (919, "yes")], items
 
 
 @pytest.mark.parametrize("seed,block", [(1, 1 << 20), (2, 600)])
@@ -65,11 +77,15 @@ def test_matches_brute_force(spark, monkeypatch, seed, block):
     rows = contained_items(d, b, block).collect()
     want = brute(docs, items)
     assert {(r.doc_id, r.item_id) for r in rows} == want
+    assert {i for _, i in want} >= {0, 60, 61, 62}
     texts = dict(items)
     for r in rows:
         spans = [canon(t[r.start:r.end]) for i, t in docs if i == r.doc_id and t]
         p = canon(texts[r.item_id])
         # canon() trims a space at either end of the span
+        if len(p) < MIN_ITEM:
+            assert r.edits == 0 and p in spans
+            continue
         assert r.edits <= int(len(p) * ERRORS) and any(distance(p, s) <= r.edits + 2 for s in spans)
     kept = decontaminate(d, b, block)
     assert kept.columns == d.columns
@@ -98,3 +114,14 @@ def test_empty_tables(spark):
     assert contained_items(d, b.limit(0)).collect() == [] and contained_items(d.limit(0), b).collect() == []
     assert decontaminate(d, b.limit(0)).count() == 2 and decontaminate(d, b).count() == 1
     assert Index([]).regions(np.zeros(5, np.uint8), np.array([0, 5])) == []
+
+
+def test_long_text(spark):
+    item, short = "what is the boiling point of water at sea level in kelvin?", "name the sixth moon"
+    filler = "some words of a long text " * 60_000
+    docs = [(1, filler + item.upper() + " " + filler), (2, filler), (3, filler + short), (4, filler + "re" + short)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    b = spark.createDataFrame([(1, item), (2, short)], "item_id bigint, text string")
+    rows = contained_items(d, b).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, 1, len(filler), len(filler) + len(item), 0), (3, 2, len(filler), len(filler) + len(short), 0)]
+    assert sorted(r.doc_id for r in decontaminate(d, b).collect()) == [2, 4]
