@@ -58,5 +58,5 @@ def test_empty_documents(spark, tmp):
 
 
 def test_queries_are_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES) and len(cp.STAGES) == 5 and cp.ORACLE_SQL is None
