@@ -49,9 +49,11 @@ def _flat(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
         raise FileNotFoundError(f"PATH_NOT_FOUND: {root}")
     rows = []
     for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, glob or "*")) or []:
-        name = status.getPath().getName()
-        if status.isFile() and _listed(name):
-            rows.append((status.getPath().toString(), name, status.getLen(), status.getModificationTime()))
+        if status.isFile():
+            path = status.getPath().toString()
+            name = path.rsplit("/", 1)[-1]
+            if _listed(name):
+                rows.append((path, name, status.getLen(), status.getModificationTime()))
     files = spark.createDataFrame(rows, "path string, name string, size bigint, ms bigint")
     return files.select("path", "name", "size", F.timestamp_millis("ms").alias("mtime"))
 
