@@ -5,16 +5,15 @@ n-grams. A document's score is the mean over its n-grams of
 ``log p_target - log p_raw``; documents at or above one threshold are kept.
 
 * raw counts cover every document; target counts the trusted ones (quality 1,
-  toxic 0) of a labelled sample of at most ``LABELLED`` ids, the ones of smallest
-  hash, so that the sample can be broadcast whatever the size of ``labels``;
-* a quarter of that sample teaches nothing and sets the threshold: the middle of
-  the widest range of scores with the best balanced accuracy between trusted and
-  low-quality documents, found on ``BINS`` fixed bins;
+  toxic 0) of all labelled ids but a quarter of them, picked by hash;
+* that quarter teaches nothing and sets the threshold: the middle of the widest
+  range of scores with the best balanced accuracy between trusted and low-quality
+  documents, found on ``BINS`` fixed bins;
 * the base rules are exact counts per document.
 
 Defined results: a NULL or empty text has no words, all counts 0, score 0 and
 fails the base rules; several labels of a doc_id count as its worst; labels
-without a document, or NULL, are ignored; without both classes in the sample
+without a document, or NULL, are ignored; without both classes in that quarter
 the threshold is -infinity; rows repeat freely; an empty table gives an empty
 table.
 """
@@ -34,8 +33,6 @@ from quayside.llm.kernel import _SPACE, chunks, mix
 GRAMS = (2, 3)
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
-#: Bound of the labelled sample.
-LABELLED = 20_000
 #: Scores are binned between -LIMIT and LIMIT.
 BINS, LIMIT = 2000, 2.0
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -109,13 +106,12 @@ def _rules(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 _MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def labelled_sample(labels: DataFrame) -> DataFrame:
-    """(doc_id, trusted, fit) of at most LABELLED ids; a quarter of the ids is for the threshold."""
+def labelled_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, trusted, poor, fit) of every labelled id; a quarter of the ids is for the threshold."""
     per = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    per = per.where("quality is not null").select(
+    return per.where("quality is not null").select(
         "doc_id", F.expr("quality = 1 and coalesce(toxic, 0) = 0").alias("trusted"),
         F.expr("quality = 0").alias("poor"), (F.pmod(F.xxhash64("doc_id"), F.lit(4)) != 0).alias("fit"))
-    return per.orderBy(F.xxhash64(F.lit("sample"), "doc_id")).limit(LABELLED)
 
 
 def best_threshold(good: np.ndarray, poor: np.ndarray) -> float:
@@ -133,9 +129,9 @@ def best_threshold(good: np.ndarray, poor: np.ndarray) -> float:
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` doc_id with the base measures, base_failed, score, threshold and kept."""
     scratch = Scratch(docs.sparkSession, "quality")
-    sample = scratch.save(labelled_sample(labels))
+    labelled = scratch.save(labelled_ids(labels))  # of no bounded size: Spark picks the joins by what was written
     docs = docs.select("doc_id", "text")
-    marked = docs.join(F.broadcast(sample.where("fit and trusted").select("doc_id", "trusted")), "doc_id", "left")
+    marked = docs.join(labelled.where("fit and trusted").select("doc_id", "trusted"), "doc_id", "left")
     counts = (marked.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
               .mapInArrow(_count, "kind int, bucket int, n bigint").groupBy("kind", "bucket").agg(F.sum("n").alias("n")))
     x = np.zeros((2, BUCKETS))
@@ -158,7 +154,7 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     failed = F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
     scored = scored.withColumn("base_failed", failed)
 
-    held = scored.where("not base_failed").join(F.broadcast(sample.where("not fit and (trusted or poor)")), "doc_id")
+    held = scored.where("not base_failed").join(labelled.where("not fit and (trusted or poor)"), "doc_id")
     place = F.least(F.lit(BINS - 1), F.greatest(F.lit(0), F.floor((F.col("score") + LIMIT) / (2 * LIMIT) * BINS))).cast("int")
     bins = np.zeros((2, BINS))
     for r in held.groupBy("trusted", place.alias("bin")).count().collect():  # at most two counts a bin

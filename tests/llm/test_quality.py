@@ -70,3 +70,12 @@ def test_no_labels_and_empty_tables(spark):
     got = {r.doc_id: (r.kept, r.base_failed) for r in assess(d, labels).collect()}
     assert got[2] == (False, True) and got[1][0] == (not got[1][1])
     assert assess(d.limit(0), labels).collect() == []
+
+
+def test_every_label_counts(spark):
+    docs, labels = corpus(n=60)
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    scores = lambda more: sorted(((r.doc_id, r.n_words, r.score, r.threshold) for r in assess(
+        d, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").union(more)).collect()), key=str)
+    others = spark.range(10_000, 130_000).selectExpr("id", "1", "0")  # labels of no document change nothing, however many
+    assert scores(others) == scores(others.limit(0))
