@@ -8,10 +8,12 @@ column (one folder and one file per bucket) or by key range.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.session import scratch_path
+from quayside.session import FILE_THREADS, scratch_path
 
 
 def land_buckets(spark: SparkSession, df: DataFrame, value: str, bucket: str, order: list[str], name: str,
@@ -25,8 +27,10 @@ def land_buckets(spark: SparkSession, df: DataFrame, value: str, bucket: str, or
             F.col(bucket), *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order],
             F.lit(header).alias("value"), F.lit(0).alias("_h"))
         body = body.unionByName(heads)
+    # tasks put their files in place side by side; the driver would move them one by one when the job ends
     (body.repartition(F.col(bucket)).sortWithinPartitions(bucket, "_h", *order)
-     .select(bucket, "value").write.mode("overwrite").partitionBy(bucket).text(path))
+     .select(bucket, "value").write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy(bucket).text(path))
     return path
 
 
@@ -48,17 +52,20 @@ def land_named_files(spark: SparkSession, df: DataFrame, value: str, bucket: str
     staged = land_buckets(spark, df, value, bucket, order, name, header)
     root = root or scratch_path(spark, f"{name}-zone")
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src_root = jvm.org.apache.hadoop.fs.Path(staged)
-    fs = src_root.getFileSystem(conf)
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(root))
-    for status in fs.listStatus(src_root):
-        folder = status.getPath()
-        if not status.isDirectory() or "=" not in folder.getName():
-            continue
-        key = folder.getName().split("=", 1)[1]
-        parts = [p.getPath() for p in fs.listStatus(folder) if p.getPath().getName().startswith("part-")]
-        for i, part in enumerate(sorted(parts, key=lambda p: p.getName())):
+    path_of = jvm.org.apache.hadoop.fs.Path  # looked up once: each look is several calls
+    fs = path_of(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path_of(root))
+    found = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.globStatus(path_of(f"{staged}/*=*/part-*")))
+    parts: dict[str, list[str]] = {}
+    for part in sorted(p.toString() for p in found):
+        parts.setdefault(part.rsplit("/", 2)[1].split("=", 1)[1], []).append(part)
+
+    def place(bucket_parts: tuple[str, list[str]]) -> None:
+        key, mine = bucket_parts
+        for i, part in enumerate(mine):
             target = file_name(key) if i == 0 else file_name(key).replace(".csv", f"_{i}.csv")
-            fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{root}/{target}"))
+            fs.rename(path_of(part), path_of(f"{root}/{target}"))
+
+    with ThreadPoolExecutor(FILE_THREADS) as pool:
+        list(pool.map(place, parts.items()))
     return root

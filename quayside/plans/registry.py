@@ -228,9 +228,8 @@ def q_catalog_changes(spark, sf):
     name = lambda k: f"part_{k}.csv"
     root = land_named_files(spark, p.where(kind != 2).withColumn("value", line), "value", "b", ["p_partkey"], "files-before", name)
     before = materialize(catalog(spark, root, recursive=False), "catalog-before")
-    for row in before.select("path", "name").collect():  # the files of the landing zone
-        if int(row["name"][5:-4]) % 4 in (1, 3):
-            remove(spark, row["path"])
+    listed = before.select("path", "name").collect()  # the files of the landing zone
+    remove(spark, *[row["path"] for row in listed if int(row["name"][5:-4]) % 4 in (1, 3)])
     later = p.where(kind.isin(2, 3)).withColumn("value", F.when(kind == 3, F.concat(line, F.lit("+"))).otherwise(line))
     land_named_files(spark, later, "value", "b", ["p_partkey"], "files-after", name, root=root)
     land_named_files(spark, later, "value", "b", ["p_partkey"], "files-below", name, root=f"{root}/below")

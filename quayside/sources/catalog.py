@@ -8,9 +8,13 @@ subfolders is not touched. ``catalog_changes`` compares two catalogues.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.session import FILE_THREADS
+
 
 def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified form of ``path`` as Spark prints it in ``path`` columns."""
@@ -43,17 +47,21 @@ def _listed(name: str) -> bool:
 def _flat(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
     """Files directly in ``root``: one listing of one folder."""
     jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
+    path_of = jvm.org.apache.hadoop.fs.Path  # looked up once: each look is several calls
+    folder = path_of(root)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.globStatus(folder):
         raise FileNotFoundError(f"PATH_NOT_FOUND: {root}")
-    rows = []
-    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, glob or "*")) or []:
-        if status.isFile():
-            path = status.getPath().toString()
-            name = path.rsplit("/", 1)[-1]
-            if _listed(name):
-                rows.append((path, name, status.getLen(), status.getModificationTime()))
+
+    def row(status) -> tuple | None:
+        if not status.isFile():
+            return None
+        path = status.getPath().toString()
+        name = path.rsplit("/", 1)[-1]
+        return (path, name, status.getLen(), status.getModificationTime()) if _listed(name) else None
+
+    with ThreadPoolExecutor(FILE_THREADS) as pool:
+        rows = [r for r in pool.map(row, fs.globStatus(path_of(folder, glob or "*")) or []) if r]
     files = spark.createDataFrame(rows, "path string, name string, size bigint, ms bigint")
     return files.select("path", "name", "size", F.timestamp_millis("ms").alias("mtime"))
 
