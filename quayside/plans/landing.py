@@ -9,11 +9,12 @@ column (one folder and one file per bucket) or by key range.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.session import FILE_THREADS, scratch_path
+from quayside.session import FILE_THREADS, remove, scratch_path
 
 
 def land_buckets(spark: SparkSession, df: DataFrame, value: str, bucket: str, order: list[str], name: str,
@@ -69,3 +70,33 @@ def land_named_files(spark: SparkSession, df: DataFrame, value: str, bucket: str
     with ThreadPoolExecutor(FILE_THREADS) as pool:
         list(pool.map(place, parts.items()))
     return root
+
+
+def land_file(spark: SparkSession, df: DataFrame, value: str, order: list[str], name: str, file_name: str,
+              header: str | None = None, root: str | None = None) -> str:
+    """All of ``df`` as one file ``file_name`` directly under the returned root, lines in ``order``.
+
+    The lines are cut by ranges of ``order`` and sorted range by range, side by side. The task that
+    writes the file reads the sorted ranges one after the other: it sorts nothing and holds a batch
+    of rows, whatever the size of the table. An empty table lands no file."""
+    ranges, staged = scratch_path(spark, f"{name}-ranges"), scratch_path(spark, name)
+    body = df.select(*[F.col(c) for c in order], F.col(value).alias("value"), F.lit(1).alias("_h"))
+    if header is not None:  # NULLs come first, so the header is in the first range
+        head = df.limit(1).select(*[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order],
+                                  F.lit(header).alias("value"), F.lit(0).alias("_h"))
+        body = body.unionByName(head)
+    body.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions("_h", *order).select("value").write.parquet(ranges)
+    jvm = spark.sparkContext._jvm
+    src = jvm.org.apache.hadoop.fs.Path(ranges)
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = root or scratch_path(spark, f"{name}-zone")
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(root))
+    parts = sorted(p.getPath().toString() for p in fs.listStatus(src) if p.getPath().getName().startswith("part-"))
+    sorted_ranges = [spark.read.schema("value string").parquet(p) for p in parts]
+    reduce(DataFrame.unionAll, sorted_ranges).coalesce(1).write.text(staged)
+    for i, part in enumerate(sorted((p.getPath() for p in fs.listStatus(jvm.org.apache.hadoop.fs.Path(staged))
+                                     if p.getPath().getName().startswith("part-") and p.getLen()), key=lambda p: p.getName())):
+        target = file_name if i == 0 else file_name.replace(".csv", f"_{i}.csv")
+        fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{root}/{target}"))
+    remove(spark, ranges, staged)
+    return root

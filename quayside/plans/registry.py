@@ -1147,14 +1147,14 @@ def q_arity_quarantine(spark, sf):
 
 def _stream_landing(spark, sf) -> str:
     """Lineitem as STOCK_INTRANSIT files, among a backup copy, another feed's file and a note."""
-    from quayside.plans.landing import land_named_files
+    from quayside.plans.landing import land_file, land_named_files
 
     li = _lineitem_ragged(spark, sf).withColumn("bucket", (F.col("l_orderkey") / 15000).cast("bigint"))
     root = land_named_files(spark, li, "value", "bucket", ["l_orderkey", "l_linenumber"], "lineitem-landing",
                             lambda k: f"STOCK_INTRANSIT_{_stamp14(k)}.csv")
-    few = t(spark, sf, "part").select(F.lit(0).alias("bucket"), "p_partkey", F.concat_ws(",", "p_name", "p_brand").alias("value"))
+    few = t(spark, sf, "part").select("p_partkey", F.concat_ws(",", "p_name", "p_brand").alias("value"))
     for n, name in enumerate(("STOCK_INTRANSIT_20240101000000_bak.csv", "CLOSING_STOCK_20240101000000.csv", "notes.txt")):
-        land_named_files(spark, few, "value", "bucket", ["p_partkey"], f"foreign-{n}", lambda k, name=name: name, root=root)
+        land_file(spark, few, "value", ["p_partkey"], f"foreign-{n}", name, root=root)
     return root
 
 
@@ -1241,13 +1241,13 @@ def q_stream_transitions(spark, sf):
 def _land_feed(spark, sf, table: str, key: str, fields: list, delim: str, name: str, bad=None, root: str | None = None, header: str | None = None) -> str:
     """A table as one file of a feed; rows where ``bad`` holds get one field more."""
     from quayside.functions.quoting import encode_columns
-    from quayside.plans.landing import land_named_files
+    from quayside.plans.landing import land_file
 
     line = encode_columns(fields, delim)
     if bad is not None:
         line = F.when(bad, F.concat(line, F.lit(f"{delim}extra"))).otherwise(line)
-    df = t(spark, sf, table).withColumn("value", line).withColumn("bucket", F.lit(0))
-    return land_named_files(spark, df, "value", "bucket", [key], f"land-{table}", lambda k: name, header=header, root=root)
+    df = t(spark, sf, table).withColumn("value", line)
+    return land_file(spark, df, "value", [key], f"land-{table}", name, header=header, root=root)
 
 
 def _order_fields() -> list:
@@ -1399,7 +1399,7 @@ def q_row_origin(spark, sf):
     rows = with_line_numbers(spark, f"{out}/feed=30D_SALES").select(
         F.lit("30D_SALES").alias("feed"), F.col("column1").alias("key"), F.col("_line_no").alias("line_no"),
         F.regexp_extract("_file", "[^/]*$", 0).alias("file"), ts_text("_stamp").alias("stamp"))
-    return rows.join(latest, "feed").drop("feed")
+    return rows.join(F.broadcast(latest), "feed").drop("feed")  # a row per feed; by a shuffle all rows would meet in one task
 
 
 @query("source_output_diff", """
@@ -1433,13 +1433,13 @@ def _ingest(spark, landing: str, key: str) -> str:
 SELECT CAST(p_partkey AS VARCHAR) AS key, p_brand AS brand, CASE WHEN p_partkey % 2 = 0 THEN 'key,brand' ELSE 'id,make' END AS header FROM part""")
 def q_stream_two_headers(spark, sf):
     """K1: two files of one width and different headers in one micro-batch are two tables."""
-    from quayside.plans.landing import land_named_files
+    from quayside.plans.landing import land_file
     from quayside.sources.catalog import catalog, catalog_changes
 
     root = scratch_path(spark, "zone")
     for i, header in enumerate(("key,brand", "id,make")):
-        p = t(spark, sf, "part").filter(F.col("p_partkey") % 2 == i).withColumn("bucket", F.lit(0)).withColumn("value", F.concat_ws(",", "p_partkey", "p_brand"))
-        land_named_files(spark, p, "value", "bucket", ["p_partkey"], f"two-{i}", lambda k, i=i: f"SCCT_RAWDATA_LD_WMP_2024010{i + 1}.csv", header=header, root=root)
+        p = t(spark, sf, "part").filter(F.col("p_partkey") % 2 == i).withColumn("value", F.concat_ws(",", "p_partkey", "p_brand"))
+        land_file(spark, p, "value", ["p_partkey"], f"two-{i}", f"SCCT_RAWDATA_LD_WMP_2024010{i + 1}.csv", header=header, root=root)
     out = _ingest(spark, root, "SCCT")
     folders = catalog(spark, out).select(F.regexp_extract("path", "^(.*/shape=[^/]*)/", 1).alias("d")).filter("d <> ''").distinct().collect()  # one a shape
     rows = None
