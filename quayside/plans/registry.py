@@ -1123,7 +1123,12 @@ def _lineitem_ragged(spark, sf) -> DataFrame:
     base = [s("l_orderkey"), s("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus"), ts_text("l_shipdate", "yyyy-MM-dd")]
     fields = (F.when(bad & (F.col("l_orderkey") % 2 == 0), F.array(*base, F.lit("X")))
               .when(bad, F.array(*base[:4])).otherwise(F.array(*base)))
-    return li.withColumn("value", encode_csv(fields, ";"))
+    return li.withColumns({"value": encode_csv(fields, ";"), "thousand": F.floor(F.col("l_orderkey") / 1000), "ragged": bad})
+
+
+#: Line 1 of a file says how many fields its lines have, so none may be ragged: among the lines of
+#: a thousand orders the ragged ones come last, and files are cut between thousands.
+_RAGGED_ORDER = ["thousand", "ragged", "l_orderkey", "l_linenumber"]
 
 
 _RAGGED_SQL = """(l_linenumber > 1 AND (l_orderkey * 7 + l_linenumber) % 53 = 0)"""
@@ -1136,7 +1141,7 @@ FROM lineitem WHERE {_RAGGED_SQL}""")
 def q_arity_quarantine(spark, sf):
     from quayside.plans.convert import profile_source
 
-    root = land_ranges(spark, _lineitem_ragged(spark, sf), "value", ["l_orderkey", "l_linenumber"], "lineitem-ragged")
+    root = land_ranges(spark, _lineitem_ragged(spark, sf), "value", _RAGGED_ORDER, "lineitem-ragged")
     feed = FEED_BY_KEY["STOCK_INTRANSIT"]
     prof = profile_source(spark, [root], feed)
     expected = prof.per_file.select("file", F.size("first").alias("expected"))
@@ -1150,7 +1155,7 @@ def _stream_landing(spark, sf) -> str:
     from quayside.plans.landing import land_file, land_named_files
 
     li = _lineitem_ragged(spark, sf).withColumn("bucket", (F.col("l_orderkey") / 15000).cast("bigint"))
-    root = land_named_files(spark, li, "value", "bucket", ["l_orderkey", "l_linenumber"], "lineitem-landing",
+    root = land_named_files(spark, li, "value", "bucket", _RAGGED_ORDER, "lineitem-landing",
                             lambda k: f"STOCK_INTRANSIT_{_stamp14(k)}.csv")
     few = t(spark, sf, "part").select("p_partkey", F.concat_ws(",", "p_name", "p_brand").alias("value"))
     for n, name in enumerate(("STOCK_INTRANSIT_20240101000000_bak.csv", "CLOSING_STOCK_20240101000000.csv", "notes.txt")):

@@ -4,7 +4,7 @@ import glob
 
 from pyspark.sql import functions as F
 
-from quayside.plans import landing
+from quayside.plans import landing, registry
 
 
 def test_one_file_is_made_of_sorted_ranges(spark, tmp, monkeypatch):
@@ -21,3 +21,17 @@ def test_one_file_is_made_of_sorted_ranges(spark, tmp, monkeypatch):
         assert fh.read().split("\n") == ["h;k", *[f"a\r{2999 - k}" for k in range(3000)], ""]
     empty = landing.land_file(spark, df.limit(0), "line", ["k"], "none", "none.csv", header="h;k")
     assert glob.glob(f"{empty}/*.csv") == []
+
+
+def _lineitem(spark, folder, rows):
+    li = spark.createDataFrame(rows, "l_orderkey bigint, l_linenumber int").withColumns(
+        {"l_returnflag": F.lit("N"), "l_linestatus": F.lit("O"), "l_shipdate": F.lit("2024-01-01").cast("date")})
+    li.write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(1, "bolt", "Brand#1")], "p_partkey bigint, p_name string, p_brand string").write.parquet(f"{folder}/part.parquet")
+
+
+def test_a_file_whose_smallest_line_is_ragged(spark, tmp):
+    _lineitem(spark, tmp, [(7, 4), (8, 1), (8, 2), (15000, 1), (15001, 2)])  # (7, 4) is ragged, and first by key
+    assert sorted(r["column1"] for r in registry.q_stream_ingest(spark, tmp).collect()) == ["15000", "15001", "8", "8"]
+    for rejected in (registry.q_stream_quarantine, registry.q_arity_quarantine):
+        assert [(r["orderkey"], r["expected"], r["found"]) for r in rejected(spark, tmp).collect()] == [("7", 5, 4)]
