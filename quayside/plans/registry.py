@@ -1186,17 +1186,24 @@ def q_stream_ingest(spark, sf):
     return read_ingested(spark, out, feed, shape).select("column1", "column2", "column3", "column4", "column5")
 
 
+#: Triggers that a landing zone of many files is taken in.
+_TRIGGERS = 16
+
+
 @query("ingest_progress", f"""
 WITH n AS (SELECT count(*) AS total, count(*) FILTER (WHERE {_RAGGED_SQL}) AS rejected FROM lineitem)
 SELECT CAST(unnest(range(5000, total + 1, 5000)) AS BIGINT) AS mark, total, rejected, true AS rising FROM n""")
 def q_ingest_progress(spark, sf):
-    """D3 of a stream in triggers of one file: the marks passed, and running totals that only rise."""
+    """D3 of a stream in some ``_TRIGGERS`` triggers (of one file each where there are no more): the
+    marks passed, and running totals that only rise."""
     from quayside.plans.progress import marks
     from quayside.streaming.ingest import ingest_progress, start_ingest
 
     feed = FEED_BY_KEY["STOCK_INTRANSIT"]
     out, quarantine, ckpt = scratch_path(spark, "ingested"), scratch_path(spark, "quarantine"), scratch_path(spark, "ckpt")
-    start_ingest(spark, _stream_landing(spark, sf), feed, out, quarantine, ckpt, max_files_per_trigger=1).awaitTermination()
+    landing = _stream_landing(spark, sf)
+    a_trigger = -(-catalog(spark, landing).count() // _TRIGGERS)
+    start_ingest(spark, landing, feed, out, quarantine, ckpt, max_files_per_trigger=a_trigger).awaitTermination()
     batches = F.collect_list(F.struct("ingest_batch", "total"))  # a row per trigger
     in_order = F.transform(F.array_sort(batches), lambda b: b["total"])
     whole = ingest_progress(spark, out, feed).agg(

@@ -35,3 +35,15 @@ def test_a_file_whose_smallest_line_is_ragged(spark, tmp):
     assert sorted(r["column1"] for r in registry.q_stream_ingest(spark, tmp).collect()) == ["15000", "15001", "8", "8"]
     for rejected in (registry.q_stream_quarantine, registry.q_arity_quarantine):
         assert [(r["orderkey"], r["expected"], r["found"]) for r in rejected(spark, tmp).collect()] == [("7", 5, 4)]
+
+
+def test_triggers_do_not_grow_with_the_files(spark, tmp, monkeypatch):
+    from quayside.streaming import ingest
+
+    seen, batch = [], ingest.ingest_batch
+    monkeypatch.setattr(ingest, "ingest_batch", lambda spark, files, *rest: seen.append(files) or batch(spark, files, *rest))
+    _lineitem(spark, tmp, [(15000 * i, 1) for i in range(15)])
+    monkeypatch.setattr("quayside.plans.progress.marks", lambda whole, *_: whole.withColumn("mark", F.lit(0)))
+    (row,) = registry.q_ingest_progress(spark, tmp).collect()
+    assert (row["total"], row["rejected"], row["rising"]) == (15, 0, True)
+    assert len(seen) <= registry._TRIGGERS and sum(map(len, seen)) == 15  # 18 files with the three of others
