@@ -129,9 +129,9 @@ def best_threshold(good: np.ndarray, poor: np.ndarray) -> float:
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` doc_id with the base measures, base_failed, score, threshold and kept."""
     scratch = Scratch(docs.sparkSession, "quality")
-    labelled = scratch.save(labelled_ids(labels))  # of no bounded size: Spark picks the joins by what was written
+    labelled = scratch.save(labelled_ids(labels))  # of no bounded size, so never broadcast: one plan at every size
     docs = docs.select("doc_id", "text")
-    marked = docs.join(labelled.where("fit and trusted").select("doc_id", "trusted"), "doc_id", "left")
+    marked = docs.join(labelled.where("fit and trusted").select("doc_id", "trusted").hint("merge"), "doc_id", "left")
     counts = (marked.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
               .mapInArrow(_count, "kind int, bucket int, n bigint").groupBy("kind", "bucket").agg(F.sum("n").alias("n")))
     x = np.zeros((2, BUCKETS))
@@ -154,7 +154,7 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     failed = F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
     scored = scored.withColumn("base_failed", failed)
 
-    held = scored.where("not base_failed").join(labelled.where("not fit and (trusted or poor)"), "doc_id")
+    held = scored.where("not base_failed").join(labelled.where("not fit and (trusted or poor)").hint("merge"), "doc_id")
     place = F.least(F.lit(BINS - 1), F.greatest(F.lit(0), F.floor((F.col("score") + LIMIT) / (2 * LIMIT) * BINS))).cast("int")
     bins = np.zeros((2, BINS))
     for r in held.groupBy("trusted", place.alias("bin")).count().collect():  # at most two counts a bin
