@@ -8,7 +8,9 @@
    share none of their k smallest with probability (1 - s)^k: 2e-10 at 0.75.
 3. In each inverted list, members not yet joined in it are compared by the
    union sketch (the hashes up to the smaller of both sketches' last value are a
-   uniform sample of the union); estimates of ``LOOSE`` or more join them. A
+   uniform sample of the union); estimates of ``LOOSE`` or more join them. Only
+   pairs with ``SHARED`` of the first ``KEYS`` hashes in common are estimated: of
+   linked sets of more hashes all but 3e-7 are among them, of smaller ones all. A
    list gives a spanning forest of its joins, never its pairs. Lists over
    ``LIST_BLOCK`` members are compared block against block.
 4. Components of those joins are loose clusters. One text of each member is read
@@ -43,6 +45,7 @@ SHINGLE_WORDS = 5
 #: Similarity of a link, in per cent.
 PERCENT = 75
 KEYS = 16
+SHARED = 3
 SKETCH = 64
 LOOSE = 0.5
 LIST_BLOCK = 4096
@@ -83,9 +86,15 @@ def estimates(one: np.ndarray, others: np.ndarray) -> np.ndarray:
 def _join_list(nodes: np.ndarray, n: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the members whose estimate is LOOSE or more."""
     forest, out = Forest(len(nodes)), []
+    first = (sketches[:, :KEYS] & 0xFFFF).astype(np.uint16)
+    known = np.zeros(1 << 16, np.uint8)  # as in ``estimates``; padding counts as shared
     for i in range(len(nodes) - 1):
         rest = np.flatnonzero(forest.roots()[i + 1:] != forest.root(i)) + i + 1 if out else np.arange(i + 1, len(nodes))
         rest = rest[(100 * np.minimum(n[rest], n[i]) >= PERCENT * np.maximum(n[rest], n[i])) & (nodes[rest] != nodes[i])]
+        if len(rest):
+            known[sketches[i] & 0xFFFF] = 1
+            rest = rest[known[first[rest]].sum(1) >= SHARED]
+            known[sketches[i] & 0xFFFF] = 0
         if len(rest):
             for j in rest[estimates(sketches[i], sketches[rest]) >= LOOSE].tolist():
                 if forest.join(i, j):

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from quayside.llm import near_dup
@@ -109,3 +110,31 @@ def test_components_of_long_paths(spark):
     got = {r.node: r.component for r in components(links, Scratch(spark, "test")).collect()}
     want = {i: 0 for i in range(201)} | {400: 400, 450: 400, 500: 400} | {i: 1000 for i in range(1000, 1051)}
     assert got == want
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_few_edges_are_joined_without_a_shuffle(spark, monkeypatch, few):
+    monkeypatch.setattr("quayside.llm.components.FEW", few)
+    links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
+    found = components(spark.createDataFrame(links, "node bigint, other bigint").repartition(3), Scratch(spark, "test"))
+    assert {r.node: r.component for r in found.collect()} == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+    assert ("hashpartitioning" in found._jdf.queryExecution().executedPlan().toString()) == (few == 0)
+
+
+def test_members_that_share_one_key_only_are_not_estimated(monkeypatch):
+    estimated = []
+    real = near_dup.estimates
+    monkeypatch.setattr(near_dup, "estimates", lambda one, others: estimated.append(len(others)) or real(one, others))
+    rng = np.random.default_rng(3)
+    sketches = np.sort(rng.integers(1000, 2**31, (300, near_dup.SKETCH), dtype=np.uint32), axis=1)
+    sketches[:, 0] = 7  # the key of the list
+    sketches[299, :60] = sketches[298, :60]
+    sketches[299].sort()
+    assert near_dup._join_list(np.arange(300), np.full(300, 400), sketches) == [(298, 299)]
+    assert sum(estimated) < 10
+
+
+def test_small_sets_are_estimated():
+    sets = np.full((2, near_dup.SKETCH), near_dup._PAD)
+    sets[0, :4], sets[1, :3] = [1, 2, 3, 4], [1, 2, 3]
+    assert near_dup._join_list(np.array([5, 9]), np.array([4, 3]), sets) == [(5, 9)]
