@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from quayside.session import FILE_THREADS, remove, scratch_path
 
 
+#: Rows that a task sorts at most, but for rows of one key: some 56 MB of short lines.
+RANGE_ROWS = 500_000
+
+
 def land_buckets(spark: SparkSession, df: DataFrame, value: str, bucket: str, order: list[str], name: str,
                  header: str | None = None) -> str:
     """One text file per ``bucket`` value (folder ``bucket=<v>``), lines in
@@ -76,7 +80,8 @@ def land_file(spark: SparkSession, df: DataFrame, value: str, order: list[str],
               header: str | None = None, root: str | None = None) -> str:
     """All of ``df`` as one file ``file_name`` directly under the returned root, lines in ``order``.
 
-    The lines are cut by ranges of ``order`` and sorted range by range, side by side. The task that
+    The lines are cut by ranges of ``order`` of some ``RANGE_ROWS`` rows, at least one a core, and
+    sorted range by range, side by side; their number is given, so no setting merges them. The task that
     writes the file reads the sorted ranges one after the other: it sorts nothing and holds a batch
     of rows, whatever the size of the table. An empty table lands no file."""
     ranges, staged = scratch_path(spark, f"{name}-ranges"), scratch_path(spark, name)
@@ -85,7 +90,8 @@ def land_file(spark: SparkSession, df: DataFrame, value: str, order: list[str],
         head = df.limit(1).select(*[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order],
                                   F.lit(header).alias("value"), F.lit(0).alias("_h"))
         body = body.unionByName(head)
-    body.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions("_h", *order).select("value").write.parquet(ranges)
+    cuts = max(spark.sparkContext.defaultParallelism, -(-df.count() // RANGE_ROWS))
+    body.repartitionByRange(cuts, *[F.col(c) for c in order]).sortWithinPartitions("_h", *order).select("value").write.parquet(ranges)
     jvm = spark.sparkContext._jvm
     src = jvm.org.apache.hadoop.fs.Path(ranges)
     fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

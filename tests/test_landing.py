@@ -47,3 +47,20 @@ def test_triggers_do_not_grow_with_the_files(spark, tmp, monkeypatch):
     (row,) = registry.q_ingest_progress(spark, tmp).collect()
     assert (row["total"], row["rejected"], row["rising"]) == (15, 0, True)
     assert len(seen) <= registry._TRIGGERS and sum(map(len, seen)) == 15  # 18 files with the three of others
+
+
+def test_ranges_of_one_file_follow_the_rows_whatever_the_session_merges(spark, tmp, monkeypatch):
+    parts = []
+    monkeypatch.setattr(landing, "remove", lambda spark, ranges, staged: parts.extend(glob.glob(f"{ranges}/part-*")))
+    monkeypatch.setattr(landing, "RANGE_ROWS", 50)
+    df = spark.range(2000).select("id", F.col("id").cast("string").alias("value"))
+    merging = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1g"}
+    for k, v in merging.items():
+        spark.conf.set(k, v)
+    try:
+        root = landing.land_file(spark, df, "value", ["id"], "whatever", "a.csv")
+    finally:
+        for k in merging:
+            spark.conf.unset(k)
+    assert [r.value for r in spark.read.text(f"{root}/a.csv").collect()] == [str(i) for i in range(2000)]
+    assert len(parts) >= 30
